@@ -1 +1,172 @@
-"""placeholder"""
+"""Queries for scans, sinks and table maintenance (S): each writes to a scratch folder and reads back."""
+
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from pitwall.catalog.registry import query, register
+from pitwall.catalog.scalars import r
+from pitwall.plans import dashboard as x
+from pitwall.schemas import SCHEMAS
+from pitwall.sources import landing, merge, tables
+from pitwall.sources.scratch import scratch_path
+
+
+@query("s01_scan_landing", "SELECT meeting_key, session_key, driver_number, date, position FROM b_position WHERE session_key IN (1, 3)")
+def _(t):
+    root = scratch_path(t.spark, "landing")
+    landing.write_landing(t["position"], root, "position")
+    return landing.read_landing(t.spark, root, "position", [1, 3])
+
+
+@query(
+    "s02_scan_json",
+    """SELECT meeting_key, session_key, driver_number, date, CASE WHEN gap_to_leader NOT IN ('None', 'null', 'NULL', '') THEN gap_to_leader END AS gap_to_leader,
+       CASE WHEN "interval" NOT IN ('None', 'null', 'NULL', '') THEN "interval" END AS "interval" FROM b_intervals""",
+)
+def _(t):
+    path = scratch_path(t.spark, "json")
+    t["intervals"].withColumn("date", F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).write.json(path)
+    return landing.read_json_landing(t.spark, path, "intervals", array_files=False)
+
+
+@query(
+    "s03_conform",
+    """SELECT session_key, meeting_key, driver_number, ts AS date, CAST(NULL AS INTEGER) AS rpm, CASE WHEN k % 2 = 0 THEN k END AS speed, k AS throttle, CAST(NULL AS INTEGER) AS brake,
+       CAST(NULL AS INTEGER) AS n_gear, CAST(NULL AS INTEGER) AS drs FROM e_all""",
+)
+def _(t):
+    loose = t.events().select(
+        "session_key", F.col("meeting_key").cast("string"), "driver_number", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("date"),
+        F.when(F.col("k") % 2 == 0, F.col("k").cast("string")).otherwise(F.lit("fast")).alias("speed"), F.get_json_object("props", "$.k").alias("throttle"), "event_id",
+    )
+    return landing.conform(loose, SCHEMAS["car_data"])
+
+
+@query("s04_replace_sessions", "SELECT driver_number, date, meeting_key, CASE WHEN session_key = 2 THEN position + 100 ELSE position END AS position, session_key FROM b_position")
+def _(t):
+    path = scratch_path(t.spark, "replace")
+    landing.replace_sessions(t["position"], path, "position")
+    again = t["position"].filter(F.col("session_key") == 2).withColumn("position", F.col("position") + 100)
+    for _ in range(2):
+        landing.replace_sessions(again, path, "position")
+    return t.spark.read.schema(t["position"].schema).parquet(path)
+
+
+@query("s05_selected_sessions", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def _(t):
+    wanted = t.table("customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return landing.select_sessions(t.table("orders"), wanted.unionByName(wanted), ["o_custkey"]).select("o_orderkey", "o_custkey")
+
+
+@query(
+    "s06_discover_sessions",
+    """SELECT o_custkey, o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'
+       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1""",
+)
+def _(t):
+    o = t.table("orders").select("o_custkey", "o_orderkey", "o_orderdate", F.col("o_orderdate").alias("begin"))
+    return landing.discover_sessions(o, "o_custkey", "begin", "o_orderdate", datetime.datetime(1996, 1, 1), datetime.datetime(1997, 1, 1)).drop("begin")
+
+
+@query("s07_absent_only", "SELECT event_id, session_key FROM e_all WHERE session_key NOT IN (SELECT session_key FROM b_sessions WHERE session_type = 'Race')")
+def _(t):
+    held = t["sessions"].filter("session_type = 'Race'")
+    return landing.absent_only(t.events().select("event_id", "session_key"), held, ["session_key"])
+
+
+@query(
+    "s08_upsert",
+    f"""SELECT o_orderkey, o_orderpriority, {r('CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END', 'o_totalprice')} FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0""",
+)
+def _(t):
+    path = scratch_path(t.spark, "upsert")
+    o = t.table("orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    merge.upsert(t.spark, path, o.filter("o_orderkey % 3 <> 0"), ["o_orderkey"], "o_orderpriority")
+    batch = o.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    for _ in range(2):
+        merge.upsert(t.spark, path, batch, ["o_orderkey"], "o_orderpriority")
+    return t.spark.read.parquet(path)
+
+
+register(
+    "s09_session_calendar",
+    lambda t: landing.sessions_on(landing.session_calendar(t.table("orders"), "o_orderdate", ["o_custkey", "o_orderkey"]), datetime.date(1996, 3, 1)),
+    "SELECT '1996-03-01' AS day, o_custkey, o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1996-03-01'",
+)
+
+
+@query("s10_incremental", "SELECT * REPLACE (CAST(event_date AS VARCHAR) AS event_date) FROM x_position")
+def _(t):
+    """A first load that stops in the middle, then an incremental one: the same rows as a full build."""
+    path, known = scratch_path(t.spark, "incremental"), F.lit("2024-01-20").cast("timestamp_ntz")
+    merge.incremental_load(t.spark, path, lambda _: x.position(t).filter(F.col("timestamp_utc") < known), ["position_id"], "timestamp_utc", "event_date")
+    merge.incremental_load(t.spark, path, lambda after: x.position(t, after), ["position_id"], "timestamp_utc", "event_date")
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "s11_infer_by_name",
+    f"SELECT event_type AS kind, ts AS created_at, {r('k', 'k')}, {r('value', 'value')}, k % 2 = 0 AS even FROM e_all",
+)
+def _(t):
+    path = scratch_path(t.spark, "infer")
+    t.events().select(
+        F.col("event_type").alias("kind"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"), "k", "value", (F.col("k") % 2 == 0).alias("even")
+    ).write.json(path)
+    return landing.typed_by_name(t.spark.read.option("timestampFormat", "").option("inferTimestamp", False).json(path))
+
+
+@query(
+    "s12_audit_columns",
+    """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS c_mktsegment, '2024-02-01' AS processed_date, TIMESTAMP '2024-02-01 06:00:00' AS created_at,
+       TIMESTAMP '2024-02-01 06:00:00' AS updated_at FROM customer""",
+)
+def _(t):
+    c = t.table("customer")
+    old, new = c.filter("c_custkey % 2 = 1").select("c_custkey"), c.filter("c_custkey % 2 = 0").select("c_custkey", "c_mktsegment")
+    return landing.with_audit(landing.sync_schema(old, new), datetime.datetime(2024, 2, 1, 6))
+
+
+@query("s13_split_valid", "SELECT event_id, k % 4 <> 0 AND value > 5 AS valid FROM e_all")
+def _(t):
+    e = t.events().select("event_id", F.when(F.col("k") % 4 != 0, F.col("k")).alias("a"), F.when(F.col("value") > 5, F.col("value")).alias("b"))
+    good, bad = landing.split_valid(e, ["a", "b"])
+    return good.select("event_id", F.lit(True).alias("valid")).unionByName(bad.select("event_id", F.lit(False).alias("valid")))
+
+
+register(
+    "s14_standard_names",
+    lambda t: landing.standard_names(t["intervals"].withColumn("gap_to_leader", F.nullif(F.col("gap_to_leader"), F.lit(""))), ["gap_to_leader", "interval"]),
+    """SELECT meeting_key AS MEETING_KEY, session_key AS SESSION_KEY, driver_number AS DRIVER_NUMBER, date AS DATE, coalesce(nullif(gap_to_leader, ''), 'None') AS GAP_TO_LEADER, "interval" AS "INTERVAL"
+       FROM b_intervals""",
+)
+
+
+@query(
+    "s15_seed_lookup",
+    """SELECT session_key, driver_number, date, drs, CASE WHEN drs IN (0, 1, 2) THEN 'OFF' WHEN drs = 8 THEN 'DETECTED' WHEN drs IN (10, 12, 14) THEN 'ON' WHEN drs IN (3, 9, 11, 13, 15) THEN 'UNKNOWN' END AS drs_label FROM b_car""",
+)
+def _(t):
+    path = scratch_path(t.spark, "seed")
+    tables.write_seed(t.spark, path)
+    return tables.with_drs_label(t["car_data"].select("session_key", "driver_number", "date", "drs"), tables.read_seed(t.spark, path))
+
+
+@query(
+    "s16_materialise",
+    f"SELECT session_key, driver_number, {r('min(lap_duration)', 'best')}, count(*) AS n FROM b_laps GROUP BY ALL",
+)
+def _(t):
+    laps = tables.materialise(t.spark, t["laps"].select("session_key", "driver_number", "lap_duration"), "stg_laps", "view")
+    best = laps.groupBy("session_key", "driver_number").agg(F.min("lap_duration").alias("best"), F.count("*").alias("n"))
+    return tables.materialise(t.spark, best, "best_laps", "table", scratch_path(t.spark, "table"))
+
+
+@query("s17_clustered_write", "SELECT * REPLACE (CAST(event_date AS VARCHAR) AS event_date) FROM x_car_data")
+def _(t):
+    path = scratch_path(t.spark, "clustered")
+    landing.write_clustered(x.car_data(t), path, ["event_date", "session_key", "driver_number", "timestamp_utc"])
+    return t.spark.read.parquet(path)
