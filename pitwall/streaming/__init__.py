@@ -1,0 +1 @@
+"""Structured Streaming: sources, parsing shared with batch, stateful operators, sinks."""
