@@ -111,7 +111,7 @@ register(
 def _(t):
     lap = d._windows(t, d.DEFAULTS).select(*LAP, "lap_start_at", "lap_end_at")
     width = mean_spacing(t["laps"], CAR, "date_start")
-    hit = last_in_interval(lap, t["position"], CAR, LAP, "lap_start_at", "lap_end_at", "date", ["position"], width)
+    hit = last_in_interval(lap, {"position": t["position"].select(*CAR, "date", "position")}, CAR, LAP, "lap_start_at", "lap_end_at", width)
     return lap.select(*LAP).join(hit, LAP, "left")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pitwall.catalog.oracle import BLOCKS, rounded, statement
 from pitwall.session import configure
-from pitwall.sources.bindings import Feeds
+from pitwall.sources.bindings import Feeds, feeds_for
 
 
 @dataclass(frozen=True)
@@ -67,6 +67,6 @@ def load_all() -> dict[str, Query]:
 
 def runnable(q: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(q.build(Feeds(configure(spark), sf_dir)))
+        return comparable(q.build(feeds_for(configure(spark), sf_dir)))
 
     return run

@@ -120,7 +120,7 @@ _FILL_SQL = f"""SELECT event_id, user_id, {r('last_value(CASE WHEN k % 3 = 0 THE
 
 
 def _filled(t):
-    out = carry_forward(t.events(), ["user_id"], ["ts"], {"filled": _GAPPY}, USER_DAY)
+    out = carry_forward(t.events(), ["user_id"], ["ts"], {"filled": _GAPPY}, USER_DAY, source=t.events())
     return out.select("event_id", "user_id", "filled")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -56,20 +57,29 @@ def range_join(
 
 def last_in_interval(
     intervals: DataFrame,
-    points: DataFrame,
+    feeds: Mapping[str, DataFrame],
     keys: Sequence[str],
     id_cols: Sequence[str],
     start: str,
     end: str,
-    at: str,
-    values: Sequence[str],
     width_us: Column | int,
 ) -> DataFrame:
-    """Latest point of every interval that has one: id columns, the point time and its values."""
+    """Latest row of each feed inside every interval that has one, for several feeds in a single join.
+
+    A feed is a DataFrame of the keys, its time column, and its values, in that order; the result holds time and
+    values of all feeds.  The latest row is a maximum over (time, values), which is combined on the map side and
+    needs no duplicate removal before.
+    """
+    at, packed, layout = "_at", [], {}
+    for name, df in feeds.items():
+        fields = [c for c in df.columns if c not in keys]
+        layout[name] = fields
+        packed.append(df.select(*keys, F.col(fields[0]).alias(at), F.struct(*fields).alias(f"_f_{name}")))
+    points = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
     narrow = intervals.select(*dict.fromkeys([*keys, *id_cols, start, end]))
-    pairs = range_join(narrow, points.select(*keys, at, *values), keys, start, end, at, width_us)
-    best = pairs.groupBy(*id_cols).agg(F.max_by(F.struct(at, *values), F.col(at)).alias("_b"))
-    return best.select(*id_cols, *[F.col(f"_b.{c}").alias(c) for c in [at, *values]])
+    pairs = range_join(narrow, points, keys, start, end, at, width_us)
+    best = pairs.groupBy(*id_cols).agg(*[F.max(f"_f_{name}").alias(f"_f_{name}") for name in feeds])
+    return best.select(*id_cols, *[F.col(f"_f_{name}")[c].alias(c) for name, fields in layout.items() for c in fields])
 
 
 def asof_join(
@@ -96,11 +106,7 @@ def asof_join(
     feed = right.filter(F.col(right_at).isNotNull()).select(
         *keys, F.col(right_at).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(ltype).alias("_left"), payload.alias("_right")
     )
-    # the summaries only need to know which buckets the left side uses
-    used = left.select(*keys, F.col(left_at).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(rtype).alias("_right"))
-    source = used.unionByName(feed.drop("_left"))
     filled = carry_forward(
-        stamped.unionByName(feed), keys, ["_t", "_side"], {"_hit": F.col("_right")},
-        time_bucket(F.col("_t"), bucket_seconds), source=source,
+        stamped.unionByName(feed), keys, ["_t", "_side"], {"_hit": F.col("_right")}, time_bucket(F.col("_t"), bucket_seconds)
     )
     return filled.filter(F.col("_side") == 1).select("_left.*", *[F.col("_hit")[c].alias(c) for c in [right_at, *values]])

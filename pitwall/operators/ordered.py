@@ -75,8 +75,10 @@ def carry_forward(
 ) -> DataFrame:
     """Adds, per named value, the latest non-NULL value up to and including the current row.
 
-    `source` may name a cheaper DataFrame with the same non-NULL values to build the bucket summaries from;
-    it needs the columns used by keys, order, values and bucket, and at least one row per bucket of `df`.
+    The value brought into a bucket is found in one of two ways.  With `source`, a scan that is cheap to read
+    again, one summary row per bucket is aggregated from it and joined, and `df` is shuffled once.  Without, the
+    first rows of the buckets hand the value on in a second window, and `df` is not computed twice.
+    `source` needs at least one row for every bucket of `df`.
     """
     asc = [F.col(c).asc() for c in order]
     names = list(values)
@@ -84,39 +86,64 @@ def carry_forward(
     def prepared(d: DataFrame) -> DataFrame:
         return d.select("*", bucket.alias(_B), *[v.alias(f"_v_{n}") for n, v in values.items()])
 
-    local = Window.partitionBy(*keys, _B).orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = prepared(df)
-    rows = rows.select("*", *[F.last(f"_v_{n}", ignorenulls=True).over(local).alias(f"_l_{n}") for n in names])
-
-    at = F.struct(*[F.col(c) for c in order])
-    last_of = [
-        F.max_by(F.col(f"_v_{n}"), F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(f"_s_{n}") for n in names
-    ]
-    summary = prepared(source if source is not None else df).groupBy(*keys, _B).agg(*last_of)
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *keys, _B, *[F.last(f"_s_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in names]
-    )
-    joined = rows.join(carry, [*keys, _B], "left")
+    inside = Window.partitionBy(*keys, _B)
+    so_far = inside.orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = [F.last(f"_v_{n}", ignorenulls=True).over(so_far).alias(f"_l_{n}") for n in names]
+    if source is None:
+        joined = _carried_in_place(prepared(df), local, keys, names, inside, asc)
+    else:
+        at = F.struct(*[F.col(c) for c in order])
+        last_of = [F.max_by(F.col(f"_v_{n}"), F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(f"_s_{n}") for n in names]
+        summary = prepared(source).groupBy(*keys, _B).agg(*last_of)
+        before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+        carry = summary.select(*keys, _B, *[F.last(f"_s_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in names])
+        joined = prepared(df).select("*", *local).join(carry, [*keys, _B], "left")
     return joined.select(
         *[F.col(c) for c in df.columns], *[F.coalesce(f"_l_{n}", f"_c_{n}").alias(n) for n in names]
     )
 
 
+def _first_rows(rows: DataFrame, keys: Sequence[str]):
+    """Frame over the first rows of all earlier buckets of the group; other rows stay with their bucket."""
+    marked = rows.withColumn("_first", F.col("_r") == 1).withColumn("_g", F.when(~F.col("_first"), F.col(_B)))
+    across = Window.partitionBy(*keys, "_first", "_g").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    return marked, across
+
+
+def _carried_in_place(rows: DataFrame, local, keys: Sequence[str], names: Sequence[str], inside, asc) -> DataFrame:
+    whole = inside.orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select(
+        "*", *local, F.row_number().over(inside.orderBy(*asc)).alias("_r"),
+        *[F.last(f"_v_{n}", ignorenulls=True).over(whole).alias(f"_s_{n}") for n in names],
+    )
+    marked, across = _first_rows(rows, keys)
+    handed = marked.select("*", *[F.last(f"_s_{n}", ignorenulls=True).over(across).alias(f"_h_{n}") for n in names])
+    spread = [F.first(F.when(F.col("_first"), F.struct(F.col(f"_h_{n}").alias("v"))), ignorenulls=True).over(inside)["v"].alias(f"_c_{n}") for n in names]
+    return handed.select("*", *spread)
+
+
 def split_row_number(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    bucket: Column,
-    out: str,
-    source: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column, out: str, source: DataFrame | None = None
 ) -> DataFrame:
-    """Position of each row in its group: position in the bucket plus the rows of all earlier buckets."""
-    rows = df.withColumn(_B, bucket)
-    local = Window.partitionBy(*keys, _B).orderBy(*order)
-    rows = rows.withColumn("_r", F.row_number().over(local))
-    counts = (source if source is not None else df).withColumn(_B, bucket).groupBy(*keys, _B).agg(F.count("*").alias("_k"))
-    return _shifted(df, rows, counts, keys, out)
+    """Position of each row in its group: position in the bucket plus the rows of all earlier buckets.
+
+    As in `carry_forward`, the sizes of earlier buckets come from a cheap second scan (`source`, the same rows)
+    or are handed on by the first rows of the buckets.
+    """
+    inside = Window.partitionBy(*keys, _B)
+    rows = df.withColumn(_B, bucket).select(
+        "*", F.row_number().over(inside.orderBy(*order)).alias("_r"), F.count("*").over(inside).alias("_k")
+    )
+    if source is None:
+        marked, across = _first_rows(rows, keys)
+        summed = marked.withColumn("_o", F.sum("_k").over(across))
+        shifted = summed.withColumn("_o", F.max(F.when(F.col("_first"), F.col("_o"))).over(inside))
+    else:
+        before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+        sizes = source.withColumn(_B, bucket).groupBy(*keys, _B).agg(F.count("*").alias("_n"))
+        shifted = rows.join(sizes.select(*keys, _B, F.sum("_n").over(before).alias("_o")), [*keys, _B], "left")
+    place = F.col("_r") + F.coalesce("_o", F.lit(0))
+    return shifted.select(*[F.col(c) for c in df.columns], place.cast("bigint").alias(out))
 
 
 def split_dense_rank(df: DataFrame, keys: Sequence[str], value: str, bucket: Column, out: str, descending: bool = False) -> DataFrame:
@@ -129,10 +156,3 @@ def split_dense_rank(df: DataFrame, keys: Sequence[str], value: str, bucket: Col
     for k in keys:
         cond = cond & (df[k] == renamed[f"_r_{k}"])
     return df.join(renamed, cond, "left").select(*df.columns, out)
-
-
-def _shifted(df: DataFrame, rows: DataFrame, counts: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, _B, F.sum("_k").over(before).alias("_o"))
-    joined = rows.join(offsets, [*keys, _B], "left")
-    return joined.select(*[F.col(c) for c in df.columns], (F.col("_r") + F.coalesce("_o", F.lit(0))).cast("bigint").alias(out))

@@ -11,7 +11,8 @@ from pitwall.functions import (
 from pitwall.operators.ordered import number_bucket, split_row_number
 from pitwall.operators.rows import latest, qualify_first
 from pitwall.operators.stats import min_by_first, ordered_list_text
-from pitwall.plans.laps import CAR, DRIVER_INFO, LAP, SECTORS, SESSION_INFO, _keys, _newest, _since
+from pitwall.plans.laps import CAR, DRIVER_INFO, LAP, SECTORS, SESSION_INFO, _keys, _one_per, _since
+from pitwall.plans.memo import plan
 from pitwall.settings import DEFAULTS, RACE_TYPES, Settings
 
 WHO = [*DRIVER_INFO, "team_colour_hex"]
@@ -24,20 +25,26 @@ def _text(*names: str):
 # --- staging -----------------------------------------------------------------------------------------------
 
 
-def _timed(t, feed: str, after, keys: list[str]) -> DataFrame:
+def _timed(t, feed: str, after, keys: list[str], *values) -> DataFrame:
     raw = _since(t[feed], "date", after).dropna(subset=[*keys, "date"])
-    return raw.withColumn("timestamp_utc", F.col("date")).withColumn("event_date", F.to_date("date"))
+    return raw.select(*_keys("meeting_key", *keys), F.col("date").alias("timestamp_utc"), *values)
 
 
+def _identified(df: DataFrame, name: str, *parts: str) -> DataFrame:
+    """Adds the row id over the given columns and the date, after duplicates are gone."""
+    texts = [time_text(F.col(c)) if c == "timestamp_utc" else F.col(c) for c in parts]
+    return df.select(surrogate_key(*texts).alias(name), *df.columns, F.to_date("timestamp_utc").alias("event_date"))
+
+
+@plan
 def car_data(t, after=None) -> DataFrame:
+    """The id covers all columns, so equal rows are dropped by a hash aggregate, without a sort."""
     measures = ["rpm", "speed", "throttle", "brake", "n_gear", "drs"]
-    out = _timed(t, "car_data", after, CAR).select(
-        surrogate_key(*_keys("meeting_key", *CAR), time_text(F.col("date")), *[F.col(c) for c in measures]).alias("car_data_id"),
-        *_keys("meeting_key", *CAR), "timestamp_utc", "event_date", *measures,
-    )
-    return _newest(out, "car_data_id", "timestamp_utc")
+    one = _timed(t, "car_data", after, CAR, *measures).distinct()
+    return _identified(one, "car_data_id", "meeting_key", *CAR, "timestamp_utc", *measures)
 
 
+@plan
 def drivers(t) -> DataFrame:
     out = t["drivers"].dropna(subset=CAR).select(
         surrogate_key(*_keys(*CAR)).alias("session_driver_id"), *_keys("meeting_key", *CAR),
@@ -47,16 +54,22 @@ def drivers(t) -> DataFrame:
     return qualify_first(out, CAR, [F.col("full_name").asc_nulls_last(), F.col("team_name").asc_nulls_last()])
 
 
-def intervals(t, after=None) -> DataFrame:
+def _gap_rows(t, after=None) -> DataFrame:
+    """Readings with parsed gaps, repeated readings included."""
     leader, ahead = clean_token_text(F.col("gap_to_leader")), clean_token_text(F.col("interval"))
-    out = _timed(t, "intervals", after, CAR).select(
-        surrogate_key(*_keys("meeting_key", *CAR), time_text(F.col("date"))).alias("interval_id"), *_keys("meeting_key", *CAR), "timestamp_utc", "event_date",
-        leader.alias("gap_to_leader_raw"), interval_seconds(leader).alias("gap_to_leader_seconds"),
+    return _timed(
+        t, "intervals", after, CAR, leader.alias("gap_to_leader_raw"), interval_seconds(leader).alias("gap_to_leader_seconds"),
         ahead.alias("interval_to_ahead_raw"), interval_seconds(ahead).alias("interval_to_ahead_seconds"),
     )
-    return _newest(out, "interval_id", "timestamp_utc")
 
 
+@plan
+def intervals(t, after=None) -> DataFrame:
+    keys = ["meeting_key", *CAR, "timestamp_utc"]
+    return _identified(_one_per(_gap_rows(t, after), keys), "interval_id", *keys)
+
+
+@plan
 def laps(t) -> DataFrame:
     start, length = F.col("date_start"), F.col("lap_duration")
     out = t["laps"].dropna(subset=LAP).select(
@@ -68,6 +81,7 @@ def laps(t) -> DataFrame:
     return latest(out, LAP, "lap_start_at", [F.col("lap_duration_seconds").desc_nulls_last()])
 
 
+@plan
 def meetings(t) -> DataFrame:
     out = t["meetings"].dropna(subset=["meeting_key"]).select(
         *_keys("meeting_key", "circuit_key"),
@@ -78,6 +92,7 @@ def meetings(t) -> DataFrame:
     return latest(out, ["meeting_key"], "meeting_start_at", [F.col("meeting_name")])
 
 
+@plan
 def pit(t, s: Settings = DEFAULTS) -> DataFrame:
     """The cleaned pit stops are the same as at lap grain."""
     from pitwall.plans import laps as lap_grain
@@ -85,14 +100,13 @@ def pit(t, s: Settings = DEFAULTS) -> DataFrame:
     return lap_grain.pit(t, s)
 
 
+@plan
 def position(t, after=None) -> DataFrame:
-    out = _timed(t, "position", after, CAR).select(
-        surrogate_key(*_keys("meeting_key", *CAR), time_text(F.col("date")), F.col("position")).alias("position_id"), *_keys("meeting_key", *CAR),
-        "timestamp_utc", "event_date", "position",
-    )
-    return _newest(out, "position_id", "timestamp_utc")
+    one = _timed(t, "position", after, CAR, "position").distinct()
+    return _identified(one, "position_id", "meeting_key", *CAR, "timestamp_utc", "position")
 
 
+@plan
 def sessions(t) -> DataFrame:
     out = t["sessions"].dropna(subset=["session_key"]).select(
         *_keys("session_key", "meeting_key", "circuit_key"),
@@ -102,6 +116,7 @@ def sessions(t) -> DataFrame:
     return latest(out, ["session_key"], "session_start_at", [F.col("session_name")])
 
 
+@plan
 def stints(t) -> DataFrame:
     out = t["stints"].dropna(subset=[*CAR, "stint_number"]).select(
         surrogate_key(*_keys(*CAR), F.col("stint_number")).alias("stint_id"), *_keys("meeting_key", *CAR), "stint_number", "lap_start", "lap_end",
@@ -111,17 +126,17 @@ def stints(t) -> DataFrame:
     return latest(out, [*CAR, "stint_number"], "lap_end", [F.col("lap_start")])
 
 
+@plan
 def weather(t, after=None) -> DataFrame:
-    out = _timed(t, "weather", after, ["session_key"]).select(
-        surrogate_key(*_keys("meeting_key", "session_key"), time_text(F.col("date"))).alias("weather_id"), *_keys("meeting_key", "session_key"),
-        "timestamp_utc", "event_date", "air_temperature", "track_temperature", "pressure", "humidity", "rainfall", "wind_speed", "wind_direction",
-    )
-    return _newest(out, "weather_id", "timestamp_utc")
+    keys = ["meeting_key", "session_key", "timestamp_utc"]
+    measures = ["air_temperature", "track_temperature", "pressure", "humidity", "rainfall", "wind_speed", "wind_direction"]
+    return _identified(_one_per(_timed(t, "weather", after, ["session_key"], *measures), keys), "weather_id", *keys)
 
 
 # --- intermediate ------------------------------------------------------------------------------------------
 
 
+@plan
 def lap_rollup(t) -> DataFrame:
     sec = F.col("lap_duration_seconds")
     speeds = F.greatest(*[or_zero(F.col(c)) for c in ("i1_speed", "i2_speed", "speed_trap")])
@@ -131,16 +146,21 @@ def lap_rollup(t) -> DataFrame:
     )
 
 
+@plan
 def latest_gaps(t) -> DataFrame:
-    out = latest(intervals(t), CAR, "timestamp_utc", [F.col("interval_id")])
-    return out.drop("interval_id", "event_date").withColumnRenamed("timestamp_utc", "latest_interval_at")
+    """Duplicates need not be removed first: of equal times the same row wins either way."""
+    out = _gap_rows(t)
+    rest = [F.col(c).desc_nulls_last() for c in out.columns if c not in (*CAR, "timestamp_utc")]
+    return latest(out, CAR, "timestamp_utc", rest).withColumnRenamed("timestamp_utc", "latest_interval_at")
 
 
+@plan
 def latest_positions(t) -> DataFrame:
-    out = latest(position(t), CAR, "timestamp_utc", [F.col("position")])
+    out = latest(_timed(t, "position", None, CAR, "position"), CAR, "timestamp_utc", [F.col("position")])
     return out.select("meeting_key", *CAR, F.col("position").alias("final_position"), F.col("timestamp_utc").alias("final_position_at"))
 
 
+@plan
 def pit_rollup(t, s: Settings = DEFAULTS) -> DataFrame:
     stops, keys = pit(t, s), ["meeting_key", *CAR]
     stop = F.when(F.col("is_valid_stationary_stop_duration"), F.col("pit_stop_duration_seconds"))
@@ -155,6 +175,7 @@ def pit_rollup(t, s: Settings = DEFAULTS) -> DataFrame:
     return out.join(ordered_list_text(stops, keys, "lap_number", "pit_laps"), keys, "left")
 
 
+@plan
 def stint_rollup(t) -> DataFrame:
     st, keys = stints(t), ["meeting_key", *CAR]
     out = st.groupBy(*keys).agg(
@@ -166,6 +187,7 @@ def stint_rollup(t) -> DataFrame:
 # --- marts -------------------------------------------------------------------------------------------------
 
 
+@plan
 def dim_sessions(t) -> DataFrame:
     meet = meetings(t).select(
         F.col("meeting_key"), F.col("country_name").alias("_country"), F.col("circuit_short_name").alias("_circuit"), "meeting_name", "meeting_official_name"
@@ -178,12 +200,14 @@ def dim_sessions(t) -> DataFrame:
     )
 
 
+@plan
 def dim_drivers(t) -> DataFrame:
     ses = dim_sessions(t).select("session_key", "season_year", "session_type", "session_display_name")
     d = drivers(t)
     return d.join(ses, "session_key", "left").select(*d.columns, "season_year", "session_type", "session_display_name")
 
 
+@plan
 def dim_meetings(t) -> DataFrame:
     return meetings(t).drop("gmt_offset")
 
@@ -209,10 +233,12 @@ def telemetry_minutes_of(df: DataFrame) -> DataFrame:
     )
 
 
+@plan
 def telemetry_minutes(t, after=None) -> DataFrame:
     return with_names(t, telemetry_minutes_of(car_data(t, after)))
 
 
+@plan
 def driver_session_summary(t, s: Settings = DEFAULTS) -> DataFrame:
     """Eight-way star on (session, driver); every branch is aggregated to that grain before it is joined."""
     tele = telemetry_minutes_of(car_data(t)).groupBy(*CAR).agg(
@@ -232,6 +258,7 @@ def driver_session_summary(t, s: Settings = DEFAULTS) -> DataFrame:
     return out.select(*own, *[or_zero(F.col(c)).alias(c) for c in counts], F.greatest("max_lap_speed", "_top").alias("max_speed"))
 
 
+@plan
 def laps_fact(t, after=None) -> DataFrame:
     base = laps(t).dropna(subset=["lap_start_at"])
     base = _since(base, "lap_start_at", after).drop("segments_sector_1", "segments_sector_2", "segments_sector_3")
@@ -250,10 +277,12 @@ def position_minutes_of(df: DataFrame) -> DataFrame:
     )
 
 
+@plan
 def position_minutes(t, after=None) -> DataFrame:
     return with_names(t, position_minutes_of(position(t, after)))
 
 
+@plan
 def race_leaderboard(t, s: Settings = DEFAULTS) -> DataFrame:
     """Drivers of race sessions ranked by position, then gap, then best lap.
 
@@ -263,14 +292,14 @@ def race_leaderboard(t, s: Settings = DEFAULTS) -> DataFrame:
     summary = driver_session_summary(t, s).filter(F.col("session_type").isin(*RACE_TYPES))
     order = [F.col(c).asc_nulls_last() for c in ("final_position", "gap_to_leader_seconds", "best_lap_seconds", "driver_number")]
     block = F.coalesce(F.col("final_position").cast("bigint"), F.lit(2**31))
-    field = drivers(t).select(*CAR).join(latest_positions(t).select(*CAR, "final_position"), CAR, "left")
-    ranked = split_row_number(summary, ["session_key"], order, block, "leaderboard_rank", source=field)
+    ranked = split_row_number(summary, ["session_key"], order, block, "leaderboard_rank")
     return ranked.drop("final_position_at").select(
         surrogate_key(*[F.col(c) for c in CAR]).alias("leaderboard_id"), *[c for c in ranked.columns if c != "final_position_at"],
         F.col("final_position").isNotNull().alias("has_final_position"),
     )
 
 
+@plan
 def stint_performance(t) -> DataFrame:
     st = stints(t)
     numbers = F.when(F.col("lap_start") <= F.col("lap_end"), F.sequence("lap_start", "lap_end"))
@@ -297,10 +326,12 @@ def weather_slices_of(df: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+@plan
 def weather_slices(t, after=None, s: Settings = DEFAULTS) -> DataFrame:
     return with_names(t, weather_slices_of(weather(t, after), s), drivers_too=False)
 
 
+@plan
 def session_summary(t, s: Settings = DEFAULTS) -> DataFrame:
     cars = driver_session_summary(t, s).groupBy("session_key").agg(
         F.count_distinct("driver_number").alias("driver_count"), F.sum("lap_count").alias("total_laps"), F.min("best_lap_seconds").alias("fastest_lap_seconds"),

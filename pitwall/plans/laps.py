@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pitwall.functions import (
     bool_int, category, clean_text, drs_active, drs_detected, full_name, gap_seconds, guarded_stint_length, hex_colour_stripped,
@@ -11,8 +11,9 @@ from pitwall.functions import (
 from pitwall.operators.intervals import asof_join, last_in_interval, mean_spacing, range_join
 from pitwall.operators.ordered import neighbours, number_bucket
 from pitwall.operators.reshape import sectors_long
-from pitwall.operators.rows import latest, null_safe_join, qualify_first, with_group_values
-from pitwall.operators.stats import group_extreme, safe_corr, with_median
+from pitwall.operators.rows import latest, qualify_first
+from pitwall.operators.stats import safe_corr
+from pitwall.plans.memo import plan
 from pitwall.settings import DEFAULTS, QUALIFYING_TYPES, RACE_TYPES, Settings
 
 CAR = ["session_key", "driver_number"]
@@ -26,10 +27,13 @@ def _keys(*names: str):
     return [F.col(n).cast("bigint").alias(n) for n in names]
 
 
-def _newest(df: DataFrame, id_col: str, at: str) -> DataFrame:
-    """One row per key; the key holds the time, so duplicates only differ in measures, which break ties."""
-    rest = [F.col(c) for c in df.columns if c not in (id_col, at)]
-    return qualify_first(df, [id_col], [F.col(at).desc_nulls_first(), *rest])
+def _one_per(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per natural key.
+
+    The keys hold the event time, so duplicates only differ in measures; the largest wins.  Grouping by the
+    numeric keys instead of the text id keeps the shuffle narrow, and the id is computed after it, if at all.
+    """
+    return qualify_first(df, keys, [F.col(c).desc_nulls_last() for c in df.columns if c not in keys])
 
 
 def _since(df: DataFrame, at: str, after) -> DataFrame:
@@ -40,17 +44,19 @@ def _since(df: DataFrame, at: str, after) -> DataFrame:
 # --- staging -----------------------------------------------------------------------------------------------
 
 
+@plan
 def car_data(t, s: Settings = DEFAULTS, after=None) -> DataFrame:
     raw = _since(t["car_data"], "date", after).dropna(subset=[*CAR, "date"])
-    out = raw.select(
-        surrogate_key(*_keys(*CAR), time_text(F.col("date"))).alias("car_data_id"), *_keys("meeting_key", *CAR), F.col("date").alias("telemetry_at"),
-        "rpm", "speed", "throttle", "brake", "n_gear", "drs", drs_active(F.col("drs")).alias("is_drs_active"),
-        drs_detected(F.col("drs")).alias("is_drs_detected"), bool_int(F.col("brake") > 0).alias("is_braking"),
-        bool_int(F.col("throttle") >= s.full_throttle_from).alias("is_full_throttle"),
+    measures = ["rpm", "speed", "throttle", "brake", "n_gear", "drs"]
+    one = _one_per(raw.select(*_keys("meeting_key", *CAR), F.col("date").alias("telemetry_at"), *measures), [*CAR, "telemetry_at"])
+    return one.select(
+        surrogate_key(F.col("session_key"), F.col("driver_number"), time_text(F.col("telemetry_at"))).alias("car_data_id"), "meeting_key", *CAR,
+        "telemetry_at", *measures, drs_active(F.col("drs")).alias("is_drs_active"), drs_detected(F.col("drs")).alias("is_drs_detected"),
+        bool_int(F.col("brake") > 0).alias("is_braking"), bool_int(F.col("throttle") >= s.full_throttle_from).alias("is_full_throttle"),
     )
-    return _newest(out, "car_data_id", "telemetry_at")
 
 
+@plan
 def drivers(t) -> DataFrame:
     text = {c: clean_text(F.col(c)) for c in ("broadcast_name", "first_name", "last_name", "full_name", "name_acronym", "headshot_url", "team_name", "country_code")}
     out = t["drivers"].dropna(subset=CAR).select(
@@ -63,18 +69,29 @@ def drivers(t) -> DataFrame:
     return qualify_first(out, CAR, [F.col("full_name").asc_nulls_last(), F.col("team_name").asc_nulls_last()])
 
 
-def intervals(t, after=None) -> DataFrame:
+GAP_VALUES = [
+    "gap_to_leader_raw", "interval_to_ahead_raw", "gap_to_leader_seconds", "interval_to_ahead_seconds", "is_lapped_to_leader", "is_lapped_to_ahead"
+]
+
+
+def _gap_rows(t, after=None) -> DataFrame:
+    """Readings with parsed gaps, repeated readings included."""
     raw = _since(t["intervals"], "date", after).dropna(subset=[*CAR, "date"])
     leader, ahead = clean_text(F.col("gap_to_leader")), clean_text(F.col("interval"))
-    out = raw.select(
-        surrogate_key(*_keys(*CAR), time_text(F.col("date"))).alias("interval_id"), *_keys("meeting_key", *CAR), F.col("date").alias("interval_at"),
-        leader.alias("gap_to_leader_raw"), ahead.alias("interval_to_ahead_raw"), gap_seconds(leader).alias("gap_to_leader_seconds"),
-        gap_seconds(ahead).alias("interval_to_ahead_seconds"), is_lapped_gap(leader).alias("is_lapped_to_leader"),
-        is_lapped_gap(ahead).alias("is_lapped_to_ahead"),
+    return raw.select(
+        *_keys("meeting_key", *CAR), F.col("date").alias("interval_at"), leader.alias("gap_to_leader_raw"), ahead.alias("interval_to_ahead_raw"),
+        gap_seconds(leader).alias("gap_to_leader_seconds"), gap_seconds(ahead).alias("interval_to_ahead_seconds"),
+        is_lapped_gap(leader).alias("is_lapped_to_leader"), is_lapped_gap(ahead).alias("is_lapped_to_ahead"),
     )
-    return _newest(out, "interval_id", "interval_at")
 
 
+@plan
+def intervals(t, after=None) -> DataFrame:
+    one = _one_per(_gap_rows(t, after), [*CAR, "interval_at"])
+    return one.select(surrogate_key(F.col("session_key"), F.col("driver_number"), time_text(F.col("interval_at"))).alias("interval_id"), *one.columns)
+
+
+@plan
 def laps(t, s: Settings = DEFAULTS) -> DataFrame:
     """One row per lap with the start of the driver's next lap.
 
@@ -96,6 +113,7 @@ def laps(t, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+@plan
 def meetings(t) -> DataFrame:
     text = [clean_text(F.col(c)).alias(c) for c in ("meeting_name", "meeting_official_name", "country_name", "circuit_short_name", "circuit_type", "circuit_code", "location")]
     out = t["meetings"].dropna(subset=["meeting_key"]).select(
@@ -105,26 +123,29 @@ def meetings(t) -> DataFrame:
     return latest(out, ["meeting_key"], "meeting_start_at", [F.col("meeting_name")])
 
 
+@plan
 def pit(t, s: Settings = DEFAULTS) -> DataFrame:
     stop, lane = F.col("stop_duration"), F.col("lane_duration")
-    out = t["pit"].dropna(subset=[*CAR, "date"]).select(
-        surrogate_key(*_keys(*CAR), time_text(F.col("date")), F.col("lap_number")).alias("pit_stop_id"), *_keys("meeting_key", *CAR),
-        F.col("date").alias("pit_at"), F.to_date("date").alias("event_date"), "lap_number", F.col("pit_duration").alias("raw_pit_duration_seconds"),
+    raw = t["pit"].dropna(subset=[*CAR, "date"]).select(
+        *_keys("meeting_key", *CAR), F.col("date").alias("pit_at"), "lap_number", "pit_duration", "lane_duration", "stop_duration"
+    )
+    return _one_per(raw, [*CAR, "pit_at", "lap_number"]).select(
+        surrogate_key(F.col("session_key"), F.col("driver_number"), time_text(F.col("pit_at")), F.col("lap_number")).alias("pit_stop_id"), "meeting_key", *CAR,
+        "pit_at", F.to_date("pit_at").alias("event_date"), "lap_number", F.col("pit_duration").alias("raw_pit_duration_seconds"),
         lane.alias("lane_duration_seconds"), stop.alias("stop_duration_seconds"), stop.alias("pit_stop_duration_seconds"),
         stop.isNotNull().alias("has_stationary_stop_duration"), within(stop, s.stop_seconds).alias("is_valid_stationary_stop_duration"),
         within(lane, s.lane_seconds).alias("is_valid_lane_duration"),
     )
-    return _newest(out, "pit_stop_id", "pit_at")
 
 
+@plan
 def position(t, after=None) -> DataFrame:
     raw = _since(t["position"], "date", after).dropna(subset=[*CAR, "date"])
-    out = raw.select(
-        surrogate_key(*_keys(*CAR), time_text(F.col("date"))).alias("position_id"), *_keys("meeting_key", *CAR), F.col("date").alias("position_at"), "position"
-    )
-    return _newest(out, "position_id", "position_at")
+    one = _one_per(raw.select(*_keys("meeting_key", *CAR), F.col("date").alias("position_at"), "position"), [*CAR, "position_at"])
+    return one.select(surrogate_key(F.col("session_key"), F.col("driver_number"), time_text(F.col("position_at"))).alias("position_id"), *one.columns)
 
 
+@plan
 def sessions(t) -> DataFrame:
     text = {c: clean_text(F.col(c)) for c in ("country_name", "country_code", "session_name", "session_type", "circuit_short_name", "location")}
     out = t["sessions"].dropna(subset=["session_key"]).select(
@@ -135,6 +156,7 @@ def sessions(t) -> DataFrame:
     return latest(out, ["session_key"], "session_start_at", [F.col("session_name")])
 
 
+@plan
 def stints(t) -> DataFrame:
     out = t["stints"].dropna(subset=[*CAR, "stint_number"]).select(
         surrogate_key(*_keys(*CAR), F.col("stint_number")).alias("stint_id"), *_keys("meeting_key", *CAR), "stint_number", "lap_start", "lap_end",
@@ -143,19 +165,22 @@ def stints(t) -> DataFrame:
     return latest(out, [*CAR, "stint_number"], "lap_end", [F.col("lap_start")])
 
 
+@plan
 def weather(t, after=None) -> DataFrame:
     raw = _since(t["weather"], "date", after).dropna(subset=["session_key", "date"])
     out = raw.select(
-        surrogate_key(*_keys("session_key"), time_text(F.col("date"))).alias("weather_id"), *_keys("meeting_key", "session_key"), F.col("date").alias("weather_at"),
-        "air_temperature", "track_temperature", "pressure", "humidity", F.coalesce("rainfall", F.lit(False)).alias("rainfall"), "wind_speed", "wind_direction",
+        *_keys("meeting_key", "session_key"), F.col("date").alias("weather_at"), "air_temperature", "track_temperature", "pressure", "humidity",
+        F.coalesce("rainfall", F.lit(False)).alias("rainfall"), "wind_speed", "wind_direction",
         sky_band(F.col("rainfall"), F.col("humidity")).alias("weather_condition_bucket"),
     )
-    return _newest(out, "weather_id", "weather_at")
+    one = _one_per(out, ["session_key", "weather_at"])
+    return one.select(surrogate_key(F.col("session_key"), time_text(F.col("weather_at"))).alias("weather_id"), *one.columns)
 
 
 # --- intermediate ------------------------------------------------------------------------------------------
 
 
+@plan
 def lap_hub(t, s: Settings = DEFAULTS) -> DataFrame:
     """Laps with their time window, session and driver; an open lap ends after a fixed time."""
     ses = sessions(t).select("session_key", *SESSION_INFO, "session_start_at", "session_end_at")
@@ -165,6 +190,7 @@ def lap_hub(t, s: Settings = DEFAULTS) -> DataFrame:
     return lap.withColumn("lap_end_at", F.coalesce("next_lap_start_at", open_end)).join(ses, "session_key", "left").join(who, CAR, "left")
 
 
+@plan
 def _windows(t, s: Settings) -> DataFrame:
     """The hub without session and driver, for the lap-context models that do not need them."""
     open_end = F.timestamp_add("MINUTE", F.lit(s.open_lap_minutes), F.col("lap_start_at"))
@@ -173,34 +199,39 @@ def _windows(t, s: Settings) -> DataFrame:
     )
 
 
-def _last_event(t, s: Settings, points: DataFrame, at: str, values: list[str]) -> DataFrame:
-    lap = _windows(t, s).select(*LAP, "lap_start_at", "lap_end_at")
-    return last_in_interval(lap, points, CAR, LAP, "lap_start_at", "lap_end_at", at, values, mean_spacing(t["laps"], CAR, "date_start"))
+def _spacing(t):
+    """Mean lap length, the bin width of the interval joins."""
+    return mean_spacing(t["laps"], CAR, "date_start")
 
 
-def _lap_bucket(s: Settings):
-    return number_bucket(F.col("lap_number"), s.lap_bucket)
+@plan
+def _last_events(t, s: Settings, *feeds: str) -> DataFrame:
+    """Per lap the latest position and gap reading inside it, for the named feeds, from one interval join."""
+    rows = {"gap": lambda: _gap_rows(t).select(*CAR, "interval_at", *GAP_VALUES), "position": lambda: _position_rows(t)}
+    lap = _windows(t, s).select(*LAP, "lap_start_at", "lap_end_at")
+    return last_in_interval(lap, {f: rows[f]() for f in feeds}, CAR, LAP, "lap_start_at", "lap_end_at", _spacing(t))
 
 
-GAP_VALUES = [
-    "gap_to_leader_raw", "interval_to_ahead_raw", "gap_to_leader_seconds", "interval_to_ahead_seconds", "is_lapped_to_leader", "is_lapped_to_ahead"
-]
-PIT_VALUES = ["pit_stop_id", "pit_at", "pit_stop_duration_seconds", "lane_duration_seconds", "raw_pit_duration_seconds"]
+def _position_rows(t) -> DataFrame:
+    return t["position"].dropna(subset=[*CAR, "date"]).select(*_keys(*CAR), F.col("date").alias("position_at"), "position")
 
 
-def _with_gap(t, s: Settings, lap: DataFrame) -> DataFrame:
-    return lap.join(_last_event(t, s, intervals(t), "interval_at", GAP_VALUES), LAP, "left")
+def _lap_bucket(s: Settings):
+    return number_bucket(F.col("lap_number"), s.lap_bucket)
 
 
-def _with_position(t, s: Settings, lap: DataFrame) -> DataFrame:
-    return lap.join(_last_event(t, s, position(t), "position_at", ["position"]), LAP, "left")
 
 
 def _with_pit(t, s: Settings, lap: DataFrame) -> DataFrame:
     """A lap gets its latest pit event; several events on one lap would otherwise repeat the lap."""
-    stops = pit(t, s).filter(F.col("lap_number").isNotNull())
-    stops = stops.groupBy(*LAP).agg(F.max_by(F.struct(*PIT_VALUES), F.struct("pit_at", "pit_stop_id")).alias("_p"))
-    return lap.join(stops.select(*LAP, "_p.*"), LAP, "left").withColumn("is_pit_in_lap", F.col("pit_stop_id").isNotNull())
+    times = ["pit_at", "pit_duration", "lane_duration", "stop_duration"]
+    stops = t["pit"].dropna(subset=[*LAP, "date"]).select(*_keys(*CAR), "lap_number", F.col("date").alias("pit_at"), *times[1:])
+    last = stops.groupBy(*LAP).agg(F.max(F.struct(*times)).alias("_p")).select(*LAP, "_p.*")
+    pit_id = surrogate_key(F.col("session_key"), F.col("driver_number"), time_text(F.col("pit_at")), F.col("lap_number"))
+    return lap.join(last, LAP, "left").select(
+        *lap.columns, F.when(F.col("pit_at").isNotNull(), pit_id).alias("pit_stop_id"), "pit_at", F.col("stop_duration").alias("pit_stop_duration_seconds"),
+        F.col("lane_duration").alias("lane_duration_seconds"), F.col("pit_duration").alias("raw_pit_duration_seconds"), F.col("pit_at").isNotNull().alias("is_pit_in_lap"),
+    )
 
 
 def _gap_delta():
@@ -211,12 +242,14 @@ def _position_delta():
     return (F.col("previous_lap_position") - F.col("position")).alias("position_delta")
 
 
+@plan
 def lap_gaps(t, s: Settings = DEFAULTS) -> DataFrame:
-    out = _with_gap(t, s, _windows(t, s).drop("lap_duration_seconds", "is_pit_out_lap"))
+    out = _windows(t, s).drop("lap_duration_seconds", "is_pit_out_lap").join(_last_events(t, s, "gap"), LAP, "left")
     out = neighbours(out, CAR, ["lap_number"], _lap_bucket(s), prev={"previous_lap_gap_to_leader_seconds": F.col("gap_to_leader_seconds")})
     return out.select("*", _gap_delta())
 
 
+@plan
 def lap_pits(t, s: Settings = DEFAULTS) -> DataFrame:
     out = _with_pit(t, s, _windows(t, s).drop("lap_end_at")).withColumn("pit_lap_number", F.when(F.col("is_pit_in_lap"), F.col("lap_number")))
     return neighbours(
@@ -225,12 +258,14 @@ def lap_pits(t, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+@plan
 def lap_positions(t, s: Settings = DEFAULTS) -> DataFrame:
-    out = _with_position(t, s, _windows(t, s).drop("lap_duration_seconds", "is_pit_out_lap"))
+    out = _windows(t, s).drop("lap_duration_seconds", "is_pit_out_lap").join(_last_events(t, s, "position"), LAP, "left")
     out = neighbours(out, CAR, ["lap_number"], _lap_bucket(s), prev={"previous_lap_position": F.col("position")})
     return out.select("*", _position_delta())
 
 
+@plan
 def lap_stints(t, s: Settings = DEFAULTS) -> DataFrame:
     """Stint of every lap; of overlapping stints the highest number wins."""
     st = stints(t).select(
@@ -250,6 +285,7 @@ def lap_stints(t, s: Settings = DEFAULTS) -> DataFrame:
 TELEMETRY_VALUES = ["speed", "throttle", "rpm", "n_gear", "is_braking", "is_full_throttle", "is_drs_active", "is_drs_detected"]
 
 
+@plan
 def lap_telemetry(t, s: Settings = DEFAULTS) -> DataFrame:
     """Telemetry aggregated per lap; laps without samples are kept.
 
@@ -258,7 +294,7 @@ def lap_telemetry(t, s: Settings = DEFAULTS) -> DataFrame:
     lap = _windows(t, s).drop("lap_duration_seconds", "is_pit_out_lap")
     pairs = range_join(
         lap.select(*LAP, "lap_start_at", "lap_end_at"), car_data(t, s).select(*CAR, "telemetry_at", *TELEMETRY_VALUES), CAR,
-        "lap_start_at", "lap_end_at", "telemetry_at", mean_spacing(t["laps"], CAR, "date_start"),
+        "lap_start_at", "lap_end_at", "telemetry_at", _spacing(t),
     )
     flags = {"brake": "is_braking", "full_throttle": "is_full_throttle", "drs_active": "is_drs_active", "drs_detected": "is_drs_detected"}
     agg = pairs.groupBy(*LAP).agg(
@@ -277,6 +313,7 @@ def lap_telemetry(t, s: Settings = DEFAULTS) -> DataFrame:
 WEATHER_VALUES = ["air_temperature", "track_temperature", "pressure", "humidity", "rainfall", "wind_speed", "wind_direction", "weather_condition_bucket"]
 
 
+@plan
 def lap_weather(t, s: Settings = DEFAULTS) -> DataFrame:
     """Latest weather reading of the session at the end of each lap."""
     lap = _windows(t, s).select("lap_id", "meeting_key", *LAP, "lap_end_at")
@@ -289,10 +326,12 @@ def lap_weather(t, s: Settings = DEFAULTS) -> DataFrame:
 LAP_HEAD = ["lap_id", "meeting_key", *CAR, *SESSION_INFO, *DRIVER_INFO]
 
 
+@plan
 def _race_hub(t, s: Settings) -> DataFrame:
     return lap_hub(t, s).filter(F.col("session_type").isin(*RACE_TYPES))
 
 
+@plan
 def lap_gap_evolution(t, s: Settings = DEFAULTS) -> DataFrame:
     """Race laps with position, gap and pit context.
 
@@ -300,7 +339,7 @@ def lap_gap_evolution(t, s: Settings = DEFAULTS) -> DataFrame:
     source joins three finished models by lap id.  All laps of a session stay or go together, so filtering
     race sessions before the scan does not change any neighbour.
     """
-    out = _with_pit(t, s, _with_gap(t, s, _with_position(t, s, _race_hub(t, s))))
+    out = _with_pit(t, s, _race_hub(t, s).join(_last_events(t, s, "position", "gap"), LAP, "left"))
     out = neighbours(
         out, CAR, ["lap_number"], _lap_bucket(s),
         prev={"previous_lap_position": F.col("position"), "previous_lap_gap_to_leader_seconds": F.col("gap_to_leader_seconds")},
@@ -312,6 +351,7 @@ def lap_gap_evolution(t, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+@plan
 def pit_out_impact(t, s: Settings = DEFAULTS) -> DataFrame:
     """In and out laps against the clean averages of the driver and of the field.
 
@@ -333,6 +373,7 @@ def pit_out_impact(t, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+@plan
 def sector_pace(t, s: Settings = DEFAULTS) -> DataFrame:
     """Race sector times of a driver against the qualifying times of the same meeting and sector."""
     ids = ["meeting_key", "season_year", "country_name", "circuit_short_name", "driver_number", *DRIVER_INFO]
@@ -355,6 +396,7 @@ def sector_pace(t, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+@plan
 def sector_position_impact(t, s: Settings = DEFAULTS) -> DataFrame:
     """Valid race laps against the field average of the same lap number."""
     out = lap_gap_evolution(t, s).filter(F.col("is_valid_lap_time"))
@@ -370,6 +412,7 @@ def sector_position_impact(t, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+@plan
 def telemetry_laps(t, s: Settings = DEFAULTS) -> DataFrame:
     measured = lap_telemetry(t, s).filter(F.col("telemetry_sample_count") >= s.min_telemetry_samples)
     info = lap_hub(t, s).select(*LAP, *SESSION_INFO, *DRIVER_INFO, "team_colour_hex", "lap_duration_seconds", "is_pit_out_lap")
@@ -380,6 +423,7 @@ def telemetry_laps(t, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+@plan
 def telemetry_sessions(t, s: Settings = DEFAULTS) -> DataFrame:
     ids = ["meeting_key", *CAR, *SESSION_INFO, *DRIVER_INFO]
     means = {
@@ -393,6 +437,7 @@ def telemetry_sessions(t, s: Settings = DEFAULTS) -> DataFrame:
     return out.select(surrogate_key(*[F.col(c) for c in CAR]).alias("telemetry_driver_session_id"), *out.columns)
 
 
+@plan
 def tyre_weather_laps(t, s: Settings = DEFAULTS) -> DataFrame:
     tyre = ["stint_id", "stint_number", "stint_lap_start", "stint_lap_end", "stint_lap_count", "compound", "tyre_age_at_start", "tyre_age_lap"]
     sky = ["weather_at", *WEATHER_VALUES]
@@ -406,28 +451,35 @@ def tyre_weather_laps(t, s: Settings = DEFAULTS) -> DataFrame:
 CURVE = ["season_year", "circuit_short_name", "compound"]
 
 
+@plan
 def _clean_tyre_laps(t, s: Settings) -> DataFrame:
     return tyre_weather_laps(t, s).filter(F.col("is_valid_lap_time") & ~F.col("is_pit_out_lap") & F.col("compound").isNotNull())
 
 
+@plan
 def tyre_degradation(t, s: Settings = DEFAULTS) -> DataFrame:
-    """Lap time by tyre age; the best age is taken before ages with few laps are dropped."""
+    """Lap time by tyre age; the best age is taken before ages with few laps are dropped.
+
+    Valid laps last 40 to 300 s and are timed to the millisecond, so the exact `median`, which counts equal
+    values per group on the map side, never holds more than 260,001 entries however many laps a group has.
+    The baseline is a window over the aggregated curve, one row per tyre age.
+    """
     valid = _clean_tyre_laps(t, s).filter(F.col("tyre_age_lap").isNotNull())
     keys, lap = [*CURVE, "tyre_age_lap"], F.col("lap_duration_seconds")
     curve = valid.groupBy(*keys).agg(
         F.count("*").alias("sample_laps"), F.count_distinct("driver_number").alias("sample_drivers"), F.count_distinct("session_key").alias("sample_sessions"),
         F.avg(lap).alias("avg_lap_seconds"), F.min(lap).alias("best_lap_seconds"), F.avg("track_temperature").alias("avg_track_temperature"),
-        F.avg("humidity").alias("avg_humidity"), F.max(bool_int(F.col("rainfall"))).alias("has_rainfall"),
+        F.avg("humidity").alias("avg_humidity"), F.max(bool_int(F.col("rainfall"))).alias("has_rainfall"), F.median(lap).alias("median_lap_seconds"),
     )
-    curve = group_extreme(curve, CURVE, F.min("avg_lap_seconds"), "best_avg_lap_seconds_for_compound")
-    curve = curve.filter(F.col("sample_laps") >= s.min_tyre_laps)
-    curve = with_median(curve, valid, keys, "lap_duration_seconds", "median_lap_seconds", 1.0)
+    best = F.min("avg_lap_seconds").over(Window.partitionBy(*CURVE))
+    curve = curve.withColumn("best_avg_lap_seconds_for_compound", best).filter(F.col("sample_laps") >= s.min_tyre_laps)
     return curve.select(
         surrogate_key(*[F.col(c) for c in keys]).alias("tyre_degradation_id"), *curve.columns,
         (F.col("avg_lap_seconds") - F.col("best_avg_lap_seconds_for_compound")).alias("degradation_vs_best_age_seconds"),
     )
 
 
+@plan
 def optimal_tyre_life(t, s: Settings = DEFAULTS) -> DataFrame:
     best = qualify_first(tyre_degradation(t, s), CURVE, [F.col("avg_lap_seconds").asc(), F.col("sample_laps").desc(), F.col("tyre_age_lap").asc()])
     renamed = {"tyre_age_lap": "optimal_tyre_age_lap"} | {f"{n}_lap_seconds": f"optimal_age_{n}_lap_seconds" for n in ("avg", "best", "median")}
@@ -437,6 +489,7 @@ def optimal_tyre_life(t, s: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+@plan
 def team_tyre_strategy(t, s: Settings = DEFAULTS) -> DataFrame:
     """Race stints with the clean pace and the weather of their laps."""
     st = stints(t)
@@ -456,6 +509,7 @@ def team_tyre_strategy(t, s: Settings = DEFAULTS) -> DataFrame:
     return out.select(surrogate_key(F.col("session_key"), F.col("driver_number"), F.col("stint_number")).alias("team_tyre_strategy_id"), *out.columns)
 
 
+@plan
 def tyre_weather_impact(t, s: Settings = DEFAULTS) -> DataFrame:
     keys = [*CURVE, "track_temp_bucket", "humidity_bucket", "weather_condition_bucket"]
     valid, lap = _clean_tyre_laps(t, s), F.col("lap_duration_seconds")
@@ -464,7 +518,6 @@ def tyre_weather_impact(t, s: Settings = DEFAULTS) -> DataFrame:
         F.avg(lap).alias("avg_lap_seconds"), F.min(lap).alias("best_lap_seconds"),
         *[F.avg(c).alias(f"avg_{c}") for c in ("track_temperature", "air_temperature", "humidity", "tyre_age_lap")],
         F.max(bool_int(F.col("rainfall"))).alias("has_rainfall"), safe_corr(F.col("humidity"), lap).alias("corr_humidity_lap_seconds"),
-        safe_corr(F.col("track_temperature"), lap).alias("corr_track_temp_lap_seconds"),
+        safe_corr(F.col("track_temperature"), lap).alias("corr_track_temp_lap_seconds"), F.median(lap).alias("median_lap_seconds"),
     )
-    out = with_median(out, valid, keys, "lap_duration_seconds", "median_lap_seconds", 1.0)
     return out.select(surrogate_key(*[F.col(c) for c in keys]).alias("tyre_weather_impact_id"), *out.columns)

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from pitwall.functions import add_seconds, numeric_gap, points_for, seconds_between, stint_length, strict_concat_ws, trunc_to, utc
 from pitwall.operators.intervals import mean_spacing, range_join
 from pitwall.operators.ordered import carry_forward, number_bucket, split_dense_rank, split_row_number
-from pitwall.operators.rows import earliest, latest, qualify_first
+from pitwall.operators.rows import earliest, qualify_first
+from pitwall.plans.memo import plan
 from pitwall.settings import DEFAULTS, Settings
 
 CAR = ["session_key", "driver_number"]
@@ -17,6 +18,7 @@ LAP = [*CAR, "lap_number"]
 # --- staging -----------------------------------------------------------------------------------------------
 
 
+@plan
 def car_data(t) -> DataFrame:
     return t["car_data"].select(
         "session_key", F.col("driver_number").cast("string").alias("driver_number"), utc(F.col("date")).alias("timestamp"),
@@ -24,10 +26,12 @@ def car_data(t) -> DataFrame:
     )
 
 
+@plan
 def drivers(t) -> DataFrame:
     return t["drivers"].drop("meeting_key", "headshot_url").distinct()
 
 
+@plan
 def intervals(t) -> DataFrame:
     none = F.lit("None")
     return t["intervals"].select(
@@ -35,6 +39,7 @@ def intervals(t) -> DataFrame:
     )
 
 
+@plan
 def laps(t) -> DataFrame:
     start = trunc_to("second", F.col("date_start"))
     return t["laps"].select(
@@ -43,29 +48,35 @@ def laps(t) -> DataFrame:
     )
 
 
+@plan
 def meetings(t) -> DataFrame:
     return t["meetings"].select(
         "meeting_key", "meeting_name", "meeting_official_name", "country_name", "circuit_short_name", "year", "date_start"
     )
 
 
+@plan
 def pit(t) -> DataFrame:
     return t["pit"]
 
 
+@plan
 def position(t) -> DataFrame:
     return t["position"].select(*CAR, "position", "date")
 
 
+@plan
 def sessions(t) -> DataFrame:
     return t["sessions"].drop("circuit_key", "country_code", "gmt_offset", "is_cancelled", "location")
 
 
+@plan
 def stints(t, bounded: bool = False) -> DataFrame:
     """Pass-through; `bounded` drops stints without lap bounds, as the copy of this project does."""
     return t["stints"].dropna(subset=["lap_start", "lap_end"]) if bounded else t["stints"]
 
 
+@plan
 def weather(t) -> DataFrame:
     return t["weather"]
 
@@ -73,10 +84,12 @@ def weather(t) -> DataFrame:
 # --- intermediate ------------------------------------------------------------------------------------------
 
 
+@plan
 def best_laps(t) -> DataFrame:
     return laps(t).filter(F.col("lap_duration") > 0).groupBy(*CAR).agg(F.min("lap_duration").alias("best_lap_time"))
 
 
+@plan
 def telemetry_with_driver(t) -> DataFrame:
     who = drivers(t).select(F.col("driver_number").alias("_driver"), "session_key", "name_acronym", "team_name", "team_colour")
     ts = car_data(t).withColumn("_driver", F.col("driver_number").cast("int").cast("bigint"))
@@ -85,18 +98,21 @@ def telemetry_with_driver(t) -> DataFrame:
     )
 
 
+@plan
 def final_gaps(t) -> DataFrame:
     """Largest numeric gap of the session; lapped gaps do not count."""
     gaps = [F.max(numeric_gap(F.col(c))).alias(c) for c in ("gap_to_leader", "gap_to_next")]
     return intervals(t).groupBy(*CAR).agg(*gaps)
 
 
+@plan
 def final_positions(t) -> DataFrame:
     # NULL times sort first, as in the source dialect
     best = qualify_first(position(t), CAR, [F.col("date").desc_nulls_first(), F.col("position")])
     return best.select(*CAR, "position", F.col("date").alias("latest_date"))
 
 
+@plan
 def _positions_in_laps(t) -> DataFrame:
     lap = laps(t).select(*LAP, "date_start", "date_end")
     width = mean_spacing(t["laps"], CAR, "date_start")
@@ -108,6 +124,7 @@ def _positions_in_laps(t) -> DataFrame:
     )
 
 
+@plan
 def lap_positions(t) -> DataFrame:
     """Positions reported during a lap, ranked by closeness to its start and to its end."""
     out = _positions_in_laps(t)
@@ -117,10 +134,12 @@ def lap_positions(t) -> DataFrame:
     return out
 
 
+@plan
 def pit_stops(t) -> DataFrame:
     return pit(t).groupBy(*CAR).agg(F.count("*").alias("pit_stop_count"))
 
 
+@plan
 def race_stints(t) -> DataFrame:
     team = drivers(t).select(*CAR, "team_name")
     ses = sessions(t).select("session_key", "circuit_short_name", "country_name", "session_type")
@@ -129,6 +148,7 @@ def race_stints(t) -> DataFrame:
     return joined.withColumn("stint_length", stint_length(F.col("lap_start"), F.col("lap_end")))
 
 
+@plan
 def stint_laps(t) -> DataFrame:
     """Stints with the start times of their first and last lap.
 
@@ -146,6 +166,7 @@ def stint_laps(t) -> DataFrame:
     )
 
 
+@plan
 def stint_weather(t) -> DataFrame:
     """Mean conditions of each stint: weather rows are matched by session and time bin, then aggregated."""
     ids = [*CAR, "stint_number", "compound", "lap_start", "lap_end", "stint_length"]
@@ -168,12 +189,14 @@ def stint_weather(t) -> DataFrame:
 # --- marts -------------------------------------------------------------------------------------------------
 
 
+@plan
 def session_names(t) -> DataFrame:
     return sessions(t).select(
         strict_concat_ws(" - ", F.col("year"), F.col("country_name"), F.col("session_name")).alias("session_display_name"), "session_key"
     ).distinct()
 
 
+@plan
 def car_telemetry(t) -> DataFrame:
     meet = meetings(t).select("meeting_key")
     ses = sessions(t).select("session_key", F.col("meeting_key").alias("_m"))
@@ -185,6 +208,7 @@ def car_telemetry(t) -> DataFrame:
     )
 
 
+@plan
 def race_history(t, s: Settings = DEFAULTS) -> DataFrame:
     """Laps with gap ranges and with start and end positions, filled from earlier laps.
 
@@ -213,11 +237,9 @@ def race_history(t, s: Settings = DEFAULTS) -> DataFrame:
     )
 
     out = lap.join(first, CAR, "left").join(gaps, window, "left").join(near, LAP, "left")
-    # lap 1 is always part of the summaries, so the per-bucket source covers the laps' buckets
-    marks = lap.select(*LAP).join(near, LAP, "left")
     filled = carry_forward(
         out, CAR, ["lap_number"], {"_s": F.col("start_position"), "_e": F.col("end_position")},
-        number_bucket(F.col("lap_number"), s.lap_bucket), source=marks,
+        number_bucket(F.col("lap_number"), s.lap_bucket),
     )
 
     def fill(c: str):
@@ -226,6 +248,7 @@ def race_history(t, s: Settings = DEFAULTS) -> DataFrame:
     return filled.select(*out.columns, fill("_s").alias("filled_start_position"), fill("_e").alias("filled_end_position"))
 
 
+@plan
 def leaderboard(t) -> DataFrame:
     rank = split_dense_rank(final_positions(t), ["session_key"], "position", number_bucket(F.col("position"), 1024), "rank")
     who = drivers(t).select(*CAR, "broadcast_name", "team_name", "team_colour")
@@ -240,6 +263,7 @@ def leaderboard(t) -> DataFrame:
     ).orderBy("rank")
 
 
+@plan
 def race_summary(t, s: Settings = DEFAULTS) -> DataFrame:
     """Totals per session.
 
@@ -269,10 +293,12 @@ def _driver_label():
     return F.concat("name_acronym", F.lit(" - "), "full_name", F.lit(" ("), "team_name", F.lit(")")).alias("driver_display_name")
 
 
+@plan
 def session_drivers(t) -> DataFrame:
     return drivers(t).join(sessions(t).select("session_key"), "session_key").select("session_key", _driver_label(), "driver_number").distinct()
 
 
+@plan
 def session_filters(t) -> DataFrame:
     """Sessions with the names of their drivers; a country with several meetings in a year repeats its sessions."""
     names = drivers(t).select("session_key", _driver_label()).distinct()
@@ -286,6 +312,7 @@ def session_filters(t) -> DataFrame:
     ).distinct()
 
 
+@plan
 def tyre_compounds(t) -> DataFrame:
     """Per circuit and compound: unweighted means over driver means."""
     per_driver = race_stints(t).groupBy("circuit_short_name", "compound", "team_name", "driver_number").agg(

@@ -31,6 +31,8 @@ def local_session(cores: str = "8", app: str = "pitwall", shuffle_partitions: in
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # the wide plans here hold several hundred generated classes; the default cache of 100 would compile them anew
+        .config("spark.sql.codegen.cache.maxEntries", "4000")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pitwall.functions import trunc_to
 from pitwall.operators.ordered import DAY, split_row_number, time_bucket
 
 GAP_TEXT = {0: "+1 LAP", 1: "None", 2: "1:23.4", 3: "+2 LAPS", 4: ""}
@@ -23,10 +22,15 @@ class Feeds:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
         self._cache: dict[str, DataFrame] = {}
+        # plans built once per folder, see `plans.memo`
+        self.plans: dict = {}
 
     def table(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -89,7 +93,7 @@ class Feeds:
     def _laps(self) -> DataFrame:
         clicks = self.events("click")
         numbered = split_row_number(
-            clicks, ["session_key", "driver_number"], [F.col("ts")], time_bucket(F.col("ts"), DAY), "lap_number"
+            clicks, ["session_key", "driver_number"], [F.col("ts")], time_bucket(F.col("ts"), DAY), "lap_number", source=clicks
         )
         k, lap = F.col("k"), F.col("value") + 40
         codes = F.lit(None).cast("array<int>")
@@ -160,5 +164,12 @@ class Feeds:
         )
 
 
-def minute_of(c: str) -> Column:
-    return trunc_to("minute", F.col(c))
+_OPEN: dict[tuple[str, str], Feeds] = {}
+
+
+def feeds_for(spark: SparkSession, sf_dir: str) -> Feeds:
+    """The feeds of a folder, opened once per application; they hold lazy plans only."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _OPEN or _OPEN[key].spark is not spark:
+        _OPEN[key] = Feeds(spark, sf_dir)
+    return _OPEN[key]
