@@ -14,30 +14,40 @@ from pitwall.plans import production as p
 from pitwall.settings import Settings
 
 
-def grouped(name: str, keys: str, sql: str, table: str = "lineitem", **aggs):
+def grouped(name: str, keys: str, sql: str, aggs, table: str = "lineitem"):
     """Aggregates of one table by the given keys."""
     names = keys.split()
-    register(name, lambda t: t.table(table).groupBy(*names).agg(*[a.alias(n) for n, a in aggs.items()]), f"SELECT {', '.join(names)}, {sql} FROM {table} GROUP BY ALL")
+    register(name, lambda t: t.table(table).groupBy(*names).agg(*[a.alias(n) for n, a in aggs().items()]), f"SELECT {', '.join(names)}, {sql} FROM {table} GROUP BY ALL")
+
+
+def some_col():
+    return F.when(F.col("l_quantity") > 20, F.col("l_quantity"))
 
 
-_Q, _T, _P, _D = (F.col(c) for c in ("l_quantity", "l_tax", "l_extendedprice", "l_discount"))
-_SOME = F.when(_Q > 20, _Q)
-grouped("a01_counts", "l_suppkey", "count(*) AS n, count(CASE WHEN l_quantity > 20 THEN 1 END) AS some", n=F.count("*"), some=F.count(_SOME))
+grouped(
+    "a01_counts", "l_suppkey", "count(*) AS n, count(CASE WHEN l_quantity > 20 THEN 1 END) AS some",
+    lambda: dict(n=F.count("*"), some=F.count(some_col())),
+)
 grouped(
     "a02_basic", "l_suppkey l_returnflag", f"{r('min(l_quantity)', 'lo')}, {r('max(l_quantity)', 'hi')}, {r('avg(l_quantity)', 'mean')}, {r('sum(l_extendedprice)', 'total')}",
-    lo=F.min(_Q), hi=F.max(_Q), mean=F.avg(_Q), total=F.sum(_P),
+    lambda: dict(lo=F.min(F.col("l_quantity")), hi=F.max(F.col("l_quantity")), mean=F.avg(F.col("l_quantity")), total=F.sum(F.col("l_extendedprice"))),
 )
 grouped(
     "a03_count_distinct", "l_returnflag", "count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts, count(*) AS n",
-    suppliers=F.count_distinct("l_suppkey"), parts=F.count_distinct("l_partkey"), n=F.count("*"),
+    lambda: dict(suppliers=F.count_distinct("l_suppkey"), parts=F.count_distinct("l_partkey"), n=F.count("*")),
+)
+def open_col():
+    return F.col("l_linestatus") == "O"
+
+
+grouped(
+    "a04_conditional", "l_suppkey", f"{r('avg(l_quantity) FILTER (l_linestatus = $$O$$)', 'mean')}, {r('min(l_quantity) FILTER (l_linestatus = $$O$$)', 'lo')}, {r('max(l_quantity) FILTER (l_linestatus = $$O$$)', 'hi')}, count(*) FILTER (l_linestatus = 'O') AS n",
+    lambda: dict(mean=F.avg(F.when(open_col(), F.col("l_quantity"))), lo=F.min(F.when(open_col(), F.col("l_quantity"))), hi=F.max(F.when(open_col(), F.col("l_quantity"))), n=F.count(F.when(open_col(), 1))),
 )
-_OPEN = F.col("l_linestatus") == "O"
 grouped(
-    "a04_conditional", "l_suppkey",
-    f"{r('avg(l_quantity) FILTER (l_linestatus = $$O$$)', 'mean')}, {r('min(l_quantity) FILTER (l_linestatus = $$O$$)', 'lo')}, {r('max(l_quantity) FILTER (l_linestatus = $$O$$)', 'hi')}, count(*) FILTER (l_linestatus = 'O') AS n",
-    mean=F.avg(F.when(_OPEN, _Q)), lo=F.min(F.when(_OPEN, _Q)), hi=F.max(F.when(_OPEN, _Q)), n=F.count(F.when(_OPEN, 1)),
+    "a05_count_if", "o_orderpriority", "CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n",
+    lambda: dict(n=F.count_if(F.col("o_orderstatus") == "F")), "orders",
 )
-grouped("a05_count_if", "o_orderpriority", "CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n", "orders", n=F.count_if(F.col("o_orderstatus") == "F"))
 
 
 @query(
@@ -60,11 +70,12 @@ def _(t):
     f"SELECT l_partkey, l_returnflag, {r(corr('l_quantity', 'l_extendedprice'), 'c')}, {r(corr('l_quantity', 'CASE WHEN l_tax > 0.02 THEN l_discount END'), 'partial')} FROM lineitem GROUP BY ALL",
 )
 def _(t):
-    return t.table("lineitem").groupBy("l_partkey", "l_returnflag").agg(safe_corr(_Q, _P).alias("c"), safe_corr(_Q, F.when(_T > 0.02, _D)).alias("partial"))
+    return t.table("lineitem").groupBy("l_partkey", "l_returnflag").agg(safe_corr(F.col("l_quantity"), F.col("l_extendedprice")).alias("c"), safe_corr(F.col("l_quantity"), F.when(F.col("l_tax") > 0.02, F.col("l_discount"))).alias("partial"))
 
 
 grouped(
-    "a09_min_by", "l_suppkey", "first(l_partkey ORDER BY l_quantity, l_partkey) AS part", part=min_by_first(F.col("l_partkey"), _Q),
+    "a09_min_by", "l_suppkey", "first(l_partkey ORDER BY l_quantity, l_partkey) AS part",
+    lambda: dict(part=min_by_first(F.col("l_partkey"), F.col("l_quantity"))),
 )
 register(
     "a10_list_ordered", lambda t: ordered_list_text(t["pit"], p.CAR, "lap_number", "laps"),
@@ -84,7 +95,7 @@ register(
 )
 grouped(
     "a14_max_of_greatest", "l_suppkey", r("max(greatest(CASE WHEN l_quantity > 20 THEN l_quantity ELSE 0 END, l_tax * 300))", "top"),
-    top=F.max(F.greatest(fx.or_zero(_SOME), _T * 300)),
+    lambda: dict(top=F.max(F.greatest(fx.or_zero(some_col()), F.col("l_tax") * 300))),
 )
 
 
@@ -93,7 +104,7 @@ grouped(
     f"SELECT l_returnflag, {r('avg(mean)', 'mean_of_means')}, {r('max(hi)', 'hi')}, CAST(sum(n) AS BIGINT) AS n FROM (SELECT l_returnflag, l_suppkey, avg(l_quantity) AS mean, max(l_quantity) AS hi, count(*) AS n FROM lineitem GROUP BY ALL) GROUP BY 1",
 )
 def _(t):
-    inner = t.table("lineitem").groupBy("l_returnflag", "l_suppkey").agg(F.avg(_Q).alias("mean"), F.max(_Q).alias("hi"), F.count("*").alias("n"))
+    inner = t.table("lineitem").groupBy("l_returnflag", "l_suppkey").agg(F.avg(F.col("l_quantity")).alias("mean"), F.max(F.col("l_quantity")).alias("hi"), F.count("*").alias("n"))
     return inner.groupBy("l_returnflag").agg(F.avg("mean").alias("mean_of_means"), F.max("hi").alias("hi"), F.sum("n").alias("n"))
 
 
@@ -109,7 +120,10 @@ def _(t):
     return out.withColumn("kind", kind)
 
 
-grouped("a17_group_keys", "l_returnflag l_linestatus l_linenumber", f"{r('sum(l_quantity)', 'total')}", total=F.sum(_Q))
+grouped(
+    "a17_group_keys", "l_returnflag l_linestatus l_linenumber", f"{r('sum(l_quantity)', 'total')}",
+    lambda: dict(total=F.sum(F.col("l_quantity"))),
+)
 register(
     "a18_text_extremes", lambda t: t["intervals"].groupBy("session_key", "driver_number").agg(F.min("gap_to_leader").alias("lo"), F.max("gap_to_leader").alias("hi")),
     "SELECT session_key, driver_number, min(gap_to_leader) AS lo, max(gap_to_leader) AS hi FROM b_intervals GROUP BY ALL",

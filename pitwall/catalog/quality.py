@@ -13,10 +13,13 @@ from pitwall.plans import dashboard as x, laps as d
 from pitwall.settings import COMPOUNDS
 from pitwall.sources.scratch import scratch_path
 
-_GAPPY = F.when(F.col("c_nationkey") > 3, F.col("c_name"))
+def gappy_col():
+    return F.when(F.col("c_nationkey") > 3, F.col("c_name"))
+
+
 register(
     "q01_not_null",
-    lambda t: c.violations(t.table("customer").withColumn("name", _GAPPY), c.not_null("name", only=F.col("c_mktsegment") == "BUILDING")).select("c_custkey"),
+    lambda t: c.violations(t.table("customer").withColumn("name", gappy_col()), c.not_null("name", only=F.col("c_mktsegment") == "BUILDING")).select("c_custkey"),
     "SELECT c_custkey FROM customer WHERE c_nationkey <= 3 AND c_mktsegment = 'BUILDING'",
 )
 register(
@@ -82,9 +85,12 @@ register(
     lambda t: c.violations(t.table("lineitem").withColumn("x", F.col("l_quantity") - 10), c.non_negative("x")).select("l_orderkey", "l_linenumber", "l_partkey", "x"),
     f"SELECT l_orderkey, l_linenumber, l_partkey, {r('l_quantity - 10', 'x')} FROM lineitem WHERE l_quantity < 10",
 )
-_NOW = F.lit(datetime.datetime(2024, 1, 20)).cast("timestamp_ntz")
+def now_col():
+    return F.lit(datetime.datetime(2024, 1, 20)).cast("timestamp_ntz")
+
+
 register(
-    "q13_not_in_future", lambda t: c.violations(t.table("events"), c.not_in_future("ts", _NOW, 2)).select("event_id", "ts"),
+    "q13_not_in_future", lambda t: c.violations(t.table("events"), c.not_in_future("ts", now_col(), 2)).select("event_id", "ts"),
     "SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-20 02:00:00'",
 )
 register(

@@ -82,8 +82,11 @@ register(
 
 # --- text --------------------------------------------------------------------------------------------------
 
-_PADDED = F.when(F.col("c_nationkey") < 3, F.lit("  ")).otherwise(F.concat(F.lit(" "), "c_name", F.lit(" ")))
-register("f01_clean_text", lambda t: t.table("customer").select("c_custkey", fx.clean_text(_PADDED).alias("name")), "SELECT c_custkey, CASE WHEN c_nationkey >= 3 THEN c_name END AS name FROM customer")
+def padded_col():
+    return F.when(F.col("c_nationkey") < 3, F.lit("  ")).otherwise(F.concat(F.lit(" "), "c_name", F.lit(" ")))
+
+
+register("f01_clean_text", lambda t: t.table("customer").select("c_custkey", fx.clean_text(padded_col()).alias("name")), "SELECT c_custkey, CASE WHEN c_nationkey >= 3 THEN c_name END AS name FROM customer")
 register(
     "f02_clean_tokens", lambda t: t["intervals"].select("session_key", "driver_number", "date", fx.clean_token_text(F.col("gap_to_leader")).alias("gap")),
     f"SELECT session_key, driver_number, date, {_tok('gap_to_leader')} AS gap FROM b_intervals",
@@ -96,18 +99,24 @@ register(
     ),
     "SELECT p_partkey, '#' || upper(p_brand) AS as_is, '#' || replace(upper(p_brand), '#', '') AS stripped, 'X' || left(p_type, 2) AS prefix FROM part",
 )
-_FULL = F.when(F.col("c_nationkey") > 5, F.col("c_name"))
+def full_col():
+    return F.when(F.col("c_nationkey") > 5, F.col("c_name"))
+
+
 register(
-    "f04_name_fallback", lambda t: t.table("customer").select("c_custkey", fx.full_name(_FULL, F.col("c_mktsegment"), F.when(F.col("c_nationkey") > 2, F.lit("x"))).alias("name")),
+    "f04_name_fallback", lambda t: t.table("customer").select("c_custkey", fx.full_name(full_col(), F.col("c_mktsegment"), F.when(F.col("c_nationkey") > 2, F.lit("x"))).alias("name")),
     "SELECT c_custkey, CASE WHEN c_nationkey > 5 THEN c_name WHEN c_nationkey > 2 THEN c_mktsegment || ' x' ELSE c_mktsegment END AS name FROM customer",
 )
-_ODD = F.when(F.col("n_nationkey") % 2 == 1, F.col("n_name"))
+def odd_col():
+    return F.when(F.col("n_nationkey") % 2 == 1, F.col("n_name"))
+
+
 register(
-    "f05_concat", lambda t: t.table("nation").select("n_nationkey", F.concat(_ODD, F.lit(" ("), F.col("n_regionkey").cast("string"), F.lit(")")).alias("label")),
+    "f05_concat", lambda t: t.table("nation").select("n_nationkey", F.concat(odd_col(), F.lit(" ("), F.col("n_regionkey").cast("string"), F.lit(")")).alias("label")),
     "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 1 THEN n_name END || ' (' || n_regionkey || ')' AS label FROM nation",
 )
 register(
-    "f06_concat_ws", lambda t: t.table("nation").select("n_nationkey", fx.strict_concat_ws(" - ", F.col("n_nationkey"), _ODD, F.col("n_regionkey")).alias("label")),
+    "f06_concat_ws", lambda t: t.table("nation").select("n_nationkey", fx.strict_concat_ws(" - ", F.col("n_nationkey"), odd_col(), F.col("n_regionkey")).alias("label")),
     "SELECT n_nationkey, n_nationkey || ' - ' || CASE WHEN n_nationkey % 2 = 1 THEN n_name END || ' - ' || n_regionkey AS label FROM nation",
 )
 register(
@@ -141,58 +150,84 @@ register(
 # --- times -------------------------------------------------------------------------------------------------
 
 
-def events(name: str, sql: str, **cols):
+def events(name: str, sql: str, cols):
     """A projection of all events next to their id."""
-    register(name, lambda t: t.events().select("event_id", *[c.alias(n) for n, c in cols.items()]), f"SELECT event_id, {sql} FROM e_all")
+    register(name, lambda t: t.events().select("event_id", *[c.alias(n) for n, c in cols().items()]), f"SELECT event_id, {sql} FROM e_all")
+
 
+def ts_col():
+    return F.col("ts")
 
-_TS = F.col("ts")
-events("f13_trunc_second", "date_trunc('second', ts) AS at", at=fx.trunc_to("second", _TS))
+
+events(
+    "f13_trunc_second", "date_trunc('second', ts) AS at",
+    lambda: dict(at=fx.trunc_to("second", ts_col())),
+)
+events(
+    "f14_trunc_minute_date", "date_trunc('minute', ts) AS at, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date",
+    lambda: dict(at=fx.trunc_to("minute", ts_col()), event_date=F.to_date(ts_col())),
+)
 events(
-    "f14_trunc_minute_date", "date_trunc('minute', ts) AS at, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date", at=fx.trunc_to("minute", _TS), event_date=F.to_date(_TS)
+    "f15_time_slice", "time_bucket(INTERVAL 5 MINUTE, ts) AS at",
+    lambda: dict(at=fx.slice_start(ts_col(), 5)),
 )
-events("f15_time_slice", "time_bucket(INTERVAL 5 MINUTE, ts) AS at", at=fx.slice_start(_TS, 5))
 events(
     "f16_add_seconds", "ts + to_seconds(CAST(round(value) AS BIGINT)) AS by_second, ts + to_milliseconds(CAST(round(value * 1000) AS BIGINT)) AS by_milli",
-    by_second=fx.add_seconds(_TS, F.col("value")), by_milli=fx.add_millis(_TS, F.col("value") * 1000),
+    lambda: dict(by_second=fx.add_seconds(ts_col(), F.col("value")), by_milli=fx.add_millis(ts_col(), F.col("value") * 1000)),
 )
 events(
     "f17_default_end", "coalesce(CASE WHEN k % 2 = 0 THEN ts + INTERVAL 1 MINUTE END, ts + INTERVAL 5 MINUTE) AS ends",
-    ends=F.coalesce(F.when(F.col("k") % 2 == 0, _TS + F.expr("INTERVAL 1 MINUTE")), _TS + F.expr("INTERVAL 5 MINUTE")),
+    lambda: dict(ends=F.coalesce(F.when(F.col("k") % 2 == 0, ts_col() + F.expr("INTERVAL 1 MINUTE")), ts_col() + F.expr("INTERVAL 5 MINUTE"))),
 )
-_NEW_YEAR = F.lit("2024-01-15 12:00:00.5").cast("timestamp_ntz")
+def new_year_col():
+    return F.lit("2024-01-15 12:00:00.5").cast("timestamp_ntz")
+
+
+events(
+    "f18_time_difference", "abs(date_diff('second', ts, TIMESTAMP '2024-01-15 12:00:00.5')) AS seconds, date_diff('millisecond', ts, TIMESTAMP '2024-01-15 12:00:00.5') AS millis",
+    lambda: dict(seconds=F.abs(fx.seconds_between(ts_col(), new_year_col())), millis=fx.millis_between(ts_col(), new_year_col())),
+)
+def iso_col():
+    return F.when(F.col("k") % 10 == 0, F.lit("no time")).otherwise(F.concat(F.date_format(ts_col(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00")))
+
+
 events(
-    "f18_time_difference",
-    "abs(date_diff('second', ts, TIMESTAMP '2024-01-15 12:00:00.5')) AS seconds, date_diff('millisecond', ts, TIMESTAMP '2024-01-15 12:00:00.5') AS millis",
-    seconds=F.abs(fx.seconds_between(_TS, _NEW_YEAR)), millis=fx.millis_between(_TS, _NEW_YEAR),
+    "f19_parse_utc", "CASE WHEN k % 10 <> 0 THEN ts - INTERVAL 2 HOUR END AS at",
+    lambda: dict(at=fx.utc(iso_col())),
 )
-_ISO = F.when(F.col("k") % 10 == 0, F.lit("no time")).otherwise(F.concat(F.date_format(_TS, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00")))
-events("f19_parse_utc", "CASE WHEN k % 10 <> 0 THEN ts - INTERVAL 2 HOUR END AS at", at=fx.utc(_ISO))
 events(
-    "f20_parse_or_epoch", "CASE WHEN k % 10 <> 0 THEN date_trunc('millisecond', ts - INTERVAL 2 HOUR) ELSE TIMESTAMP '1970-01-01' END AS at", at=fx.utc_or_epoch(_ISO)
+    "f20_parse_or_epoch", "CASE WHEN k % 10 <> 0 THEN date_trunc('millisecond', ts - INTERVAL 2 HOUR) ELSE TIMESTAMP '1970-01-01' END AS at",
+    lambda: dict(at=fx.utc_or_epoch(iso_col())),
 )
 
 # --- numbers and flags -------------------------------------------------------------------------------------
 
 
-def lines(name: str, sql: str, **cols):
-    register(name, lambda t: t.table("lineitem").select("l_orderkey", "l_linenumber", *[c.alias(n) for n, c in cols.items()]), f"SELECT l_orderkey, l_linenumber, {sql} FROM lineitem")
+def lines(name: str, sql: str, cols):
+    register(name, lambda t: t.table("lineitem").select("l_orderkey", "l_linenumber", *[c.alias(n) for n, c in cols().items()]), f"SELECT l_orderkey, l_linenumber, {sql} FROM lineitem")
 
 
-_Q, _D, _X, _P = (F.col(c) for c in ("l_quantity", "l_discount", "l_tax", "l_extendedprice"))
-lines("f21_pct_delta", r("(l_quantity - l_tax) / nullif(l_tax, 0)", "pct"), pct=fx.pct_delta(_Q, _X))
-lines("f22_round", "round(l_extendedprice) AS whole, round(l_quantity / 4) AS quarter", whole=F.round(_P), quarter=F.round(_Q / 4))
+lines(
+    "f21_pct_delta", r("(l_quantity - l_tax) / nullif(l_tax, 0)", "pct"),
+    lambda: dict(pct=fx.pct_delta(F.col("l_quantity"), F.col("l_tax"))),
+)
+lines(
+    "f22_round", "round(l_extendedprice) AS whole, round(l_quantity / 4) AS quarter",
+    lambda: dict(whole=F.round(F.col("l_extendedprice")), quarter=F.round(F.col("l_quantity") / 4)),
+)
 lines(
     "f23_greatest", f"{r('greatest(CASE WHEN l_quantity > 30 THEN l_quantity END, l_tax * 100)', 'skip_null')}, {r('greatest(coalesce(CASE WHEN l_quantity > 30 THEN l_quantity END, 0), 5)', 'or_zero')}",
-    skip_null=F.greatest(F.when(_Q > 30, _Q), _X * 100), or_zero=F.greatest(fx.or_zero(F.when(_Q > 30, _Q)), F.lit(5.0)),
+    lambda: dict(skip_null=F.greatest(F.when(F.col("l_quantity") > 30, F.col("l_quantity")), F.col("l_tax") * 100), or_zero=F.greatest(fx.or_zero(F.when(F.col("l_quantity") > 30, F.col("l_quantity"))), F.lit(5.0))),
 )
-_TEMP = F.when(_Q != 13, _Q)
+def temp_col():
+    return F.when(F.col("l_quantity") != 13, F.col("l_quantity"))
+
+
 lines(
-    "f24_bands",
-    """CASE WHEN l_quantity = 13 THEN 'UNKNOWN' WHEN l_quantity < 25 THEN 'TRACK_COLD' WHEN l_quantity < 35 THEN 'TRACK_MODERATE' WHEN l_quantity < 45 THEN 'TRACK_HOT' ELSE 'TRACK_VERY_HOT' END AS track,
+    "f24_bands", """CASE WHEN l_quantity = 13 THEN 'UNKNOWN' WHEN l_quantity < 25 THEN 'TRACK_COLD' WHEN l_quantity < 35 THEN 'TRACK_MODERATE' WHEN l_quantity < 45 THEN 'TRACK_HOT' ELSE 'TRACK_VERY_HOT' END AS track,
        CASE WHEN l_quantity = 13 THEN 'UNKNOWN' WHEN l_quantity * 2 < 40 THEN 'HUMIDITY_LOW' WHEN l_quantity * 2 < 70 THEN 'HUMIDITY_MEDIUM' ELSE 'HUMIDITY_HIGH' END AS humidity,
        CASE WHEN l_tax = 0 THEN 'RAIN' WHEN l_quantity = 13 THEN 'DRY' WHEN l_quantity * 2 >= 80 THEN 'HUMID' WHEN l_quantity * 2 >= 60 THEN 'MODERATE_HUMIDITY' ELSE 'DRY' END AS sky""",
-    track=fx.track_band(_TEMP), humidity=fx.humidity_band(_TEMP * 2), sky=fx.sky_band(_X == 0, _TEMP * 2),
+    lambda: dict(track=fx.track_band(temp_col()), humidity=fx.humidity_band(temp_col() * 2), sky=fx.sky_band(F.col("l_tax") == 0, temp_col() * 2)),
 )
 register(
     "f25_points", lambda t: t.table("customer").select("c_custkey", fx.points_for(F.col("c_nationkey")).alias("points")),
@@ -200,14 +235,17 @@ register(
 )
 lines(
     "f26_valid_ranges", "coalesce(CASE WHEN l_quantity <> 13 THEN l_quantity END BETWEEN 40 AND 300, false) AS lap_ok, l_quantity BETWEEN 5 AND 120 AS sector_ok",
-    lap_ok=fx.within(_TEMP, DEFAULTS.lap_seconds), sector_ok=fx.within(_Q, DEFAULTS.sector_seconds),
+    lambda: dict(lap_ok=fx.within(temp_col(), DEFAULTS.lap_seconds), sector_ok=fx.within(F.col("l_quantity"), DEFAULTS.sector_seconds)),
 )
-_STINT = F.when(F.col("stint_number") != 2, F.col("lap_end"))
+def stint_col():
+    return F.when(F.col("stint_number") != 2, F.col("lap_end"))
+
+
 register(
     "f27_stint_length",
     lambda t: t["stints"].select(
         "session_key", "driver_number", "stint_number", fx.stint_length(F.col("lap_start"), F.col("lap_end")).alias("plain"),
-        fx.guarded_stint_length(F.col("lap_start"), _STINT).alias("guarded"), fx.guarded_stint_length(F.col("lap_end"), F.col("lap_start")).alias("reversed"),
+        fx.guarded_stint_length(F.col("lap_start"), stint_col()).alias("guarded"), fx.guarded_stint_length(F.col("lap_end"), F.col("lap_start")).alias("reversed"),
     ),
     """SELECT session_key, driver_number, stint_number, lap_end - lap_start + 1 AS plain, CASE WHEN stint_number <> 2 THEN lap_end - lap_start + 1 END AS guarded,
               CASE WHEN lap_start = lap_end THEN 1 END AS reversed FROM b_stints""",
@@ -230,29 +268,42 @@ register(
     "f30_category", lambda t: t.table("part").select("p_partkey", fx.category(F.when(F.col("p_size") > 10, F.lower("p_type"))).alias("kind")),
     "SELECT p_partkey, CASE WHEN p_size > 10 THEN upper(p_type) ELSE 'UNKNOWN' END AS kind FROM part",
 )
-_LOOSE = F.when(F.col("k") % 3 == 0, F.lit("")).when(F.col("k") % 3 == 1, F.col("k").cast("string"))
-events("f31_int_or_default", "CASE WHEN k % 3 = 1 THEN k ELSE 0 END AS n", n=fx.int_or_default(_LOOSE))
+def loose_col():
+    return F.when(F.col("k") % 3 == 0, F.lit("")).when(F.col("k") % 3 == 1, F.col("k").cast("string"))
+
+
+events(
+    "f31_int_or_default", "CASE WHEN k % 3 = 1 THEN k ELSE 0 END AS n",
+    lambda: dict(n=fx.int_or_default(loose_col())),
+)
 register(
     "f32_coalesce",
     lambda t: t["sessions"].select("session_key", F.coalesce(F.when(F.col("session_key") > 1, F.col("country_name")), F.col("session_type")).alias("label")),
     "SELECT session_key, CASE WHEN session_key > 1 THEN country_name ELSE session_type END AS label FROM b_sessions",
 )
-events("f33_json_path", "CAST(json_extract(props, '$.k') AS INTEGER) AS by_path, CAST(json_extract(props, '$.k') AS BIGINT) AS by_schema",
-       by_path=F.get_json_object("props", "$.k").cast("int"), by_schema=F.from_json("props", "k bigint")["k"])
+events(
+    "f33_json_path", "CAST(json_extract(props, '$.k') AS INTEGER) AS by_path, CAST(json_extract(props, '$.k') AS BIGINT) AS by_schema",
+    lambda: dict(by_path=F.get_json_object("props", "$.k").cast("int"), by_schema=F.from_json("props", "k bigint")["k"]),
+)
 events(
     "f34_json_row", """'{"event_id":' || event_id || ',"event_type":"' || event_type || '","k":' || k || '}' AS body""",
-    body=F.to_json(F.struct("event_id", "event_type", "k")),
+    lambda: dict(body=F.to_json(F.struct("event_id", "event_type", "k"))),
 )
 register(
     "f35_arrays",
     lambda t: t.table("embeddings").select("vec_id", F.array_size("embedding").alias("n"), F.element_at("embedding", 1).alias("head"), F.element_at("embedding", -1).alias("tail")),
     f"SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n, {r('CAST(embedding[1] AS DOUBLE)', 'head')}, {r('CAST(embedding[-1] AS DOUBLE)', 'tail')} FROM embeddings",
 )
-events("f36_stable_record_id", f"{key('session_key', 'driver_number', time('ts'), 'event_type')} AS id",
-       id=fx.surrogate_key(F.col("session_key"), F.col("driver_number"), fx.time_text(_TS), F.col("event_type")))
-events("f37_stream_key", "event_type || ':' || driver_number AS stream_key", stream_key=fx.stream_key(F.col("event_type"), F.col("driver_number")))
+events(
+    "f36_stable_record_id", f"{key('session_key', 'driver_number', time('ts'), 'event_type')} AS id",
+    lambda: dict(id=fx.surrogate_key(F.col("session_key"), F.col("driver_number"), fx.time_text(ts_col()), F.col("event_type"))),
+)
+events(
+    "f37_stream_key", "event_type || ':' || driver_number AS stream_key",
+    lambda: dict(stream_key=fx.stream_key(F.col("event_type"), F.col("driver_number"))),
+)
 register(
     "f38_null_or_non_negative",
-    lambda t: t.table("lineitem").select("l_orderkey", "l_linenumber", F.when(_Q != 13, _Q - 20).alias("x")).filter(fx.null_or_non_negative(F.col("x"))),
+    lambda t: t.table("lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_quantity") != 13, F.col("l_quantity") - 20).alias("x")).filter(fx.null_or_non_negative(F.col("x"))),
     f"SELECT l_orderkey, l_linenumber, {r('CASE WHEN l_quantity <> 13 THEN l_quantity - 20 END', 'x')} FROM lineitem WHERE l_quantity = 13 OR l_quantity >= 20",
 )

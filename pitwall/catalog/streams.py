@@ -20,7 +20,10 @@ from pitwall.sources.scratch import scratch_path
 from pitwall.streaming import feeds, sinks, state
 
 REPLAY = "replay-1"
-EMITTED = F.lit("2024-02-01").cast("timestamp_ntz")
+def emitted():
+    return F.lit("2024-02-01").cast("timestamp_ntz")
+
+
 # a last record far behind all others moves the watermark past every open window
 FLUSH = "2100-01-01 00:00:00.000000"
 
@@ -28,7 +31,7 @@ FLUSH = "2100-01-01 00:00:00.000000"
 def _records(t, feed: str, copies: int = 1) -> str:
     """Live records of a feed as JSON text files."""
     path = scratch_path(t.spark, f"topic-{feed}")
-    rows = feeds.keyed(feeds.normalise(t[feed], feed, REPLAY, EMITTED)).select("value")
+    rows = feeds.keyed(feeds.normalise(t[feed], feed, REPLAY, emitted())).select("value")
     for _ in range(copies):
         rows.write.mode("append").text(path)
     return path
@@ -125,7 +128,7 @@ def _(t):
 
 def _normalised(feed: str, view: str, columns: str):
     register(
-        f"st07_normalise_{feed}", lambda t: feeds.normalise(t[feed], feed, REPLAY, EMITTED).select("replay_id", "event_time", *feeds.IDS, *feeds.MEASURES[feed]),
+        f"st07_normalise_{feed}", lambda t: feeds.normalise(t[feed], feed, REPLAY, emitted()).select("replay_id", "event_time", *feeds.IDS, *feeds.MEASURES[feed]),
         f"""SELECT '{REPLAY}' AS replay_id, {time('date')} AS event_time, CAST(meeting_key AS INTEGER) AS meeting_key, CAST(session_key AS INTEGER) AS session_key,
             CAST(driver_number AS INTEGER) AS driver_number, {columns} FROM {view}""",
     )

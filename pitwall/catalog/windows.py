@@ -14,20 +14,29 @@ from pitwall.plans import production as p
 
 LINE = ["l_orderkey", "l_linenumber"]
 LINE_COLS = [*LINE, "l_partkey", "l_suppkey", "l_shipdate"]
-TIES = [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")]
-USER_DAY = time_bucket(F.col("ts"), DAY)
+def ties():
+    return [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")]
+
+
+def user_day():
+    return time_bucket(F.col("ts"), DAY)
+
+
 
 
 register(
     "w01_dedupe_latest",
-    lambda t: qualify_first(t.table("lineitem"), LINE, [F.col("l_shipdate").desc(), *TIES]).select(*LINE_COLS),
+    lambda t: qualify_first(t.table("lineitem"), LINE, [F.col("l_shipdate").desc(), *ties()]).select(*LINE_COLS),
     f"""SELECT {', '.join(LINE_COLS)} FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice) = 1""",
 )
-_HALF = F.when(F.col("l_quantity") > 25, F.col("l_shipdate"))
+def half_col():
+    return F.when(F.col("l_quantity") > 25, F.col("l_shipdate"))
+
+
 register(
     "w02_dedupe_nulls_last",
-    lambda t: qualify_first(t.table("lineitem"), ["l_suppkey", "l_linenumber"], [_HALF.desc_nulls_last(), F.col("l_tax").asc_nulls_last(), F.col("l_orderkey"), *TIES]).select(*LINE_COLS),
+    lambda t: qualify_first(t.table("lineitem"), ["l_suppkey", "l_linenumber"], [half_col().desc_nulls_last(), F.col("l_tax").asc_nulls_last(), F.col("l_orderkey"), *ties()]).select(*LINE_COLS),
     f"""SELECT {', '.join(LINE_COLS)} FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_linenumber
         ORDER BY CASE WHEN l_quantity > 25 THEN l_shipdate END DESC NULLS LAST, l_tax NULLS LAST, l_orderkey, l_partkey, l_suppkey, l_extendedprice) = 1""",
 )
@@ -39,11 +48,14 @@ register(
     "w04_first_per_key", lambda t: earliest(t.table("events"), ["user_id", "event_type"], "ts").select("user_id", "event_type", "event_id", "ts"),
     "SELECT user_id, event_type, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts) = 1",
 )
-_BAL = F.when(F.col("c_acctbal") > 0, F.col("c_acctbal"))
+def bal_col():
+    return F.when(F.col("c_acctbal") > 0, F.col("c_acctbal"))
+
+
 register(
     "w05_row_number_nulls_last",
     lambda t: split_row_number(
-        t.table("customer").select("c_custkey", "c_nationkey", _BAL.alias("bal")), ["c_nationkey"], [F.col("bal").asc_nulls_last(), F.col("c_custkey")],
+        t.table("customer").select("c_custkey", "c_nationkey", bal_col().alias("bal")), ["c_nationkey"], [F.col("bal").asc_nulls_last(), F.col("c_custkey")],
         F.coalesce(number_bucket(F.col("bal"), 500), F.lit(2**40)), "place",
     ),
     f"""SELECT c_custkey, c_nationkey, {r('CASE WHEN c_acctbal > 0 THEN c_acctbal END', 'bal')},
@@ -69,14 +81,14 @@ register(
     f"""SELECT event_id, user_id, {r('lag(value) OVER w', 'previous')}, {r('value - lag(value) OVER w', 'delta')} FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)""",
 )
 def _(t):
-    out = neighbours(t.table("events"), ["user_id"], ["ts"], USER_DAY, prev={"previous": F.col("value")})
+    out = neighbours(t.table("events"), ["user_id"], ["ts"], user_day(), prev={"previous": F.col("value")})
     return out.select("event_id", "user_id", "previous", (F.col("value") - F.col("previous")).alias("delta"))
 
 
 register(
     "w09_lead",
     lambda t: neighbours(
-        t.table("events"), ["user_id", "event_type"], ["ts"], USER_DAY, next={"next_ts": F.col("ts"), "next_value": F.col("value")}
+        t.table("events"), ["user_id", "event_type"], ["ts"], user_day(), next={"next_ts": F.col("ts"), "next_value": F.col("value")}
     ).select("event_id", "user_id", "next_ts", "next_value"),
     f"""SELECT event_id, user_id, lead(ts) OVER w AS next_ts, {r('lead(value) OVER w', 'next_value')} FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts)""",
 )
@@ -91,7 +103,10 @@ def _(t):
     return out.select(*LINE, "l_partkey", (F.col("l_quantity") - F.col("mean")).alias("delta"))
 
 
-_CLEAN = F.when((F.col("l_tax") > 0.01) & (F.col("l_returnflag") != "R"), F.col("l_quantity"))
+def clean_col():
+    return F.when((F.col("l_tax") > 0.01) & (F.col("l_returnflag") != "R"), F.col("l_quantity"))
+
+
 
 
 @query(
@@ -100,8 +115,8 @@ _CLEAN = F.when((F.col("l_tax") > 0.01) & (F.col("l_returnflag") != "R"), F.col(
         FROM (SELECT *, CASE WHEN l_tax > 0.01 AND l_returnflag <> 'R' THEN l_quantity END AS clean FROM lineitem)""",
 )
 def _(t):
-    out = with_group_values(t.table("lineitem"), ["l_suppkey"], own=F.avg(_CLEAN))
-    out = with_group_values(out, ["l_linenumber", "l_linestatus"], field=F.avg(_CLEAN))
+    out = with_group_values(t.table("lineitem"), ["l_suppkey"], own=F.avg(clean_col()))
+    out = with_group_values(out, ["l_linenumber", "l_linestatus"], field=F.avg(clean_col()))
     return out.select(*LINE, "l_partkey", "own", "field")
 
 
@@ -115,12 +130,15 @@ def _(t):
     return with_group_values(means, ["l_linenumber"], best=F.min("mean")).withColumn("delta", F.col("mean") - F.col("best"))
 
 
-_GAPPY = F.when(F.col("k") % 3 == 0, F.col("value"))
+def gappy_col():
+    return F.when(F.col("k") % 3 == 0, F.col("value"))
+
+
 _FILL_SQL = f"""SELECT event_id, user_id, {r('last_value(CASE WHEN k % 3 = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING)', 'filled')} FROM e_all"""
 
 
 def _filled(t):
-    out = carry_forward(t.events(), ["user_id"], ["ts"], {"filled": _GAPPY}, USER_DAY, source=t.events())
+    out = carry_forward(t.events(), ["user_id"], ["ts"], {"filled": gappy_col()}, user_day(), source=t.events())
     return out.select("event_id", "user_id", "filled")
 
 
