@@ -260,7 +260,7 @@ def leaderboard(t) -> DataFrame:
         "session_key", "driver_number", F.col("broadcast_name").alias("driver_name"), "rank", "team_name", F.col("team_colour").alias("team_color"),
         F.when(F.col("position") == 1, F.lit(0.0)).otherwise(F.col("gap_to_leader")).alias("gap_to_leader"), "gap_to_next", "best_lap_time",
         "pit_stop_count", "session_display_name", points_for(F.col("position")).alias("points"),
-    ).orderBy("rank")
+    ).orderBy("rank", "session_key", "driver_number")
 
 
 @plan

@@ -29,6 +29,7 @@ def local_session(cores: str = "8", app: str = "pitwall", shuffle_partitions: in
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         # the wide plans here hold several hundred generated classes; the default cache of 100 would compile them anew

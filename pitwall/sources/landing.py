@@ -74,9 +74,12 @@ def read_json_landing(
 
 
 def replace_sessions(df: DataFrame, path: str, feed: str) -> None:
-    """Idempotent load: the sessions (meetings) present in `df` replace their stored rows, others stay."""
+    """Idempotent load: the sessions (meetings) present in `df` replace their stored rows, others stay.
+
+    Rebalancing gathers small sessions into few files and splits a large one over several tasks.
+    """
     key = partition_key(feed)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    df.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
 def select_sessions(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -63,7 +63,8 @@ def upsert(
     else:
         merged = batch
     aside = scratch_path(spark, "merge")
-    merged.write.partitionBy(partition).parquet(aside)
+    # rebalancing by partition avoids many small files and splits a partition that holds most rows
+    merged.hint("rebalance", partition).write.partitionBy(partition).parquet(aside)
     staged = spark.read.schema(merged.schema).parquet(aside)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
