@@ -6,7 +6,8 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from pitwall.catalog.registry import query, register
+from pitwall.catalog.columns import COLUMNS
+from pitwall.catalog.registry import block, query, register
 from pitwall.catalog.scalars import r
 from pitwall.plans import dashboard as x
 from pitwall.schemas import SCHEMAS
@@ -107,6 +108,28 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
+@query("s10_incremental_rollup", block("x_telemetry_minutes", *COLUMNS["x_telemetry_minutes"][:2]))
+def _(t):
+    """The same for a rollup: the bound is a stored minute, so no minute is ever rebuilt from part of its rows."""
+    path, known = scratch_path(t.spark, "rollup"), F.lit("2024-01-20").cast("timestamp_ntz")
+    for build in (lambda _: x.telemetry_minutes(t).filter(F.col("sample_minute") < known), lambda after: x.telemetry_minutes(t, after)):
+        merge.incremental_load(t.spark, path, build, ["telemetry_minute_id"], "sample_minute", "event_date")
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "s12_sync_columns",
+    "SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus FROM orders",
+)
+def _(t):
+    """A batch with one more column: older rows keep NULL in it."""
+    path, o = scratch_path(t.spark, "sync"), t.table("orders")
+    merge.upsert(t.spark, path, o.select("o_orderkey", "o_orderpriority"), ["o_orderkey"], "o_orderpriority")
+    batch = o.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    merge.upsert(t.spark, path, batch, ["o_orderkey"], "o_orderpriority", sync_columns=True)
+    return merge.read_synced(t.spark, path)
+
+
 @query(
     "s11_infer_by_name",
     f"SELECT event_type AS kind, ts AS created_at, {r('k', 'k')}, {r('value', 'value')}, k % 2 = 0 AS even FROM e_all",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pitwall.functions.times import micros
 from pitwall.operators.ordered import HOUR, carry_forward, time_bucket
 
-_BIN = "_bin"
+BIN = "_bin"
 MINUTE_US = 60_000_000
 
 
@@ -37,22 +37,25 @@ def range_join(
     at: str,
     width_us: Column | int,
     closed: bool = False,
+    keep_bin: bool = False,
 ) -> DataFrame:
     """All pairs with `start <= at < end` (or `<= end` when closed) and equal keys.
 
     Each interval is copied to the time bins it touches, so a hot key is spread over its bins and a task only
-    sees events near its intervals; a point lies in one bin, so no pair appears twice.
+    sees events near its intervals; a point lies in one bin, so no pair appears twice.  `keep_bin` leaves the bin
+    in the result: grouping by keys, bin and more then reuses the partitioning of the join.
     """
     width = width_us if isinstance(width_us, Column) else F.lit(width_us)
 
     def cut(c: str) -> Column:
         return F.floor(micros(F.col(c)) / width).cast("bigint")
 
-    spread = intervals.filter(F.col(start) <= F.col(end)).withColumn(_BIN, F.explode(F.sequence(cut(start), cut(end))))
-    located = points.withColumn(_BIN, cut(at))
-    pairs = spread.join(located, [*keys, _BIN], "inner")
+    spread = intervals.filter(F.col(start) <= F.col(end)).withColumn(BIN, F.explode(F.sequence(cut(start), cut(end))))
+    located = points.withColumn(BIN, cut(at))
+    pairs = spread.join(located, [*keys, BIN], "inner")
     upper = F.col(at) <= F.col(end) if closed else F.col(at) < F.col(end)
-    return pairs.filter((F.col(at) >= F.col(start)) & upper).drop(_BIN)
+    pairs = pairs.filter((F.col(at) >= F.col(start)) & upper)
+    return pairs if keep_bin else pairs.drop(BIN)
 
 
 def last_in_interval(

@@ -8,7 +8,7 @@ from pitwall.functions import (
     bool_int, category, clean_text, drs_active, drs_detected, full_name, gap_seconds, guarded_stint_length, hex_colour_stripped,
     humidity_band, is_lapped_gap, pct_delta, sky_band, strict_concat_ws, surrogate_key, time_text, track_band, tyre_age, within,
 )
-from pitwall.operators.intervals import asof_join, last_in_interval, mean_spacing, range_join
+from pitwall.operators.intervals import BIN, asof_join, last_in_interval, mean_spacing, range_join
 from pitwall.operators.ordered import neighbours, number_bucket
 from pitwall.operators.reshape import sectors_long
 from pitwall.operators.rows import latest, qualify_first
@@ -44,15 +44,23 @@ def _since(df: DataFrame, at: str, after) -> DataFrame:
 # --- staging -----------------------------------------------------------------------------------------------
 
 
+MEASURES = ["rpm", "speed", "throttle", "brake", "n_gear", "drs"]
+
+
+def _telemetry_flags(s: Settings):
+    return [
+        drs_active(F.col("drs")).alias("is_drs_active"), drs_detected(F.col("drs")).alias("is_drs_detected"),
+        bool_int(F.col("brake") > 0).alias("is_braking"), bool_int(F.col("throttle") >= s.full_throttle_from).alias("is_full_throttle"),
+    ]
+
+
 @plan
 def car_data(t, s: Settings = DEFAULTS, after=None) -> DataFrame:
     raw = _since(t["car_data"], "date", after).dropna(subset=[*CAR, "date"])
-    measures = ["rpm", "speed", "throttle", "brake", "n_gear", "drs"]
-    one = _one_per(raw.select(*_keys("meeting_key", *CAR), F.col("date").alias("telemetry_at"), *measures), [*CAR, "telemetry_at"])
+    one = _one_per(raw.select(*_keys("meeting_key", *CAR), F.col("date").alias("telemetry_at"), *MEASURES), [*CAR, "telemetry_at"])
     return one.select(
         surrogate_key(F.col("session_key"), F.col("driver_number"), time_text(F.col("telemetry_at"))).alias("car_data_id"), "meeting_key", *CAR,
-        "telemetry_at", *measures, drs_active(F.col("drs")).alias("is_drs_active"), drs_detected(F.col("drs")).alias("is_drs_detected"),
-        bool_int(F.col("brake") > 0).alias("is_braking"), bool_int(F.col("throttle") >= s.full_throttle_from).alias("is_full_throttle"),
+        "telemetry_at", *MEASURES, *_telemetry_flags(s),
     )
 
 
@@ -282,20 +290,21 @@ def lap_stints(t, s: Settings = DEFAULTS) -> DataFrame:
     return out.select(surrogate_key(*[F.col(c) for c in LAP]).alias("lap_id"), "meeting_key", *LAP, *info, age.alias("tyre_age_lap"))
 
 
-TELEMETRY_VALUES = ["speed", "throttle", "rpm", "n_gear", "is_braking", "is_full_throttle", "is_drs_active", "is_drs_detected"]
-
-
 @plan
 def lap_telemetry(t, s: Settings = DEFAULTS) -> DataFrame:
     """Telemetry aggregated per lap; laps without samples are kept.
 
     Events meet laps by (session, driver, time bin), so a driver with very many samples is spread over bins.
+    Repeated samples are removed after the join: they share a bin, so the grouping reuses the partitioning of the
+    join and the telemetry is shuffled once instead of twice.
     """
     lap = _windows(t, s).drop("lap_duration_seconds", "is_pit_out_lap")
+    raw = t["car_data"].dropna(subset=[*CAR, "date"]).select(*_keys("meeting_key", *CAR), F.col("date").alias("telemetry_at"), *MEASURES)
     pairs = range_join(
-        lap.select(*LAP, "lap_start_at", "lap_end_at"), car_data(t, s).select(*CAR, "telemetry_at", *TELEMETRY_VALUES), CAR,
-        "lap_start_at", "lap_end_at", "telemetry_at", _spacing(t),
+        lap.select(*LAP, "lap_start_at", "lap_end_at"), raw, CAR, "lap_start_at", "lap_end_at", "telemetry_at", _spacing(t), keep_bin=True
     )
+    one = pairs.groupBy(*CAR, BIN, "lap_number", "telemetry_at").agg(F.max(F.struct("meeting_key", *MEASURES)).alias("_m"))
+    pairs = one.select(*LAP, "_m.*").select(*LAP, "speed", "throttle", "rpm", "n_gear", *_telemetry_flags(s))
     flags = {"brake": "is_braking", "full_throttle": "is_full_throttle", "drs_active": "is_drs_active", "drs_detected": "is_drs_detected"}
     agg = pairs.groupBy(*LAP).agg(
         F.count("*").alias("_n"), F.avg("speed").alias("avg_speed"), F.max("speed").alias("max_speed"), F.avg("throttle").alias("avg_throttle"),

@@ -47,17 +47,21 @@ def merge_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: da
 
 
 def upsert(
-    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition: str, order: Sequence | None = None
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition: str, order: Sequence | None = None,
+    sync_columns: bool = False,
 ) -> None:
     """Merges a batch into the Parquet table at `path`, rewriting only the partitions the batch touches.
 
     The merged partitions are written aside first and then replace the stored ones, so the table is never
-    overwritten while it is being read and a lost run can be repeated.
+    overwritten while it is being read and a lost run can be repeated.  `sync_columns` adds columns the table does
+    not have yet, NULL for its older rows; read such a table with `read_synced`.
     """
     if order:
         batch = qualify_first(batch, keys, order)
     if path_exists(spark, path):
-        target = spark.read.parquet(path)
+        target = read_synced(spark, path) if sync_columns else spark.read.parquet(path)
+        if sync_columns:
+            target = target.unionByName(batch.limit(0), allowMissingColumns=True)
         touched = batch.select(partition).distinct()
         merged = merge_rows(target.join(touched, partition, "left_semi").select(*target.columns), batch, keys)
     else:
@@ -69,6 +73,11 @@ def upsert(
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def read_synced(spark: SparkSession, path: str) -> DataFrame:
+    """A table whose files may have different columns."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def lookback_bound(spark: SparkSession, path: str, at: str, days: int = DEFAULTS.lookback_days) -> datetime.datetime | None:
     """Latest stored time minus the look-back; None for a table that does not exist yet."""
     if not path_exists(spark, path):
