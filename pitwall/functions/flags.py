@@ -58,7 +58,8 @@ def sky_band(rain: Column, humidity: Column) -> Column:
 
 
 def stint_length(start: Column, end: Column) -> Column:
-    return end - start + 1
+    """In long integers, so that wrong bounds cannot overflow."""
+    return end.cast("bigint") - start + 1
 
 
 def guarded_stint_length(start: Column, end: Column) -> Column:
@@ -67,7 +68,7 @@ def guarded_stint_length(start: Column, end: Column) -> Column:
 
 def tyre_age(lap: Column, stint_start: Column, age_at_start: Column) -> Column:
     """Age carried into the stint plus laps run in it; laps run in it alone when the age is unknown."""
-    run = lap - stint_start
+    run = lap.cast("bigint") - stint_start
     return F.coalesce(age_at_start + run, run + 1)
 
 

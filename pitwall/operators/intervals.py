@@ -58,6 +58,17 @@ def range_join(
     return pairs if keep_bin else pairs.drop(BIN)
 
 
+def numbers_between(start: str, end: str, numbered: DataFrame, number: str) -> Column:
+    """Whole numbers of a closed range as an array to explode, NULL for an empty range.
+
+    The range is cut to the numbers that occur at all (a scalar subquery), so a wrong bound cannot blow up a row.
+    """
+    seen = numbered.agg(F.struct(F.min(number).alias("low"), F.max(number).alias("high")).alias("s")).scalar()
+    low, high = F.greatest(F.col(start), seen["low"]), F.least(F.col(end), seen["high"])
+    given = F.col(start).isNotNull() & F.col(end).isNotNull()
+    return F.when(given & (low <= high), F.sequence(low, high))
+
+
 def last_in_interval(
     intervals: DataFrame,
     feeds: Mapping[str, DataFrame],

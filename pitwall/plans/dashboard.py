@@ -8,6 +8,7 @@ from pitwall.functions import (
     add_millis, bool_int, category, clean_token_text, guarded_stint_length, hex_colour, interval_seconds, or_zero, strict_concat_ws,
     surrogate_key, time_text, trunc_to, within,
 )
+from pitwall.operators.intervals import numbers_between
 from pitwall.operators.ordered import number_bucket, split_row_number
 from pitwall.operators.rows import latest, qualify_first
 from pitwall.operators.stats import min_by_first, ordered_list_text
@@ -302,7 +303,7 @@ def race_leaderboard(t, s: Settings = DEFAULTS) -> DataFrame:
 @plan
 def stint_performance(t) -> DataFrame:
     st = stints(t)
-    numbers = F.when(F.col("lap_start") <= F.col("lap_end"), F.sequence("lap_start", "lap_end"))
+    numbers = numbers_between("lap_start", "lap_end", t["laps"], "lap_number")
     speeds = F.greatest(*[or_zero(F.col(c)) for c in ("i1_speed", "i2_speed", "speed_trap")])
     lap = laps(t).dropna(subset=["lap_start_at"]).select(*LAP, "lap_duration_seconds", speeds.alias("max_lap_speed"), F.lit(1).alias("_hit"))
     rows = st.select("*", F.explode_outer(numbers).alias("lap_number")).join(lap, LAP, "left")

@@ -8,7 +8,7 @@ from pitwall.functions import (
     bool_int, category, clean_text, drs_active, drs_detected, full_name, gap_seconds, guarded_stint_length, hex_colour_stripped,
     humidity_band, is_lapped_gap, pct_delta, sky_band, strict_concat_ws, surrogate_key, time_text, track_band, tyre_age, within,
 )
-from pitwall.operators.intervals import BIN, asof_join, last_in_interval, mean_spacing, range_join
+from pitwall.operators.intervals import BIN, asof_join, last_in_interval, mean_spacing, numbers_between, range_join
 from pitwall.operators.ordered import neighbours, number_bucket
 from pitwall.operators.reshape import sectors_long
 from pitwall.operators.rows import latest, qualify_first
@@ -280,7 +280,7 @@ def lap_stints(t, s: Settings = DEFAULTS) -> DataFrame:
         *CAR, "stint_id", "stint_number", F.col("lap_start").alias("stint_lap_start"), F.col("lap_end").alias("stint_lap_end"), "stint_lap_count",
         "compound", "tyre_age_at_start",
     )
-    numbers = F.when(F.col("stint_lap_start") <= F.col("stint_lap_end"), F.sequence("stint_lap_start", "stint_lap_end"))
+    numbers = numbers_between("stint_lap_start", "stint_lap_end", t["laps"], "lap_number")
     info = [c for c in st.columns if c not in CAR]
     per_lap = st.select("*", F.explode(numbers).alias("lap_number")).groupBy(*LAP).agg(F.max_by(F.struct(*info), F.col("stint_number")).alias("_s"))
     lap = t["laps"].dropna(subset=LAP).select(*_keys("meeting_key", *CAR), "lap_number", "date_start")
@@ -503,7 +503,7 @@ def team_tyre_strategy(t, s: Settings = DEFAULTS) -> DataFrame:
     """Race stints with the clean pace and the weather of their laps."""
     st = stints(t)
     ids = [c for c in st.columns if c != "stint_id"]
-    numbers = F.when(F.col("lap_start") <= F.col("lap_end"), F.sequence("lap_start", "lap_end"))
+    numbers = numbers_between("lap_start", "lap_end", t["laps"], "lap_number")
     hub = _race_hub(t, s).select(*LAP, *SESSION_INFO, *DRIVER_INFO, "lap_duration_seconds", "is_valid_lap_time", "is_pit_out_lap")
     sky = lap_weather(t, s).select(*LAP, "track_temperature", "air_temperature", "humidity", "rainfall")
     # the race filter needs a matching lap, so the lap join is an inner one

@@ -52,6 +52,8 @@ def upsert(
 ) -> None:
     """Merges a batch into the Parquet table at `path`, rewriting only the partitions the batch touches.
 
+    The partition column must follow from the key, so that a row and its update lie in the same partition.
+
     The merged partitions are written aside first and then replace the stored ones, so the table is never
     overwritten while it is being read and a lost run can be repeated.  `sync_columns` adds columns the table does
     not have yet, NULL for its older rows; read such a table with `read_synced`.

@@ -87,6 +87,12 @@ def test_stints_and_tyre_age(feeds):
     assert got == [(1, 1, "SOFT", 3), (2, 2, "UNKNOWN", 1), (3, 2, "UNKNOWN", 2)]
 
 
+def test_stint_with_a_wrong_bound(spark, feeds):
+    wrong = {**feeds, "stints": feed(spark, "stints", [{**CAR, "stint_number": 1, "lap_start": -(2**31), "lap_end": 2**31 - 1, "compound": "HARD"}, {**CAR, "stint_number": 2, "lap_start": 3}])}
+    assert rows(d.lap_stints(wrong), "lap_number", "stint_number") == [(1, 1), (2, 1), (3, 1)]
+    assert rows(x.stint_performance(wrong), "stint_number", "observed_lap_count") == [(1, 3), (2, 0)]
+
+
 def test_weather_asof_keeps_null_fields(feeds):
     got = rows(d.lap_weather(feeds), "lap_number", "weather_at", "humidity", "rainfall", "weather_condition_bucket")
     assert got == [(1, at(85), 82.0, False, "HUMID"), (2, at(100), None, True, "RAIN"), (3, at(100), None, True, "RAIN")]
