@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pitwall.llm import near_dedup
+from pitwall.llm import near_dedup, token_files
 from pitwall.session import configure
+from pitwall.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,3 +31,22 @@ def _query(name: str, sql: str | None = None):
 @_query("op2_simhash_near_dedup")
 def _(table):
     return near_dedup.digest(table("documents"), shingle=4, radius=4)
+
+
+def vocabulary() -> str:
+    """The tokenizer file of the queries; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def token_digest(docs: DataFrame) -> DataFrame:
+    """Write the documents as token files under the shared folder and describe each from what the files hold."""
+    root = scratch_path(docs.sparkSession, "token-files")
+    token_files.write(docs, root, vocabulary(), end_id=2)
+    return token_files.documents(docs.sparkSession, root)
+
+
+@_query("op10_token_files")
+def _(table):
+    return token_digest(table("documents"))
