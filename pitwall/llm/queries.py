@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pitwall.llm import near_dedup, token_files
+from pitwall.llm import mixing, near_dedup, token_files
 from pitwall.session import configure
 from pitwall.sources.scratch import scratch_path
 
@@ -50,3 +50,8 @@ def token_digest(docs: DataFrame) -> DataFrame:
 @_query("op10_token_files")
 def _(table):
     return token_digest(table("documents"))
+
+
+@_query("op7_source_mixing", mixing.ORACLE)
+def _(table):
+    return mixing.digest(table("documents"))

@@ -1,0 +1,28 @@
+"""Registered queries of this folder on the test tables: equal to their comparison SQL, or of the right shape."""
+
+import pytest
+
+from compare import _rows, connect
+from pitwall.llm.queries import QUERIES, SQL
+
+DIGESTS = {
+    "op2_": ["doc_id", "fingerprint", "component_id"],
+    "op7_": ["doc_id", "size", "source_size", "target", "taken"],
+    "op10_": ["doc_id", "start", "n_tokens", "ids_crc32"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, data, name):
+    df = QUERIES[name](spark, data)
+    rows = [tuple(r) for r in df.collect()]
+    for prefix, columns in DIGESTS.items():
+        if name.startswith(prefix):
+            assert df.columns[: len(columns)] == columns
+            assert len(rows) == spark.read.parquet(f"{data}/documents.parquet").count()
+    if name in SQL:
+        cur = connect(data).execute(SQL[name])
+        names = [c[0] for c in cur.description]
+        assert not any("HUGEINT" in str(c[1]) for c in cur.description)
+        assert sorted(names) == sorted(df.columns)
+        assert _rows(df.columns, rows) == _rows(names, cur.fetchall())
