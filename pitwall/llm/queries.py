@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pitwall.llm import mixing, near_dedup, token_files
+from pitwall.llm import decontaminate, mixing, near_dedup, token_files
 from pitwall.session import configure
 from pitwall.sources.scratch import scratch_path
 
@@ -55,3 +55,8 @@ def _(table):
 @_query("op7_source_mixing", mixing.ORACLE)
 def _(table):
     return mixing.digest(table("documents"))
+
+
+@_query("op6_decontaminate", decontaminate.ORACLE)
+def _(table):
+    return decontaminate.digest(table("documents"), table("benchmark"))
