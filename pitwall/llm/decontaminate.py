@@ -152,7 +152,7 @@ starts AS (SELECT item_id, words, unnest(range(1, greatest(len(words) - 8, 2)))
 wins AS (SELECT DISTINCT item_id, array_to_string(words[i:i + 9], ' ') AS w, least(len(words), 10) AS n FROM starts),
 places AS (SELECT rid, words, s.n, unnest(range(1, len(words) - s.n + 2)) AS i FROM lowered, (SELECT DISTINCT n FROM wins) s WHERE len(words) >= s.n),
 hits AS (SELECT rid, item_id, i, p.n FROM (SELECT rid, i, n, array_to_string(words[i:i + n - 1], ' ') AS w FROM places) p JOIN wins USING (w, n)),
-covered AS (SELECT rid, count(DISTINCT at) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS at FROM hits) GROUP BY rid),
+covered AS (SELECT rid, count(DISTINCT spot) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS spot FROM hits) GROUP BY rid),
 listed AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY rid)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM lowered LEFT JOIN covered USING (rid) LEFT JOIN listed USING (rid)
