@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pitwall.llm import decontaminate, mixing, near_dedup, token_files
+from pitwall.llm import decontaminate, mixing, near_dedup, token_files, toxicity
 from pitwall.session import configure
 from pitwall.sources.scratch import scratch_path
 
@@ -60,3 +60,8 @@ def _(table):
 @_query("op6_decontaminate", decontaminate.ORACLE)
 def _(table):
     return decontaminate.digest(table("documents"), table("benchmark"))
+
+
+@_query("op9_toxicity")
+def _(table):
+    return toxicity.digest(table("documents"), table("labels"))

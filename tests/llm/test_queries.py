@@ -9,6 +9,7 @@ DIGESTS = {
     "op2_": ["doc_id", "fingerprint", "component_id"],
     "op6_": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op7_": ["doc_id", "size", "source_size", "target", "taken"],
+    "op9_": ["doc_id", "held_out", "score", "predicted"],
     "op10_": ["doc_id", "start", "n_tokens", "ids_crc32"],
 }
 
