@@ -6,6 +6,7 @@ from compare import _rows, connect
 from pitwall.llm.queries import QUERIES, SQL
 
 DIGESTS = {
+    "op1_": ["doc_id", "held_out", "lang_pred", "score"],
     "op2_": ["doc_id", "fingerprint", "component_id"],
     "op6_": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op7_": ["doc_id", "size", "source_size", "target", "taken"],
