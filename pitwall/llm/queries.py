@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pitwall.llm import decontaminate, language_id, mixing, near_dedup, token_files, toxicity
+from pitwall.llm import decontaminate, fingerprints, language_id, mixing, near_dedup, token_files, toxicity
 from pitwall.session import configure
 from pitwall.sources.scratch import scratch_path
 
@@ -70,3 +70,8 @@ def _(table):
 @_query("op1_language_id")
 def _(table):
     return language_id.digest(table("documents"))
+
+
+@_query("op5_fingerprints")
+def _(table):
+    return fingerprints.digest(table("documents"))

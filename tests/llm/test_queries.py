@@ -8,6 +8,7 @@ from pitwall.llm.queries import QUERIES, SQL
 DIGESTS = {
     "op1_": ["doc_id", "held_out", "lang_pred", "score"],
     "op2_": ["doc_id", "fingerprint", "component_id"],
+    "op5_": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op6_": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op7_": ["doc_id", "size", "source_size", "target", "taken"],
     "op9_": ["doc_id", "held_out", "score", "predicted"],
