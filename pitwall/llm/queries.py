@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pitwall.llm import decontaminate, fingerprints, language_id, mixing, near_dedup, token_files, toxicity
+from pitwall.llm import decontaminate, fingerprints, language_id, licenses, mixing, near_dedup, token_counts, token_files, toxicity
 from pitwall.session import configure
 from pitwall.sources.scratch import scratch_path
 
@@ -75,3 +75,13 @@ def _(table):
 @_query("op5_fingerprints")
 def _(table):
     return fingerprints.digest(table("documents"))
+
+
+@_query("op8_license_scan")
+def _(table):
+    return licenses.digest(table("documents"))
+
+
+@_query("op4_token_counts")
+def _(table):
+    return token_counts.digest(table("documents"), vocabulary())
