@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pitwall.llm import decontaminate, fingerprints, language_id, licenses, mixing, near_dedup, token_counts, token_files, toxicity
+from pitwall.llm import chat_tools, decontaminate, fingerprints, language_id, licenses, mixing, near_dedup, token_counts, token_files, toxicity
 from pitwall.session import configure
 from pitwall.sources.scratch import scratch_path
 
@@ -14,10 +14,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+#: Rows of an Arrow batch. A batch of texts is held several times over on its way to Python and back, and texts are far longer than other rows.
+BATCH_ROWS = 1000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings these operators rely on."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def _query(name: str, sql: str | None = None):
     def wrap(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
+            prepared(spark)
             return build(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
         QUERIES[name] = run
@@ -85,3 +95,8 @@ def _(table):
 @_query("op4_token_counts")
 def _(table):
     return token_counts.digest(table("documents"), vocabulary())
+
+
+@_query("op3_tool_call_linking")
+def _(table):
+    return chat_tools.digest(table("conversations"))
