@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import re
+from array import array
+
 import numpy as np
 import regex
 
-#: Entries of each memo; a full one starts anew, so memory stays bounded whatever the corpus.
-MEMO = 400_000
+#: Entries of one generation of a memo. A full one becomes the old generation, which answers until the next is full: memory stays bounded whatever the corpus.
+MEMO = 350_000
 #: Longer pieces aren't kept.
 LONGEST = 48
 # U+180E counts as white space in some releases of Unicode, so no cut relies on it
-_BLANK_BEFORE_SPACE = regex.compile(r"[\s᠎] ")
-_CUT = regex.compile(r"(?<=[^\s᠎])(?= )")
+_BLANK_BEFORE_SPACE = re.compile(r" (?<=[\s\u180e] )")
+_CUT = re.compile(r"(?<=[^\s\u180e])(?= )")
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# the characters by which a byte-level vocabulary writes bytes: printable ones stand for themselves, the rest are counted on from 256
+_SELF = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_REST = [b for b in range(256) if b not in _SELF]
+_BYTES = [chr(b) if b in _SELF else chr(256 + _REST.index(b)) for b in range(256)]
+#: Marks that are a piece of their own after a word when they end it.
+_MARKS = frozenset(".,;:!?)")
 
 
 def safe_cuts(text: str) -> list[str]:
@@ -23,53 +32,72 @@ def safe_cuts(text: str) -> list[str]:
     return [head, *(" " + w for w in rest)] if head else [" " + w for w in rest] or [""]
 
 
-class _Words(dict):
-    """Ids, as bytes, of a space and a word."""
+class _Memo(dict):
+    """Ids, as bytes, by text; what is missing is computed and kept."""
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, compute):
         super().__init__()
-        self.encoder = encoder
+        self.compute, self.old = compute, {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encoder.part(" " + word)
-        if len(word) <= LONGEST:
-            if len(self) >= MEMO:
-                self.clear()
-            self[word] = ids
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.compute(key)
+            if len(key) > LONGEST:
+                return ids
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[key] = ids
         return ids
 
 
+class _Words(_Memo):
+    """Ids of a space and a word. A mark at the end of a word of letters is a piece of its own, so such words aren't kept with each mark."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__(encoder._word)
+        self.pieces = encoder.pieces
+
+    def __missing__(self, word: str) -> bytes:
+        if word[-1:] in _MARKS and word[:-1].isalpha():
+            return self[word[:-1]] + self.pieces[word[-1]]
+        return super().__missing__(word)
+
+
 class Encoder:
     """Encodes texts to ids held as little-endian bytes of the narrowest unsigned type that fits the vocabulary.
 
-    The tokenizer must be a byte-level BPE that splits words as GPT-2 does. Parts between safe cuts are encoded one by one, words through the
-    memo; a text that contains an added token's string, and any piece not in the memo, goes to the tokenizer itself.
+    The tokenizer must be a byte-level BPE that splits words as GPT-2 does. Words between safe cuts come from a memo, words that aren't in it are
+    split into pieces, and the tokenizer's model encodes pieces that aren't in theirs. A text that contains an added token's string is given to the
+    tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words, self.pieces = _Words(self), {}
+        self.pieces = _Memo(self._piece)
+        self.words = _Words(self)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        written = "".join(map(_BYTES.__getitem__, piece.encode()))
+        return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a space and a word; a word of letters is one piece."""
+        return self._piece(" " + word) if word.isalpha() else self.part(" " + word)
+
     def part(self, text: str) -> bytes:
         """Ids of a part between safe cuts that holds no added token."""
-        return b"".join(map(self._piece, _PIECE.findall(text)))
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = self.whole(piece)
-            if len(piece) <= LONGEST:
-                if len(self.pieces) >= MEMO:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-        return ids
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text)))
 
     def special(self, text: str) -> bool:
         return any(t in text for t in self.added)

@@ -107,9 +107,9 @@ class Numbers:
 
 def documents(spark: SparkSession, root: str, with_ids: bool = False) -> DataFrame:
     """One row per document from the files: doc_id, start (ids before it in the data set), n_tokens, ids_crc32 of its ids as 32-bit integers, and with
-    `with_ids` the ids as an array. Shards are read in runs of READ_ROWS documents, dealt to as many tasks, within what the session's parallelism can use."""
+    `with_ids` the ids as an array. Shards are read in runs of READ_ROWS documents, eight to a task, within what the session's parallelism can use."""
     parts = manifest(spark, root).withColumn("from_row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_docs") - 1, F.lit(READ_ROWS).cast("long"))))
-    parts = parts.repartition(max(1, min(parts.count(), 16 * spark.sparkContext.defaultParallelism)))
+    parts = parts.repartition(min(1 + parts.count() // 8, 16 * spark.sparkContext.defaultParallelism))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
