@@ -92,6 +92,53 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
+@query(
+    "s08_merge_null_partition",
+    """SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS part, CASE WHEN o_orderkey % 4 = 0 THEN 'new' ELSE 'old' END AS state FROM orders""",
+)
+def _(t):
+    """Rows without a partition value lie in a partition of their own, and a batch that touches it leaves the others' rows there."""
+    path = scratch_path(t.spark, "null-partition")
+    o = t.table("orders").select("o_orderkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("part"), F.lit("old").alias("state"))
+    merge.upsert(t.spark, path, o, ["o_orderkey"], "part")
+    merge.upsert(t.spark, path, o.filter("o_orderkey % 4 = 0").withColumn("state", F.lit("new")), ["o_orderkey"], "part")
+    return t.spark.read.parquet(path).select("o_orderkey", "part", "state")
+
+
+@query(
+    "s08_merge_moved_row",
+    """SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') AND (o_orderpriority = '1-URGENT' OR o_orderkey % 3 = 0) THEN 'moved' ELSE o_orderpriority END AS part,
+       o_orderstatus FROM orders""",
+)
+def _(t):
+    """A batch moves rows to another partition, twice: each is there once; a partition that is left empty goes."""
+    path, o = scratch_path(t.spark, "moved"), t.table("orders").select("o_orderkey", F.col("o_orderpriority").alias("part"), "o_orderstatus")
+    merge.upsert(t.spark, path, o, ["o_orderkey"], "part")
+    batch = o.filter("part = '1-URGENT' OR (part = '2-HIGH' AND o_orderkey % 3 = 0)").withColumn("part", F.lit("moved"))
+    for _ in range(2):
+        merge.upsert(t.spark, path, batch, ["o_orderkey"], "part")
+    return t.spark.read.parquet(path).select("o_orderkey", "part", "o_orderstatus")
+
+
+def _by_entity(feed: str, view: str, key: str, value: str, columns: str) -> None:
+    """A feed is loaded, then every second row comes again with another value; rows are met by the feed's own merge key."""
+    changed = f"CASE WHEN {key} % 2 = 0 THEN {value} + 1 ELSE {value} END"
+
+    def build(t):
+        path = scratch_path(t.spark, f"merge-{feed}")
+        rows = t[feed].select(*columns.split(", "), value).distinct()
+        merge.merge_feed(t.spark, path, rows, feed)
+        merge.merge_feed(t.spark, path, rows.filter(f"{key} % 2 = 0").withColumn(value, (F.col(value) + 1).cast(rows.schema[value].dataType)), feed)
+        return t.spark.read.schema(rows.schema).parquet(path).select(*columns.split(", "), value)
+
+    register(f"s08_merge_by_entity_{feed}", build, f"SELECT {columns}, {r(changed, value) if value.endswith('duration') else changed + ' AS ' + value} FROM (SELECT DISTINCT {columns}, {value} FROM {view})")
+
+
+_by_entity("laps", "b_laps", "lap_number", "lap_duration", "session_key, driver_number, lap_number, date_start")
+_by_entity("car_data", "b_car", "driver_number", "speed", "meeting_key, session_key, driver_number, date")
+_by_entity("position", "b_position", "driver_number", "position", "meeting_key, session_key, driver_number, date")
+
+
 register(
     "s09_session_calendar",
     lambda t: landing.sessions_on(landing.session_calendar(t.table("orders"), "o_orderdate", ["o_custkey", "o_orderkey"]), datetime.date(1996, 3, 1)),

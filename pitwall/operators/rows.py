@@ -47,6 +47,6 @@ def with_group_values(df: DataFrame, keys: Sequence[str], **aggs: Column) -> Dat
 
     Written as partial aggregate plus join instead of an unframed window: the aggregate is combined on the
     map side, and a hot key in the join is split by AQE, where a window would pull the group into one task.
+    Rows with a NULL key form a group, as in a window.
     """
-    stats = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    return df.join(stats, list(keys), "left")
+    return null_safe_join(df, df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()]), keys)

@@ -67,7 +67,3 @@ def ordered_list_text(df: DataFrame, keys: Sequence[str], value: str, out: str,
     )
     return counted.groupBy(*keys).agg(F.array_join(texts, sep).alias(out))
 
-
-def group_extreme(df: DataFrame, keys: Sequence[str], base: Column, out: str) -> DataFrame:
-    """Group baseline (an aggregate) attached to each row, NULL keys included."""
-    return null_safe_join(df, df.groupBy(*keys).agg(base.alias(out)), keys)

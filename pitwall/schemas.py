@@ -4,42 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_KINDS = {
-    "L": T.LongType(),
-    "I": T.IntegerType(),
-    "D": T.DoubleType(),
-    "S": T.StringType(),
-    "B": T.BooleanType(),
-    "N": T.TimestampNTZType(),
-    "A": T.ArrayType(T.IntegerType()),
-}
-
 # Column names and types of the landed feeds.
 _COLUMNS = {
-    "car_data": "session_key:L meeting_key:L driver_number:L date:N rpm:I speed:I throttle:I brake:I n_gear:I drs:I",
-    "drivers": "meeting_key:L driver_number:L broadcast_name:S first_name:S last_name:S full_name:S name_acronym:S "
-    "headshot_url:S team_name:S team_colour:S country_code:S session_key:L",
-    "intervals": "meeting_key:L session_key:L driver_number:L date:N gap_to_leader:S interval:S",
-    "laps": "meeting_key:L session_key:L driver_number:L date_start:N lap_duration:D lap_number:I is_pit_out_lap:B "
-    "duration_sector_1:D duration_sector_2:D duration_sector_3:D i1_speed:I i2_speed:I "
-    "segments_sector_1:A segments_sector_2:A segments_sector_3:A st_speed:I",
-    "meetings": "meeting_key:L meeting_name:S meeting_official_name:S country_name:S circuit_key:L circuit_image:S "
-    "circuit_info_url:S circuit_short_name:S circuit_type:S circuit_code:S circuit_flag:S year:I date_start:N "
-    "date_end:N gmt_offset:S is_cancelled:B location:S",
-    "pit": "session_key:L meeting_key:L driver_number:L date:N lap_number:I pit_duration:D lane_duration:D stop_duration:D",
-    "position": "session_key:L driver_number:L date:N meeting_key:L position:I",
-    "sessions": "session_key:L meeting_key:L country_name:S session_name:S session_type:S year:I circuit_key:L "
-    "circuit_short_name:S country_code:S date_start:N date_end:N gmt_offset:S is_cancelled:B location:S",
-    "stints": "meeting_key:L session_key:L driver_number:L stint_number:I lap_start:I lap_end:I compound:S tyre_age_at_start:I",
-    "weather": "meeting_key:L session_key:L date:N air_temperature:D track_temperature:D pressure:D humidity:D "
-    "rainfall:B wind_speed:D wind_direction:I",
-    "race_control": "category:S date:N driver_number:L flag:S message:S lap_number:I meeting_key:S scope:S sector:S session_key:L",
+    "car_data": "session_key bigint, meeting_key bigint, driver_number bigint, date timestamp_ntz, rpm int, speed int, throttle int, brake int, n_gear int, drs int",
+    "drivers": "meeting_key bigint, driver_number bigint, broadcast_name string, first_name string, last_name string, full_name string, name_acronym string, "
+    "headshot_url string, team_name string, team_colour string, country_code string, session_key bigint",
+    "intervals": "meeting_key bigint, session_key bigint, driver_number bigint, date timestamp_ntz, gap_to_leader string, interval string",
+    "laps": "meeting_key bigint, session_key bigint, driver_number bigint, date_start timestamp_ntz, lap_duration double, lap_number int, is_pit_out_lap boolean, "
+    "duration_sector_1 double, duration_sector_2 double, duration_sector_3 double, i1_speed int, i2_speed int, "
+    "segments_sector_1 array<int>, segments_sector_2 array<int>, segments_sector_3 array<int>, st_speed int",
+    "meetings": "meeting_key bigint, meeting_name string, meeting_official_name string, country_name string, circuit_key bigint, circuit_image string, "
+    "circuit_info_url string, circuit_short_name string, circuit_type string, circuit_code string, circuit_flag string, year int, date_start timestamp_ntz, "
+    "date_end timestamp_ntz, gmt_offset string, is_cancelled boolean, location string",
+    "pit": "session_key bigint, meeting_key bigint, driver_number bigint, date timestamp_ntz, lap_number int, pit_duration double, lane_duration double, stop_duration double",
+    "position": "session_key bigint, driver_number bigint, date timestamp_ntz, meeting_key bigint, position int",
+    "sessions": "session_key bigint, meeting_key bigint, country_name string, session_name string, session_type string, year int, circuit_key bigint, "
+    "circuit_short_name string, country_code string, date_start timestamp_ntz, date_end timestamp_ntz, gmt_offset string, is_cancelled boolean, location string",
+    "stints": "meeting_key bigint, session_key bigint, driver_number bigint, stint_number int, lap_start int, lap_end int, compound string, tyre_age_at_start int",
+    "weather": "meeting_key bigint, session_key bigint, date timestamp_ntz, air_temperature double, track_temperature double, pressure double, humidity double, "
+    "rainfall boolean, wind_speed double, wind_direction int",
+    "race_control": "category string, date timestamp_ntz, driver_number bigint, flag string, message string, lap_number int, meeting_key string, scope string, sector string, session_key bigint",
+}
+
+
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType(),
+    "timestamp_ntz": T.TimestampNTZType(), "array<int>": T.ArrayType(T.IntegerType()),
 }
 
 
-def _struct(text: str) -> T.StructType:
-    pairs = (item.split(":") for item in text.split())
-    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
+def _struct(ddl: str) -> T.StructType:
+    """A DDL text as a schema; parsing it by Spark would need a session when this module is imported."""
+    fields = (field.split() for field in ddl.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 SCHEMAS: dict[str, T.StructType] = {feed: _struct(text) for feed, text in _COLUMNS.items()}
@@ -58,21 +55,21 @@ MERGE_KEYS: dict[str, list[str]] = {
 DEFAULT_MERGE_KEY = ["meeting_key", "session_key"]
 
 # Live feeds: JSON rows of the three topics, before their times are parsed.
-_STREAM_HEAD = "replay_id:S event_time:S emitted_at:S meeting_key:L session_key:L driver_number:I "
+_STREAM_HEAD = "replay_id string, event_time string, emitted_at string, meeting_key bigint, session_key bigint, driver_number int, "
 STREAM_SCHEMAS: dict[str, T.StructType] = {
-    "car_data": _struct(_STREAM_HEAD + "brake:I drs:I n_gear:I rpm:L speed:I throttle:I"),
-    "position": _struct(_STREAM_HEAD + "position:I"),
-    "location": _struct(_STREAM_HEAD + "x:I y:I z:I"),
+    "car_data": _struct(_STREAM_HEAD + "brake int, drs int, n_gear int, rpm bigint, speed int, throttle int"),
+    "position": _struct(_STREAM_HEAD + "position int"),
+    "location": _struct(_STREAM_HEAD + "x int, y int, z int"),
 }
 
 # Enveloped records: the payload fields that identify each feed.
 ENVELOPE_PAYLOADS: dict[str, T.StructType] = {
-    "location": _struct("id:S x:D y:D z:D driver_number:I date:S session_key:I meeting_key:I"),
-    "position": _struct("id:S position:I driver_number:I date:S session_key:I meeting_key:I"),
+    "location": _struct("id string, x double, y double, z double, driver_number int, date string, session_key int, meeting_key int"),
+    "position": _struct("id string, position int, driver_number int, date string, session_key int, meeting_key int"),
     "car": _struct(
-        "id:S brake:I drs:I n_gear:I rpm:I speed:I throttle:I driver_number:I date:S session_key:I meeting_key:I"
+        "id string, brake int, drs int, n_gear int, rpm int, speed int, throttle int, driver_number int, date string, session_key int, meeting_key int"
     ),
-    "intervals": _struct("id:S gap_to_leader:D time_interval:D driver_number:I date:S session_key:I meeting_key:I"),
+    "intervals": _struct("id string, gap_to_leader double, time_interval double, driver_number int, date string, session_key int, meeting_key int"),
 }
 
 

@@ -12,7 +12,6 @@ RUNTIME_CONF = {
     # a hot join key is split at run time even when that costs one more exchange
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

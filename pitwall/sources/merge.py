@@ -4,75 +4,128 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pitwall.operators.rows import qualify_first
+from pitwall.schemas import DEFAULT_MERGE_KEY, MERGE_KEYS, partition_key
 from pitwall.settings import DEFAULTS
-from pitwall.sources.scratch import path_exists, scratch_path
+from pitwall.sources.scratch import path_exists, remove_path, scratch_path
 
 STAMPS = ("created_at", "updated_at")
 
 
+def _on(keys: Sequence[str], left: str, right: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.`{k}`") == F.col(f"{right}.`{k}`") for k in keys])
+
+
+def require_keys(keys: Sequence[str], **tables: DataFrame) -> None:
+    """ValueError when a merge key is missing from a table."""
+    missing = {name: [k for k in keys if k not in df.columns] for name, df in tables.items()}
+    if not keys or any(missing.values()):
+        raise ValueError(f"missing merge keys: {missing if keys else 'none given'}")
+
+
+def one_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence | None) -> DataFrame:
+    """The batch with each key once: its first row by `order`.  Without an order a repeated key is an error.
+
+    Rows with a NULL in their key match nothing, so all of them stay.
+    """
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    if order:
+        return qualify_first(batch.filter(whole), keys, order).unionByName(batch.filter(~whole))
+    repeated = batch.filter(whole).groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"the batch holds a key more than once and no order to choose by: {repeated[0]}")
+    return batch
+
+
 def merge_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: datetime.datetime | None = None) -> DataFrame:
-    """Target after the batch: matched rows take the batch's values, new rows are added.
+    """Target after the batch, which holds each key once: matched rows take the batch's values, new rows are added.
 
-    NULL keys never match.  `created_at` of a matched row stays, `updated_at` is stamped, if the target has them.
+    NULL keys never match.  Columns the batch lacks keep their stored value.  `created_at` of a matched row stays, `updated_at` is stamped, if the
+    target has them.  A key stored twice, as a lost run may leave it, is stored once after.
     """
     stamp = F.lit(now).cast("timestamp_ntz") if now else F.current_timestamp().cast("timestamp_ntz")
-    given = [c for c in target.columns if c in batch.columns and c not in keys and c not in STAMPS]
-    new = batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_n_{c}") for c in given], F.lit(True).alias("_hit"))
-    cond = None
-    for k in keys:
-        part = target[k] == new[f"_k_{k}"]
-        cond = part if cond is None else cond & part
-    hit = F.col("_hit").isNotNull()
-
-    def value(c: str):
+    given = [c for c in target.columns if c in batch.columns and c not in STAMPS]
+    rest = [c for c in target.columns if c not in given]
+    kept = target.alias("t").join(batch.select(*keys).alias("b"), _on(keys, "t", "b"), "left_anti")
+    held = target.join(batch.select(*keys), list(keys), "left_semi").groupBy(*keys).agg(F.min(F.struct(F.lit(True).alias("_hit"), *rest)).alias("_held"))
+    new = batch.select(*given).alias("b").join(held.alias("h"), _on(keys, "b", "h"), "left")
+    hit = F.col("h._held").isNotNull()
+
+    def value(c: str) -> Column:
         if c in given:
-            return F.when(hit, F.col(f"_n_{c}")).otherwise(F.col(c))
-        return F.when(hit, stamp).otherwise(F.col(c)) if c == "updated_at" else F.col(c)
-
-    kept = target.join(new, cond, "left").select(*[value(c).alias(c) for c in target.columns])
-    held = target.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-    cond = None
-    for k in keys:
-        part = batch[k] == held[f"_k_{k}"]
-        cond = part if cond is None else cond & part
-    added = batch.join(held, cond, "left_anti")
-    for s in STAMPS:
-        if s in target.columns:
-            added = added.withColumn(s, stamp)
-    return kept.unionByName(added.select(*[c for c in target.columns if c in added.columns]), allowMissingColumns=True)
+            return F.col(f"b.`{c}`")
+        old = F.col(f"h._held.`{c}`")
+        if c == "created_at":
+            return F.when(hit, old).otherwise(stamp)
+        return stamp if c == "updated_at" else old
+
+    return kept.select(*target.columns).unionByName(new.select(*[value(c).alias(c) for c in target.columns]))
+
+
+def _in_partitions(partition: str, values: Sequence) -> Column:
+    """A filter on literal partition values, NULL included, that prunes folders."""
+    known = [v for v in values if v is not None]
+    found = F.col(partition).isin(known) if known else F.lit(False)
+    return found | F.col(partition).isNull() if len(known) < len(values) else found
 
 
 def upsert(
     spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition: str, order: Sequence | None = None,
-    sync_columns: bool = False,
+    sync_columns: bool = False, now: datetime.datetime | None = None,
 ) -> None:
     """Merges a batch into the Parquet table at `path`, rewriting only the partitions the batch touches.
 
-    The partition column must follow from the key, so that a row and its update lie in the same partition.
+    Touched are the partitions of the batch's rows and, unless the partition is part of the key, those where its keys are stored now, found by a scan of
+    the keys alone: a row whose partition value changes moves.  Their values, one per partition, become literals in the scan of the target, so other
+    folders aren't read.  A NULL partition value is a partition like any other.  A repeated key in the batch needs `order`.
 
-    The merged partitions are written aside first and then replace the stored ones, so the table is never
-    overwritten while it is being read and a lost run can be repeated.  `sync_columns` adds columns the table does
-    not have yet, NULL for its older rows; read such a table with `read_synced`.
+    The merged partitions are written aside first and then replace the stored ones, so the table is never overwritten while it is being read and a lost run
+    can be repeated; the copy is removed after.  `sync_columns` adds columns the table does not have yet, NULL for its older rows; read such a table with
+    `read_synced`.
     """
-    if order:
-        batch = qualify_first(batch, keys, order)
-    if path_exists(spark, path):
-        target = read_synced(spark, path) if sync_columns else spark.read.parquet(path)
-        if sync_columns:
-            target = target.unionByName(batch.limit(0), allowMissingColumns=True)
-        touched = batch.select(partition).distinct()
-        merged = merge_rows(target.join(touched, partition, "left_semi").select(*target.columns), batch, keys)
-    else:
-        merged = batch
+    require_keys(keys, batch=batch)
+    batch = batch.persist()
     aside = scratch_path(spark, "merge")
-    # rebalancing by partition avoids many small files and splits a partition that holds most rows
-    merged.hint("rebalance", partition).write.partitionBy(partition).parquet(aside)
-    staged = spark.read.schema(merged.schema).parquet(aside)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    try:
+        merged, emptied = one_per_key(batch, keys, order), None
+        if path_exists(spark, path):
+            target = read_synced(spark, path) if sync_columns else spark.read.parquet(path)
+            require_keys(keys, target=target)
+            if sync_columns:
+                target = target.unionByName(batch.limit(0), allowMissingColumns=True)
+            kind = target.schema[partition].dataType
+            touched = merged.select(F.col(partition).cast(kind))
+            if partition not in keys:
+                touched = touched.union(target.select(*keys, partition).join(batch.select(*keys), list(keys), "left_semi").select(partition))
+            values = [r[0] for r in touched.distinct().collect()]
+            stored = target.filter(_in_partitions(partition, values))
+            merged = merge_rows(stored, merged.withColumn(partition, F.col(partition).cast(kind)), keys, now)
+            emptied = spark.read.parquet(path).filter(_in_partitions(partition, values))
+        # rebalancing by partition avoids many small files and splits a partition that holds most rows
+        merged.hint("rebalance", partition).write.partitionBy(partition).parquet(aside)
+        staged = spark.read.schema(merged.schema).parquet(aside)
+        folders = []
+        if emptied is not None:
+            left = [r[0] for r in staged.select(partition).distinct().collect()]
+            gone = [v for v in values if v not in left]
+            if gone:
+                files = emptied.filter(_in_partitions(partition, gone)).select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder"))
+                folders = [r[0] for r in files.distinct().collect()]
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        for folder in folders:
+            remove_path(spark, folder)
+    finally:
+        remove_path(spark, aside)
+        batch.unpersist()
+
+
+def merge_feed(spark: SparkSession, path: str, batch: DataFrame, feed: str, order: Sequence | None = None, now: datetime.datetime | None = None) -> None:
+    """Upserts landed rows of a feed by the feed's own merge key, partitioned by session (meetings by meeting)."""
+    upsert(spark, path, batch, MERGE_KEYS.get(feed, DEFAULT_MERGE_KEY), partition_key(feed), order, now=now)
 
 
 def read_synced(spark: SparkSession, path: str) -> DataFrame:
@@ -90,11 +143,11 @@ def lookback_bound(spark: SparkSession, path: str, at: str, days: int = DEFAULTS
 
 def incremental_load(
     spark: SparkSession, path: str, build: Callable[[datetime.datetime | None], DataFrame], keys: Sequence[str], at: str, partition: str,
-    days: int = DEFAULTS.lookback_days,
+    days: int = DEFAULTS.lookback_days, order: Sequence | None = None,
 ) -> None:
     """Builds the rows newer than the look-back bound and merges them.
 
     The bound is a literal in the plan of `build`, so it prunes partitions and row groups.  Rows that arrive
     later than the look-back need a full rebuild.
     """
-    upsert(spark, path, build(lookback_bound(spark, path, at, days)), keys, partition)
+    upsert(spark, path, build(lookback_bound(spark, path, at, days)), keys, partition, order)

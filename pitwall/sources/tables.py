@@ -21,8 +21,8 @@ def read_seed(spark: SparkSession, path: str, schema: str = SEED_SCHEMA) -> Data
 
 
 def with_drs_label(df: DataFrame, seed: DataFrame) -> DataFrame:
-    """The seed has one row per DRS code, sixteen at most, so it is broadcast."""
-    return df.join(F.broadcast(seed), df["drs"] == seed["drs_state"], "left").drop("drs_state")
+    """Adds the label of the DRS state; the planner broadcasts the seed by its size."""
+    return df.join(seed, df["drs"] == seed["drs_state"], "left").drop("drs_state")
 
 
 def materialise(spark: SparkSession, df: DataFrame, name: str, kind: str, path: str | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitwall.schemas import SCHEMAS
+from pitwall.operators import checks
+from pitwall.operators.rows import with_group_values
 from pitwall.sources import landing, merge
 from pitwall.sources.scratch import scratch_path
 
@@ -132,3 +134,66 @@ def test_scratch_needs_a_shared_folder():
 
     with pytest.raises(ValueError):
         scratch_path(Session(), "x")
+
+
+def _merge(spark, path, data, **how):
+    merge.upsert(spark, path, spark.createDataFrame(data, "k int, v string, p string"), ["k"], "p", **how)
+    return rows(spark.read.parquet(path).select("k", "v", "p"))
+
+
+def test_upsert_keeps_rows_without_a_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _merge(spark, path, [(1, "a", None), (2, "b", "x")])
+    assert _merge(spark, path, [(3, "c", None)]) == [(1, "a", None), (2, "b", "x"), (3, "c", None)]
+    assert _merge(spark, path, [(1, "d", None), (2, "e", "x")]) == [(1, "d", None), (2, "e", "x"), (3, "c", None)]
+
+
+def test_upsert_moves_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _merge(spark, path, [(1, "a", "x"), (2, "b", "y"), (3, "c", None)])
+    assert _merge(spark, path, [(1, "a2", "y"), (3, "c2", "z")]) == [(1, "a2", "y"), (2, "b", "y"), (3, "c2", "z")]
+    # a run that was lost between the new partition and the removal of the old one left the row twice
+    spark.createDataFrame([(1, "a")], "k int, v string").write.mode("append").parquet(f"{path}/p=x")
+    assert _merge(spark, path, [(1, "a2", "y")]) == [(1, "a2", "y"), (2, "b", "y"), (3, "c2", "z")]
+
+
+def test_upsert_refuses_repeated_and_missing_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _merge(spark, path, [(1, "a", "x")])
+    with pytest.raises(ValueError):
+        _merge(spark, path, [(2, "b", "x"), (2, "c", "x")])
+    assert _merge(spark, path, [(2, "b", "x"), (2, "c", "x"), (None, "n", "x"), (None, "n", "x")], order=[F.col("v")]) == [(1, "a", "x"), (2, "b", "x"), (None, "n", "x"), (None, "n", "x")]
+    with pytest.raises(ValueError):
+        merge.upsert(spark, path, spark.createDataFrame([("z", "x")], "v string, p string"), ["k"], "p")
+    with pytest.raises(ValueError):
+        merge.merge_feed(spark, str(tmp_path / "f"), spark.createDataFrame([(1, 2)], "session_key bigint, driver_number bigint"), "laps")
+
+
+def test_merge_reads_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    _merge(spark, path, [(i, "a", f"p{i % 5}") for i in range(20)])
+    target = spark.read.parquet(path).filter(merge._in_partitions("p", ["p1", None]))
+    plan = target._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "p1" in filters and "isnull" in filters
+    before = {r[0] for r in spark.read.parquet(path).filter("p = 'p2'").select("_metadata.file_path").distinct().collect()}
+    _merge(spark, path, [(1, "b", "p1")])
+    assert {r[0] for r in spark.read.parquet(path).filter("p = 'p2'").select("_metadata.file_path").distinct().collect()} == before
+
+
+def test_full_rebuilds_replace_the_table(spark, tmp_path):
+    path = str(tmp_path / "c")
+    days = spark.createDataFrame([(1, 1), (2, 2)], "event_date int, k int")
+    landing.write_clustered(days, path, ["event_date", "k"])
+    landing.write_clustered(days.filter("event_date = 1"), path, ["event_date", "k"])
+    assert rows(spark.read.parquet(path).select("event_date", "k")) == [(1, 1)]
+    df, path = spark.createDataFrame([(5,), (50,)], "v int"), str(tmp_path / "f")
+    rules = [checks.Rule("high", F.col("v") > 10), checks.Rule("low", F.col("v") < 10, severity="warn")]
+    checks.store_failures(df, rules, path)
+    checks.store_failures(df.filter("v < 10"), rules, path)
+    assert rows(spark.read.parquet(path)) == [(5, "low")]
+
+
+def test_group_values_of_null_keys(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 5.0)], "k int, v double")
+    assert rows(with_group_values(df, ["k"], mean=F.avg("v"))) == [(1, 5.0, 5.0), (None, 1.0, 2.0), (None, 3.0, 2.0)]
