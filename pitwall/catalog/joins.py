@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pitwall import functions as fx
 from pitwall.catalog.registry import query, register
 from pitwall.catalog.scalars import r
-from pitwall.operators.intervals import asof_join, last_in_interval, mean_spacing, numbers_between, range_join
+from pitwall.operators.intervals import asof_join, last_in_interval, spacing, numbers_between, range_join
 from pitwall.plans import dashboard as x, laps as d, production as p
 
 CAR, LAP = p.CAR, p.LAP
@@ -36,12 +36,11 @@ def _(t):
     return c.join(t.table("nation"), F.col("code").cast("int") == F.col("n_nationkey"), "left").select("c_custkey", "n_name")
 
 
-@query("j05_fan_out", "SELECT s_suppkey, c_custkey FROM supplier JOIN customer ON s_nationkey = c_nationkey AND c_mktsegment = 'BUILDING'")
+@query("j05_fan_out", "SELECT session_key, m.meeting_key, meeting_name FROM b_sessions s JOIN b_meetings m ON m.country_name = s.country_name AND m.year = s.year")
 def _(t):
-    # both sides repeat the key; every match is part of the result
-    s = t.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), F.lit("BUILDING").alias("segment"))
-    c = t.table("customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"))
-    return s.join(c, ["nation", "segment"]).select("s_suppkey", "c_custkey")
+    # a country with several meetings a year repeats its sessions; every match is part of the result
+    meetings = t["meetings"].select("meeting_key", "meeting_name", "country_name", "year")
+    return t["sessions"].select("session_key", "country_name", "year").join(meetings, ["country_name", "year"]).select("session_key", "meeting_key", "meeting_name")
 
 
 _MATCH = "session_key, driver_number, lap_number"
@@ -49,7 +48,7 @@ register(
     "j06_range_closed",
     lambda t: range_join(
         p.laps(t).select(*LAP, "date_start", "date_end"), t["position"].select(*CAR, "date", "position"), CAR, "date_start", "date_end", "date",
-        mean_spacing(t["laps"], CAR, "date_start"), closed=True,
+        spacing(t["laps"], CAR, "date_start"), closed=True,
     ).select(*LAP, "date", "position"),
     f"SELECT {_MATCH}, p.date, p.position FROM b_position p JOIN p_laps l USING (session_key, driver_number) WHERE p.date BETWEEN l.date_start AND l.date_end",
 )
@@ -62,7 +61,7 @@ register(
 )
 def _(t):
     lap = d._windows(t, d.DEFAULTS).select(*LAP, "lap_start_at", "lap_end_at")
-    hits = range_join(lap, t["car_data"].select(*CAR, "date", "speed"), CAR, "lap_start_at", "lap_end_at", "date", mean_spacing(t["laps"], CAR, "date_start"))
+    hits = range_join(lap, t["car_data"].select(*CAR, "date", "speed"), CAR, "lap_start_at", "lap_end_at", "date", spacing(t["laps"], CAR, "date_start"))
     return lap.select(*LAP).join(hits.select(*LAP, "date", "speed"), LAP, "left")
 
 
@@ -74,7 +73,7 @@ def _(t):
 def _(t):
     lap = p.laps(t).select(*LAP, "date_start", "date_end")
     gaps = t["intervals"].select(*CAR, fx.trunc_to("second", F.col("date")).alias("at"), "gap_to_leader")
-    hits = range_join(lap, gaps, CAR, "date_start", "date_end", "at", mean_spacing(t["laps"], CAR, "date_start"), closed=True)
+    hits = range_join(lap, gaps, CAR, "date_start", "date_end", "at", spacing(t["laps"], CAR, "date_start"), closed=True)
     return lap.select(*LAP).join(hits.select(*LAP, "gap_to_leader"), LAP, "left")
 
 
@@ -87,10 +86,10 @@ register(
 register(
     "j10_session_range",
     lambda t: range_join(
-        p.stint_laps(t).select(*CAR, "stint_number", "stint_start_time", "stint_end_time"), t["weather"].select("session_key", "date", "humidity"), ["session_key"],
-        "stint_start_time", "stint_end_time", "date", mean_spacing(t["laps"], CAR, "date_start"), closed=True,
-    ).select(*CAR, "stint_number", "date", "humidity"),
-    f"SELECT session_key, driver_number, stint_number, w.date, {r('w.humidity', 'humidity')} FROM p_stint_laps JOIN b_weather w USING (session_key) WHERE w.date BETWEEN stint_start_time AND stint_end_time",
+        p.stint_laps(t).select(*CAR, "stint_number", "stint_start_time", "stint_end_time"), t["position"].select(*CAR, "date", "position"), CAR,
+        "stint_start_time", "stint_end_time", "date", spacing(t["laps"], CAR, "date_start"), closed=True,
+    ).select(*CAR, "stint_number", "date", "position"),
+    "SELECT session_key, driver_number, stint_number, o.date, o.position FROM p_stint_laps JOIN b_position o USING (session_key, driver_number) WHERE o.date BETWEEN stint_start_time AND stint_end_time",
 )
 register(
     "j11_asof",
@@ -110,7 +109,7 @@ register(
 )
 def _(t):
     lap = d._windows(t, d.DEFAULTS).select(*LAP, "lap_start_at", "lap_end_at")
-    width = mean_spacing(t["laps"], CAR, "date_start")
+    width = spacing(t["laps"], CAR, "date_start")
     hit = last_in_interval(lap, {"position": t["position"].select(*CAR, "date", "position")}, CAR, LAP, "lap_start_at", "lap_end_at", width)
     return lap.select(*LAP).join(hit, LAP, "left")
 

@@ -78,6 +78,7 @@ register(
 register(
     "p11_loaded_at",
     lambda t: t.table("nation").withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz")).select("n_nationkey", F.col("loaded_at").isNotNull().alias("stamped")),
+    "SELECT n_nationkey, true AS stamped FROM nation",
 )
 
 # --- text --------------------------------------------------------------------------------------------------

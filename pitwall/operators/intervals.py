@@ -8,24 +8,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitwall.functions.times import micros
-from pitwall.operators.ordered import HOUR, carry_forward, time_bucket
+from pitwall.operators.ordered import neighbours, time_bucket
 
 BIN = "_bin"
+WIDTH = "_width"
 MINUTE_US = 60_000_000
 
 
-def mean_spacing(df: DataFrame, keys: Sequence[str], at: str) -> Column:
-    """Mean distance of consecutive events of a group in microseconds, one minute at least.
+def spacing(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
+    """Per key the mean distance of consecutive events in microseconds, one minute at least: the keys and WIDTH.
 
-    A scalar subquery over one partially aggregated pass.  Intervals that run from one event to the next
-    have this mean length, so cutting time into bins of this width gives at most about three bins per
-    interval in total, however unequal the intervals are.
+    Intervals that run from one event of a key to its next have this mean length, so cutting the key's time into bins of this width gives about
+    three bins per interval at most in total, however unequal the intervals are, and a bin of a busy key is as narrow as its own events ask for.
     """
-    spans = df.groupBy(*keys).agg(
-        (F.max(micros(F.col(at))) - F.min(micros(F.col(at)))).alias("span"), F.count(at).alias("n")
-    )
-    mean = F.try_divide(F.sum("span"), F.sum("n"))
-    return spans.agg(F.greatest(F.coalesce(mean, F.lit(0.0)), F.lit(float(MINUTE_US))).cast("bigint").alias("w")).scalar()
+    spans = df.dropna(subset=[*keys, at]).groupBy(*keys).agg((F.max(micros(F.col(at))) - F.min(micros(F.col(at)))).alias("_span"), F.count(at).alias("_n"))
+    mean = F.greatest(F.col("_span") / F.col("_n"), F.lit(float(MINUTE_US)))
+    return spans.select(*keys, mean.cast("bigint").alias(WIDTH))
 
 
 def range_join(
@@ -35,23 +33,27 @@ def range_join(
     start: str,
     end: str,
     at: str,
-    width_us: Column | int,
+    width: DataFrame | int,
     closed: bool = False,
     keep_bin: bool = False,
 ) -> DataFrame:
     """All pairs with `start <= at < end` (or `<= end` when closed) and equal keys.
 
     Each interval is copied to the time bins it touches, so a hot key is spread over its bins and a task only
-    sees events near its intervals; a point lies in one bin, so no pair appears twice.  `keep_bin` leaves the bin
-    in the result: grouping by keys, bin and more then reuses the partitioning of the join.
+    sees events near its intervals; a point lies in one bin, so no pair appears twice.  The bin width is a number of
+    microseconds, or one per key (`spacing`), carried on both sides by a join with one row per key; keys without a
+    width have no pairs.  `keep_bin` leaves the bin in the result: grouping by keys, bin and more then reuses the
+    partitioning of the join.
     """
-    width = width_us if isinstance(width_us, Column) else F.lit(width_us)
+
+    def wide(df: DataFrame) -> DataFrame:
+        return df.withColumn(WIDTH, F.lit(width)) if isinstance(width, int) else df.join(width, list(keys))
 
     def cut(c: str) -> Column:
-        return F.floor(micros(F.col(c)) / width).cast("bigint")
+        return F.floor(micros(F.col(c)) / F.col(WIDTH)).cast("bigint")
 
-    spread = intervals.filter(F.col(start) <= F.col(end)).withColumn(BIN, F.explode(F.sequence(cut(start), cut(end))))
-    located = points.withColumn(BIN, cut(at))
+    spread = wide(intervals.filter(F.col(start) <= F.col(end))).withColumn(BIN, F.explode(F.sequence(cut(start), cut(end)))).drop(WIDTH)
+    located = wide(points).withColumn(BIN, cut(at)).drop(WIDTH)
     pairs = spread.join(located, [*keys, BIN], "inner")
     upper = F.col(at) <= F.col(end) if closed else F.col(at) < F.col(end)
     pairs = pairs.filter((F.col(at) >= F.col(start)) & upper)
@@ -76,7 +78,7 @@ def last_in_interval(
     id_cols: Sequence[str],
     start: str,
     end: str,
-    width_us: Column | int,
+    width: DataFrame | int,
 ) -> DataFrame:
     """Latest row of each feed inside every interval that has one, for several feeds in a single join.
 
@@ -91,7 +93,7 @@ def last_in_interval(
         packed.append(df.select(*keys, F.col(fields[0]).alias(at), F.struct(*fields).alias(f"_f_{name}")))
     points = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
     narrow = intervals.select(*dict.fromkeys([*keys, *id_cols, start, end]))
-    pairs = range_join(narrow, points, keys, start, end, at, width_us)
+    pairs = range_join(narrow, points, keys, start, end, at, width)
     best = pairs.groupBy(*id_cols).agg(*[F.max(f"_f_{name}").alias(f"_f_{name}") for name in feeds])
     return best.select(*id_cols, *[F.col(f"_f_{name}")[c].alias(c) for name, fields in layout.items() for c in fields])
 
@@ -103,24 +105,35 @@ def asof_join(
     left_at: str,
     right_at: str,
     values: Sequence[str],
-    bucket_seconds: int = HOUR,
 ) -> DataFrame:
     """Every left row with the latest right row at or before it; NULLs where there is none.
 
-    Both sides form one ordered stream per key and the right row is carried forward as a whole struct, so a
-    NULL field of the latest row is kept.  The stream is cut into time buckets, see `ordered`.
+    A right row is valid from its time to that of the next one of its key, found by one pass over the right side; of rows at one time the largest
+    counts.  The validity intervals are cut into bins as wide as the key's readings are apart, and left rows meet them by key and bin, in a plain join
+    that is split at run time where a bin holds very many left rows.  Left rows at or after a key's last reading take it from one row per key and are
+    dealt out by a hash, so no interval needs an open end.  Left rows are neither sorted nor gathered by key.
     """
-    payload = F.struct(F.col(right_at), *[F.col(v) for v in values])
-    rtype = right.select(payload.alias("p")).schema["p"].dataType
-    lrow = F.struct(*[F.col(c) for c in left.columns])
-    ltype = left.select(lrow.alias("l")).schema["l"].dataType
-    stamped = left.select(
-        *keys, F.col(left_at).alias("_t"), F.lit(1).alias("_side"), lrow.alias("_left"), F.lit(None).cast(rtype).alias("_right")
-    )
-    feed = right.filter(F.col(right_at).isNotNull()).select(
-        *keys, F.col(right_at).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(ltype).alias("_left"), payload.alias("_right")
+    stamped = right.filter(F.col(right_at).isNotNull()).groupBy(*keys, right_at).agg(F.max(F.struct(*values)).alias("_v"))
+    reading = F.struct(F.col(right_at), *[F.col("_v")[v].alias(v) for v in values])
+    linked = neighbours(stamped, keys, [right_at], time_bucket(F.col(right_at)), next={"_until": F.col(right_at)}).withColumn("_reading", reading)
+    ends = stamped.groupBy(*keys).agg(F.max(F.struct(F.col(right_at), F.col("_v"))).alias("_e")).select(
+        *keys, F.struct(F.col("_e")[right_at].alias(right_at), *[F.col("_e._v")[v].alias(v) for v in values]).alias("_last")
     )
-    filled = carry_forward(
-        stamped.unionByName(feed), keys, ["_t", "_side"], {"_hit": F.col("_right")}, time_bucket(F.col("_t"), bucket_seconds)
+    widths = spacing(stamped, keys, right_at)
+    tail = ends.join(widths, list(keys)).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last", WIDTH)
+
+    def cut(c: Column) -> Column:
+        return F.floor(micros(c) / F.col(WIDTH)).cast("bigint")
+
+    last_us = F.timestamp_add("MICROSECOND", F.lit(-1), F.col("_until"))
+    spread = linked.filter(F.col("_until").isNotNull()).join(widths, list(keys)).select(
+        *[F.col(k).alias(f"_r_{k}") for k in keys], F.explode(F.sequence(cut(F.col(right_at)), cut(last_us))).alias("_r_bin"), F.lit(True).alias("_r_open"),
+        F.col(right_at).alias("_from"), "_until", "_reading",
     )
-    return filled.filter(F.col("_side") == 1).select("_left.*", *[F.col("_hit")[c].alias(c) for c in [right_at, *values]])
+    rows = left.join(tail, reduce(lambda a, b: a & b, [left[k] == F.col(f"_k_{k}") for k in keys]), "left")
+    before_end = F.coalesce(F.col(left_at) < F.col("_last")[right_at], F.lit(False))
+    rows = rows.withColumn("_open", before_end).withColumn(BIN, F.when(before_end, cut(F.col(left_at))).otherwise(F.pmod(F.xxhash64(*left.columns), F.lit(4096))))
+    met = reduce(lambda a, b: a & b, [left[k] == F.col(f"_r_{k}") for k in keys]) & (F.col("_open") == F.col("_r_open")) & (F.col(BIN) == F.col("_r_bin"))
+    found = rows.join(spread, met & (F.col(left_at) >= F.col("_from")) & (F.col(left_at) < F.col("_until")), "left")
+    hit = F.when(F.col(left_at) >= F.col("_last")[right_at], F.col("_last")).otherwise(F.col("_reading"))
+    return found.withColumn("_hit", hit).select(*[left[c] for c in left.columns], *[F.col("_hit")[c].alias(c) for c in [right_at, *values]])

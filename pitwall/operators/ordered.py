@@ -146,6 +146,19 @@ def split_row_number(
     return shifted.select(*[F.col(c) for c in df.columns], place.cast("bigint").alias(out))
 
 
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], bucket: Column) -> DataFrame:
+    """The named numbers replaced by their sums over the group up to and including the current row; NULL counts as zero."""
+    inside = Window.partitionBy(*keys, _B)
+    so_far = inside.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = df.withColumn(_B, bucket)
+    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy(*keys, _B).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    sizes = sizes.select(*keys, _B, *[F.sum(f"_t_{v}").over(before).alias(f"_o_{v}") for v in values])
+    here = cut.select(*[c for c in df.columns if c not in values], _B, *[F.sum(v).over(so_far).alias(f"_i_{v}") for v in values])
+    joined = here.join(sizes, [*keys, _B], "left")
+    return joined.select(*[(F.coalesce(f"_i_{c}", F.lit(0)) + F.coalesce(f"_o_{c}", F.lit(0))).alias(c) if c in values else F.col(c) for c in df.columns])
+
+
 def split_dense_rank(df: DataFrame, keys: Sequence[str], value: str, bucket: Column, out: str, descending: bool = False) -> DataFrame:
     """dense_rank over one value: distinct values are counted first, so ties never meet in a window."""
     distinct = df.select(*keys, value).distinct()

@@ -8,7 +8,7 @@ from pitwall.functions import (
     bool_int, category, clean_text, drs_active, drs_detected, full_name, gap_seconds, guarded_stint_length, hex_colour_stripped,
     humidity_band, is_lapped_gap, pct_delta, sky_band, strict_concat_ws, surrogate_key, time_text, track_band, tyre_age, within,
 )
-from pitwall.operators.intervals import BIN, asof_join, last_in_interval, mean_spacing, numbers_between, range_join
+from pitwall.operators.intervals import BIN, asof_join, last_in_interval, spacing, numbers_between, range_join
 from pitwall.operators.ordered import neighbours, number_bucket
 from pitwall.operators.reshape import sectors_long
 from pitwall.operators.rows import latest, qualify_first
@@ -208,8 +208,8 @@ def _windows(t, s: Settings) -> DataFrame:
 
 
 def _spacing(t):
-    """Mean lap length, the bin width of the interval joins."""
-    return mean_spacing(t["laps"], CAR, "date_start")
+    """Mean lap length of each car, the bin width of the interval joins."""
+    return spacing(t["laps"].select(*_keys(*CAR), "date_start"), CAR, "date_start")
 
 
 @plan

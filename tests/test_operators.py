@@ -102,6 +102,24 @@ def test_range_join_boundaries(spark):
     assert intervals.range_join(lap, at, ["key"], "a", "b", "ts", 60_000_000, closed=True).count() == 2
 
 
+def test_range_join_with_a_width_per_key(events, spans):
+    """A busy key gets narrow bins, a sparse one wide ones, and no pair is lost."""
+    widths = intervals.spacing(events, ["key"], "ts")
+    by = {r["key"]: r["_width"] for r in widths.collect()}
+    assert by["hot"] < min(w for k, w in by.items() if k != "hot") / 10
+    got = intervals.range_join(spans, events, ["key"], "a", "b", "ts", widths).select("sid", "id")
+    same(got, spans.join(events, "key").filter("ts >= a and ts < b").select("sid", "id"))
+
+
+@pytest.mark.parametrize("seconds", [60, 3600, 10**7])
+def test_running_totals(events, seconds):
+    df = events.select("id", "key", "ts", "v", F.col("id").cast("double").alias("n"))
+    got = ordered.running_totals(df, ["key"], ["ts"], ["v", "n"], ordered.time_bucket(F.col("ts"), seconds))
+    want = df.select("id", "key", "ts", F.coalesce(F.sum("v").over(by_key()), F.lit(0.0)).alias("v"), F.sum("n").over(by_key()).alias("n"))
+    rounded = [d.select("id", "key", "ts", *[F.round(c, 6) for c in d.columns[3:]]) for d in (got, want)]
+    same(*rounded)
+
+
 def test_last_in_interval_of_two_feeds(events, spans):
     feeds = {"x": events.select("key", F.col("ts").alias("x_at"), F.col("id").alias("x_id")), "y": events.filter("id % 2 = 0").select("key", F.col("ts").alias("y_at"), F.col("v").alias("y_v"))}
     got = intervals.last_in_interval(spans, feeds, ["key"], ["sid"], "a", "b", 10**10)
@@ -116,9 +134,9 @@ def test_last_in_interval_of_two_feeds(events, spans):
 def test_asof(spark, events):
     probes = events.filter("id % 2 = 0").select("id", "key", "ts").unionByName(spark.createDataFrame([(-1, "hot", None), (-2, "none", START)], "id int, key string, ts timestamp_ntz"))
     right = events.filter("id % 5 = 0").select("key", F.col("ts").alias("at"), F.col("v").alias("rv"))
-    for seconds in (60, 3600, 10**7):
-        got = intervals.asof_join(probes, right, ["key"], "ts", "at", ["rv"], seconds).select("id", "at", "rv")
-        want = probes.join(right, (probes["key"] == right["key"]) & (right["at"] <= probes["ts"]), "left")
+    for readings in (right, right.filter("minute(at) < 9"), right.filter("key = 'hot' AND hour(at) = 3"), right.filter("false")):
+        got = intervals.asof_join(probes, readings, ["key"], "ts", "at", ["rv"]).select("id", "at", "rv")
+        want = probes.join(readings, (probes["key"] == readings["key"]) & (readings["at"] <= probes["ts"]), "left")
         want = want.groupBy("id").agg(F.max("at"), F.max_by("rv", "at"))
         same(got, want)
 
