@@ -24,10 +24,6 @@ def emitted():
     return F.lit("2024-02-01").cast("timestamp_ntz")
 
 
-# a last record far behind all others moves the watermark past every open window
-FLUSH = "2100-01-01 00:00:00.000000"
-
-
 def _records(t, feed: str, copies: int = 1) -> str:
     """Live records of a feed as JSON text files."""
     path = scratch_path(t.spark, f"topic-{feed}")
@@ -37,19 +33,27 @@ def _records(t, feed: str, copies: int = 1) -> str:
     return path
 
 
-def _flush(t, path: str, feed: str) -> None:
-    last = {"replay_id": "flush", "event_time": FLUSH, "emitted_at": FLUSH, "session_key": -1, "driver_number": -1}
-    t.spark.createDataFrame([last], "replay_id string, event_time string, emitted_at string, session_key bigint, driver_number int").select(
-        F.to_json(F.struct("*")).alias("value")
-    ).write.mode("append").text(path)
-
-
 def _sink(t, stream: DataFrame, partition: str | None = None) -> DataFrame:
     path = scratch_path(t.spark, "sink")
     sinks.drain(sinks.append_table(stream, path, scratch_path(t.spark, "state"), partition, once=True))
     return t.spark.read.schema(stream.schema).parquet(path)
 
 
+def _new_only(t, stream: DataFrame, keys: list[str], order: list, partition: str = "event_date") -> DataFrame:
+    """The stream's first record per key, through the sink that keeps late records."""
+    path = scratch_path(t.spark, "new")
+    sinks.drain(sinks.append_new(stream, path, scratch_path(t.spark, "state"), keys, partition, order, once=True))
+    return sinks.read_batches(t.spark, path)
+
+
+def _windows(t, feed: str, build) -> DataFrame:
+    """Windows of a feed whose files arrive one by one, in whatever order."""
+    path, stored = scratch_path(t.spark, "windows"), scratch_path(t.spark, "records")
+    stream = feeds.parse_feed(feeds.file_rows(t.spark, _records(t, feed), files_per_batch=2), feed)
+    sinks.drain(sinks.keep_windows(stream, stored, path, scratch_path(t.spark, "state"), ["session_key", "driver_number"], "event_time", "1 minute", build, once=True))
+    return t.spark.read.parquet(path).drop("event_date")
+
+
 _MS = "date_trunc('millisecond', date)"
 _HEAD = f"'{REPLAY}' AS replay_id, {_MS} AS event_time, TIMESTAMP '2024-02-01' AS emitted_at, meeting_key, session_key, CAST(driver_number AS INTEGER) AS driver_number"
 
@@ -92,25 +96,62 @@ def _envelopes(t, copies: int = 1) -> str:
     return path
 
 
-register("st03_unwrap", lambda t: _sink(t, feeds.unwrap(feeds.file_rows(t.spark, _envelopes(t)), "position")), _UNWRAPPED)
-register(
-    "st04_skip_duplicates",
-    lambda t: _sink(t, state.skip_duplicates(feeds.unwrap(feeds.file_rows(t.spark, _envelopes(t, copies=2)), "position"), "id", "date")),
-    _UNWRAPPED,
+@query(
+    "st07_normalise_intervals",
+    f"""SELECT {key('session_key', 'driver_number', time('date'))} AS id, CASE WHEN NOT contains(gap_to_leader, 'L') THEN TRY_CAST(gap_to_leader AS DOUBLE) END AS gap_to_leader,
+        CASE WHEN NOT contains("interval", 'L') THEN TRY_CAST("interval" AS DOUBLE) END AS time_interval, CAST(driver_number AS INTEGER) AS driver_number, date_trunc('second', date) AS date,
+        CAST(session_key AS INTEGER) AS session_key, CAST(meeting_key AS INTEGER) AS meeting_key FROM b_intervals""",
 )
+def _(t):
+    """Interval rows through their envelope and back."""
+    path, rows = scratch_path(t.spark, "envelopes"), feeds.normalise_intervals(t["intervals"])
+    rows.select(feeds.enveloped(rows).alias("value")).write.text(path)
+    return _sink(t, feeds.unwrap(feeds.file_rows(t.spark, path), "intervals"))
+
+
+def _payload_of(t, feed: str, payload: str, kind: str) -> DataFrame:
+    ids = [F.col(c).cast("int").alias(c) for c in ("driver_number", "session_key", "meeting_key")]
+    values = [F.col(c).cast(kind).alias(c) for c in feeds.MEASURES[feed]]
+    id_ = fx.surrogate_key(F.col("session_key"), F.col("driver_number"), fx.time_text(F.col("date"))).alias("id")
+    return t[feed].select(id_, *values, ids[0], F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"), *ids[1:]).select(*ENVELOPE_PAYLOADS[payload].fieldNames())
+
+
+def _unwrapped(feed: str, payload: str, view: str, kind: str, sql_kind: str) -> None:
+    def build(t):
+        path, rows = scratch_path(t.spark, "envelopes"), _payload_of(t, feed, payload, kind)
+        rows.select(feeds.enveloped(rows).alias("value")).write.text(path)
+        return _sink(t, feeds.unwrap(feeds.file_rows(t.spark, path), payload))
+
+    columns = ", ".join(f"CAST({c} AS {sql_kind}) AS {c}" for c in feeds.MEASURES[feed])
+    register(
+        f"st03_unwrap_{payload}", build,
+        f"""SELECT {key('session_key', 'driver_number', time('date'))} AS id, {columns}, CAST(driver_number AS INTEGER) AS driver_number, date_trunc('second', date) AS date,
+            CAST(session_key AS INTEGER) AS session_key, CAST(meeting_key AS INTEGER) AS meeting_key FROM {view}""",
+    )
+
+
+_unwrapped("car_data", "car", "b_car", "int", "INTEGER")
+_unwrapped("location", "location", "b_location", "double", "DOUBLE")
+register("st03_unwrap", lambda t: _sink(t, feeds.unwrap(feeds.file_rows(t.spark, _envelopes(t)), "position")), _UNWRAPPED)
+@query("st04_skip_duplicates", _UNWRAPPED)
+def _(t):
+    stream = feeds.unwrap(feeds.file_rows(t.spark, _envelopes(t, copies=2)), "position").withColumn("event_date", F.to_date("date"))
+    return _new_only(t, stream, ["id"], [F.col("date")]).drop("event_date")
+
+
 _SECONDS = f"""SELECT event_type, user_id, second{{extra}} FROM (SELECT event_type, user_id, date_trunc('second', ts) AS second, event_id, ts FROM events)
-       QUALIFY row_number() OVER (PARTITION BY event_type, user_id, second ORDER BY ts) = 1"""
+       QUALIFY row_number() OVER (PARTITION BY event_type, user_id, second ORDER BY ts, event_id) = 1"""
 register(
     "st05_first_per_second",
-    lambda t: feeds.first_per_second(t.table("events"), ["event_type", "user_id"], "ts").select("event_type", "user_id", "second", "event_id"),
+    lambda t: feeds.first_per_second(t.table("events"), ["event_type", "user_id"], "ts", ["event_id"]).select("event_type", "user_id", "second", "event_id"),
     _SECONDS.format(extra=", event_id"),
 )
 
 
 @query("st05_one_per_second_stream", "SELECT DISTINCT driver_number, date_trunc('second', date) AS second FROM (SELECT CAST(driver_number AS INTEGER) AS driver_number, date FROM b_position)")
 def _(t):
-    stream = feeds.parse_feed(feeds.file_rows(t.spark, _records(t, "position", copies=2)), "position")
-    return _sink(t, state.one_per_second(stream, ["driver_number"], "event_time").select("driver_number", "second"))
+    stream = feeds.parse_feed(feeds.file_rows(t.spark, _records(t, "position", copies=2)), "position").withColumn("second", fx.trunc_to("second", F.col("event_time")))
+    return _new_only(t, stream.select("driver_number", "second", "event_time", "event_date"), ["driver_number", "second"], [F.col("event_time")]).select("driver_number", "second")
 
 
 @query(
@@ -163,11 +204,7 @@ _WINDOWS = f"""SELECT session_key, CAST(driver_number AS INTEGER) AS driver_numb
        {r('avg(throttle)', 'avg_throttle')}, max(drs) AS max_drs_state, max(n_gear) AS max_gear FROM b_car GROUP BY ALL"""
 
 
-@query("st11_telemetry_windows", _WINDOWS)
-def _(t):
-    path = _records(t, "car_data")
-    _flush(t, path, "car_data")
-    return _sink(t, state.telemetry_windows(feeds.parse_feed(feeds.file_rows(t.spark, path), "car_data"))).filter(F.col("session_key") > 0)
+register("st11_telemetry_windows", lambda t: _windows(t, "car_data", state.telemetry_windows), _WINDOWS)
 
 
 register(
@@ -183,10 +220,7 @@ register(
         QUALIFY row_number() OVER (PARTITION BY session_key, driver_number, date_trunc('minute', date) ORDER BY date DESC) = 1""",
 )
 def _(t):
-    path = _records(t, "position")
-    _flush(t, path, "position")
-    stream = feeds.parse_feed(feeds.file_rows(t.spark, path), "position")
-    return _sink(t, state.latest_windows(stream, ["session_key", "driver_number"], "event_time", ["position"])).filter(F.col("session_key") > 0)
+    return _windows(t, "position", lambda rows: state.latest_windows(rows, ["session_key", "driver_number"], "event_time", ["position"]))
 
 
 @query(
@@ -203,11 +237,22 @@ def _(t):
     return t.spark.read.schema(stream.schema).parquet(path)
 
 
-@query("st14_progress", "SELECT count(*) AS processed FROM b_position")
+@query(
+    "st14_progress",
+    "SELECT session_key, CAST(driver_number AS INTEGER) AS driver_number, count(*) AS processed, count(*) FILTER (k % 3 <> 0) AS inserted FROM e_all WHERE event_type = 'signup' GROUP BY ALL",
+)
 def _(t):
-    stream = feeds.parse_feed(feeds.file_rows(t.spark, _records(t, "position")), "position").observe("feed", F.count("*").alias("inserted"))
-    run = sinks.drain(sinks.append_table(stream, scratch_path(t.spark, "sink"), scratch_path(t.spark, "state"), once=True))
-    return sinks.progress(t.spark, run).agg(F.sum("input_rows").alias("processed"))
+    """Every third record lacks its position: it is processed but not inserted."""
+    source, path, counts = scratch_path(t.spark, "topic"), scratch_path(t.spark, "sink"), scratch_path(t.spark, "counts")
+    body = F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("event_time"), "session_key", F.col("driver_number").cast("int").alias("driver_number"), F.when(F.col("k") % 3 != 0, F.col("k")).alias("position"))
+    t.events("signup").select(F.to_json(body).alias("value")).repartition(5).write.text(source)
+    stream = feeds.parse_feed(feeds.file_rows(t.spark, source, files_per_batch=1), "position")
+    by = ["session_key", "driver_number"]
+    sinks.drain(sinks.append_counted(stream, path, counts, scratch_path(t.spark, "state"), ["position"], by, once=True))
+    # what the counters say was inserted must be in the table
+    held = sinks.read_batches(t.spark, path).groupBy(*by).agg(F.count("*").alias("held"))
+    told = sinks.progress(t.spark, counts, by).join(held, by, "left")
+    return told.select(*by, "processed", F.when(F.col("inserted") == F.coalesce("held", F.lit(0)), F.col("inserted")).alias("inserted"))
 
 
 _TO = datetime.datetime(2024, 1, 12)

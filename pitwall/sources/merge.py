@@ -66,7 +66,7 @@ def merge_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], now: da
     return kept.select(*target.columns).unionByName(new.select(*[value(c).alias(c) for c in target.columns]))
 
 
-def _in_partitions(partition: str, values: Sequence) -> Column:
+def in_partitions(partition: str, values: Sequence) -> Column:
     """A filter on literal partition values, NULL included, that prunes folders."""
     known = [v for v in values if v is not None]
     found = F.col(partition).isin(known) if known else F.lit(False)
@@ -102,9 +102,9 @@ def upsert(
             if partition not in keys:
                 touched = touched.union(target.select(*keys, partition).join(batch.select(*keys), list(keys), "left_semi").select(partition))
             values = [r[0] for r in touched.distinct().collect()]
-            stored = target.filter(_in_partitions(partition, values))
+            stored = target.filter(in_partitions(partition, values))
             merged = merge_rows(stored, merged.withColumn(partition, F.col(partition).cast(kind)), keys, now)
-            emptied = spark.read.parquet(path).filter(_in_partitions(partition, values))
+            emptied = spark.read.parquet(path).filter(in_partitions(partition, values))
         # rebalancing by partition avoids many small files and splits a partition that holds most rows
         merged.hint("rebalance", partition).write.partitionBy(partition).parquet(aside)
         staged = spark.read.schema(merged.schema).parquet(aside)
@@ -113,7 +113,7 @@ def upsert(
             left = [r[0] for r in staged.select(partition).distinct().collect()]
             gone = [v for v in values if v not in left]
             if gone:
-                files = emptied.filter(_in_partitions(partition, gone)).select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder"))
+                files = emptied.filter(in_partitions(partition, gone)).select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder"))
                 folders = [r[0] for r in files.distinct().collect()]
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
         for folder in folders:

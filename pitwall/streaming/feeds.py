@@ -6,8 +6,8 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from pitwall.functions import int_or_default, micros, stream_key, time_text, trunc_to, utc, utc_or_epoch
-from pitwall.operators.rows import earliest, qualify_first
+from pitwall.functions import int_or_default, micros, numeric_gap, stream_key, surrogate_key, time_text, trunc_to, utc, utc_or_epoch
+from pitwall.operators.rows import earliest
 from pitwall.schemas import ENVELOPE_PAYLOADS, STREAM_SCHEMAS
 
 MEASURES = {
@@ -64,6 +64,14 @@ def keyed(df: DataFrame) -> DataFrame:
     return df.select(stream_key(F.col("replay_id"), F.col("driver_number")).alias("key"), F.to_json(F.struct("*")).alias("value"))
 
 
+def normalise_intervals(df: DataFrame) -> DataFrame:
+    """Raw interval rows in the payload form of their envelope: gaps in seconds as doubles, NULL for lapped cars and missing values, `interval` renamed."""
+    ids = [int_or_default(F.col(c)).cast("int").alias(c) for c in ("driver_number", "session_key", "meeting_key")]
+    gaps = {"gap_to_leader": numeric_gap(F.col("gap_to_leader")), "time_interval": numeric_gap(F.col("interval"))}
+    rows = df.withColumns({"_at": F.date_format("date", "yyyy-MM-dd HH:mm:ss"), "id": surrogate_key(F.col("session_key"), F.col("driver_number"), time_text(F.col("date")))})
+    return rows.select("id", *[c.alias(n) for n, c in gaps.items()], ids[0], F.col("_at").alias("date"), *ids[1:])
+
+
 # Fields that tell the feeds apart, tested in this order.
 REQUIRED = {"location": ["x", "y", "z"], "position": ["position"], "car": ["rpm", "speed"], "intervals": ["gap_to_leader"]}
 
@@ -79,9 +87,9 @@ def route(df: DataFrame) -> DataFrame:
     return df.withColumn("feed", tag)
 
 
-def first_per_second(df: DataFrame, keys: list[str], at: str) -> DataFrame:
-    """Batch down-sampling: the first reading per key and second."""
-    return earliest(df.withColumn("second", trunc_to("second", F.col(at))), [*keys, "second"], at)
+def first_per_second(df: DataFrame, keys: list[str], at: str, ties: list[str] | None = None) -> DataFrame:
+    """Batch down-sampling: the first reading per key and second, of readings at one time the first by `ties`."""
+    return earliest(df.withColumn("second", trunc_to("second", F.col(at))), [*keys, "second"], at, [F.col(c) for c in ties or []])
 
 
 def replay_window(df: DataFrame, at: str, start: datetime.datetime, minutes: int = 30) -> DataFrame:
@@ -110,7 +118,3 @@ def panel(df: DataFrame, replay_id: str, start: datetime.datetime, end: datetime
     time = F.col("event_time").between(F.lit(start), F.lit(end))
     return df.filter(day & time & (F.col("replay_id") == replay_id)).select("event_time", *columns)
 
-
-def one_per_id(df: DataFrame, key: str, at: str) -> DataFrame:
-    """Batch form of skipping duplicate keys: the earliest record wins."""
-    return qualify_first(df, [key], [F.col(at)])

@@ -1,13 +1,22 @@
-"""Stream sinks: append tables, topics, merges; progress counters."""
+"""Stream sinks: append tables, topics, merges, windows kept up to date, counters.
+
+Sinks that write by micro-batch put each batch into folders of its own number, so a batch that runs again replaces what it wrote before.  None of them
+forgets: a record counts however late it comes, and what is kept between batches is the table itself.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pitwall.sources.merge import upsert
+from pitwall.sources.landing import split_valid
+from pitwall.sources.merge import in_partitions, one_per_key, upsert
+from pitwall.sources.scratch import path_exists
+from pitwall.streaming.state import window_start
+
+BATCH = "batch_id"
 
 
 def append_table(stream: DataFrame, path: str, checkpoint: str, partition: str | None = "event_date", once: bool = False) -> StreamingQuery:
@@ -29,11 +38,85 @@ def merge_table(
     once: bool = False,
 ) -> StreamingQuery:
     """Upserts every micro-batch; running a batch again leaves the same table."""
+    return _each_batch(stream, checkpoint, lambda batch, _: upsert(batch.sparkSession, path, prepare(batch), keys, partition, order), once)
+
+
+def _put(rows: DataFrame, path: str, batch_id: int, partition: Sequence[str] = ()) -> None:
+    numbered = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition, BATCH).parquet(path)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """A table written batch by batch."""
+    return spark.read.parquet(path).drop(BATCH)
+
 
-    def merge_batch(batch: DataFrame, _: int) -> None:
-        upsert(batch.sparkSession, path, prepare(batch), keys, partition, order)
+def _each_batch(stream: DataFrame, checkpoint: str, put: Callable[[DataFrame, int], None], once: bool) -> StreamingQuery:
+    def held(batch: DataFrame, batch_id: int) -> None:
+        # used several times below; read from the source once
+        batch = batch.persist()
+        try:
+            put(batch, batch_id)
+        finally:
+            batch.unpersist()
 
-    return _start(stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint), once)
+    return _start(stream.writeStream.foreachBatch(held).option("checkpointLocation", checkpoint), once)
+
+
+def append_new(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partition: str, order: Sequence, once: bool = False) -> StreamingQuery:
+    """Appends the records whose key the table doesn't hold; of a batch the first by `order`.  The partition must follow from the key: only the
+    batch's own partitions are read."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        new = one_per_key(batch, keys, order)
+        if path_exists(batch.sparkSession, path):
+            days = [r[0] for r in batch.select(partition).distinct().collect()]
+            held = batch.sparkSession.read.parquet(path).filter(in_partitions(partition, days) & (F.col(BATCH) != batch_id))
+            new = new.join(held.select(*keys), list(keys), "left_anti")
+        _put(new, path, batch_id, [partition])
+
+    return _each_batch(stream, checkpoint, put, once)
+
+
+def keep_windows(
+    stream: DataFrame, rows_path: str, path: str, checkpoint: str, keys: Sequence[str], at: str, width: str, build: Callable[[DataFrame], DataFrame], once: bool = False
+) -> StreamingQuery:
+    """Appends all records to a table, and keeps a second one of their windows: every batch rebuilds the windows it touches from all their stored
+    records.  `build` makes windows (keys, window_start, values) of records; a window lies within one `event_date`.  Records with a NULL in a key are
+    stored but are in no window."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        _put(batch, rows_path, batch_id, ["event_date"])
+        touched = batch.dropna(subset=list(keys)).withColumn("window_start", window_start(at, width)).select(*keys, "window_start").distinct()
+        days = [r[0] for r in batch.select("event_date").distinct().collect()]
+        stored = read_batches(spark, rows_path).filter(in_partitions("event_date", days)).withColumn("window_start", window_start(at, width))
+        windows = build(stored.join(touched, [*keys, "window_start"], "left_semi").drop("window_start"))
+        upsert(spark, path, windows.withColumn("event_date", F.to_date("window_start")), [*keys, "window_start", "event_date"], "event_date")
+
+    return _each_batch(stream, checkpoint, put, once)
+
+
+def append_counted(
+    stream: DataFrame, path: str, counts_path: str, checkpoint: str, required: Sequence[str], by: Sequence[str], partition: str = "event_date", once: bool = False
+) -> StreamingQuery:
+    """Appends records that have all required fields, and counts per batch and group those processed and those inserted."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        good, _ = split_valid(batch, required)
+        _put(good, path, batch_id, [partition])
+        whole = F.lit(True)
+        for c in required:
+            whole = whole & F.col(c).isNotNull()
+        _put(batch.groupBy(*by).agg(F.count("*").alias("processed"), F.count_if(whole).alias("inserted")), counts_path, batch_id)
+
+    return _each_batch(stream, checkpoint, put, once)
+
+
+def progress(spark: SparkSession, counts_path: str, by: Sequence[str]) -> DataFrame:
+    """Records processed and inserted so far, and batches, per group: summed from what the sink has written, so it covers every batch."""
+    counts = spark.read.parquet(counts_path)
+    return counts.groupBy(*by).agg(F.sum("processed").alias("processed"), F.sum("inserted").alias("inserted"), F.count_distinct(BATCH).alias("batches"))
 
 
 def _start(writer, once: bool) -> StreamingQuery:
@@ -46,18 +129,3 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     if query.exception() is not None:
         raise query.exception()
     return query
-
-
-def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Batches and processed rows of a query, with its observed metrics, from the progress reports Spark keeps."""
-    rows = [
-        (int(p["batchId"]), int(p["numInputRows"]), {k: str(v) for k, v in _metrics(p).items()}) for p in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint, metrics map<string, string>")
-
-
-def _metrics(report) -> dict:
-    out: dict = {}
-    for row in dict(report["observedMetrics"] or {}).values():
-        out.update(row.asDict() if hasattr(row, "asDict") else dict(row))
-    return out

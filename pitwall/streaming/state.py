@@ -1,4 +1,7 @@
-"""Stateful stream operators; a watermark bounds the state of each."""
+"""Windows, and stateful stream operators whose state a watermark bounds.
+
+Records later than the watermark are lost to the stateful operators; `sinks.append_new` and `sinks.keep_windows` keep them.
+"""
 
 from __future__ import annotations
 
@@ -32,6 +35,11 @@ def windowed(df: DataFrame, keys: list[str], at: str, width: str, aggs: dict[str
     return out.select(*keys, F.col("_w.start").cast("timestamp_ntz").alias("window_start"), *aggs)
 
 
+def window_start(at: str, width: str) -> Column:
+    """Start of the tumbling window a time lies in."""
+    return F.window(F.col(at).cast("timestamp"), width)["start"].cast("timestamp_ntz")
+
+
 def telemetry_windows(df: DataFrame, at: str = "event_time") -> DataFrame:
     aggs = {
         "sample_count": F.count("*"), "avg_speed": F.avg("speed"), "max_speed": F.max("speed"), "avg_throttle": F.avg("throttle"),
@@ -49,6 +57,6 @@ def weather_windows(df: DataFrame, at: str = "date") -> DataFrame:
 
 
 def latest_windows(df: DataFrame, keys: list[str], at: str, values: list[str], width: str = "1 minute") -> DataFrame:
-    """Latest values per key and window."""
-    out = windowed(df, keys, at, width, {"_last": F.max_by(F.struct(at, *values), F.col(at))})
+    """Latest values per key and window; of records at one time the largest values."""
+    out = windowed(df, keys, at, width, {"_last": F.max(F.struct(at, *values))})
     return out.select(*keys, "window_start", "_last.*")

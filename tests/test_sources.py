@@ -172,7 +172,7 @@ def test_upsert_refuses_repeated_and_missing_keys(spark, tmp_path):
 def test_merge_reads_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     _merge(spark, path, [(i, "a", f"p{i % 5}") for i in range(20)])
-    target = spark.read.parquet(path).filter(merge._in_partitions("p", ["p1", None]))
+    target = spark.read.parquet(path).filter(merge.in_partitions("p", ["p1", None]))
     plan = target._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "p1" in filters and "isnull" in filters

@@ -95,6 +95,38 @@ def test_merge_sink_repeats_safely(spark, tmp_path):
     assert got.count() == 2
 
 
+def test_late_records_count(spark, tmp_path):
+    """A record that is a month late is in the table and in its window."""
+    source = tmp_path / "in"
+    write(source, "a.json", [car(40 * 86400, speed=1), car(10, speed=2)])
+    stream = feeds.parse_feed(feeds.file_rows(spark, str(source), files_per_batch=1), "car_data")
+
+    def once():
+        sinks.drain(sinks.append_new(stream, str(tmp_path / "new"), str(tmp_path / "s1"), ["driver_number", "event_time"], "event_date", [F.col("speed")], once=True))
+        sinks.drain(sinks.keep_windows(stream, str(tmp_path / "rows"), str(tmp_path / "win"), str(tmp_path / "s2"), ["session_key", "driver_number"], "event_time", "1 minute", state.telemetry_windows, once=True))
+
+    once()
+    write(source, "b.json", [car(20, speed=4), car(10, speed=9), car(30 * 86400, speed=5), car(3, driver=None)])
+    once()
+    got = sinks.read_batches(spark, str(tmp_path / "new"))
+    assert sorted((r["event_time"], r["speed"]) for r in got.filter("driver_number = 44").collect()) == sorted((T0 + dt.timedelta(seconds=s), v) for s, v in ((40 * 86400, 1), (10, 2), (20, 4), (30 * 86400, 5)))
+    windows = {r["window_start"]: (r["sample_count"], r["max_speed"]) for r in spark.read.parquet(str(tmp_path / "win")).collect()}
+    assert windows == {T0: (3, 9), T0 + dt.timedelta(30): (1, 5), T0 + dt.timedelta(40): (1, 1)}
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 6
+
+
+def test_progress_over_many_batches(spark, tmp_path):
+    """More batches than the reports Spark keeps of a query."""
+    source, out, counts = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "counts")
+    for i in range(104):
+        write(source, f"{i:03}.json", [car(i, driver=i % 3, speed=None if i % 4 == 0 else 5)])
+    stream = feeds.parse_feed(feeds.file_rows(spark, str(source), files_per_batch=1), "car_data")
+    sinks.drain(sinks.append_counted(stream, out, counts, str(tmp_path / "state"), ["speed"], ["driver_number"], once=True))
+    got = {r["driver_number"]: (r["processed"], r["inserted"]) for r in sinks.progress(spark, counts, ["driver_number"]).collect()}
+    assert got == {d: (sum(i % 3 == d for i in range(104)), sum(i % 3 == d and i % 4 > 0 for i in range(104))) for d in range(3)}
+    assert sinks.read_batches(spark, out).count() == sum(n for _, n in got.values())
+
+
 def test_route_order(spark):
     df = spark.createDataFrame([(1, 2, 3, None, None, None, None), (None, None, None, 4, 5, 6, "1"), (None,) * 7], "x int, y int, z int, position int, rpm int, speed int, gap_to_leader string")
     assert [r["feed"] for r in feeds.route(df).collect()] == ["location", "position", None]
