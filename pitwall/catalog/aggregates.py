@@ -172,8 +172,8 @@ register(
 
 register(
     "u01_union_all",
-    lambda t: append_all([t.table("lineitem").filter(F.col("l_returnflag") == f).select("l_orderkey", "l_linenumber", "l_partkey", F.lit(f).alias("part")) for f in "ANR"]),
-    "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag AS part FROM lineitem WHERE l_returnflag IN ('A', 'N', 'R')",
+    lambda t: append_all([t.table("lineitem").filter(open_).select("l_orderkey", "l_linenumber", "l_partkey", F.lit(name).alias("part")) for name, open_ in (("open", F.col("l_linestatus") == "O"), ("rest", ~F.col("l_linestatus").eqNullSafe("O")))]),
+    "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linestatus = 'O' THEN 'open' ELSE 'rest' END AS part FROM lineitem",
 )
 register(
     "u02_wide_to_long",
@@ -182,6 +182,6 @@ register(
 )
 register(
     "u03_append_chunks",
-    lambda t: append_all([t.events().filter(F.col("session_key") == s).select("event_id", "ts") for s in (1, 2, 3)]),
+    lambda t: append_all([t.events().filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).select("event_id", "ts") for part in range(3)]),
     "SELECT event_id, ts FROM events",
 )

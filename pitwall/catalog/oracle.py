@@ -43,7 +43,7 @@ def rounded(block: str, doubles: str = "", dates: str = "", drop: str = "") -> s
 
 BLOCKS["e_all"] = """
 SELECT event_id, ts, user_id, event_type, value, props, CAST(regexp_extract(props, '[0-9]+', 0) AS INTEGER) AS k,
-       CAST(1 + (day(ts) - 1) // 10 AS BIGINT) AS session_key, user_id AS driver_number, CAST(1 AS BIGINT) AS meeting_key
+       CAST(1 + (day(ts) - 1) // 10 AS BIGINT) AS session_key, user_id AS driver_number, CAST(1 + (day(ts) - 1) // 10 AS BIGINT) AS meeting_key
 FROM events"""
 BLOCKS["b_car"] = """
 SELECT session_key, meeting_key, driver_number, ts AS date, 150 * k AS rpm, 3 * k AS speed, k AS throttle,
@@ -60,7 +60,7 @@ SELECT session_key, meeting_key, driver_number, ts AS date, 1 + k % 5 AS lap_num
 BLOCKS["b_weather"] = """
 SELECT meeting_key, session_key, ts AS date, 10 + value / 20 AS air_temperature, 15 + value / 10 AS track_temperature,
        CAST(1000 + k AS DOUBLE) AS pressure, CAST(k AS DOUBLE) AS humidity, k % 5 = 0 AS rainfall, k / 10 AS wind_speed, 3 * k AS wind_direction
-FROM e_all WHERE user_id % 10 = 0 AND day(ts) > 2"""
+FROM e_all WHERE user_id % 3 = 0"""
 BLOCKS["b_laps"] = """
 SELECT meeting_key, session_key, driver_number, ts AS date_start, 40 + value AS lap_duration,
        CAST(row_number() OVER (PARTITION BY session_key, driver_number ORDER BY ts) AS INTEGER) AS lap_number, k % 10 = 0 AS is_pit_out_lap,
@@ -74,12 +74,12 @@ SELECT meeting_key, session_key, driver_number, stint_number, lap_start, lap_end
 FROM (SELECT meeting_key, session_key, driver_number, CAST(1 + (lap_number - 1) // 2 AS INTEGER) AS stint_number, min(lap_number) AS lap_start,
              max(lap_number) AS lap_end FROM b_laps GROUP BY ALL)"""
 BLOCKS["b_sessions"] = """
-SELECT CAST(1 + r_regionkey AS BIGINT) AS session_key, CAST(1 AS BIGINT) AS meeting_key, r_name AS country_name,
-       (['Race', 'Qualifying', 'Sprint'])[1 + r_regionkey] AS session_name, (['Race', 'Qualifying', 'Sprint'])[1 + r_regionkey] AS session_type,
+SELECT CAST(1 + r_regionkey AS BIGINT) AS session_key, CAST(1 + r_regionkey AS BIGINT) AS meeting_key, r_name AS country_name,
+       (['Race', 'Qualifying', 'Sprint', 'Practice', 'Sprint Qualifying'])[1 + r_regionkey] AS session_name, (['Race', 'Qualifying', 'Sprint', 'Practice', 'Sprint Qualifying'])[1 + r_regionkey] AS session_type,
        2024 AS year, CAST(r_regionkey AS BIGINT) AS circuit_key, r_name AS circuit_short_name, substr(r_name, 1, 3) AS country_code,
        TIMESTAMP '2024-01-01' + to_days(10 * r_regionkey) AS date_start, TIMESTAMP '2024-01-11' + to_days(10 * r_regionkey) AS date_end,
        '00:00:00' AS gmt_offset, CASE WHEN r_regionkey = 1 THEN false END AS is_cancelled, ' ' || r_name AS location
-FROM region WHERE r_regionkey < 3"""
+FROM region"""
 BLOCKS["b_meetings"] = """
 SELECT CAST(1 + r_regionkey AS BIGINT) AS meeting_key, r_name AS meeting_name, r_name || ' Grand Prix' AS meeting_official_name,
        r_name AS country_name, CAST(r_regionkey AS BIGINT) AS circuit_key, 'None' AS circuit_image, '' AS circuit_info_url,
@@ -88,11 +88,11 @@ SELECT CAST(1 + r_regionkey AS BIGINT) AS meeting_key, r_name AS meeting_name, r
        '00:00:00' AS gmt_offset, CAST(NULL AS BOOLEAN) AS is_cancelled, r_name AS location
 FROM region"""
 BLOCKS["b_drivers"] = """
-SELECT CAST(1 AS BIGINT) AS meeting_key, c_custkey AS driver_number, c_name AS broadcast_name, split_part(c_name, '#', 1) AS first_name,
+SELECT s AS meeting_key, c_custkey AS driver_number, c_name AS broadcast_name, split_part(c_name, '#', 1) AS first_name,
        split_part(c_name, '#', 2) AS last_name, c_name AS full_name, upper(substr(c_mktsegment, 1, 3)) AS name_acronym, 'None' AS headshot_url,
        n_name AS team_name, lpad(CAST(c_nationkey AS VARCHAR), 6, '0') AS team_colour, lower(substr(n_name, 1, 3)) AS country_code,
-       CAST(s AS BIGINT) AS session_key
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey, unnest([1, 2, 3]) AS u(s)
+       s AS session_key
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey, (SELECT session_key AS s FROM b_sessions)
 WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'click')"""
 BLOCKS["b_location"] = """
 SELECT meeting_key, session_key, driver_number, ts AS date, k AS x, 2 * k AS y, k - 50 AS z FROM e_all WHERE event_type = 'error'"""

@@ -11,6 +11,7 @@ from pitwall.operators.ordered import DAY, split_row_number, time_bucket
 
 GAP_TEXT = {0: "+1 LAP", 1: "None", 2: "1:23.4", 3: "+2 LAPS", 4: ""}
 COMPOUND_BY_REMAINDER = ("SOFT", "MEDIUM", "HARD", None, "WET")
+SESSION_TYPES = ["Race", "Qualifying", "Sprint", "Practice", "Sprint Qualifying"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +47,7 @@ class Feeds:
             F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"),
             (F.floor((F.dayofmonth("ts") - 1) / 10) + 1).cast("bigint").alias("session_key"),
             F.col("user_id").alias("driver_number"),
-            F.lit(1).cast("bigint").alias("meeting_key"),
+            (F.floor((F.dayofmonth("ts") - 1) / 10) + 1).cast("bigint").alias("meeting_key"),
         )
 
     def _car_data(self) -> DataFrame:
@@ -83,7 +84,7 @@ class Feeds:
 
     def _weather(self) -> DataFrame:
         k, v = F.col("k"), F.col("value")
-        e = self.events().filter((F.col("user_id") % 10 == 0) & (F.dayofmonth("ts") > 2))
+        e = self.events().filter(F.col("user_id") % 3 == 0)
         return e.select(
             "meeting_key", "session_key", F.col("ts").alias("date"), (v / 20 + 10).alias("air_temperature"),
             (v / 10 + 15).alias("track_temperature"), (k + 1000).cast("double").alias("pressure"), k.cast("double").alias("humidity"),
@@ -120,11 +121,11 @@ class Feeds:
         )
 
     def _sessions(self) -> DataFrame:
-        r, key = self.table("region").filter("r_regionkey < 3"), F.col("r_regionkey")
-        kind = F.when(key == 0, "Race").when(key == 1, "Qualifying").otherwise("Sprint")
+        r, key = self.table("region"), F.col("r_regionkey")
+        kind = F.element_at(F.array(*map(F.lit, SESSION_TYPES)), key.cast("int") + 1)
         start = F.timestamp_add("DAY", key * 10, F.lit("2024-01-01").cast("timestamp_ntz"))
         return r.select(
-            (key + 1).cast("bigint").alias("session_key"), F.lit(1).cast("bigint").alias("meeting_key"), F.col("r_name").alias("country_name"),
+            (key + 1).cast("bigint").alias("session_key"), (key + 1).cast("bigint").alias("meeting_key"), F.col("r_name").alias("country_name"),
             kind.alias("session_name"), kind.alias("session_type"), F.lit(2024).alias("year"), key.cast("bigint").alias("circuit_key"),
             F.col("r_name").alias("circuit_short_name"), F.substring("r_name", 1, 3).alias("country_code"), start.alias("date_start"),
             F.timestamp_add("DAY", F.lit(10), start).alias("date_end"), F.lit("00:00:00").alias("gmt_offset"),
@@ -147,9 +148,11 @@ class Feeds:
         racing = self.events("click").select(F.col("user_id").alias("c_custkey")).distinct()
         c = self.table("customer").join(racing, "c_custkey", "left_semi")
         n = self.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-        c = c.join(n, "c_nationkey", "left").withColumn("session_key", F.explode(F.sequence(F.lit(1), F.lit(3))))
+        # one entry per region
+        keys = self["sessions"].agg(F.collect_list("session_key")).scalar()
+        c = c.join(n, "c_nationkey", "left").withColumn("session_key", F.explode(keys))
         return c.select(
-            F.lit(1).cast("bigint").alias("meeting_key"), F.col("c_custkey").alias("driver_number"), F.col("c_name").alias("broadcast_name"),
+            F.col("session_key").alias("meeting_key"), F.col("c_custkey").alias("driver_number"), F.col("c_name").alias("broadcast_name"),
             F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"), F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
             F.col("c_name").alias("full_name"), F.upper(F.substring("c_mktsegment", 1, 3)).alias("name_acronym"),
             F.lit("None").alias("headshot_url"), F.col("n_name").alias("team_name"),
