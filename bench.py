@@ -14,10 +14,10 @@ from pitwall.catalog.registry import load_all, runnable
 from pitwall.session import local_session
 
 HEADLINE = [
-    "m15_lap_positions", "m20_car_telemetry", "m21_race_history", "m22_leaderboard", "m23_race_summary", "d12_lap_gaps", "d16_lap_telemetry", "d17_lap_weather",
+    "m15_lap_positions", "m19_stint_weather", "m20_car_telemetry", "m21_race_history", "m22_leaderboard", "m23_race_summary", "d12_lap_gaps", "d16_lap_telemetry", "d17_lap_weather",
     "d21_lap_gap_evolution", "d22_pit_out_impact", "d23_sector_pace", "d24_sector_position_impact", "d25_telemetry_laps", "d28_team_tyre_strategy",
     "d29_tyre_degradation", "d30_tyre_weather_impact", "x19_telemetry_minutes", "x20_driver_session_summary", "x22_position_minutes", "x23_race_leaderboard",
-    "x25_weather_slices", "x26_session_summary", "w01_dedupe_latest", "w08_lag_delta", "w13_fill_forward", "a07_median", "j11_asof", "u02_wide_to_long",
+    "x25_weather_slices", "x26_session_summary", "w01_dedupe_latest", "w08_lag_delta", "w13_fill_forward", "a07_median", "j10_session_range", "j11_asof", "u02_wide_to_long",
     "s08_upsert", "st11_telemetry_windows",
 ]
 

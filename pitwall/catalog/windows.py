@@ -41,12 +41,12 @@ register(
         ORDER BY CASE WHEN l_quantity > 25 THEN l_shipdate END DESC NULLS LAST, l_tax NULLS LAST, l_orderkey, l_partkey, l_suppkey, l_extendedprice) = 1""",
 )
 register(
-    "w03_latest_per_key", lambda t: latest(t.table("events"), ["user_id"], "ts").select("user_id", "event_id", "ts", "event_type"),
-    "SELECT user_id, event_id, ts, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1",
+    "w03_latest_per_key", lambda t: latest(t.table("events"), ["user_id"], "ts", [F.col("event_id")]).select("user_id", "event_id", "ts", "event_type"),
+    "SELECT user_id, event_id, ts, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1",
 )
 register(
-    "w04_first_per_key", lambda t: earliest(t.table("events"), ["user_id", "event_type"], "ts").select("user_id", "event_type", "event_id", "ts"),
-    "SELECT user_id, event_type, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts) = 1",
+    "w04_first_per_key", lambda t: earliest(t.table("events"), ["user_id", "event_type"], "ts", [F.col("event_id")]).select("user_id", "event_type", "event_id", "ts"),
+    "SELECT user_id, event_type, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1",
 )
 def bal_col():
     return F.when(F.col("c_acctbal") > 0, F.col("c_acctbal"))
@@ -78,19 +78,19 @@ register(
 
 @query(
     "w08_lag_delta",
-    f"""SELECT event_id, user_id, {r('lag(value) OVER w', 'previous')}, {r('value - lag(value) OVER w', 'delta')} FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)""",
+    f"""SELECT event_id, user_id, {r('lag(value) OVER w', 'previous')}, {r('value - lag(value) OVER w', 'delta')} FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 def _(t):
-    out = neighbours(t.table("events"), ["user_id"], ["ts"], user_day(), prev={"previous": F.col("value")})
+    out = neighbours(t.table("events"), ["user_id"], ["ts", "event_id"], user_day(), prev={"previous": F.col("value")})
     return out.select("event_id", "user_id", "previous", (F.col("value") - F.col("previous")).alias("delta"))
 
 
 register(
     "w09_lead",
     lambda t: neighbours(
-        t.table("events"), ["user_id", "event_type"], ["ts"], user_day(), next={"next_ts": F.col("ts"), "next_value": F.col("value")}
+        t.table("events"), ["user_id", "event_type"], ["ts", "event_id"], user_day(), next={"next_ts": F.col("ts"), "next_value": F.col("value")}
     ).select("event_id", "user_id", "next_ts", "next_value"),
-    f"""SELECT event_id, user_id, lead(ts) OVER w AS next_ts, {r('lead(value) OVER w', 'next_value')} FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts)""",
+    f"""SELECT event_id, user_id, lead(ts) OVER w AS next_ts, {r('lead(value) OVER w', 'next_value')} FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)""",
 )
 
 
@@ -173,15 +173,15 @@ def _(t):
 
 register(
     "w17_latest_per_minute",
-    lambda t: latest(t.table("events").withColumn("minute", fx.trunc_to("minute", F.col("ts"))), ["event_type", "minute"], "ts").select("event_type", "minute", "event_id", "ts"),
-    "SELECT event_type, date_trunc('minute', ts) AS minute, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('minute', ts) ORDER BY ts DESC) = 1",
+    lambda t: latest(t.table("events").withColumn("minute", fx.trunc_to("minute", F.col("ts"))), ["event_type", "minute"], "ts", [F.col("event_id")]).select("event_type", "minute", "event_id", "ts"),
+    "SELECT event_type, date_trunc('minute', ts) AS minute, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('minute', ts) ORDER BY ts DESC, event_id) = 1",
 )
 register(
     "w18_global_neighbours",
     lambda t: neighbours(
-        t.events().filter(F.col("k") > 50), [], ["ts"], time_bucket(F.col("ts")), prev={"prev_reading": F.col("ts")}, next={"next_reading": F.col("ts")}
+        t.events().filter(F.col("k") > 50), [], ["ts", "event_id"], time_bucket(F.col("ts")), prev={"prev_reading": F.col("ts")}, next={"next_reading": F.col("ts")}
     ).select("event_id", "prev_reading", "next_reading"),
-    "SELECT event_id, lag(ts) OVER (ORDER BY ts) AS prev_reading, lead(ts) OVER (ORDER BY ts) AS next_reading FROM e_all WHERE k > 50",
+    "SELECT event_id, lag(ts) OVER (ORDER BY ts, event_id) AS prev_reading, lead(ts) OVER (ORDER BY ts, event_id) AS next_reading FROM e_all WHERE k > 50",
 )
 register(
     "w19_qualify",
@@ -196,8 +196,8 @@ register(
     f"SELECT c_custkey, c_mktsegment, {r('c_acctbal', 'c_acctbal')} FROM customer ORDER BY c_mktsegment, c_acctbal DESC NULLS LAST, c_custkey",
 )
 register(
-    "l02_newest", lambda t: t.table("events").orderBy(F.col("ts").desc()).limit(20).select("event_id", "ts", "user_id"),
-    "SELECT event_id, ts, user_id FROM events ORDER BY ts DESC LIMIT 20",
+    "l02_newest", lambda t: t.table("events").orderBy(F.col("ts").desc(), "event_id").limit(20).select("event_id", "ts", "user_id"),
+    "SELECT event_id, ts, user_id FROM events ORDER BY ts DESC, event_id LIMIT 20",
 )
 
 

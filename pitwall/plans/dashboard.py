@@ -13,7 +13,7 @@ from pitwall.operators.ordered import number_bucket, split_row_number
 from pitwall.operators.rows import latest, qualify_first
 from pitwall.operators.stats import min_by_first, ordered_list_text
 from pitwall.plans.laps import CAR, DRIVER_INFO, LAP, SECTORS, SESSION_INFO, _keys, _one_per, _since
-from pitwall.plans.memo import plan
+from pitwall.plans.memo import Replaced, plan
 from pitwall.settings import DEFAULTS, RACE_TYPES, Settings
 
 WHO = [*DRIVER_INFO, "team_colour_hex"]
@@ -222,8 +222,9 @@ def with_names(t, df: DataFrame, drivers_too: bool = True) -> DataFrame:
 
 def telemetry_minutes_of(df: DataFrame) -> DataFrame:
     """One-minute rollup; the same aggregation serves the stream (see `streaming.rollups`)."""
-    minute = trunc_to("minute", F.col("timestamp_utc"))
-    out = df.withColumn("sample_minute", minute).groupBy("meeting_key", *CAR, "sample_minute").agg(
+    if "sample_minute" not in df.columns:
+        df = df.withColumn("sample_minute", trunc_to("minute", F.col("timestamp_utc")))
+    out = df.groupBy("meeting_key", *CAR, "sample_minute").agg(
         F.count("*").alias("sample_count"), F.avg("speed").alias("avg_speed"), F.max("speed").alias("max_speed"), F.avg("rpm").alias("avg_rpm"),
         F.max("rpm").alias("max_rpm"), F.avg("throttle").alias("avg_throttle"), F.avg("brake").alias("avg_brake"), F.max("drs").alias("max_drs_state"),
         F.max("n_gear").alias("max_gear"), F.min("n_gear").alias("min_gear"),
@@ -234,15 +235,22 @@ def telemetry_minutes_of(df: DataFrame) -> DataFrame:
     )
 
 
+def _minutes(t, after=None) -> DataFrame:
+    """The rollup of all telemetry.  Rows are dealt out by car and minute once; removing repeats and the rollup both work in that partitioning."""
+    minute = trunc_to("minute", F.col("timestamp_utc"))
+    raw = _timed(t, "car_data", after, CAR, "rpm", "speed", "throttle", "brake", "n_gear", "drs").withColumn("sample_minute", minute)
+    return telemetry_minutes_of(raw.repartition(*CAR, "sample_minute").distinct())
+
+
 @plan
 def telemetry_minutes(t, after=None) -> DataFrame:
-    return with_names(t, telemetry_minutes_of(car_data(t, after)))
+    return with_names(t, _minutes(t, after))
 
 
 @plan
 def driver_session_summary(t, s: Settings = DEFAULTS) -> DataFrame:
     """Eight-way star on (session, driver); every branch is aggregated to that grain before it is joined."""
-    tele = telemetry_minutes_of(car_data(t)).groupBy(*CAR).agg(
+    tele = _minutes(t).groupBy(*CAR).agg(
         F.max("max_speed").alias("_top"), F.avg("avg_speed").alias("avg_speed"), F.avg("avg_rpm").alias("avg_rpm")
     )
     who = drivers(t).select("session_driver_id", "meeting_key", *CAR, *WHO)
@@ -261,6 +269,10 @@ def driver_session_summary(t, s: Settings = DEFAULTS) -> DataFrame:
 
 @plan
 def laps_fact(t, after=None) -> DataFrame:
+    """With a bound, all versions of the laps that have one at or after it are read, and only those."""
+    if after is not None:
+        touched = _since(t["laps"], "date_start", after).select(*LAP).distinct()
+        t = Replaced(t, {"laps": lambda df: df.join(touched, LAP, "left_semi")})
     base = laps(t).dropna(subset=["lap_start_at"])
     base = _since(base, "lap_start_at", after).drop("segments_sector_1", "segments_sector_2", "segments_sector_3")
     speeds = F.greatest(*[or_zero(F.col(c)) for c in ("i1_speed", "i2_speed", "speed_trap")])

@@ -13,7 +13,7 @@ from pitwall.operators.ordered import neighbours, number_bucket
 from pitwall.operators.reshape import sectors_long
 from pitwall.operators.rows import latest, qualify_first
 from pitwall.operators.stats import safe_corr
-from pitwall.plans.memo import plan
+from pitwall.plans.memo import Replaced, plan
 from pitwall.settings import DEFAULTS, QUALIFYING_TYPES, RACE_TYPES, Settings
 
 CAR = ["session_key", "driver_number"]
@@ -335,6 +335,18 @@ def lap_weather(t, s: Settings = DEFAULTS) -> DataFrame:
 LAP_HEAD = ["lap_id", "meeting_key", *CAR, *SESSION_INFO, *DRIVER_INFO]
 
 
+@plan
+def racing(t) -> Replaced:
+    """The feeds without the events of other sessions than races.
+
+    The few race sessions are met by a semi join right at each scan, so practice and qualifying events are neither shuffled nor cut into bins.  All laps of
+    a session stay or go together, so no lap loses a neighbour.
+    """
+    races = sessions(t).filter(F.col("session_type").isin(*RACE_TYPES)).select("session_key")
+    events = ("car_data", "intervals", "laps", "pit", "position", "stints", "weather")
+    return Replaced(t, {feed: lambda df: df.join(races, "session_key", "left_semi") for feed in events})
+
+
 @plan
 def _race_hub(t, s: Settings) -> DataFrame:
     return lap_hub(t, s).filter(F.col("session_type").isin(*RACE_TYPES))
@@ -348,6 +360,7 @@ def lap_gap_evolution(t, s: Settings = DEFAULTS) -> DataFrame:
     source joins three finished models by lap id.  All laps of a session stay or go together, so filtering
     race sessions before the scan does not change any neighbour.
     """
+    t = racing(t)
     out = _with_pit(t, s, _race_hub(t, s).join(_last_events(t, s, "position", "gap"), LAP, "left"))
     out = neighbours(
         out, CAR, ["lap_number"], _lap_bucket(s),
@@ -410,7 +423,7 @@ def sector_position_impact(t, s: Settings = DEFAULTS) -> DataFrame:
     """Valid race laps against the field average of the same lap number."""
     out = lap_gap_evolution(t, s).filter(F.col("is_valid_lap_time"))
     timed = {f"sector_{i}": c for i, c in enumerate(SECTORS, 1)} | {"lap": "lap_duration_seconds"}
-    field = laps(t, s).filter(F.col("is_valid_lap_time")).groupBy("session_key", "lap_number").agg(
+    field = laps(racing(t), s).filter(F.col("is_valid_lap_time")).groupBy("session_key", "lap_number").agg(
         *[F.avg(c).alias(f"_field_{n}") for n, c in timed.items()]
     )
     out = out.join(field, ["session_key", "lap_number"], "left")
@@ -450,6 +463,7 @@ def telemetry_sessions(t, s: Settings = DEFAULTS) -> DataFrame:
 def tyre_weather_laps(t, s: Settings = DEFAULTS) -> DataFrame:
     tyre = ["stint_id", "stint_number", "stint_lap_start", "stint_lap_end", "stint_lap_count", "compound", "tyre_age_at_start", "tyre_age_lap"]
     sky = ["weather_at", *WEATHER_VALUES]
+    t = racing(t)
     out = _race_hub(t, s).join(lap_stints(t, s).select(*LAP, *tyre), LAP, "left").join(lap_weather(t, s).select(*LAP, *sky), LAP, "left")
     return out.select(
         *LAP_HEAD, "team_colour_hex", "lap_number", "lap_start_at", "lap_duration_seconds", "is_valid_lap_time", "is_pit_out_lap", *tyre, *sky,
@@ -501,6 +515,7 @@ def optimal_tyre_life(t, s: Settings = DEFAULTS) -> DataFrame:
 @plan
 def team_tyre_strategy(t, s: Settings = DEFAULTS) -> DataFrame:
     """Race stints with the clean pace and the weather of their laps."""
+    t = racing(t)
     st = stints(t)
     ids = [c for c in st.columns if c != "stint_id"]
     numbers = numbers_between("lap_start", "lap_end", t["laps"], "lap_number")

@@ -1,4 +1,4 @@
-"""Builds each plan once per set of feeds."""
+"""Builds each plan once per set of feeds, and sets of feeds with some replaced."""
 
 from __future__ import annotations
 
@@ -27,3 +27,20 @@ def plan(fn):
         return known[key]
 
     return build
+
+
+class Replaced:
+    """Feeds of which some are replaced by tables of the same columns; plans over them are remembered apart."""
+
+    def __init__(self, feeds, replace):
+        """replace: from a feed's name to a function of the feed, for the feeds that change."""
+        self._feeds, self._replace, self._held, self.plans = feeds, replace, {}, {}
+
+    def __getitem__(self, name: str):
+        if name not in self._held:
+            df = self._feeds[name]
+            self._held[name] = self._replace[name](df) if name in self._replace else df
+        return self._held[name]
+
+    def __getattr__(self, name: str):
+        return getattr(self._feeds, name)

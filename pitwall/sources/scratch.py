@@ -21,8 +21,13 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_root(spark)}/pitwall/{name}-{uuid.uuid4().hex}"
+    """A new path under the shared folder, in a folder of the application."""
+    return f"{shared_root(spark)}/pitwall/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all this application wrote aside.  Tables that still read from there are lost, so call it when their results have been saved."""
+    remove_path(spark, f"{shared_root(spark)}/pitwall/{spark.sparkContext.applicationId}")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

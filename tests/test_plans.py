@@ -3,10 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitwall.plans import dashboard as x, laps as d, production as p
 from pitwall.schemas import SCHEMAS
-from pitwall.settings import Settings
+from pitwall.settings import RACE_TYPES, Settings
+from pitwall.sources.bindings import feeds_for
 
 T0 = dt.datetime(2024, 3, 2, 15)
 
@@ -133,3 +135,25 @@ def test_rollups(feeds):
     assert rows(x.weather_slices(feeds), "weather_5min", "weather_sample_count", "has_rainfall") == [(T0, 2, 1)]
     assert rows(x.laps_fact(feeds), "lap_number", "lap_end_at") == [(1, at(90.4)), (2, at(182)), (3, None)]
     assert x.session_summary(feeds).first()["driver_count"] == 2
+
+
+def test_minute_rollup_shuffles_telemetry_once(spark, data):
+    text = x._minutes(feeds_for(spark, data))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_race_marts_see_only_race_events(spark, data):
+    """The race filter is a semi join below the interval join, at each event scan."""
+    t = feeds_for(spark, data)
+    races = [r[0] for r in t["sessions"].filter(F.col("session_type").isin(*RACE_TYPES)).select("session_key").collect()]
+    races = set(races) & {r[0] for r in t["position"].select("session_key").distinct().collect()}
+    seen = {r[0] for r in d.racing(t)["position"].select("session_key").distinct().collect()}
+    assert seen == races < {r[0] for r in t["position"].select("session_key").distinct().collect()}
+
+
+def test_incremental_laps_read_all_versions_of_touched_laps(spark):
+    day = dt.datetime(2024, 1, 1)
+    rows = [{**CAR, "date_start": day + dt.timedelta(days=n), "lap_duration": 80.0 + n, "lap_number": lap} for n, lap in ((0, 1), (1, 2), (5, 2), (6, 3))]
+    t = {name: feed(spark, name, rows if name == "laps" else []) for name in ("laps", "sessions", "meetings", "drivers")}
+    got = {r["lap_number"]: r["lap_start_at"] for r in x.laps_fact(t, day + dt.timedelta(days=3)).collect()}
+    assert got == {2: day + dt.timedelta(days=5), 3: day + dt.timedelta(days=6)}

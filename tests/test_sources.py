@@ -10,7 +10,7 @@ from pitwall.schemas import SCHEMAS
 from pitwall.operators import checks
 from pitwall.operators.rows import with_group_values
 from pitwall.sources import landing, merge
-from pitwall.sources.scratch import scratch_path
+from pitwall.sources.scratch import path_exists, remove_path, scratch_path, staged
 
 NOW = dt.datetime(2024, 6, 1)
 
@@ -197,3 +197,13 @@ def test_full_rebuilds_replace_the_table(spark, tmp_path):
 def test_group_values_of_null_keys(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 5.0)], "k int, v double")
     assert rows(with_group_values(df, ["k"], mean=F.avg("v"))) == [(1, 5.0, 5.0), (None, 1.0, 2.0), (None, 3.0, 2.0)]
+
+
+def test_staged_tables(spark):
+    df = staged(spark.range(5).selectExpr("id", "id * 2 AS twice"), "t")
+    assert rows(df) == [(i, 2 * i) for i in range(5)]
+    path = scratch_path(spark, "gone")
+    assert spark.sparkContext.applicationId in path
+    spark.range(1).write.parquet(path)
+    remove_path(spark, path)
+    assert not path_exists(spark, path)
