@@ -62,7 +62,7 @@ def _(t):
 @query("a07_median", f"SELECT l_suppkey, l_returnflag, {r('median(l_extendedprice)', 'middle')} FROM lineitem GROUP BY ALL")
 def _(t):
     li, keys = t.table("lineitem"), ["l_suppkey", "l_returnflag"]
-    return with_median(li.select(*keys).distinct(), li, keys, "l_extendedprice", "middle", 1000.0)
+    return with_median(li.select(*keys).distinct(), li, keys, "l_extendedprice", "middle")
 
 
 @query(

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pitwall.operators.rows import null_safe_join
 
-_B = "_bucket"
-
 
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation over rows where both are present; NULL for zero variance or a single row."""
@@ -23,36 +21,32 @@ def min_by_first(value: Column, key: Column) -> Column:
     return F.min_by(value, F.when(key.isNotNull(), F.struct(key, value)))
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, width: float) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Exact median per group without holding a group's values in one task.
 
-    Values are first counted (combined on the map side), then counted again per value bucket; a running sum
-    over one row per bucket tells which bucket holds the middle, and only that bucket's values are scanned.
+    Values are counted (combined on the map side).  A mergeable quantile sketch brackets the middle, the values below the bracket are only counted, and the
+    one in a hundred inside it are put in order.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    bucketed = counted.withColumn(_B, F.floor(F.col(value) / F.lit(width)).cast("bigint"))
-    sums = bucketed.groupBy(*keys, _B).agg(F.sum("_n").alias("_k"))
-    by_key = Window.partitionBy(*keys)
-    before = by_key.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        *keys, _B, "_k", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_start"), F.sum("_k").over(by_key).alias("_total")
-    )
-    low, high = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+    given = df.filter(F.col(value).isNotNull())
+    edges = given.groupBy(*keys).agg(F.percentile_approx(value, [0.495, 0.505], 10_000).alias("_e"), F.count("*").alias("_total"))
+    counted = given.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    rows = null_safe_join(counted, edges, keys, "inner").withColumns({"_low": F.col("_e")[0], "_high": F.col("_e")[1]})
+    below = rows.groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col(value) < F.col("_low"), F.col("_n"))), F.lit(0)).alias("_start"))
+    inside = rows.filter(F.col(value).between(F.col("_low"), F.col("_high")))
+    inside = null_safe_join(inside, below, keys, "inner")
+    before = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    placed = inside.withColumn("_at", F.col("_start") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
 
-    def holds(rank: Column, start: Column, size: Column) -> Column:
-        return (start <= rank) & (rank < start + size)
+    def at_rank(rank: Column) -> Column:
+        return F.max(F.when((F.col("_at") <= rank) & (rank < F.col("_at") + F.col("_n")), F.col(value)))
 
-    middle = sums.filter(holds(low, F.col("_start"), F.col("_k")) | holds(high, F.col("_start"), F.col("_k")))
-    rows = null_safe_join(bucketed, middle, [*keys, _B], "inner")
-    inside = Window.partitionBy(*keys, _B).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_at", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    picks = [F.max(F.when(holds(r, F.col("_at"), F.col("_n")), F.col(value))) for r in (low, high)]
-    return rows.groupBy(*keys).agg(((picks[0] + picks[1]) / 2).alias(out))
+    picks = [at_rank(r) for r in (F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2))]
+    return placed.groupBy(*keys).agg(((picks[0] + picks[1]) / 2).alias(out))
 
 
-def with_median(grouped: DataFrame, df: DataFrame, keys: Sequence[str], value: str, out: str, width: float) -> DataFrame:
+def with_median(grouped: DataFrame, df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Adds the exact median to an aggregate of the same groups; NULL keys form a group as usual."""
-    return null_safe_join(grouped, exact_median(df, keys, value, out, width), keys)
+    return null_safe_join(grouped, exact_median(df, keys, value, out), keys)
 
 
 def ordered_list_text(df: DataFrame, keys: Sequence[str], value: str, out: str, sep: str = ", ", distinct: bool = False) -> DataFrame:

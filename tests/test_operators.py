@@ -62,7 +62,7 @@ def test_global_neighbours(events):
 
 
 def test_exact_median(events):
-    got = {r["key"]: r["m"] for r in stats.exact_median(events, ["key"], "v", "m", 0.05).collect()}
+    got = {r["key"]: r["m"] for r in stats.exact_median(events, ["key"], "v", "m").collect()}
     want: dict = {}
     for r in events.collect():
         if r["v"] is not None:
@@ -73,7 +73,7 @@ def test_exact_median(events):
 def test_median_of_null_group_and_repeats(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 2.0), (1, 5.0), (2, None)], "k int, v double")
     groups = df.select("k").distinct()
-    assert {r["k"]: r["m"] for r in stats.with_median(groups, df, ["k"], "v", "m", 1.0).collect()} == {None: 2.0, 1: 5.0, 2: None}
+    assert {r["k"]: r["m"] for r in stats.with_median(groups, df, ["k"], "v", "m").collect()} == {None: 2.0, 1: 5.0, 2: None}
 
 
 @pytest.fixture(scope="module")
@@ -180,3 +180,12 @@ def test_two_sided_range_fires_on_either_side(spark):
     assert [tuple(r) for r in checks.summary(df, [checks.accepted_range("v", 2, 8), checks.not_null("v", severity="warn")]).collect()] == [
         ("accepted_range_v", "error", 2, False), ("not_null_v", "warn", 1, False)
     ]
+
+
+def test_median_of_narrow_and_outlying_values(spark):
+    """Many values close together, a few far away; odd and even groups."""
+    r = random.Random(12)
+    data = {"narrow": [1e6 + r.random() * 1e-3 for _ in range(20_001)], "wide": [r.choice([0.0, 1e12, r.random()]) for _ in range(10_000)], "one": [7.0], "two": [1.0, 2.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "k string, v double")
+    got = {row["k"]: row["m"] for row in stats.exact_median(df, ["k"], "v", "m").collect()}
+    assert got == {k: pytest.approx(statistics.median(v), rel=1e-15) for k, v in data.items()}
