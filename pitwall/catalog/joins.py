@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pitwall import functions as fx
 from pitwall.catalog.registry import query, register
 from pitwall.catalog.scalars import r
-from pitwall.operators.intervals import asof_join, last_in_interval, spacing, numbers_between, range_join
+from pitwall.operators.intervals import asof_join, explode_numbers, last_in_interval, range_join, spacing
 from pitwall.plans import dashboard as x, laps as d, production as p
 
 CAR, LAP = p.CAR, p.LAP
@@ -80,7 +80,7 @@ def _(t):
 register(
     "j09_lap_in_stint",
     lambda t: t["laps"].select(*LAP).join(
-        t["stints"].select(*CAR, "stint_number", F.explode(numbers_between("lap_start", "lap_end", t["laps"], "lap_number")).alias("lap_number")), LAP, "left"),
+        explode_numbers(t["stints"].select(*CAR, "stint_number", "lap_start", "lap_end"), CAR, "lap_start", "lap_end", t["laps"], "lap_number").select(*LAP, "stint_number"), LAP, "left"),
     "SELECT l.session_key, l.driver_number, l.lap_number, s.stint_number FROM b_laps l LEFT JOIN b_stints s ON s.session_key = l.session_key AND s.driver_number = l.driver_number AND l.lap_number BETWEEN lap_start AND lap_end",
 )
 register(

@@ -60,15 +60,20 @@ def range_join(
     return pairs if keep_bin else pairs.drop(BIN)
 
 
-def numbers_between(start: str, end: str, numbered: DataFrame, number: str) -> Column:
-    """Whole numbers of a closed range as an array to explode, NULL for an empty range.
+def explode_numbers(
+    spans: DataFrame, keys: Sequence[str], start: str, end: str, numbered: DataFrame, number: str, outer: bool = False
+) -> DataFrame:
+    """One row per whole number of each closed range; `outer` keeps a span without any, with NULL.
 
-    The range is cut to the numbers that occur at all (a scalar subquery), so a wrong bound cannot blow up a row.
+    A range is cut to the numbers its own key has (one row per key, aggregated from `numbered`), so a wrong bound, even together with a wrong number of
+    another key, cannot blow up a row.
     """
-    seen = numbered.agg(F.struct(F.min(number).alias("low"), F.max(number).alias("high")).alias("s")).scalar()
-    low, high = F.greatest(F.col(start), seen["low"]), F.least(F.col(end), seen["high"])
-    given = F.col(start).isNotNull() & F.col(end).isNotNull()
-    return F.when(given & (low <= high), F.sequence(low, high))
+    seen = numbered.dropna(subset=[*keys, number]).groupBy(*keys).agg(F.min(number).alias("_low"), F.max(number).alias("_high"))
+    low, high = F.greatest(F.col(start), F.col("_low")), F.least(F.col(end), F.col("_high"))
+    given = F.col(start).isNotNull() & F.col(end).isNotNull() & F.col("_low").isNotNull()
+    numbers = F.when(given & (low <= high), F.sequence(low, high))
+    cut = spans.join(seen, list(keys), "left")
+    return cut.select(*spans.columns, (F.explode_outer if outer else F.explode)(numbers).alias(number))
 
 
 def last_in_interval(

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from pitwall.functions import (
     add_millis, bool_int, category, clean_token_text, guarded_stint_length, hex_colour, interval_seconds, or_zero, strict_concat_ws,
-    surrogate_key, time_text, trunc_to, within,
+    surrogate_key, time_text, trunc_to,
 )
-from pitwall.operators.intervals import numbers_between
-from pitwall.operators.ordered import number_bucket, split_row_number
+from pitwall.operators.intervals import explode_numbers
+from pitwall.operators.ordered import split_row_number
 from pitwall.operators.rows import latest, qualify_first
 from pitwall.operators.stats import min_by_first, ordered_list_text
 from pitwall.plans.laps import CAR, DRIVER_INFO, LAP, SECTORS, SESSION_INFO, _keys, _one_per, _since
@@ -315,10 +315,9 @@ def race_leaderboard(t, s: Settings = DEFAULTS) -> DataFrame:
 @plan
 def stint_performance(t) -> DataFrame:
     st = stints(t)
-    numbers = numbers_between("lap_start", "lap_end", t["laps"], "lap_number")
     speeds = F.greatest(*[or_zero(F.col(c)) for c in ("i1_speed", "i2_speed", "speed_trap")])
     lap = laps(t).dropna(subset=["lap_start_at"]).select(*LAP, "lap_duration_seconds", speeds.alias("max_lap_speed"), F.lit(1).alias("_hit"))
-    rows = st.select("*", F.explode_outer(numbers).alias("lap_number")).join(lap, LAP, "left")
+    rows = explode_numbers(st, CAR, "lap_start", "lap_end", t["laps"].select(*_keys(*CAR), "lap_number"), "lap_number", outer=True).join(lap, LAP, "left")
     sec = F.col("lap_duration_seconds")
     out = rows.groupBy(*st.columns).agg(
         F.avg(sec).alias("avg_lap_seconds_in_stint"), F.min(sec).alias("best_lap_seconds_in_stint"), F.max("max_lap_speed").alias("max_speed_in_stint"),

@@ -8,7 +8,7 @@ from pitwall.functions import (
     bool_int, category, clean_text, drs_active, drs_detected, full_name, gap_seconds, guarded_stint_length, hex_colour_stripped,
     humidity_band, is_lapped_gap, pct_delta, sky_band, strict_concat_ws, surrogate_key, time_text, track_band, tyre_age, within,
 )
-from pitwall.operators.intervals import BIN, asof_join, last_in_interval, spacing, numbers_between, range_join
+from pitwall.operators.intervals import BIN, asof_join, explode_numbers, last_in_interval, spacing, range_join
 from pitwall.operators.ordered import neighbours, number_bucket
 from pitwall.operators.reshape import sectors_long
 from pitwall.operators.rows import latest, qualify_first
@@ -280,9 +280,9 @@ def lap_stints(t, s: Settings = DEFAULTS) -> DataFrame:
         *CAR, "stint_id", "stint_number", F.col("lap_start").alias("stint_lap_start"), F.col("lap_end").alias("stint_lap_end"), "stint_lap_count",
         "compound", "tyre_age_at_start",
     )
-    numbers = numbers_between("stint_lap_start", "stint_lap_end", t["laps"], "lap_number")
     info = [c for c in st.columns if c not in CAR]
-    per_lap = st.select("*", F.explode(numbers).alias("lap_number")).groupBy(*LAP).agg(F.max_by(F.struct(*info), F.col("stint_number")).alias("_s"))
+    numbered = t["laps"].select(*_keys(*CAR), "lap_number")
+    per_lap = explode_numbers(st, CAR, "stint_lap_start", "stint_lap_end", numbered, "lap_number").groupBy(*LAP).agg(F.max_by(F.struct(*info), F.col("stint_number")).alias("_s"))
     lap = t["laps"].dropna(subset=LAP).select(*_keys("meeting_key", *CAR), "lap_number", "date_start")
     lap = qualify_first(lap, LAP, [F.col("date_start").desc_nulls_last()]).drop("date_start")
     out = lap.join(per_lap.select(*LAP, "_s.*"), LAP, "left")
@@ -380,7 +380,7 @@ def pit_out_impact(t, s: Settings = DEFAULTS) -> DataFrame:
     Clean laps need only lap times and pit flags, so the averages come from the narrow lap table.
     """
     out = lap_gap_evolution(t, s)
-    narrow = _with_pit(t, s, laps(t, s).select(*LAP, "lap_duration_seconds", "is_valid_lap_time", "is_pit_out_lap"))
+    narrow = _with_pit(racing(t), s, laps(racing(t), s).select(*LAP, "lap_duration_seconds", "is_valid_lap_time", "is_pit_out_lap"))
     clean = narrow.filter(F.col("is_valid_lap_time") & ~F.col("is_pit_out_lap") & ~F.col("is_pit_in_lap"))
     by_driver = clean.groupBy(*CAR).agg(F.avg("lap_duration_seconds").alias("driver_clean_air_avg_lap_seconds"))
     by_lap = clean.groupBy("session_key", "lap_number").agg(F.avg("lap_duration_seconds").alias("field_clean_avg_lap_seconds"))
@@ -518,11 +518,11 @@ def team_tyre_strategy(t, s: Settings = DEFAULTS) -> DataFrame:
     t = racing(t)
     st = stints(t)
     ids = [c for c in st.columns if c != "stint_id"]
-    numbers = numbers_between("lap_start", "lap_end", t["laps"], "lap_number")
+    numbered = t["laps"].select(*_keys(*CAR), "lap_number")
     hub = _race_hub(t, s).select(*LAP, *SESSION_INFO, *DRIVER_INFO, "lap_duration_seconds", "is_valid_lap_time", "is_pit_out_lap")
     sky = lap_weather(t, s).select(*LAP, "track_temperature", "air_temperature", "humidity", "rainfall")
     # the race filter needs a matching lap, so the lap join is an inner one
-    rows = st.select(*ids, F.explode(numbers).alias("lap_number")).join(hub, LAP).join(sky, LAP, "left")
+    rows = explode_numbers(st.select(*ids), CAR, "lap_start", "lap_end", numbered, "lap_number").join(hub, LAP).join(sky, LAP, "left")
     valid = F.col("is_valid_lap_time")
     clean = F.when(valid & ~F.col("is_pit_out_lap"), F.col("lap_duration_seconds"))
     out = rows.groupBy(*ids, *SESSION_INFO, *DRIVER_INFO).agg(

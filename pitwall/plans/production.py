@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pitwall.functions import add_seconds, numeric_gap, points_for, seconds_between, stint_length, strict_concat_ws, trunc_to, utc
-from pitwall.operators.intervals import asof_join, numbers_between, range_join, spacing
+from pitwall.operators.intervals import asof_join, explode_numbers, range_join, spacing
 from pitwall.operators.ordered import carry_forward, number_bucket, running_totals, split_dense_rank, split_row_number, time_bucket
 from pitwall.operators.rows import earliest, qualify_first
 from pitwall.plans.memo import plan
@@ -156,8 +156,7 @@ def stint_laps(t) -> DataFrame:
     """
     ids = [*CAR, "stint_number", "compound", "lap_start", "lap_end"]
     lap = laps(t).select(*LAP, "date_start")
-    numbers = numbers_between("lap_start", "lap_end", t["laps"], "lap_number")
-    spread = stints(t).select(*ids, F.explode_outer(numbers).alias("lap_number"))
+    spread = explode_numbers(stints(t).select(*ids), CAR, "lap_start", "lap_end", t["laps"].select(*LAP), "lap_number", outer=True)
     return (
         spread.join(lap, LAP, "left")
         .groupBy(*ids)

@@ -189,3 +189,13 @@ def test_median_of_narrow_and_outlying_values(spark):
     df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "k string, v double")
     got = {row["k"]: row["m"] for row in stats.exact_median(df, ["k"], "v", "m").collect()}
     assert got == {k: pytest.approx(statistics.median(v), rel=1e-15) for k, v in data.items()}
+
+
+def test_explode_numbers(spark):
+    """One wrong number of another car and one wrong end don't blow up a row."""
+    spans = spark.createDataFrame([("a", 1, 3), ("a", 2, 2_000_000_000), ("a", 5, 4), ("b", 1, 2), ("c", 1, 9), ("a", None, 2)], "k string, lo int, hi int")
+    numbered = spark.createDataFrame([("a", 1), ("a", 4), ("b", 2_000_000_000), ("b", None)], "k string, n int")
+    got = intervals.explode_numbers(spans, ["k"], "lo", "hi", numbered, "n", outer=True)
+    want = [("a", 1, 3, n) for n in (1, 2, 3)] + [("a", 2, 2_000_000_000, n) for n in (2, 3, 4)] + [("a", 5, 4, None), ("b", 1, 2, None), ("c", 1, 9, None), ("a", None, 2, None)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert intervals.explode_numbers(spans, ["k"], "lo", "hi", numbered, "n").count() == 6
