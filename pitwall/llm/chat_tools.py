@@ -77,12 +77,17 @@ def _parsed(text: str | None):
     return json.loads(text, object_pairs_hook=once, parse_constant=refuse)
 
 
-def _first(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Adds `is_first`: whether a row is the least by `order` among those with its conversation and call id. Ids are grouped by minima, not lists."""
-    least = rows.filter("conv_id is not null and call_id is not null").groupBy("conv_id", "call_id").agg(F.min(F.struct(*order)).alias("least"))
-    least = least.select(F.col("conv_id").alias("c"), F.col("call_id").alias("i"), "least")
-    joined = rows.join(least, (F.col("conv_id") == F.col("c")) & (F.col("call_id") == F.col("i")), "left")
-    return joined.withColumn("is_first", F.coalesce(F.struct(*order) == F.col("least"), F.lit(False))).drop("c", "i", "least")
+def _kept(rows: DataFrame, columns: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows, written aside with a number each and a digest of all columns, and the same without their texts."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]
+    held = staged(rows.select(*columns, F.md5(F.concat_ws("\u001f", *parts).cast("binary")).alias("digest"), F.monotonically_increasing_id().alias("row")), name)
+    return held, held.select(*[c for c in held.columns if c not in ("arguments", "content", "name")])
+
+
+def _firsts(rows: DataFrame, *more: str) -> DataFrame:
+    """The first row of each conversation and call id, by turn and then digest: columns c, i and first, a struct (turn, digest, row, more).  Ids are grouped by minima, not lists."""
+    given = rows.filter("conv_id is not null and call_id is not null")
+    return given.groupBy(F.col("conv_id").alias("c"), F.col("call_id").alias("i")).agg(F.min(F.struct("turn", "digest", "row", *more)).alias("first"))
 
 
 def dependency_levels(calls: DataFrame) -> DataFrame:
@@ -113,49 +118,48 @@ def dependency_levels(calls: DataFrame) -> DataFrame:
         span *= 2
 
 
-def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row per row of `calls` (conv_id, call_id, turn, name, arguments, after) and `results` (conv_id, call_id, turn, content):
-    conv_id, turn, kind ('call' or 'result'), call_id, level, problems (sorted texts), json.
+def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], messages: DataFrame | None = None) -> DataFrame:
+    """One row per row of `calls` (conv_id, call_id, turn, name, arguments, after), `results` (conv_id, call_id, turn, content) and `messages`
+    (conv_id, turn, role, content): conv_id, turn, kind ('call', 'result' or 'message'), call_id, level, problems (sorted texts), json.
 
     Calls and results are joined by conversation and call id. By (level, turn) a conversation's rows are in topological order: a call's level is twice the
     number of calls it comes after along `after`, a result's one more than its call's; null where there is none. Problems of a call: `no id` (null
-    conversation or call id), `repeated id` (all but the first by turn), `unknown after`, `cycle`, `no result`, `unknown tool`, `bad arguments` (no
+    conversation or call id), `repeated id` (all but the first by turn, then by a digest of the row), `unknown after`, `cycle`, `no result`, `unknown tool`, `bad arguments` (no
     JSON object, or a repeated key), and what breaks the tool's schema. Problems of a result: `no id`, `no call`, `repeated result`, `before its call`.
-    Rows alike in all columns count as repeated, except one. json is canonical and never null.
+    Rows alike in all columns count as repeated, except one. Messages have no call id, level or problems. json is canonical and never null.
     """
-    call_order = ["turn", "name", "arguments", "after"]
-    calls = _numbered(_first(calls.select("conv_id", "call_id", "turn", "name", "arguments", "after"), call_order), ["conv_id", "call_id", *call_order])
-    results = _numbered(_first(results.select("conv_id", "call_id", "turn", "content"), ["turn", "content"]), ["conv_id", "call_id", "turn", "content"])
-    calls, results = staged(calls, "calls"), staged(results, "results")
-    firsts = calls.filter("is_first")
-    depths = dependency_levels(firsts.select("conv_id", "call_id", "after"))
-    first = firsts.select(F.col("conv_id").alias("c"), F.col("call_id").alias("i"), F.col("turn").alias("call_turn"))
-    levels = staged(first.join(depths, (F.col("c") == F.col("conv_id")) & (F.col("i") == F.col("call_id"))).select("c", "i", "call_turn", "depth"), "call_levels")
-    answered = results.filter("is_first").select(F.col("conv_id").alias("rc"), F.col("call_id").alias("ri"))
+    calls, call_keys = _kept(calls, ["conv_id", "call_id", "turn", "name", "arguments", "after"], "calls")
+    results, result_keys = _kept(results, ["conv_id", "call_id", "turn", "content"], "results")
+    first_calls = staged(_firsts(call_keys, "after"), "first_calls")
+    depths = dependency_levels(first_calls.select(F.col("c").alias("conv_id"), F.col("i").alias("call_id"), F.col("first.after").alias("after")))
+    levels = first_calls.join(depths, (F.col("c") == F.col("conv_id")) & (F.col("i") == F.col("call_id"))).select("c", "i", F.col("first.row").alias("first_row"), F.col("first.turn").alias("call_turn"), "depth")
+    levels = staged(levels, "call_levels")
+    answers = staged(_firsts(result_keys).select(F.col("c").alias("rc"), F.col("i").alias("ri"), F.col("first.row").alias("answer_row")), "answers")
     parents = levels.select(F.col("c").alias("pc"), F.col("i").alias("pi"))
     no_id = F.col("conv_id").isNull() | F.col("call_id").isNull()
+    own, answered = (F.col("conv_id") == F.col("c")) & (F.col("call_id") == F.col("i")), (F.col("conv_id") == F.col("rc")) & (F.col("call_id") == F.col("ri"))
 
     def problems(*found: tuple[Column, str]) -> Column:
-        return F.array_compact(F.array(*(F.when(c, F.lit(p)) for c, p in found)))
-
-    own = (F.col("conv_id") == F.col("c")) & (F.col("call_id") == F.col("i"))
-    told = calls.join(levels, own, "left").join(answered, (F.col("conv_id") == F.col("rc")) & (F.col("call_id") == F.col("ri")), "left")
-    told = told.join(parents, (F.col("conv_id") == F.col("pc")) & (F.col("after") == F.col("pi")), "left")
-    told = told.select("conv_id", "turn", F.lit("call").alias("kind"), "call_id", F.when(F.col("is_first"), F.col("depth") * 2).alias("level"), problems(
-        (no_id, "no id"), (~no_id & ~F.col("is_first"), "repeated id"), (F.col("after").isNotNull() & F.col("pi").isNull(), "unknown after"),
-        (F.col("is_first") & F.col("depth").isNull(), "cycle"), (F.col("ri").isNull(), "no result"),
-    ).alias("problems"), "name", F.col("arguments").alias("body"))
-    heard = results.join(levels, own, "left")
-    heard = heard.select("conv_id", "turn", F.lit("result").alias("kind"), "call_id", F.when(F.col("is_first"), F.col("depth") * 2 + 1).alias("level"), problems(
-        (no_id, "no id"), (~no_id & F.col("i").isNull(), "no call"), (~no_id & ~F.col("is_first"), "repeated result"), (F.col("turn") < F.col("call_turn"), "before its call"),
-    ).alias("problems"), F.lit(None).cast("string").alias("name"), F.col("content").alias("body"))
-    return _written(told.union(heard), schemas)
-
-
-def _numbered(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows alike in all columns once each with their number unfolded again, so that only one of them stays first."""
-    grouped = rows.groupBy(*columns, "is_first").agg(F.count("*").alias("copies"))
-    return grouped.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).withColumn("is_first", F.col("is_first") & (F.col("copy") == 1)).drop("copies", "copy")
+        return F.array_compact(F.array(*(F.when(c, F.lit(p)) for c, p in found))).alias("problems")
+
+    # what is known of a row is found by its keys alone; texts move once, to meet it
+    call_first, result_first = F.coalesce(F.col("row") == F.col("first_row"), F.lit(False)), F.coalesce(F.col("row") == F.col("answer_row"), F.lit(False))
+    told = call_keys.join(levels, own, "left").join(answers, answered, "left").join(parents, (F.col("conv_id") == F.col("pc")) & (F.col("after") == F.col("pi")), "left")
+    told = told.select("row", F.when(call_first, F.col("depth") * 2).alias("level"), problems(
+        (no_id, "no id"), (~no_id & ~call_first, "repeated id"), (F.col("after").isNotNull() & F.col("pi").isNull(), "unknown after"),
+        (call_first & F.col("depth").isNull(), "cycle"), (F.col("ri").isNull(), "no result"),
+    ))
+    heard = result_keys.join(levels, own, "left").join(answers, answered, "left")
+    heard = heard.select("row", F.when(result_first, F.col("depth") * 2 + 1).alias("level"), problems(
+        (no_id, "no id"), (~no_id & F.col("i").isNull(), "no call"), (~no_id & ~result_first, "repeated result"), (F.col("turn") < F.col("call_turn"), "before its call"),
+    ))
+    said = calls.join(told, "row").select("conv_id", "turn", F.lit("call").alias("kind"), "call_id", "level", "problems", "name", F.col("arguments").alias("body"))
+    got = results.join(heard, "row").select("conv_id", "turn", F.lit("result").alias("kind"), "call_id", "level", "problems", F.lit(None).cast("string").alias("name"), F.col("content").alias("body"))
+    rows = said.union(got)
+    if messages is not None:
+        plain = F.lit(None).cast("string")
+        rows = rows.union(messages.select("conv_id", "turn", F.lit("message").alias("kind"), plain.alias("call_id"), F.lit(None).cast("long").alias("level"), F.array().cast("array<string>").alias("problems"), F.col("role").alias("name"), F.col("content").alias("body")))
+    return _written(rows, schemas)
 
 
 def _written(rows: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -167,6 +171,8 @@ def _written(rows: DataFrame, schemas: dict[str, dict]) -> DataFrame:
             for kind, call_id, problems, name, body in zip(*(b.column(c).to_pylist() for c in ("kind", "call_id", "problems", "name", "body"))):
                 if kind == "result":
                     texts.append(canonical({"content": body, "role": "tool", "tool_call_id": call_id}))
+                elif kind == "message":
+                    texts.append(canonical({"content": body, "role": name}))
                 else:
                     arguments = body
                     try:
@@ -193,9 +199,9 @@ SCHEMAS = {
 }
 
 
-def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results made of conversation turns: every turn of an assistant is a call after that of two turns before, every user's turn answers the turn
-    before it. Odd calls search for the text's first words, with its number of words as the limit; even ones translate the text."""
+def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls, results and messages made of conversation turns: every turn of an assistant is a call after that of two turns before, every user's turn but a first
+    one answers the turn before it, and all else is a message. Odd calls search for the text's first words, with its number of words as the limit; even ones translate the text."""
     text, n = F.coalesce("text", F.lit("")), F.col("turn")
     words = F.split(F.trim(text), r"\s+")
     search = F.to_json(F.struct(F.size(words).alias("limit"), F.array_join(F.slice(words, 1, 6), " ").alias("query")))
@@ -208,11 +214,14 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     calls = turns.filter("role = 'assistant'").select("conv_id", identifier(n).alias("call_id"), n.alias("turn"), F.when(odd, F.lit("search")).otherwise(F.lit("translate")).alias("name"),
                                                       F.when(odd, search).otherwise(translate).alias("arguments"), F.when(n >= 2, identifier(n - 2)).alias("after"))
-    results = turns.filter("role = 'user'").select("conv_id", identifier(n - 1).alias("call_id"), n.alias("turn"), F.col("text").alias("content"))
-    return calls, results
+    answers = F.coalesce((F.col("role") == "user") & (n >= 1), F.lit(False))
+    messages = turns.filter(~answers & ~F.coalesce(F.col("role") == "assistant", F.lit(False))).select("conv_id", "turn", "role", F.col("text").alias("content"))
+    results = turns.filter(answers).select("conv_id", identifier(n - 1).alias("call_id"), n.alias("turn"), F.col("text").alias("content"))
+    return calls, results, messages
 
 
 def digest(turns: DataFrame) -> DataFrame:
     """conv_id, turn, kind, call_id, level, problems, json."""
-    rows = linked(*from_conversations(turns), SCHEMAS)
+    calls, results, messages = from_conversations(turns)
+    rows = linked(calls, results, SCHEMAS, messages)
     return rows.withColumn("problems", F.array_join("problems", "|"))

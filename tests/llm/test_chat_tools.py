@@ -1,3 +1,4 @@
+import hashlib
 import json
 import random
 
@@ -27,15 +28,14 @@ def test_schema_errors():
 def brute(calls, results):
     """By hand: (conv, turn, kind, call_id, level, problems) of each row."""
     def key(row):
-        return tuple((v is not None, v) for v in row)
+        digest = hashlib.md5("\x1f".join("\x00" if v is None else str(v) for v in row).encode()).hexdigest()
+        return row[2] is not None, row[2], digest
 
     first, answer = {}, {}
-    for i, c in enumerate(calls):
-        if c[0] is not None and c[1] is not None and (c[:2] not in first or key(c[2:6]) < key(calls[first[c[:2]]][2:6])):
-            first[c[:2]] = i
-    for i, r in enumerate(results):
-        if r[0] is not None and r[1] is not None and (r[:2] not in answer or key(r[2:4]) < key(results[answer[r[:2]]][2:4])):
-            answer[r[:2]] = i
+    for rows, n, found in ((calls, 6, first), (results, 4, answer)):
+        for i, r in enumerate(rows):
+            if r[0] is not None and r[1] is not None and (r[:2] not in found or key(r[:n]) < key(rows[found[r[:2]]][:n])):
+                found[r[:2]] = i
 
     def depth(k):
         n, seen = 0, set()
@@ -97,9 +97,11 @@ def test_long_chains_and_cycles(spark):
 
 def test_conversations(spark, data):
     turns = spark.read.parquet(f"{data}/conversations.parquet")
-    calls, results = (df.collect() for df in from_conversations(turns))
+    calls, results, messages = (df.collect() for df in from_conversations(turns))
     want = brute([tuple(r) for r in calls], [tuple(r) for r in results])
+    want += [(r.conv_id, r.turn, "message", None, None, [], canonical({"content": r.content, "role": r.role})) for r in messages]
     got = digest(turns).collect()
+    assert len(got) == turns.count()
     assert sorted(((*tuple(r)[:5], r.problems, r.json) for r in got), key=repr) == sorted(((*w[:5], "|".join(w[5]), w[6]) for w in want), key=repr)
     assert all(canonical(json.loads(r.json)) == r.json for r in got)
     assert any(not r.problems for r in got if r.kind == "call")
@@ -109,4 +111,4 @@ def test_empty_and_null_rows(spark):
     schema = "conv_id long, turn long, role string, text string"
     assert digest(spark.createDataFrame([], schema)).count() == 0
     got = digest(spark.createDataFrame([(None, 1, "assistant", "x"), (1, None, "assistant", None), (1, 1, None, "x"), (1, 2, "user", None)], schema)).collect()
-    assert sorted((r.kind, r.problems) for r in got) == [("call", ".query: length 0|no id|no result"), ("call", "no id|no result"), ("result", "no call")]
+    assert sorted((r.kind, r.problems) for r in got) == [("call", ".query: length 0|no id|no result"), ("call", "no id|no result"), ("message", ""), ("result", "no call")]
