@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from pitwall.llm.columns import free_name
-from pitwall.llm.hamming import BITS, block_tables, distance, hex16, key_bits, packed, permuted, votes
+from pitwall.llm.hamming import BITS, block_tables, blocks_for, distance, hex16, key_bits, packed, permuted, votes
 from pitwall.sources.scratch import staged
 
 #: Bytes of a text that are hashed at a time.
@@ -82,14 +81,6 @@ def fingerprinted(docs: DataFrame, text: str = "text", keep: list[str] | None =
     return rows.mapInArrow(run, rows.drop(body).withColumn("fp", F.lit(0).cast("long")).schema)
 
 
-def blocks_for(values: int, radius: int) -> int:
-    """Blocks such that a table's key has about as many bits as it takes to number the values: a bucket then holds a few values however many there are."""
-    want, blocks = math.log2(max(values, 2)) - 2, radius + 1
-    while blocks < 2 * radius + 4 and BITS * (blocks - radius) // blocks < want:
-        blocks += 1
-    return blocks
-
-
 def neighbours(queries: DataFrame, values: DataFrame, radius: int, blocks: int) -> DataFrame:
     """All pairs (q, fp, bits) of a value of `queries.fp` and a value of `values.fp` that differ in at most `radius` bits.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -20,6 +21,14 @@ def block_tables(radius: int, blocks: int) -> list[list[tuple[int, int]]]:
     return [[segments[i] for i in front] + [s for i, s in enumerate(segments) if i not in front] for front in combinations(range(blocks), blocks - radius)]
 
 
+def blocks_for(values: int, radius: int, per_key: int = 4) -> int:
+    """Blocks such that a key of a block table is shared by about `per_key` of so many values, or by fewer: buckets stay small however many values there are."""
+    want, blocks = math.log2(max(values, 2) / per_key), radius + 1
+    while blocks < 2 * radius + 4 and BITS * (blocks - radius) // blocks < want:
+        blocks += 1
+    return blocks
+
+
 def key_bits(order: list[tuple[int, int]], radius: int, blocks: int) -> int:
     return sum(width for _, width in order[: blocks - radius])
 

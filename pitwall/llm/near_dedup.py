@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from pitwall.llm.columns import free_name, word_runs
 from pitwall.llm.components import connected_components
-from pitwall.llm.hamming import BITS, GrayIndex, block_tables, components, gray_rank, hex16, key_bits, packed, permuted, votes
+from pitwall.llm.hamming import BITS, GrayIndex, block_tables, blocks_for, components, gray_rank, hex16, key_bits, packed, permuted, votes
 from pitwall.sources.scratch import staged
 
 #: Codes in a leaf of the index; a leaf is one row, and two leaves are compared in one step.
 LEAF = 512
+#: Codes below a top node on average, at most: the leading blocks get longer, and the bit orders more, as fingerprints become more.
+NODE = 4096
 #: Seed of the shingle hash.
 SEED = 42
 
@@ -110,7 +112,7 @@ def linked(fps: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
     top node are joined in pairs, which are dropped when their shared bits alone differ in more than `radius` bits; the rest are searched.
     A large top node is thus many leaves, dealt to many tasks. Between two leaves one link per pair of already linked parts is kept.
     """
-    blocks = blocks or radius + 1
+    blocks = blocks or blocks_for(fps.agg(F.approx_count_distinct("fp")).first()[0], radius, NODE)
     orders = block_tables(radius, blocks)
     uniq = fps.select("fp").distinct()
     # (table, permuted code) by Gray rank; the rank is unsigned, so its sign bit is turned

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from pitwall.llm import fingerprints
-from pitwall.llm.fingerprints import blocks_for, digest, edited_text, near_counts, neighbours, simhash, word_hashes
+from pitwall.llm.fingerprints import digest, edited_text, near_counts, neighbours, simhash, word_hashes
+from pitwall.llm.hamming import blocks_for
 
 DOCS = "doc_id long, text string, lang string, fp string, part int, kind string, head int"
 
