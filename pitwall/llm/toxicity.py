@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,18 +19,21 @@ from pitwall.sources.scratch import staged
 INSULTS = frozenset("idiot idiots moron morons loser losers stupid clown clowns dumb fool imbecile cretin dimwit halfwit jackass dumbass asshole bastard bitch".split())
 #: Words that degrade.
 CONTEMPT = frozenset("trash scum worthless pathetic disgusting garbage filth filthy vermin vile repulsive subhuman useless ugly freak pig swine parasite".split())
-#: Threats and profanity.
-HOSTILE = frozenset("kill die hate fuck fucking fucked shit crap damn hell rape murder hang burn".split())
+#: Threats and profanity; words that other languages use innocently, as German does `die`, are left out.
+HOSTILE = frozenset("kill hate fuck fucking fucked shit crap damn rape murder".split())
 SECOND_PERSON = frozenset("you your yours yourself youre u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos tú ti usted ustedes vosotros tus vuestro".split())
 
 LEXICONS = (INSULTS, CONTEMPT, HOSTILE)
 KNOWN = INSULTS | CONTEMPT | HOSTILE
 #: Stand-ins for letters.
 LOOKALIKES = str.maketrans("013457@$!|+€", "oieastasiite")
+#: Letters of a learned stem, at least and at most.
+STEM = (4, 8)
 #: Tokens between an abusive word and a second person that still count as near.
 NEAR = 5
 
 _WORD = re.compile(r"[^\W_]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _DISGUISE = re.compile(r"[013457@$!|+€]|(\w)\1\1")
 _SPACED = re.compile(r"(?<!\w)\w(?:[ .\-_*]\w){2,30}(?!\w)")
 _REPEAT = re.compile(r"(\w)\1{2,}")
@@ -47,7 +51,7 @@ def _plain(token: str) -> str:
     return _REPEAT.sub(r"\1", token.strip(_ENDS).translate(LOOKALIKES))
 
 
-def _disguised(lower: str, bad: frozenset[str]) -> int:
+def _disguised(lower: str, learned: Stems) -> int:
     """Blank-separated parts that aren't abusive as they stand but are once look-alikes and repeats are undone."""
     found, done = 0, 0
     for m in _DISGUISE.finditer(lower):
@@ -59,17 +63,29 @@ def _disguised(lower: str, bad: frozenset[str]) -> int:
         while end < len(lower) and end < m.start() + LONGEST and not lower[end].isspace():
             end += 1
         done, part = end, lower[start:end]
-        found += _plain(part) in bad and part.strip(_ENDS) not in bad
+        plain, bare = _plain(part), part.strip(_ENDS)
+        found += plain != bare and (plain in KNOWN or plain in learned) and not (bare in KNOWN or bare in learned)
     return found
 
 
-def features(text: str | None, learned: frozenset[str] = frozenset()) -> list[float]:
+class Stems:
+    """Learned beginnings of abusive words."""
+
+    def __init__(self, stems: Iterable[str] = ()):
+        self.stems = frozenset(stems)
+        self.first = frozenset(s[:STEM[0]] for s in self.stems)
+
+    def __contains__(self, word: str) -> bool:
+        return word[:STEM[0]] in self.first and any(word[:n] in self.stems for n in range(STEM[0], min(len(word), STEM[1]) + 1))
+
+
+def features(text: str | None, learned: Stems = Stems()) -> list[float]:
     """The feature values of one text, in the order of FEATURES; all zero for null and empty."""
     text = text or ""
     lower, raw = text.lower(), text.encode()
-    tokens, bad = _WORD.findall(lower), KNOWN | learned
-    n = max(len(tokens), 1)
-    hits = [i for i, t in enumerate(tokens) if t in bad]
+    tokens = _WORD.findall(lower)
+    n, first, width = max(len(tokens), 1), learned.first, STEM[0]
+    hits = [i for i, t in enumerate(tokens) if t in KNOWN or t[:width] in first and t in learned]
     counts = [sum(tokens[i] in words for i in hits) for words in (*LEXICONS, learned)]
     you = [i for i, t in enumerate(tokens) if t in SECOND_PERSON]
     near = 0
@@ -77,8 +93,8 @@ def features(text: str | None, learned: frozenset[str] = frozenset()) -> list[fl
         at = np.searchsorted(you, hits)
         spots, where = np.array([-LONGEST, *you, 1 << 60]), np.array(hits)
         near = int((np.minimum(where - spots[at], spots[at + 1] - where) <= NEAR).sum())
-    hidden = _disguised(lower, bad)
-    spaced = sum(_plain("".join(c for c in m.group() if c.isalnum())) in bad for m in _SPACED.finditer(lower))
+    hidden = _disguised(lower, learned)
+    spaced = sum(_plain("".join(c for c in m.group() if c.isalnum())) in KNOWN for m in _SPACED.finditer(lower))
     size, per = max(len(raw), 1), 100.0 / n
 
     def share(letters: bytes) -> float:
@@ -90,7 +106,7 @@ def features(text: str | None, learned: frozenset[str] = frozenset()) -> list[fl
     ]
 
 
-def featured(docs: DataFrame, learned: frozenset[str] = frozenset(), text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def featured(docs: DataFrame, learned: Stems = Stems(), text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of every row (all but the text by default) and an array column `features`."""
     keep = keep if keep is not None else [c for c in docs.columns if c != text]
     body = free_name(docs, "body")
@@ -110,8 +126,8 @@ class Training:
 
     #: Labelled rows at most, chosen by a hash of the id; a quarter of them calibrates.
     rows: int = 20_000
-    #: Words learned at most from the labelled rows.
-    words: int = 300
+    #: Stems learned at most from the labelled rows.
+    stems: int = 300
     trees: int = 20
     depth: int = 3
     seed: int = 11
@@ -120,7 +136,7 @@ class Training:
 class Model:
     """Fitted on labelled rows; scores any rows."""
 
-    def __init__(self, learned: frozenset[str], trees, steps: list[tuple[float, float]]):
+    def __init__(self, learned: Stems, trees, steps: list[tuple[float, float]]):
         """trees: a fitted Spark model, or None when the labels had one class only. steps: calibration points (raw, probability), rising in both."""
         self.learned, self.trees, self.steps = learned, trees, steps
 
@@ -151,18 +167,36 @@ def _raw(trees, rows: DataFrame) -> DataFrame:
     return found.withColumn("raw", vector_to_array("rawPrediction")[1]).drop("vector", "rawPrediction", "probability", "prediction")
 
 
-def learn_words(sample: DataFrame, most: int) -> frozenset[str]:
-    """Words that mark positive rows of (text, label): in at least 1 % and five of the positive texts, and twenty times as often there as in the negative."""
-    totals = sample.groupBy("label").count()
-    n = {r["label"]: r["count"] for r in totals.collect()}
+def learn_stems(sample: DataFrame, most: int) -> Stems:
+    """Beginnings of words that mark positive rows of (text, label): they occur in half a percent and five of the positive texts at least, and thirty times as
+    often there as in the negative ones.  A longer stem gives way to a shorter one that it begins with.
+
+    Near copies of one text count once among the positive: texts with the same least hash of three words in a row are taken for copies."""
+    n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if not n.get(1) or not n.get(0):
-        return frozenset()
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[\P{L}]+"))
-    rows = sample.select("label", F.explode(words).alias("word")).filter("length(word) between 3 and 40")
-    counts = rows.groupBy("word").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("q"))
+        return Stems()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            copies, stems = [], []
+            for t in b.column(1):
+                words = _LETTERS.findall((t.as_py() or "").lower())
+                copies.append(min((zlib.crc32(" ".join(words[i : i + 3]).encode()) for i in range(max(len(words) - 2, 1))), default=0))
+                stems.append(list({w[:k] for w in set(words) for k in range(STEM[0], min(len(w), STEM[1]) + 1)}))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(copies, pa.int64()), pa.array(stems, pa.list_(pa.string()))], names=["label", "copies", "stems"])
+
+    rows = sample.select("label", "text").mapInArrow(cut, "label int, copies long, stems array<string>")
+    seen = rows.filter("label = 1").select("copies", F.explode("stems").alias("stem")).distinct().groupBy("stem").agg(F.count("*").alias("p")).filter(F.col("p") >= max(5, 0.005 * n[1]))
+    # negative texts are looked through for those stems only
+    clean = rows.filter("label = 0").select(F.explode("stems").alias("stem")).join(seen.select("stem"), "stem", "left_semi").groupBy("stem").agg(F.count("*").alias("q"))
+    counts = seen.join(clean, "stem", "left").select("stem", "p", F.coalesce("q", F.lit(0)).alias("q"))
     share, other = F.col("p") / n[1], (F.col("q") + 0.5) / n[0]
-    good = counts.filter((F.col("p") >= max(5, 0.01 * n[1])) & (share >= 20 * other)).orderBy(F.desc("p"), "word").limit(most)
-    return frozenset(r["word"] for r in good.collect())
+    good = counts.filter(share >= 30 * other).orderBy(F.desc("p"), "stem").limit(10 * most)
+    kept: dict[str, int] = {}
+    for r in sorted(good.collect(), key=lambda r: (len(r["stem"]), r["stem"])):
+        if not any(r["stem"][:k] in kept for k in range(STEM[0], len(r["stem"]))):
+            kept[r["stem"]] = r["p"]
+    return Stems(sorted(kept, key=lambda s: (-kept[s], s))[:most])
 
 
 def _bound(rows: DataFrame, most: int) -> int:
@@ -174,7 +208,7 @@ def _bound(rows: DataFrame, most: int) -> int:
 def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "label", training: Training = Training()) -> Model:
     """Fit on rows with a text and a 0/1 label; rows with a null label are left out.
 
-    At most `training.rows` ids, those with the least hash, are used, each once: three quarters learn words and trees, one quarter the calibration.
+    At most `training.rows` ids, those with the least hash, are used, each once: three quarters learn stems and trees, one quarter the calibration.
     Without rows of both classes the score is the share of positives, zero without rows.
     """
     from pyspark.ml.classification import GBTClassifier
@@ -184,11 +218,13 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
     h = F.xxhash64(F.lit(training.seed), F.col(f"`{doc_id}`").cast("string"))
     rows = labelled.filter(F.col(label).isin(0, 1)).select(h.alias("h"), F.col(f"`{text}`").alias("text"), F.col(label).cast("int").alias("label"))
     rows = rows.filter(F.col("h") <= _bound(rows, training.rows)).groupBy("h").agg(F.min(F.struct("label", "text")).alias("row")).select("h", "row.label", "row.text")
-    sample = staged(rows.withColumn("fold", F.pmod(F.xxhash64("h"), F.lit(4))), "labelled")
+    # a bounded sample would be read by a task or two; its texts are worth one for each core
+    cores = labelled.sparkSession.sparkContext.defaultParallelism
+    sample = staged(rows.withColumn("fold", F.pmod(F.xxhash64("h"), F.lit(4))).repartition(cores, "h"), "labelled")
     classes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
-        return Model(frozenset(), None, [(0.0, float(classes.get(1, 0) > 0))])
-    learned = learn_words(sample.filter("fold > 0"), training.words)
+        return Model(Stems(), None, [(0.0, float(classes.get(1, 0) > 0))])
+    learned = learn_stems(sample.filter("fold > 0"), training.stems)
     data = staged(featured(sample, learned, keep=["h", "label", "fold"]), "features").withColumn("vector", array_to_vector("features"))
     parts = [data.filter("fold > 0"), data.filter("fold = 0")]
     if min(p.select("label").distinct().count() for p in parts) < 2:

@@ -4,12 +4,12 @@ import zlib
 import pytest
 
 from pitwall.llm import toxicity
-from pitwall.llm.toxicity import FEATURES, features
+from pitwall.llm.toxicity import FEATURES, Stems, features
 
 DOCS = "doc_id long, text string, lang string, features string, score string, row int"
 
 
-def value(text, name, learned=frozenset()):
+def value(text, name, learned=Stems()):
     return features(text, learned)[FEATURES.index(name)]
 
 
@@ -20,7 +20,7 @@ def test_features():
     assert value("x" * 3 + " you 1d10t, m0r0n!!! st00pid", "hidden") == 2
     assert value("what a looooser", "hidden") == 1 and value("see i d i o t and s.c.u.m", "spaced") == 2
     assert value("SHOUT LOUD ok", "caps_words") == pytest.approx(200 / 3)
-    assert value("grumpf zork", "learned", frozenset(["zork"])) == 50
+    assert value("grumpf zorkish", "learned", Stems(["zork", "grumpfen"])) == 50
     assert value("agreed, 100 dollars!", "hits") == 0
     assert value("idiot$$$ and&&&", "hits") == 1
 
