@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+import pitwall
 from pitwall.llm import chat_tools, decontaminate, fingerprints, language_id, licenses, mixing, near_dedup, token_counts, token_files, toxicity
 from pitwall.session import configure
 from pitwall.sources.scratch import scratch_path
@@ -18,9 +23,27 @@ SQL: dict[str, str] = {}
 BATCH_ROWS = 1000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, unless they find it by themselves: through PYTHONPATH or the working folder."""
+    package = Path(pitwall.__file__).resolve().parent
+    known = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
+    if spark.sparkContext.applicationId in _SHIPPED or package.parent in [p.resolve() for p in known]:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="pitwall-")) / "pitwall.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with the settings these operators rely on."""
+    """The session with the settings these operators rely on, its workers with the package."""
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    ship_package(spark)
     return spark
 
 
