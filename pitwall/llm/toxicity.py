@@ -128,6 +128,8 @@ class Training:
     rows: int = 20_000
     #: Stems learned at most from the labelled rows.
     stems: int = 300
+    #: Rows of either class that the calibrating quarter needs; with fewer, all rows fit the trees and the calibration.
+    calibrating: int = 30
     trees: int = 20
     depth: int = 3
     seed: int = 11
@@ -227,7 +229,8 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
     learned = learn_stems(sample.filter("fold > 0"), training.stems)
     data = staged(featured(sample, learned, keep=["h", "label", "fold"]), "features").withColumn("vector", array_to_vector("features"))
     parts = [data.filter("fold > 0"), data.filter("fold = 0")]
-    if min(p.select("label").distinct().count() for p in parts) < 2:
+    held = {r["label"]: r["count"] for r in parts[1].groupBy("label").count().collect()}
+    if min(held.get(0, 0), held.get(1, 0)) < training.calibrating:
         parts = [data, data]
     booster = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=training.trees, maxDepth=training.depth, stepSize=0.2, seed=training.seed, maxBins=64, minInstancesPerNode=5)
     trees = booster.fit(parts[0].select("vector", F.col("label").cast("double").alias("label")))
