@@ -15,6 +15,8 @@ from pitwall.llm.columns import crc_bucket, free_name
 UNKNOWN = "und"
 #: Code points of a text that are counted at a time.
 RUN = 1 << 18
+#: Languages up to which one row for each is broadcast.
+MOST_BROADCAST = 10_000
 _SPACE = 32
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _LETTERS: list[np.ndarray] = []
@@ -113,13 +115,19 @@ def fit(labelled: DataFrame, training: Training = Training(), doc_id: str = "doc
     """
     rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.xxhash64(F.lit(training.seed), F.col(f"`{doc_id}`").cast("string"), F.col(f"`{lang}`")).alias("h"), F.col(f"`{text}`").alias("text"))
     rows = rows.filter("lang is not null and text is not null")
-    languages = rows.select("lang").distinct().count()
+    # how many rows of a language there are tells up to which hash twice its quota lies, so no language's ids are ever gathered whole
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = sizes.count()
     if not languages:
         return None
     quota = max(1, training.rows // languages)
-    chosen = rows.select("lang", "h").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= quota)
-    bound = chosen.groupBy("lang").agg(F.max("h").alias("last"))
-    sample = rows.join(F.broadcast(bound), "lang").filter("h <= last").groupBy("lang", "h").agg(F.min("text").alias("text"))
+    share = F.least(F.lit(2.0 * quota + 50) / F.col("n"), F.lit(1.0))
+    sizes = sizes.select("lang", (share * float(1 << 64) - float(1 << 63)).alias("upto"))
+    # small by count: one row per language; without the hint, rows would be dealt out by language first
+    small = F.broadcast if languages <= MOST_BROADCAST else lambda df: df
+    few = rows.select("lang", "h").join(small(sizes), "lang").filter(F.col("h").cast("double") <= F.col("upto")).select("lang", "h").distinct()
+    bound = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= quota).groupBy("lang").agg(F.max("h").alias("last"))
+    sample = rows.join(small(bound), "lang").filter("h <= last").groupBy("lang", "h").agg(F.min("text").alias("text"))
     dimensions = training.dimensions
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
