@@ -179,7 +179,8 @@ def learn_stems(sample: DataFrame, most: int) -> Stems:
         return Stems()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        # a text has thousands of stems, so few texts are taken at a time
+        for b in (b.slice(i, 50) for b in batches for i in range(0, b.num_rows, 50)):
             copies, stems = [], []
             for t in b.column(1):
                 words = _LETTERS.findall((t.as_py() or "").lower())
