@@ -41,12 +41,9 @@ def _words(text: str) -> list[str]:
     return [w for w in _GAP.split("".join(c.lower() if c.isascii() else c for c in text)) if w]
 
 
-def inverse_frequency(files: DataFrame, vocabulary: list[str], text: str = "text") -> dict[str, float]:
-    """ln((1 + files) / (1 + files with the word)) + 1 for each word of the vocabulary, over all files; under the key "" for a word in none."""
-    found = F.array_intersect(F.array_distinct(plain_words(F.col(f"`{text}`"))), F.lit(vocabulary))
-    counts = {r["word"]: r["n"] for r in files.select(F.explode(F.array_append(found, F.lit(""))).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
-    total = counts.pop("", 0)
-    return {w: math.log((1 + total) / (1 + counts.get(w, 0))) + 1 for w in vocabulary} | {"": math.log(1 + total) + 1}
+def files_with(files: DataFrame, text: str = "text") -> DataFrame:
+    """Rows (word, n): for each word of the texts the number of files that hold it, and under "" the number of files."""
+    return files.select(F.explode(F.array_append(F.array_distinct(plain_words(F.col(f"`{text}`"))), F.lit(""))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def needed_words(vector: dict[str, float], threshold: float) -> set[str]:
@@ -64,15 +61,18 @@ def _small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFram
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
-def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text") -> DataFrame:
+def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", every_word: bool = False) -> DataFrame:
     """Rows (path, t, license, score) for the files with a block that is like a template: the likest license, of equals the first by name.
 
     Blocks are the lines of a text and its paragraphs of several lines. A block's vector has its words' counts times their inverse frequency over all
-    files; words outside the templates weigh as words seen nowhere. Only texts with a word that some template can't do without are cut into blocks.
-    t is a hash of the text.
+    files, ln((1 + files) / (1 + files with the word)) + 1; unless `every_word`, words outside the templates weigh as words seen nowhere. Only texts
+    with a word that some template can't do without are cut into blocks. t is a hash of the text.
     """
     vocabulary = sorted({w for _, body in templates for w in _words(body)})
-    idf = inverse_frequency(files, vocabulary, text)
+    counts = staged(files_with(files, text), "frequencies")
+    known = {r["word"]: r["n"] for r in counts.filter(F.col("word").isin(["", *vocabulary])).collect()}
+    total = known.pop("", 0)
+    idf = {w: math.log((1 + total) / (1 + known.get(w, 0))) + 1 for w in vocabulary}
     vectors, need = [], set()
     for name, body in templates:
         raw = {w: n * idf[w] for w, n in Counter(_words(body)).items()}
@@ -81,14 +81,19 @@ def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATE
         need |= needed_words(vectors[-1][1], threshold)
     # both are as long as the templates, which the caller holds in memory
     weights = _small_table(files.sparkSession, [{"template": i, "license": name, "word": w, "weight": x} for i, (name, v) in enumerate(vectors) for w, x in v.items()], "template int, license string, word string, weight double")
-    idfs = _small_table(files.sparkSession, [{"word": w, "idf": idf[w]} for w in vocabulary], "word string, idf double")
     body, needed = F.col(f"`{text}`"), F.lit(sorted(need))
     chosen = files.filter(F.arrays_overlap(plain_words(body), needed)).select(F.col(f"`{path}`").alias("path"), F.xxhash64(body).alias("t"), body.alias("text")).withColumn("row", F.monotonically_increasing_id())
     lines = F.split("text", r"\r\n|\r|\n")
     paragraphs = F.filter(F.split("text", r"(?:\r\n|\r|\n)[\x09\x0B\x0C\x20]*(?:\r\n|\r|\n)"), lambda p: p.rlike(r"[\r\n]"))
     blocks = chosen.select("path", "t", "row", F.posexplode(F.concat(lines, paragraphs)).alias("block", "body")).select("path", "t", "row", "block", plain_words(F.col("body")).alias("words"))
     terms = blocks.filter(F.arrays_overlap("words", needed)).select("path", "t", "row", "block", F.explode("words").alias("word")).groupBy("path", "t", "row", "block", "word").agg(F.count("*").alias("n"))
-    terms = staged(terms.join(F.broadcast(idfs), "word", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(idf[""]))), "terms")
+    terms = staged(terms, "terms")
+    # words that a thousandth of the files hold are few and may fill most blocks, so they stay out of the join by word
+    counts = counts if every_word else counts.filter(F.col("word").isin(vocabulary))
+    common = F.col("n") * 1000 >= total
+    met = terms.withColumnRenamed("n", "times").join(F.broadcast(counts.filter(common)), "word", "left")
+    rest = met.filter("n is null").drop("n").join(counts.filter(~common), "word", "left")
+    terms = staged(met.filter("n is not null").unionByName(rest).withColumn("x", F.col("times") * (F.log((1 + F.lit(total)) / (1 + F.coalesce("n", F.lit(0)))) + 1)), "weighted")
     key = ["row", "block"]
     sizes = terms.groupBy(*key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
     dots = terms.join(F.broadcast(weights), "word").groupBy("path", "t", *key, "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
@@ -114,14 +119,14 @@ def inherited(folders: DataFrame, licensed: DataFrame) -> DataFrame:
     return found.groupBy("folder").agg(F.max(F.struct("depth", "up", "license")).alias("m")).select("folder", F.col("m.license").alias("license"), F.col("m.up").alias("from_folder"))
 
 
-def scanned(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def scanned(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", keep: list[str] | None = None, every_word: bool = False) -> DataFrame:
     """One row per row of `files`: the columns `keep`, path, license, score, origin and from_folder.
 
     origin is `declared` where the text itself is like a template, else `inherited` from the license file of the nearest folder above (score null),
     else null. A folder with several license files takes the likest, of equals the first by name. Null and empty texts declare nothing; a null path
     inherits nothing. Rows alike in path and text get alike results. Paths have slashes; one without is in the root folder "".
     """
-    own = staged(declared(files, templates, threshold, path, text), "declared")
+    own = staged(declared(files, templates, threshold, path, text, every_word), "declared")
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     speaking = own.filter(F.col("path").isNotNull() & name.rlike(LICENSE_FILE)).groupBy(_folder(F.col("path")).alias("folder")).agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("m"))
     licensed = staged(speaking.select("folder", F.col("m.license").alias("license")), "folders")
@@ -146,4 +151,4 @@ def as_files(docs: DataFrame) -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, path, license, score, origin, from_folder."""
-    return scanned(as_files(docs), keep=["doc_id"])
+    return scanned(as_files(docs), keep=["doc_id"], every_word=True)

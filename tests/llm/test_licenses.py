@@ -87,3 +87,21 @@ def test_empty_table_and_plan(spark, words):
     assert scanned(empty, keep=["doc_id"]).count() == 0
     plan = scanned(spark.createDataFrame(tree(words, 20), FILES))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|Cartesian", plan)
+
+
+def test_common_words_weigh_little(spark):
+    """A notice among words that nearly all files hold is found by the query, with the score of a brute force that counts all words."""
+    notice = "Released under the MIT License. about there again once"
+    docs = [(i, "about there again once " + f"word{i}", "src") for i in range(300)] + [(300, notice, "src"), (301, "Released under the MIT License. odd rarity strange unseen", "src")]
+    seen = Counter(w for _, text, _ in docs for w in set(_words(text)))
+
+    def vector(text):
+        raw = {w: k * (math.log((1 + len(docs)) / (1 + seen[w])) + 1) for w, k in Counter(_words(text)).items()}
+        size = math.sqrt(sum(x * x for x in raw.values()))
+        return {w: x / size for w, x in raw.items()}
+
+    v, t = vector(notice), vector("Released under the MIT License.")
+    want = round(sum(x * t.get(w, 0) for w, x in v.items()), 6)
+    got = {r.doc_id: (r.license, r.score) for r in licenses.digest(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+    assert want > 0.8 and got[300] == ("MIT", want)
+    assert got[301] == got[0] == (None, None)
