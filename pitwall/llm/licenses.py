@@ -10,9 +10,10 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pitwall.llm.columns import plain_words
+from pitwall.llm.license_texts import FORMS, SPDX
 from pitwall.sources.scratch import staged
 
-# fixed notices
+# notices, headers and openings of license files
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
@@ -31,6 +32,7 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *FORMS,
 )
 #: Files that speak for their folder and all below it.
 LICENSE_FILE = r"(?i)^(un)?(licen[cs]e|copying|notice)([._-].*)?$"
@@ -46,10 +48,10 @@ def files_with(files: DataFrame, text: str = "text") -> DataFrame:
     return files.select(F.explode(F.array_append(F.array_distinct(plain_words(F.col(f"`{text}`"))), F.lit(""))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def needed_words(vector: dict[str, float], threshold: float) -> set[str]:
-    """The heaviest words of a unit vector without which no text reaches the threshold: the rest alone is too short."""
+def needed_words(vector: dict[str, float], threshold: float, files: dict[str, int]) -> set[str]:
+    """Words of a unit vector without which no text reaches the threshold, as the rest alone is too short: those that are in few files for their weight."""
     need, rest = set(), 1.0
-    for word, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+    for word, weight in sorted(vector.items(), key=lambda x: ((1 + files.get(x[0], 0)) / (x[1] * x[1]), x[0])):
         if rest < threshold * threshold:
             break
         need.add(word)
@@ -61,27 +63,31 @@ def _small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFram
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
-def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", every_word: bool = False) -> DataFrame:
+def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", every_word: bool = False, exact: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """Rows (path, t, license, score) for the files with a block that is like a template: the likest license, of equals the first by name.
 
     Blocks are the lines of a text and its paragraphs of several lines. A block's vector has its words' counts times their inverse frequency over all
     files, ln((1 + files) / (1 + files with the word)) + 1; unless `every_word`, words outside the templates weigh as words seen nowhere. Only texts
-    with a word that some template can't do without are cut into blocks. t is a hash of the text.
+    with a word that some template can't do without are cut into blocks. t is a hash of the text. A template of `exact` counts only
+    for blocks with all its words.
     """
+    whole, templates = len(templates), (*templates, *exact)
     vocabulary = sorted({w for _, body in templates for w in _words(body)})
     counts = staged(files_with(files, text), "frequencies")
     known = {r["word"]: r["n"] for r in counts.filter(F.col("word").isin(["", *vocabulary])).collect()}
     total = known.pop("", 0)
     idf = {w: math.log((1 + total) / (1 + known.get(w, 0))) + 1 for w in vocabulary}
-    vectors, need = [], set()
+    vectors, needs = [], []
     for name, body in templates:
         raw = {w: n * idf[w] for w, n in Counter(_words(body)).items()}
         size = math.sqrt(sum(x * x for x in raw.values()))
         vectors.append((name, {w: x / size for w, x in raw.items()}))
-        need |= needed_words(vectors[-1][1], threshold)
+        # a score is rounded to six digits
+        needs.append(needed_words(vectors[-1][1], threshold - 1e-6, known))
     # both are as long as the templates, which the caller holds in memory
-    weights = _small_table(files.sparkSession, [{"template": i, "license": name, "word": w, "weight": x} for i, (name, v) in enumerate(vectors) for w, x in v.items()], "template int, license string, word string, weight double")
-    body, needed = F.col(f"`{text}`"), F.lit(sorted(need))
+    rows = [{"template": i, "license": name, "word": w, "weight": x, "need": w in needs[i], "least": len(v) if i >= whole else 0} for i, (name, v) in enumerate(vectors) for w, x in v.items()]
+    weights = _small_table(files.sparkSession, rows, "template int, license string, word string, weight double, need boolean, least int")
+    body, needed = F.col(f"`{text}`"), F.lit(sorted(set().union(*needs)))
     chosen = files.filter(F.arrays_overlap(plain_words(body), needed)).select(F.col(f"`{path}`").alias("path"), F.xxhash64(body).alias("t"), body.alias("text")).withColumn("row", F.monotonically_increasing_id())
     lines = F.split("text", r"\r\n|\r|\n")
     paragraphs = F.filter(F.split("text", r"(?:\r\n|\r|\n)[\x09\x0B\x0C\x20]*(?:\r\n|\r|\n)"), lambda p: p.rlike(r"[\r\n]"))
@@ -96,9 +102,12 @@ def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATE
     terms = staged(met.filter("n is not null").unionByName(rest).withColumn("x", F.col("times") * (F.log((1 + F.lit(total)) / (1 + F.coalesce("n", F.lit(0)))) + 1)), "weighted")
     key = ["row", "block"]
     sizes = terms.groupBy(*key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
-    dots = terms.join(F.broadcast(weights), "word").groupBy("path", "t", *key, "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    # a block meets only templates of which it has a needed word
+    pairs = terms.join(F.broadcast(weights.filter("need").select("word", "template")), "word").select(*key, "template").distinct()
+    known_terms = terms.join(F.broadcast(weights.select("word").distinct()), "word", "left_semi")
+    dots = known_terms.join(pairs, key).join(F.broadcast(weights), ["template", "word"]).groupBy("path", "t", *key, "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"), (F.count("*") >= F.max("least")).alias("enough"))
     # rounded, so that the order in which parts are summed doesn't decide what is like enough
-    scores = dots.join(sizes, key).withColumn("score", F.round(F.least(F.col("dot") / F.col("size"), F.lit(1.0)), 6)).filter(F.col("score") >= threshold)
+    scores = dots.join(sizes, key).withColumn("score", F.round(F.least(F.col("dot") / F.col("size"), F.lit(1.0)), 6)).filter((F.col("score") >= threshold) & F.col("enough"))
     best = scores.groupBy("path", "t").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))
     return best.select("path", "t", F.col("best.license").alias("license"), (-F.col("best.s")).alias("score"))
 
@@ -119,14 +128,14 @@ def inherited(folders: DataFrame, licensed: DataFrame) -> DataFrame:
     return found.groupBy("folder").agg(F.max(F.struct("depth", "up", "license")).alias("m")).select("folder", F.col("m.license").alias("license"), F.col("m.up").alias("from_folder"))
 
 
-def scanned(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", keep: list[str] | None = None, every_word: bool = False) -> DataFrame:
+def scanned(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", keep: list[str] | None = None, every_word: bool = False, exact: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """One row per row of `files`: the columns `keep`, path, license, score, origin and from_folder.
 
     origin is `declared` where the text itself is like a template, else `inherited` from the license file of the nearest folder above (score null),
     else null. A folder with several license files takes the likest, of equals the first by name. Null and empty texts declare nothing; a null path
     inherits nothing. Rows alike in path and text get alike results. Paths have slashes; one without is in the root folder "".
     """
-    own = staged(declared(files, templates, threshold, path, text, every_word), "declared")
+    own = staged(declared(files, templates, threshold, path, text, every_word, exact), "declared")
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     speaking = own.filter(F.col("path").isNotNull() & name.rlike(LICENSE_FILE)).groupBy(_folder(F.col("path")).alias("folder")).agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("m"))
     licensed = staged(speaking.select("folder", F.col("m.license").alias("license")), "folders")
@@ -151,4 +160,4 @@ def as_files(docs: DataFrame) -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, path, license, score, origin, from_folder."""
-    return scanned(as_files(docs), keep=["doc_id"], every_word=True)
+    return scanned(as_files(docs), keep=["doc_id"], every_word=True, exact=SPDX)

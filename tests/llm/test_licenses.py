@@ -105,3 +105,18 @@ def test_common_words_weigh_little(spark):
     got = {r.doc_id: (r.license, r.score) for r in licenses.digest(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
     assert want > 0.8 and got[300] == ("MIT", want)
     assert got[301] == got[0] == (None, None)
+
+
+def test_headers_files_and_variants(spark):
+    """Headers, file openings, SPDX lines and near variants get their own license; an identifier outside the list gets none."""
+    want = {
+        "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone": "GPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007": "AGPL-3.0",
+        "Apache License\nVersion 2.0, January 2004": "Apache-2.0", "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0", "This work is licensed under the GNU General Public License.": "GPL-1.0-or-later",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International": "CC-BY-SA-4.0", "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,\nprovided that the above copyright notice and this permission notice appear in all copies.": "ISC",
+        "BSD 2-Clause License\n\nRedistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:": "BSD-2-Clause",
+        "# SPDX-License-Identifier: MIT": "MIT", "The MIT License (MIT)": "MIT", "// SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0", "/* SPDX-License-Identifier: LGPL-3.0-only */": "LGPL-3.0", "SPDX-License-Identifier: Frob-2.0": None,
+    }
+    docs = [(i, text, "src") for i, text in enumerate(want, 1)] + [(i, f"plain prose {i}", "src") for i in range(100, 140)]
+    got = {r.doc_id: r.license for r in licenses.digest(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+    assert {text: got[i] for i, text in enumerate(want, 1)} == want and not any(got[i] for i in range(100, 140))
