@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import pitwall
-from pitwall.llm import chat_tools, decontaminate, fingerprints, language_id, licenses, mixing, near_dedup, token_counts, token_files, toxicity
+from pitwall.llm import chat_tools, decontaminate, fingerprints, language_id, licenses, mixing, near_dedup, repeats, token_counts, token_files, toxicity
 from pitwall.session import configure
 from pitwall.sources.scratch import scratch_path
 
@@ -123,3 +123,8 @@ def _(table):
 @_query("op3_tool_call_linking")
 def _(table):
     return chat_tools.digest(table("conversations"))
+
+
+@_query("op11_repeated_passages")
+def _(table):
+    return repeats.digest(table("documents"))
