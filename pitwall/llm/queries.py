@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import pitwall
-from pitwall.llm import chat_tools, decontaminate, fingerprints, language_id, licenses, mixing, near_dedup, repeats, token_counts, token_files, toxicity
+from pitwall.llm import chat_tools, decontaminate, fingerprints, language_id, licenses, merkle, mixing, near_dedup, repeats, token_counts, token_files, toxicity, whitening
 from pitwall.session import configure
 from pitwall.sources.scratch import scratch_path
 
@@ -128,3 +128,13 @@ def _(table):
 @_query("op11_repeated_passages")
 def _(table):
     return repeats.digest(table("documents"))
+
+
+@_query("op12_merkle_manifest")
+def _(table):
+    return merkle.digest(table("documents"))
+
+
+@_query("op13_embedding_whitening")
+def _(table):
+    return whitening.whitened(table("embeddings"))

@@ -13,6 +13,7 @@ DIGESTS = {
     "op7_": ["doc_id", "size", "source_size", "target", "taken"],
     "op9_": ["doc_id", "held_out", "score", "predicted"],
     "op10_": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op12_": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
     "op11_": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
 }
 
