@@ -43,6 +43,20 @@ def _(t):
     return t["sessions"].select("session_key", "country_name", "year").join(meetings, ["country_name", "year"]).select("session_key", "meeting_key", "meeting_name")
 
 
+@query(
+    "j05_fan_out_meetings",
+    """WITH held AS (SELECT DISTINCT o_custkey AS country, year(o_orderdate) AS year FROM orders),
+            meetings AS (SELECT country, year, 1 AS part FROM held UNION ALL SELECT country, year, 2 FROM held WHERE country % 3 = 0)
+       SELECT o_orderkey AS session_key, country, CAST(m.year AS INTEGER) AS year, part FROM orders JOIN meetings m ON m.country = o_custkey AND m.year = year(o_orderdate)""",
+)
+def _(t):
+    """Sessions of countries of which every third has two meetings in a year: there each session is repeated, once per meeting."""
+    ses = t.table("orders").select(F.col("o_orderkey").alias("session_key"), F.col("o_custkey").alias("country"), F.year("o_orderdate").alias("year"))
+    parts = F.when(F.col("country") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    meetings = ses.select("country", "year").distinct().select("country", "year", F.explode(parts).alias("part"))
+    return ses.join(meetings, ["country", "year"]).select("session_key", "country", "year", "part")
+
+
 _MATCH = "session_key, driver_number, lap_number"
 register(
     "j06_range_closed",
@@ -91,6 +105,21 @@ register(
     ).select(*CAR, "stint_number", "date", "position"),
     "SELECT session_key, driver_number, stint_number, o.date, o.position FROM p_stint_laps JOIN b_position o USING (session_key, driver_number) WHERE o.date BETWEEN stint_start_time AND stint_end_time",
 )
+
+
+@query(
+    "j10_session_weather",
+    f"""SELECT s.session_key, s.driver_number, s.stint_number, w.date, {r('w.humidity', 'humidity')} FROM p_stint_laps s LEFT JOIN b_weather w
+        ON w.session_key = s.session_key AND w.date BETWEEN s.stint_start_time AND s.stint_end_time""",
+)
+def _(t):
+    """Every reading of the session during a stint, whatever the car; stints without any stay."""
+    st = p.stint_laps(t).select(*CAR, "stint_number", "stint_start_time", "stint_end_time")
+    readings = t["weather"].select("session_key", "date", "humidity")
+    hits = range_join(st, readings, ["session_key"], "stint_start_time", "stint_end_time", "date", spacing(readings, ["session_key"], "date"), closed=True)
+    return st.select(*CAR, "stint_number").join(hits.select(*CAR, "stint_number", "date", "humidity"), [*CAR, "stint_number"], "left")
+
+
 register(
     "j11_asof",
     lambda t: asof_join(

@@ -1,4 +1,4 @@
-"""Joins of events with intervals: range, last-in-interval, nearest, as-of."""
+"""Joins of events with intervals: range, last-in-interval, nearest, as-of; aggregates over spans."""
 
 from __future__ import annotations
 
@@ -8,24 +8,31 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitwall.functions.times import micros
+from pitwall.operators.dyadic import cover, level_of, nodes_of
 from pitwall.operators.ordered import neighbours, time_bucket
 
 BIN = "_bin"
 WIDTH = "_width"
+LEVELS = "_levels"
 MINUTE_US = 60_000_000
 
 
 def spacing(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Per key the mean distance of consecutive events in microseconds, one minute at least: the keys and WIDTH.
 
-    Intervals that run from one event of a key to its next have this mean length, so cutting the key's time into bins of this width gives about
-    three bins per interval at most in total, however unequal the intervals are, and a bin of a busy key is as narrow as its own events ask for.
+    Intervals that run from one event of a key to its next have this mean length, so cutting the key's time into cells of this width gives about
+    three cells per interval at most in total, however unequal the intervals are, and a cell of a busy key is as narrow as its own events ask for.
     """
     spans = df.dropna(subset=[*keys, at]).groupBy(*keys).agg((F.max(micros(F.col(at))) - F.min(micros(F.col(at)))).alias("_span"), F.count(at).alias("_n"))
     mean = F.greatest(F.col("_span") / F.col("_n"), F.lit(float(MINUTE_US)))
     return spans.select(*keys, mean.cast("bigint").alias(WIDTH))
 
 
+def _grid(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key the levels its nodes (column BIN) are of: the keys and LEVELS, one level for each power of eight of the longest span at most."""
+    return nodes.groupBy(*keys).agg(F.collect_set(level_of(F.col(BIN))).alias(LEVELS))
+
+
 def range_join(
     intervals: DataFrame,
     points: DataFrame,
@@ -39,27 +46,56 @@ def range_join(
 ) -> DataFrame:
     """All pairs with `start <= at < end` (or `<= end` when closed) and equal keys.
 
-    Each interval is copied to the time bins it touches, so a hot key is spread over its bins and a task only
-    sees events near its intervals; a point lies in one bin, so no pair appears twice.  The bin width is a number of
-    microseconds, or one per key (`spacing`), carried on both sides by a join with one row per key; keys without a
-    width have no pairs.  `keep_bin` leaves the bin in the result: grouping by keys, bin and more then reuses the
-    partitioning of the join.
+    Time is cut into cells of a number of microseconds (`width`), or of one per key (`spacing`), carried on both sides by a join with one row per key; keys
+    without a width have no pairs.  An interval is cut into the nodes of a tree over its cells (`dyadic`): one of ordinary length stays in the cells it
+    touches, a long one becomes few large nodes, however far off its end is.  A point goes to its node of each level that intervals of its key use, mostly
+    one.  A hot key is so spread over its nodes, a task only sees events near its intervals, and no pair appears twice.  `keep_bin` leaves the node in the
+    result: grouping by keys, bin and more then reuses the partitioning of the join.
     """
 
-    def wide(df: DataFrame) -> DataFrame:
-        return df.withColumn(WIDTH, F.lit(width)) if isinstance(width, int) else df.join(width, list(keys))
-
     def cut(c: str) -> Column:
         return F.floor(micros(F.col(c)) / F.col(WIDTH)).cast("bigint")
 
-    spread = wide(intervals.filter(F.col(start) <= F.col(end))).withColumn(BIN, F.explode(F.sequence(cut(start), cut(end)))).drop(WIDTH)
-    located = wide(points).withColumn(BIN, cut(at)).drop(WIDTH)
+    def wide(df: DataFrame) -> DataFrame:
+        return df.withColumn(WIDTH, F.lit(width)) if isinstance(width, int) else df.join(width, list(keys))
+
+    spread = wide(intervals.filter(F.col(start) <= F.col(end))).withColumn(BIN, F.explode(cover(cut(start), cut(end)))).drop(WIDTH)
+    levels = _grid(spread, keys)
+    grid = levels.withColumn(WIDTH, F.lit(width)) if isinstance(width, int) else levels.join(width, list(keys))
+    located = points.join(grid, list(keys)).withColumn(BIN, F.explode(nodes_of(cut(at), F.col(LEVELS)))).drop(WIDTH, LEVELS)
     pairs = spread.join(located, [*keys, BIN], "inner")
     upper = F.col(at) <= F.col(end) if closed else F.col(at) < F.col(end)
     pairs = pairs.filter((F.col(at) >= F.col(start)) & upper)
     return pairs if keep_bin else pairs.drop(BIN)
 
 
+def span_aggregates(
+    spans: DataFrame,
+    points: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    at: str,
+    values: Mapping[str, tuple[str, Column]],
+) -> DataFrame:
+    """Per span the aggregates of its key's points with `start <= at <= end`: the span's columns and one per entry of `values`, a name with a kind (sum, min,
+    max or count) and a column of the points.  Spans without points keep NULL, counts 0; equal spans are one row.
+
+    Points are aggregated to the nodes of a tree over time in microseconds, once per level that spans of the key use; a span's nodes are exactly its time, so
+    it adds up some dozens of rows whatever it holds, meets no point itself, and nothing is subtracted: a NaN or an infinite value changes the spans that hold it
+    and no other.
+    """
+    first = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
+    again = {"sum": F.sum, "min": F.min, "max": F.max, "count": lambda c: F.coalesce(F.sum(c), F.lit(0))}
+    ids = spans.columns
+    cut = spans.withColumn(BIN, F.explode_outer(cover(micros(F.col(start)), micros(F.col(end)))))
+    levels = _grid(cut.filter(F.col(BIN).isNotNull()), keys)
+    given = points.select(*keys, at, *[c.alias(f"_v_{n}") for n, (_, c) in values.items()]).filter(F.col(at).isNotNull())
+    nodes = given.join(levels, list(keys)).withColumn(BIN, F.explode(nodes_of(micros(F.col(at)), F.col(LEVELS)))).groupBy(*keys, BIN).agg(
+        *[first[kind](f"_v_{n}").alias(f"_v_{n}") for n, (kind, _) in values.items()])
+    return cut.join(nodes, [*keys, BIN], "left").groupBy(*ids).agg(*[again[kind](f"_v_{n}").alias(n) for n, (kind, _) in values.items()])
+
+
 def explode_numbers(
     spans: DataFrame, keys: Sequence[str], start: str, end: str, numbered: DataFrame, number: str, outer: bool = False
 ) -> DataFrame:
@@ -114,31 +150,35 @@ def asof_join(
     """Every left row with the latest right row at or before it; NULLs where there is none.
 
     A right row is valid from its time to that of the next one of its key, found by one pass over the right side; of rows at one time the largest
-    counts.  The validity intervals are cut into bins as wide as the key's readings are apart, and left rows meet them by key and bin, in a plain join
-    that is split at run time where a bin holds very many left rows.  Left rows at or after a key's last reading take it from one row per key and are
-    dealt out by a hash, so no interval needs an open end.  Left rows are neither sorted nor gathered by key.
+    counts.  Time is cut into cells as wide as the key's readings are apart, and a reading is kept in the nodes of a tree over the cells that its validity
+    is made of (`dyadic`), so a reading that long stays the last one is in few nodes.  Left rows meet them by key and node, in a plain join that is split at
+    run time where a node holds very many left rows.  Left rows before a key's first reading have none, those at or after its last one take it from one row
+    per key; both are dealt out by a hash.  Left rows are neither sorted nor gathered by key.
     """
     stamped = right.filter(F.col(right_at).isNotNull()).groupBy(*keys, right_at).agg(F.max(F.struct(*values)).alias("_v"))
     reading = F.struct(F.col(right_at), *[F.col("_v")[v].alias(v) for v in values])
     linked = neighbours(stamped, keys, [right_at], time_bucket(F.col(right_at)), next={"_until": F.col(right_at)}).withColumn("_reading", reading)
-    ends = stamped.groupBy(*keys).agg(F.max(F.struct(F.col(right_at), F.col("_v"))).alias("_e")).select(
-        *keys, F.struct(F.col("_e")[right_at].alias(right_at), *[F.col("_e._v")[v].alias(v) for v in values]).alias("_last")
-    )
-    widths = spacing(stamped, keys, right_at)
-    tail = ends.join(widths, list(keys)).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last", WIDTH)
+    span = F.max(micros(F.col(right_at))) - F.min(micros(F.col(right_at)))
+    ends = stamped.groupBy(*keys).agg(
+        F.max(F.struct(F.col(right_at), F.col("_v"))).alias("_e"), F.min(right_at).alias("_first"), F.greatest(span / F.count("*"), F.lit(float(MINUTE_US))).cast("bigint").alias(WIDTH)
+    ).select(*keys, F.struct(F.col("_e")[right_at].alias(right_at), *[F.col("_e._v")[v].alias(v) for v in values]).alias("_last"), "_first", WIDTH)
 
     def cut(c: Column) -> Column:
         return F.floor(micros(c) / F.col(WIDTH)).cast("bigint")
 
     last_us = F.timestamp_add("MICROSECOND", F.lit(-1), F.col("_until"))
-    spread = linked.filter(F.col("_until").isNotNull()).join(widths, list(keys)).select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys], F.explode(F.sequence(cut(F.col(right_at)), cut(last_us))).alias("_r_bin"), F.lit(True).alias("_r_open"),
-        F.col(right_at).alias("_from"), "_until", "_reading",
-    )
+    spread = linked.filter(F.col("_until").isNotNull()).join(ends.select(*keys, WIDTH), list(keys)).select(
+        *keys, F.explode(cover(cut(F.col(right_at)), cut(last_us))).alias(BIN), F.col(right_at).alias("_from"), "_until", "_reading")
+    tail = ends.join(_grid(spread, keys), list(keys), "left").select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last", "_first", WIDTH, LEVELS)
+    spread = spread.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col(BIN).alias("_r_bin"), F.lit(True).alias("_r_open"), "_from", "_until", "_reading")
+
     rows = left.join(tail, reduce(lambda a, b: a & b, [left[k] == F.col(f"_k_{k}") for k in keys]), "left")
-    before_end = F.coalesce(F.col(left_at) < F.col("_last")[right_at], F.lit(False))
-    rows = rows.withColumn("_open", before_end).withColumn(BIN, F.when(before_end, cut(F.col(left_at))).otherwise(F.pmod(F.xxhash64(*left.columns), F.lit(4096))))
+    within = F.coalesce((F.col(left_at) < F.col("_last")[right_at]) & (F.col(left_at) >= F.col("_first")), F.lit(False))
+    dealt = F.array(F.pmod(F.xxhash64(*left.columns), F.lit(4096)))
+    rows = rows.withColumn("_open", within).withColumn(BIN, F.explode(F.when(within, nodes_of(cut(F.col(left_at)), F.col(LEVELS))).otherwise(dealt)))
     met = reduce(lambda a, b: a & b, [left[k] == F.col(f"_r_{k}") for k in keys]) & (F.col("_open") == F.col("_r_open")) & (F.col(BIN) == F.col("_r_bin"))
     found = rows.join(spread, met & (F.col(left_at) >= F.col("_from")) & (F.col(left_at) < F.col("_until")), "left")
+    # a row within the readings is there once for each level, and one of its nodes has the reading
+    found = found.filter(~F.col("_open") | F.col("_from").isNotNull())
     hit = F.when(F.col(left_at) >= F.col("_last")[right_at], F.col("_last")).otherwise(F.col("_reading"))
     return found.withColumn("_hit", hit).select(*[left[c] for c in left.columns], *[F.col("_hit")[c].alias(c) for c in [right_at, *values]])

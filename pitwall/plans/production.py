@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pitwall.functions import add_seconds, numeric_gap, points_for, seconds_between, stint_length, strict_concat_ws, trunc_to, utc
-from pitwall.operators.intervals import asof_join, explode_numbers, range_join, spacing
-from pitwall.operators.ordered import carry_forward, number_bucket, running_totals, split_dense_rank, split_row_number, time_bucket
+from pitwall.operators.intervals import explode_numbers, range_join, spacing, span_aggregates
+from pitwall.operators.ordered import carry_forward, number_bucket, split_dense_rank, split_row_number
 from pitwall.operators.rows import earliest, qualify_first
 from pitwall.plans.memo import plan
 from pitwall.settings import DEFAULTS, Settings
@@ -169,30 +169,14 @@ def stint_laps(t) -> DataFrame:
 def stint_weather(t) -> DataFrame:
     """Mean conditions of each stint: readings between the times of its first and last lap, both included.
 
-    Running sums and counts of the session's readings are looked up at both ends of a stint, and their differences give its means, so no stint ever meets
-    its readings one by one.
+    Readings are added up per node of a tree over time, and a stint adds up its nodes, so no stint ever meets its readings one by one, and a reading that
+    isn't a number spoils only the stints it lies in.
     """
     ids = [*CAR, "stint_number", "compound", "lap_start", "lap_end", "stint_length"]
-    st = stint_laps(t)
     means = {"air_temperature": "avg_air_temp", "track_temperature": "avg_track_temp", "humidity": "avg_humidity", "wind_speed": "avg_wind_speed"}
-    sums = [F.sum(c).cast("double").alias(f"s_{c}") for c in means] + [F.count(c).alias(f"n_{c}") for c in [*means, "rainfall"]] + [F.count_if("rainfall").alias("s_rainfall")]
-    totals = [f"{kind}_{c}" for kind in "sn" for c in [*means, "rainfall"]]
-    readings = weather(t).filter(F.col("date").isNotNull()).groupBy("session_key", "date").agg(*sums)
-    running = running_totals(readings, ["session_key"], ["date"], totals, time_bucket(F.col("date")))
-    # a stint without both times has no readings
-    whole = F.col("stint_start_time").isNotNull() & F.col("stint_end_time").isNotNull() & (F.col("stint_start_time") <= F.col("stint_end_time"))
-    bounds = st.withColumn("_before", F.when(whole, F.timestamp_add("MICROSECOND", F.lit(-1), F.col("stint_start_time")))).withColumn("_upto", F.when(whole, F.col("stint_end_time")))
-    first = asof_join(bounds, running.withColumnRenamed("date", "_d0"), ["session_key"], "_before", "_d0", totals)
-    first = first.select(*bounds.columns, *[F.coalesce(c, F.lit(0)).alias(f"_0_{c}") for c in totals])
-    both = asof_join(first, running.withColumnRenamed("date", "_d1"), ["session_key"], "_upto", "_d1", totals)
-
-    def between(c: str):
-        return F.col(c) - F.col(f"_0_{c}")
-
-    st = both.select(
-        *ids, *[F.when(between(f"n_{c}") > 0, between(f"s_{c}") / between(f"n_{c}")).alias(name) for c, name in means.items()],
-        F.when(between("n_rainfall") > 0, between("s_rainfall") > 0).alias("had_rainfall"),
-    )
+    values = {f"s_{c}": ("sum", F.col(c).cast("double")) for c in means} | {f"n_{c}": ("count", F.col(c)) for c in means} | {"rain": ("max", F.col("rainfall"))}
+    st = span_aggregates(stint_laps(t), weather(t), ["session_key"], "stint_start_time", "stint_end_time", "date", values)
+    st = st.select(*ids, *[F.when(F.col(f"n_{c}") > 0, F.col(f"s_{c}") / F.col(f"n_{c}")).alias(name) for c, name in means.items()], F.col("rain").alias("had_rainfall"))
     track, rain, humid = F.col("avg_track_temp"), F.col("had_rainfall"), F.col("avg_humidity")
     return st.select(
         *ids, "avg_air_temp", "avg_track_temp", "avg_humidity", "had_rainfall", "avg_wind_speed",
