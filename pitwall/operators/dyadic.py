@@ -42,14 +42,19 @@ def cover(low: Column, high: Column) -> Column:
         numbers = F.when(inner_a < inner_z, F.concat(_run(a, inner_a - 1), _run(inner_z, z))).otherwise(_run(a, z))
         return F.transform(numbers, lambda n: n * _SLOTS + level)
 
-    size = F.least(high - low + 1, F.lit(1 << 58))
-    top = F.least(F.floor(F.log2(size.cast("double")) / FAN_BITS).cast("int") + 1, F.lit(LEVELS - 1))
-    levels = F.filter(F.sequence(F.lit(0), top), lambda l: first(l) <= last(l))
+    levels = F.filter(F.sequence(F.lit(0), highest_level(high - low + 1)), lambda l: first(l) <= last(l))
     short = F.transform(F.sequence(low, high), lambda n: n * _SLOTS)
     return F.when(low > high, F.array().cast("array<bigint>")).when(high - low < _SHORT, short).when(
         low.isNotNull() & high.isNotNull(), F.flatten(F.transform(levels, at))).otherwise(F.array().cast("array<bigint>"))
 
 
+def highest_level(size: Column) -> Column:
+    """The highest level that the cover of a span of so many numbers, or of fewer, can use."""
+    # a power of eight may come out as a hair less than its exponent
+    exponent = F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double")) / FAN_BITS + 1e-6).cast("int")
+    return F.when(size <= _SHORT, 0).otherwise(F.least(exponent, F.lit(LEVELS - 1)))
+
+
 def level_of(node: Column) -> Column:
     return F.pmod(node, F.lit(_SLOTS)).cast("int")
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitwall.functions.times import micros
-from pitwall.operators.dyadic import cover, level_of, nodes_of
+from pitwall.operators.dyadic import cover, highest_level, nodes_of
 from pitwall.operators.ordered import neighbours, time_bucket
 
 BIN = "_bin"
@@ -28,9 +28,11 @@ def spacing(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     return spans.select(*keys, mean.cast("bigint").alias(WIDTH))
 
 
-def _grid(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per key the levels its nodes (column BIN) are of: the keys and LEVELS, one level for each power of eight of the longest span at most."""
-    return nodes.groupBy(*keys).agg(F.collect_set(level_of(F.col(BIN))).alias(LEVELS))
+def _levels(spans: DataFrame, keys: Sequence[str], start: str, end: str, width: DataFrame | int) -> DataFrame:
+    """Per key the cell width, and in LEVELS the levels of nodes that its spans may use: up to the power of eight that its longest span has cells."""
+    longest = spans.groupBy(*keys).agg(F.max(micros(F.col(end)) - micros(F.col(start))).alias("_long"))
+    wide = longest.withColumn(WIDTH, F.lit(width)) if isinstance(width, int) else longest.join(width, list(keys))
+    return wide.select(*keys, WIDTH, F.sequence(F.lit(0), highest_level(F.floor(F.col("_long") / F.col(WIDTH)) + 2)).alias(LEVELS))
 
 
 def range_join(
@@ -48,8 +50,8 @@ def range_join(
 
     Time is cut into cells of a number of microseconds (`width`), or of one per key (`spacing`), carried on both sides by a join with one row per key; keys
     without a width have no pairs.  An interval is cut into the nodes of a tree over its cells (`dyadic`): one of ordinary length stays in the cells it
-    touches, a long one becomes few large nodes, however far off its end is.  A point goes to its node of each level that intervals of its key use, mostly
-    one.  A hot key is so spread over its nodes, a task only sees events near its intervals, and no pair appears twice.  `keep_bin` leaves the node in the
+    touches, a long one becomes few large nodes, however far off its end is.  A point goes to its node of each level that intervals of its key may use,
+    mostly one.  A hot key is so spread over its nodes, a task only sees events near its intervals, and no pair appears twice.  `keep_bin` leaves the node in the
     result: grouping by keys, bin and more then reuses the partitioning of the join.
     """
 
@@ -60,9 +62,7 @@ def range_join(
         return df.withColumn(WIDTH, F.lit(width)) if isinstance(width, int) else df.join(width, list(keys))
 
     spread = wide(intervals.filter(F.col(start) <= F.col(end))).withColumn(BIN, F.explode(cover(cut(start), cut(end)))).drop(WIDTH)
-    levels = _grid(spread, keys)
-    grid = levels.withColumn(WIDTH, F.lit(width)) if isinstance(width, int) else levels.join(width, list(keys))
-    located = points.join(grid, list(keys)).withColumn(BIN, F.explode(nodes_of(cut(at), F.col(LEVELS)))).drop(WIDTH, LEVELS)
+    located = points.join(_levels(intervals, keys, start, end, width), list(keys)).withColumn(BIN, F.explode(nodes_of(cut(at), F.col(LEVELS)))).drop(WIDTH, LEVELS)
     pairs = spread.join(located, [*keys, BIN], "inner")
     upper = F.col(at) <= F.col(end) if closed else F.col(at) < F.col(end)
     pairs = pairs.filter((F.col(at) >= F.col(start)) & upper)
@@ -81,7 +81,7 @@ def span_aggregates(
     """Per span the aggregates of its key's points with `start <= at <= end`: the span's columns and one per entry of `values`, a name with a kind (sum, min,
     max or count) and a column of the points.  Spans without points keep NULL, counts 0; equal spans are one row.
 
-    Points are aggregated to the nodes of a tree over time in microseconds, once per level that spans of the key use; a span's nodes are exactly its time, so
+    Points are aggregated to the nodes of a tree over time in microseconds, once per level that spans of the key may use; a span's nodes are exactly its time, so
     it adds up some dozens of rows whatever it holds, meets no point itself, and nothing is subtracted: a NaN or an infinite value changes the spans that hold it
     and no other.
     """
@@ -89,7 +89,7 @@ def span_aggregates(
     again = {"sum": F.sum, "min": F.min, "max": F.max, "count": lambda c: F.coalesce(F.sum(c), F.lit(0))}
     ids = spans.columns
     cut = spans.withColumn(BIN, F.explode_outer(cover(micros(F.col(start)), micros(F.col(end)))))
-    levels = _grid(cut.filter(F.col(BIN).isNotNull()), keys)
+    levels = _levels(spans, keys, start, end, 1)
     given = points.select(*keys, at, *[c.alias(f"_v_{n}") for n, (_, c) in values.items()]).filter(F.col(at).isNotNull())
     nodes = given.join(levels, list(keys)).withColumn(BIN, F.explode(nodes_of(micros(F.col(at)), F.col(LEVELS)))).groupBy(*keys, BIN).agg(
         *[first[kind](f"_v_{n}").alias(f"_v_{n}") for n, (kind, _) in values.items()])
@@ -167,9 +167,10 @@ def asof_join(
         return F.floor(micros(c) / F.col(WIDTH)).cast("bigint")
 
     last_us = F.timestamp_add("MICROSECOND", F.lit(-1), F.col("_until"))
-    spread = linked.filter(F.col("_until").isNotNull()).join(ends.select(*keys, WIDTH), list(keys)).select(
+    held = linked.filter(F.col("_until").isNotNull())
+    spread = held.join(ends.select(*keys, WIDTH), list(keys)).select(
         *keys, F.explode(cover(cut(F.col(right_at)), cut(last_us))).alias(BIN), F.col(right_at).alias("_from"), "_until", "_reading")
-    tail = ends.join(_grid(spread, keys), list(keys), "left").select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last", "_first", WIDTH, LEVELS)
+    tail = ends.join(_levels(held, keys, right_at, "_until", ends.select(*keys, WIDTH)).drop(WIDTH), list(keys), "left").select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last", "_first", WIDTH, LEVELS)
     spread = spread.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col(BIN).alias("_r_bin"), F.lit(True).alias("_r_open"), "_from", "_until", "_reading")
 
     rows = left.join(tail, reduce(lambda a, b: a & b, [left[k] == F.col(f"_k_{k}") for k in keys]), "left")
