@@ -168,11 +168,15 @@ def _step_down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 3, [pa.int64(), pa.int64(), path])], names=["tree", "block", "path"])
 
 
-def with_paths(blocks: list[DataFrame], above: DataFrame) -> DataFrame:
-    """The first round's blocks with the column path: the way from their root to the root of all, level by level. `above` has tree and the path of its root."""
+def with_paths(blocks: list[DataFrame], above: DataFrame | None) -> DataFrame:
+    """The first round's blocks with the column path: the way from their root to the root of all, level by level.
+
+    `above` has tree and the path of its root; without it the trees' roots are where all paths end.
+    """
     for i in range(len(blocks) - 1, -1, -1):
         # a block with at most HEIGHT levels left holds its tree's root; the others hang below a block of the next round
-        tops = blocks[i].filter(F.col("height") <= HEIGHT).join(above, "tree")
+        tops = blocks[i].filter(F.col("height") <= HEIGHT)
+        tops = tops.join(above, "tree") if above is not None else tops.withColumn("path", F.array().cast(_PATH))
         met = tops if i == len(blocks) - 1 else tops.unionByName(blocks[i].filter(F.col("height") > HEIGHT).join(below, ["tree", "block"]))
         if i:
             below = met.mapInArrow(_step_down, f"tree long, block long, path {_PATH}")
@@ -190,9 +194,7 @@ class Manifest:
 
     def with_paths(self) -> DataFrame:
         """First-round blocks with the path of their root up to the root of all, and the subroot of their tree."""
-        spark = self.trees.sparkSession
-        start = spark.range(1).select(F.lit(0).cast("long").alias("tree"), F.array().cast(_PATH).alias("path"))
-        top = with_paths(self.top, start).mapInArrow(_step_down, f"tree long, block long, path {_PATH}")
+        top = with_paths(self.top, None).mapInArrow(_step_down, f"tree long, block long, path {_PATH}")
         above = top.select(F.col("block").alias("tree"), "path")
         return with_paths(self.blocks, above).join(self.trees.select("tree", "subroot"), "tree")
 
