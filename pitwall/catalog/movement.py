@@ -13,6 +13,7 @@ from pitwall.plans import dashboard as x
 from pitwall.schemas import SCHEMAS
 from pitwall.sources import landing, merge, tables
 from pitwall.sources.scratch import scratch_path
+from pitwall.sources.versions import VersionedTable
 
 
 @query("s01_scan_landing", "SELECT meeting_key, session_key, driver_number, date, position FROM b_position WHERE session_key IN (1, 3)")
@@ -56,6 +57,18 @@ def _(t):
     return t.spark.read.schema(t["position"].schema).parquet(path)
 
 
+@query("s04_replace_versioned", "SELECT driver_number, date, meeting_key, CASE WHEN session_key = 2 THEN position + 100 ELSE position END AS position, session_key FROM b_position WHERE session_key <> 3")
+def _(t):
+    """The same as versions: each load, and the removal of a session, is whole or not there; a reader of an earlier version keeps its rows."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "versions"), "session_key")
+    table.replace(t["position"])
+    again = t["position"].filter(F.col("session_key") == 2).withColumn("position", F.col("position") + 100)
+    for _ in range(2):
+        table.replace(again)
+    table.delete([3])
+    return table.read()
+
+
 @query("s05_selected_sessions", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def _(t):
     wanted = t.table("customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
@@ -92,6 +105,22 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
+@query(
+    "s08_upsert_versioned",
+    f"""SELECT o_orderkey, CASE WHEN o_orderkey % 14 = 0 THEN 'moved' ELSE o_orderpriority END AS part, {r('CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END', 'o_totalprice')}
+        FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0""",
+)
+def _(t):
+    """A load, then a batch that changes, adds and moves rows, twice; the table is read at its last version."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "versions"), "part")
+    o = t.table("orders").select("o_orderkey", F.col("o_orderpriority").alias("part"), "o_totalprice")
+    table.upsert(o.filter("o_orderkey % 3 <> 0"), ["o_orderkey"])
+    batch = o.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("part", F.when(F.col("o_orderkey") % 14 == 0, "moved").otherwise(F.col("part")))
+    for _ in range(2):
+        table.upsert(batch, ["o_orderkey"])
+    return table.read()
+
+
 @query(
     "s08_merge_null_partition",
     """SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS part, CASE WHEN o_orderkey % 4 = 0 THEN 'new' ELSE 'old' END AS state FROM orders""",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import json
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -11,9 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pitwall.operators.rows import qualify_first
 from pitwall.schemas import DEFAULT_MERGE_KEY, MERGE_KEYS, partition_key
 from pitwall.settings import DEFAULTS
-from pitwall.sources.scratch import path_exists, remove_path, scratch_path
+from pitwall.sources.files import children, move, read_text, write_text
+from pitwall.sources.scratch import path_exists, remove_path
 
 STAMPS = ("created_at", "updated_at")
+#: Folder of a table that holds loads not yet swapped in, and the list of a swap; readers skip names with an underscore.
+PENDING, SWAP = "_pending", "_swap.json"
 
 
 def _on(keys: Sequence[str], left: str, right: str) -> Column:
@@ -83,16 +88,18 @@ def upsert(
     the keys alone: a row whose partition value changes moves.  Their values, one per partition, become literals in the scan of the target, so other
     folders aren't read.  A NULL partition value is a partition like any other.  A repeated key in the batch needs `order`.
 
-    The merged partitions are written aside first and then replace the stored ones, so the table is never overwritten while it is being read and a lost run
-    can be repeated; the copy is removed after.  `sync_columns` adds columns the table does not have yet, NULL for its older rows; read such a table with
-    `read_synced`.
+    The merged partitions are written once, aside in the table's own folder, where readers don't look.  A list of the swap is put beside them before the first
+    stored folder goes, and the swap renames folders; a run that is lost before the list changed nothing, one that is lost after it is finished by the next
+    (`finish_swap`), so at no time is the only copy of a row removed.  A table has one writer at a time.  Amidst a swap a reader may find a partition missing;
+    `versions.VersionedTable` is for tables whose readers must not.  `sync_columns` adds columns the table does not have yet, NULL for its older rows; read such
+    a table with `read_synced`.
     """
     require_keys(keys, batch=batch)
+    finish_swap(spark, path)
     batch = batch.persist()
-    aside = scratch_path(spark, "merge")
     try:
-        merged, emptied = one_per_key(batch, keys, order), None
-        if path_exists(spark, path):
+        merged, held = one_per_key(batch, keys, order), []
+        if has_rows(spark, path):
             target = read_synced(spark, path) if sync_columns else spark.read.parquet(path)
             require_keys(keys, target=target)
             if sync_columns:
@@ -103,24 +110,43 @@ def upsert(
                 touched = touched.union(target.select(*keys, partition).join(batch.select(*keys), list(keys), "left_semi").select(partition))
             values = [r[0] for r in touched.distinct().collect()]
             stored = target.filter(in_partitions(partition, values))
+            files = spark.read.parquet(path).filter(in_partitions(partition, values)).select(F.regexp_extract("_metadata.file_path", "/([^/]+)/[^/]*$", 1).alias("folder"))
+            held = [r[0] for r in files.distinct().collect()]
             merged = merge_rows(stored, merged.withColumn(partition, F.col(partition).cast(kind)), keys, now)
-            emptied = spark.read.parquet(path).filter(in_partitions(partition, values))
+        aside = f"{path}/{PENDING}/{uuid.uuid4().hex}"
         # rebalancing by partition avoids many small files and splits a partition that holds most rows
         merged.hint("rebalance", partition).write.partitionBy(partition).parquet(aside)
-        staged = spark.read.schema(merged.schema).parquet(aside)
-        folders = []
-        if emptied is not None:
-            left = [r[0] for r in staged.select(partition).distinct().collect()]
-            gone = [v for v in values if v not in left]
-            if gone:
-                files = emptied.filter(in_partitions(partition, gone)).select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder"))
-                folders = [r[0] for r in files.distinct().collect()]
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-        for folder in folders:
-            remove_path(spark, folder)
+        made = [n for n in children(spark, aside) if n.startswith(f"{partition}=")]
+        write_text(spark, f"{aside}/{SWAP}.tmp", json.dumps({"made": made, "gone": [f for f in held if f not in made]}))
+        move(spark, f"{aside}/{SWAP}.tmp", f"{aside}/{SWAP}")
     finally:
-        remove_path(spark, aside)
         batch.unpersist()
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Completes the swap of a run that was lost amidst it, and removes what a run left that was lost before."""
+    pending = f"{path}/{PENDING}"
+    for load in children(spark, pending):
+        aside = f"{pending}/{load}"
+        held = children(spark, aside)
+        if SWAP in held:
+            swap = json.loads(read_text(spark, f"{aside}/{SWAP}"))
+            for folder in swap["gone"]:
+                remove_path(spark, f"{path}/{folder}")
+            for folder in swap["made"]:
+                # a folder that isn't aside any more is in place
+                if folder in held:
+                    remove_path(spark, f"{path}/{folder}")
+                    move(spark, f"{aside}/{folder}", f"{path}/{folder}")
+        remove_path(spark, aside)
+    if path_exists(spark, pending):
+        remove_path(spark, pending)
+
+
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a table was ever loaded there: its folder has more than what a load keeps aside."""
+    return any(not n.startswith(("_", ".")) for n in children(spark, path))
 
 
 def merge_feed(spark: SparkSession, path: str, batch: DataFrame, feed: str, order: Sequence | None = None, now: datetime.datetime | None = None) -> None:
@@ -135,7 +161,8 @@ def read_synced(spark: SparkSession, path: str) -> DataFrame:
 
 def lookback_bound(spark: SparkSession, path: str, at: str, days: int = DEFAULTS.lookback_days) -> datetime.datetime | None:
     """Latest stored time minus the look-back; None for a table that does not exist yet."""
-    if not path_exists(spark, path):
+    finish_swap(spark, path)
+    if not has_rows(spark, path):
         return None
     newest = spark.read.parquet(path).agg(F.max(at)).first()[0]
     return (newest or datetime.datetime(1900, 1, 1)) - datetime.timedelta(days=days)
