@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pitwall.llm.columns import plain_words
+from pitwall.llm.columns import free_name, plain_words
 from pitwall.sources.scratch import staged
 
 #: Words of a shingle; a shorter window is one shingle.
@@ -131,10 +131,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_i
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
-    """The rows of `docs` in which no window of an item occurs, unchanged."""
+    """The rows of `docs` in which no window of an item occurs, unchanged, whatever their other columns are called.
+
+    Rows without an id, repeated rows and ids that several texts share are told apart by their text. Null and wordless texts are clean, and so is an
+    empty table.
+    """
     _, hits = occurrences(docs, benchmark, window, doc_id, text, item_id)
-    bad = staged(hits.select(F.col("doc_id").alias("hit_id"), F.col("t").alias("hit_t")).distinct(), "contaminated")
-    return docs.join(bad, F.col(f"`{doc_id}`").eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("hit_t")), "left_anti")
+    hit_id, hit_t = free_name(docs, "hit_id"), free_name(docs, "hit_t")
+    bad = staged(hits.select(F.col("doc_id").alias(hit_id), F.col("t").alias(hit_t)).distinct(), "contaminated")
+    return docs.join(bad, F.col(f"`{doc_id}`").eqNullSafe(F.col(hit_id)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(hit_t)), "left_anti")
 
 
 def digest(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:

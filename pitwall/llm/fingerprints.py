@@ -157,10 +157,12 @@ def with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     line = rows.repartitionByRange(F.col("doc_id").desc_nulls_last()).sortWithinPartitions(F.col("doc_id").desc_nulls_last(), "text")
     steps = staged(line.mapInArrow(_in_line, _STEPS), "edits")
-    heads = steps.filter(F.col("kind") == _HEAD).select("part", F.struct("text", "fp").alias("head"))
+    heads = steps.filter(F.col("kind") == _HEAD).select("part", F.struct("text", "fp").alias("after"))
+    # which partition comes after which is one number each; the texts stay where they are until they meet
     order = Window.orderBy("part")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = heads.select(F.col("part").alias("head_part"), F.coalesce(F.lead("head").over(order), F.first("head").over(whole)).alias("after"))
+    following = heads.select(F.col("part").alias("before"), F.coalesce(F.lead("part").over(order), F.first("part").over(whole)).alias("part"))
+    after = heads.join(following, "part").select(F.col("before").alias("head_part"), "after")
     ends = steps.filter(F.col("kind") == _OPEN).join(after, F.col("part") == F.col("head_part"))
     closed = ends.select("doc_id", "text", "fp", F.col("after.text").alias("after"), F.col("after.fp").alias("after_fp")).mapInArrow(_close, _STEPS)
     return steps.filter(F.col("kind") == _CLOSED).union(closed).drop("kind", "part", "text")

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pitwall.llm.columns import free_name, word_runs
 from pitwall.llm.components import connected_components
@@ -18,6 +18,12 @@ from pitwall.sources.scratch import staged
 LEAF = 512
 #: Codes below a top node on average, at most: the leading blocks get longer, and the bit orders more, as fingerprints become more.
 NODE = 4096
+#: Leaves of a branch, as a power of two.
+BRANCH_BITS = 6
+#: Pairs of leaves that a task searches, about a second of work.
+PAIRS = 1000
+#: Keys under which the values of one component meet its smallest id.
+SALTS = 16
 #: Seed of the shingle hash.
 SEED = 42
 
@@ -109,8 +115,9 @@ def linked(fps: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
     Every fingerprint is put into each bit order of `block_tables` (two values within the radius agree on the leading blocks of at least one).
     Rows are sorted by Gray rank over the whole cluster and cut into leaves of at most LEAF codes below their top node, which is the value of
     the leading blocks. Each leaf is one row with the bits its codes share. Inside a leaf the hierarchical index finds the links. Leaves of one
-    top node are joined in pairs, which are dropped when their shared bits alone differ in more than `radius` bits; the rest are searched.
-    A large top node is thus many leaves, dealt to many tasks. Between two leaves one link per pair of already linked parts is kept.
+    top node are paired by what whole branches of them share, then by what they share, and dropped when those bits alone differ in more than `radius` bits;
+    the pairs that are left are numbers, dealt out evenly over tasks whatever node they are of, and searched. Between two leaves one link per pair of already
+    linked parts is kept.
     """
     blocks = blocks or blocks_for(fps.agg(F.approx_count_distinct("fp")).first()[0], radius, NODE)
     orders = block_tables(radius, blocks)
@@ -119,7 +126,8 @@ def linked(fps: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
     coded = uniq.select(F.explode(F.array(*(F.struct(F.lit(i).alias("tab"), F.lit(BITS - key_bits(o, radius, blocks)).alias("low"), permuted(F.col("fp"), o).alias("code")) for i, o in enumerate(orders)))).alias("r")).select("r.*")
     ranked = coded.select("tab", F.expr("shiftrightunsigned(code, low)").alias("node"), "code", gray_rank(F.col("code")).bitwiseXOR(F.lit(-(1 << 63))).alias("rank"))
     sorted_rows = ranked.repartitionByRange("tab", "rank").sortWithinPartitions("tab", "rank").select("tab", "node", "code")
-    leaves = staged(sorted_rows.mapInArrow(_leaves(radius), "tab int, node long, leaf long, mask long, pattern long, codes binary, labels binary"), "leaves")
+    cut = sorted_rows.mapInArrow(_leaves(radius), "tab int, node long, leaf long, mask long, pattern long, codes binary, labels binary")
+    leaves = staged(cut.withColumn("seq", F.monotonically_increasing_id()), "leaves")
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,20 +152,59 @@ def linked(fps: DataFrame, radius: int, blocks: int | None = None) -> DataFrame:
                 b_out.append(_inside(orders[tab], y[j[one]]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (a_out, b_out)], names=["a", "b"])
 
-    p, q = leaves.alias("p"), leaves.alias("q")
-    apart = F.bit_count(F.col("p.pattern").bitwiseXOR(F.col("q.pattern")).bitwiseAND(F.col("p.mask")).bitwiseAND(F.col("q.mask")))
-    pairs = p.join(q, (F.col("p.tab") == F.col("q.tab")) & (F.col("p.node") == F.col("q.node")) & (F.col("p.leaf") < F.col("q.leaf")) & (apart <= radius))
-    pairs = pairs.select("p.tab", "p.codes", F.col("q.codes").alias("other"), "p.labels", F.col("q.labels").alias("other_labels"))
+    near = staged(_near_leaves(leaves, radius), "leaf-pairs")
+    # a pair is a few numbers, but takes a millisecond: pairs are dealt out by their number, not by their bytes
+    tasks = 1 + near.count() // PAIRS
+    first = near.join(leaves.select(F.col("seq").alias("a"), "tab", "codes", "labels"), "a")
+    pairs = first.join(leaves.select(F.col("seq").alias("b"), F.col("codes").alias("other"), F.col("labels").alias("other_labels")), "b")
+    pairs = pairs.select("tab", "codes", "other", "labels", "other_labels", "a", "b").repartition(tasks, "a", "b").drop("a", "b")
     return leaves.select("tab", "codes", "labels").mapInArrow(within, "a long, b long").union(pairs.mapInArrow(across, "a long, b long"))
 
 
+def _near_leaves(leaves: DataFrame, radius: int) -> DataFrame:
+    """Pairs (a, b) of the numbers of different leaves of one top node whose shared bits differ in `radius` bits at most.
+
+    The index has a level above the leaves: BRANCH leaves that follow each other in Gray order and the bits they all share. Branches of a top node are paired
+    and dropped first, then the leaves of the pairs that are left; only numbers and masks meet here, no codes.
+    """
+    at = ["tab", "node", F.shiftright("seq", BRANCH_BITS).alias("branch")]
+    flat = leaves.select(*at, "seq", "mask", "pattern")
+    ones, zeros = F.expr("bit_and(pattern & mask)"), F.expr("bit_and(~pattern & mask)")
+    branches = flat.groupBy("tab", "node", "branch").agg(ones.alias("ones"), zeros.alias("zeros")).select("tab", "node", "branch", F.col("ones").bitwiseOR(F.col("zeros")).alias("mask"), F.col("ones").alias("pattern"))
+
+    def apart(p: str, q: str) -> Column:
+        shared = F.col(f"{p}.mask").bitwiseAND(F.col(f"{q}.mask"))
+        return F.bit_count(F.col(f"{p}.pattern").bitwiseXOR(F.col(f"{q}.pattern")).bitwiseAND(shared)) <= radius
+
+    def same(p: str, q: str) -> Column:
+        return (F.col(f"{p}.tab") == F.col(f"{q}.tab")) & (F.col(f"{p}.node") == F.col(f"{q}.node"))
+
+    tops = branches.alias("p").join(branches.alias("q"), same("p", "q") & (F.col("p.branch") <= F.col("q.branch")) & apart("p", "q"))
+    tops = tops.select("p.tab", "p.node", F.col("p.branch").alias("left"), F.col("q.branch").alias("right")).alias("t")
+    half = tops.join(flat.alias("x"), same("t", "x") & (F.col("t.left") == F.col("x.branch"))).select("t.tab", "t.node", "right", F.col("x.seq").alias("seq"), F.col("x.mask").alias("mask"), F.col("x.pattern").alias("pattern")).alias("h")
+    both = half.join(flat.alias("y"), same("h", "y") & (F.col("h.right") == F.col("y.branch")) & (F.col("h.seq") < F.col("y.seq")) & apart("h", "y"))
+    a, b = F.col("h.seq"), F.col("y.seq")
+    # which of the two comes first alternates, so no leaf is the first of all its pairs
+    odd = (a + b) % 2 == 1
+    return both.select(F.when(odd, a).otherwise(b).alias("a"), F.when(odd, b).otherwise(a).alias("b"))
+
+
 def labelled(fps: DataFrame, radius: int) -> DataFrame:
-    """For each value of fp in rows (doc_id, fp): root, a value that stands for its component, and component_id, the component's smallest doc_id."""
+    """For each value of fp in rows (doc_id, fp): root, a value that stands for its component, and component_id, the component's smallest doc_id.
+
+    A value without links is its own component and meets nothing. The others meet their component's smallest id under SALTS keys for each component, so
+    a component of very many values isn't one key.
+    """
     first = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = connected_components(linked(fps, radius))
-    joined = first.join(roots, first["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    return joined.join(smallest, "root").select("fp", "root", "component_id")
+    joined = first.join(roots, first["fp"] == roots["node"], "left").select("fp", "first", "root").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
+    held = staged(joined, "rooted")
+    several = held.filter("root is not null")
+    # the least of each salt first, then of the root
+    smallest = several.groupBy("root", "salt").agg(F.min("first").alias("first")).groupBy("root").agg(F.min("first").alias("component_id"))
+    spread = smallest.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    linked_rows = several.join(spread, ["root", "salt"]).select("fp", "root", "component_id")
+    return linked_rows.union(held.filter("root is null").select("fp", F.col("fp").alias("root"), F.col("first").alias("component_id")))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -26,11 +26,34 @@ MANIFEST = "shard int, attempt string, n_docs long, n_null long, n_tokens long,
 READ_ROWS = 4096
 
 
+#: What other file systems call stores that pyarrow has a name of its own for.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "file": "file", "s3": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfss": "abfss", "abfs": "abfs"}
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """The folder with the scheme of its file system: a path without one is in Hadoop's default file system, as it is for Spark's own files.
+
+    ValueError for a file system whose files pyarrow can't open, before any task runs.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    scheme, _, rest = full.partition(":")
+    if scheme not in SCHEMES:
+        raise ValueError(f"token files can't be written to {scheme}: folders; take one of {', '.join(sorted(SCHEMES))}")
+    full = f"{SCHEMES[scheme]}:{rest}"
+    try:
+        _filesystem(full)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as e:
+        raise ValueError(f"token files can't be written to {root}: {e}") from e
+    return full
+
+
 def _filesystem(root: str):
-    """The file system of a folder and the folder's path in it."""
+    """The file system of a qualified folder and the folder's path in it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+    # Hadoop writes file:/path
+    return fs.FileSystem.from_uri("file://" + root[5:] if root.startswith("file:/") and not root.startswith("file://") else root)
 
 
 def write(docs: DataFrame, root: str, vocabulary: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -41,13 +64,14 @@ def write(docs: DataFrame, root: str, vocabulary: str, end_id: int, doc_id: str
     the shards' lengths: one row per shard.
     """
     spark = docs.sparkSession
+    files_root = qualified(spark, root)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, attempt = encoder(vocabulary), TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
         end, width = np.array([end_id], enc.dtype).tobytes(), enc.dtype.itemsize
-        files, folder = _filesystem(root)
+        files, folder = _filesystem(files_root)
         n, n_null, at, first, out = 0, 0, 0, None, {}
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
@@ -108,6 +132,7 @@ class Numbers:
 def documents(spark: SparkSession, root: str, with_ids: bool = False) -> DataFrame:
     """One row per document from the files: doc_id, start (ids before it in the data set), n_tokens, ids_crc32 of its ids as 32-bit integers, and with
     `with_ids` the ids as an array. Shards are read in runs of READ_ROWS documents, eight to a task, within what the session's parallelism can use."""
+    files_root = qualified(spark, root)
     parts = manifest(spark, root).withColumn("from_row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_docs") - 1, F.lit(READ_ROWS).cast("long"))))
     parts = parts.repartition(min(1 + parts.count() // 8, 16 * spark.sparkContext.defaultParallelism))
 
@@ -116,9 +141,9 @@ def documents(spark: SparkSession, root: str, with_ids: bool = False) -> DataFra
             for r in b.to_pylist():
                 part, begin = f"{r['shard']}-{r['attempt']}.bin", r["from_row"]
                 n = min(READ_ROWS, r["n_docs"] - begin)
-                offsets = Numbers(root, f"offsets-{part}", "<u8")[begin : begin + n + 1].astype(np.int64)
-                ids = Numbers(root, f"ids-{part}", "<i8")[begin : begin + n]
-                data, crc, lists = Numbers(root, f"tokens-{part}", f"<u{r['width']}"), np.empty(n, np.int64), []
+                offsets = Numbers(files_root, f"offsets-{part}", "<u8")[begin : begin + n + 1].astype(np.int64)
+                ids = Numbers(files_root, f"ids-{part}", "<i8")[begin : begin + n]
+                data, crc, lists = Numbers(files_root, f"tokens-{part}", f"<u{r['width']}"), np.empty(n, np.int64), []
                 for i in range(n):
                     tokens = data[int(offsets[i]) : int(offsets[i + 1])].astype("<u4")
                     crc[i] = zlib.crc32(tokens.tobytes())

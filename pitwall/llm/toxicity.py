@@ -155,11 +155,14 @@ class Model:
 
 
 def _interpolated(x, steps: list[tuple[float, float]]):
-    """Piecewise linear between calibration points, flat outside."""
-    out = F.lit(steps[-1][1])
-    for (x0, y0), (x1, y1) in reversed(list(zip(steps, steps[1:]))):
-        out = F.when(x < x1, F.lit(y0) + (x - x0) * ((y1 - y0) / (x1 - x0))).otherwise(out)
-    return F.when(x <= steps[0][0], F.lit(steps[0][1])).otherwise(out)
+    """Piecewise linear between calibration points, flat outside. The points are one literal array each of places, values and slopes, in which the place of x is
+    found by halving, so the expression is as small for thousands of points as for ten."""
+    xs, ys = (np.array(c, float) for c in zip(*steps))
+    slopes = np.r_[np.diff(ys) / np.diff(xs), 0.0]
+    halves = [1 << i for i in range(len(xs).bit_length() - 1, -1, -1)]
+    at = F.aggregate(F.array(*map(F.lit, halves)), F.lit(0), lambda p, s: F.when((p + s < len(xs)) & (F.get(F.lit(xs), p + s) <= x), p + s).otherwise(p))
+    line = F.get(F.lit(ys), at) + (x - F.get(F.lit(xs), at)) * F.get(F.lit(slopes), at)
+    return F.when(x <= steps[0][0], F.lit(steps[0][1])).when(x >= steps[-1][0], F.lit(steps[-1][1])).otherwise(line)
 
 
 def _raw(trees, rows: DataFrame) -> DataFrame:
@@ -250,7 +253,11 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def learned_from(docs: DataFrame, labels: DataFrame, training: Training = Training()) -> Model:
-    """A model of `labels.toxic` from the documents that aren't held out."""
+    """A model of `labels.toxic` from the documents that aren't held out.
+
+    A null id or label teaches nothing. Where an id has several labels the lesser counts, and where several documents share an id the least text. Without
+    labels of both kinds the model gives all the same score.
+    """
     known = labels.filter(~held_out()).select(F.col("doc_id").alias("label_id"), F.col("toxic").alias("label")).filter("label_id is not null and label is not null")
     hashed = known.withColumn("h", F.xxhash64(F.lit(training.seed), F.col("label_id").cast("string")))
     chosen = hashed.filter(F.col("h") <= _bound(hashed, training.rows)).groupBy("label_id").agg(F.min("label").alias("label"))
@@ -259,13 +266,20 @@ def learned_from(docs: DataFrame, labels: DataFrame, training: Training = Traini
 
 
 def digest(docs: DataFrame, labels: DataFrame, training: Training = Training()) -> DataFrame:
-    """doc_id, held_out, score, predicted: one row per document."""
+    """doc_id, held_out, score, predicted: one row per document, repeated rows and rows without an id too.
+
+    Null and empty texts have the features of no words and are scored like any other; a null id isn't held out. No document gives no row. Other columns
+    are ignored, whatever their names.
+    """
     model = learned_from(docs, labels, training)
     return model.scored(docs.select("doc_id", "text")).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, training: Training = Training()) -> DataFrame:
-    """The rows of `docs` that the model doesn't call toxic, unchanged. The score is computed in the same pass, so texts aren't moved."""
+    """The rows of `docs` that the model doesn't call toxic, unchanged. The score is computed in the same pass, so texts aren't moved.
+
+    Rows are judged one by one by their text: rows without an id, repeated rows, null and empty texts alike. Other columns stay, whatever their names.
+    """
     model = learned_from(docs, labels, training)
     text, row = free_name(docs, "scored_text"), free_name(docs, "row")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), F.col("`text`").alias(text))
