@@ -63,7 +63,7 @@ def ngram_counts(text: str, dimensions: int) -> np.ndarray | None:
         # every run that ends at a new code point; the tail holds what the last run of code points left
         for n in range(3):
             if n:
-                grams = grams[1:] * _MIX[n] + c[n:] * _MIX[0]
+                grams = grams[:-1] * _MIX[n] + c[n:] * _MIX[0]
             new = grams[max(first - n, 0):]
             if n == 0:
                 new = new[c[first:] != _SPACE]
