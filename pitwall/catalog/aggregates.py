@@ -9,7 +9,7 @@ from pitwall.catalog.oracle import corr
 from pitwall.catalog.registry import query, register
 from pitwall.catalog.scalars import r
 from pitwall.operators.reshape import append_all, sectors_long
-from pitwall.operators.stats import min_by_first, ordered_list_text, safe_corr, with_median
+from pitwall.operators.stats import distinct_counts, exact_quantiles, min_by_first, ordered_list_text, safe_corr, with_median
 from pitwall.plans import production as p
 from pitwall.settings import Settings
 
@@ -36,6 +36,14 @@ grouped(
     "a03_count_distinct", "l_returnflag", "count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts, count(*) AS n",
     lambda: dict(suppliers=F.count_distinct("l_suppkey"), parts=F.count_distinct("l_partkey"), n=F.count("*")),
 )
+register(
+    "a03_distinct_bitmaps",
+    lambda t: distinct_counts(t.table("lineitem"), ["l_returnflag", "l_linestatus"], {"suppliers": "l_suppkey", "parts": "l_partkey", "orders": "l_orderkey"}),
+    """SELECT l_returnflag, l_linestatus, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_orderkey) AS orders
+       FROM lineitem GROUP BY ALL""",
+)
+
+
 def open_col():
     return F.col("l_linestatus") == "O"
 
@@ -65,6 +73,16 @@ def _(t):
     return with_median(li.select(*keys).distinct(), li, keys, "l_extendedprice", "middle")
 
 
+@query(
+    "a07_quantiles",
+    f"""SELECT l_returnflag, {r('quantile_cont(l_extendedprice, 0.1)', 'low')}, {r('quantile_cont(l_extendedprice, 0.5)', 'middle')}, {r('quantile_cont(l_extendedprice, 0.99)', 'high')}
+        FROM lineitem GROUP BY ALL""",
+)
+def _(t):
+    """Three quantiles of few large groups, found together by histogram rounds."""
+    return exact_quantiles(t.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"low": 0.1, "middle": 0.5, "high": 0.99})
+
+
 @query(
     "a08_correlation",
     f"SELECT l_partkey, l_returnflag, {r(corr('l_quantity', 'l_extendedprice'), 'c')}, {r(corr('l_quantity', 'CASE WHEN l_tax > 0.02 THEN l_discount END'), 'partial')} FROM lineitem GROUP BY ALL",

@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from pitwall import functions as fx
 from pitwall.catalog.registry import query, register
 from pitwall.catalog.scalars import r
-from pitwall.operators.ordered import DAY, carry_forward, neighbours, number_bucket, split_dense_rank, split_row_number, time_bucket
+from pitwall.operators.ordered import RANK, carry_forward, neighbours, number_bucket, rank_edges, ranked, split_dense_rank, split_row_number
 from pitwall.operators.reshape import merge_feeds
 from pitwall.operators.rows import earliest, latest, qualify, qualify_first, with_group_values
 from pitwall.plans import production as p
@@ -18,11 +18,6 @@ def ties():
     return [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")]
 
 
-def user_day():
-    return time_bucket(F.col("ts"), DAY)
-
-
-
 
 register(
     "w01_dedupe_latest",
@@ -81,14 +76,15 @@ register(
     f"""SELECT event_id, user_id, {r('lag(value) OVER w', 'previous')}, {r('value - lag(value) OVER w', 'delta')} FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 def _(t):
-    out = neighbours(t.table("events"), ["user_id"], ["ts", "event_id"], user_day(), prev={"previous": F.col("value")})
+    events = ranked(t.table("events"), ["user_id"], "ts")
+    out = neighbours(events, ["user_id"], ["ts", "event_id"], F.col(RANK), prev={"previous": F.col("value")})
     return out.select("event_id", "user_id", "previous", (F.col("value") - F.col("previous")).alias("delta"))
 
 
 register(
     "w09_lead",
     lambda t: neighbours(
-        t.table("events"), ["user_id", "event_type"], ["ts", "event_id"], user_day(), next={"next_ts": F.col("ts"), "next_value": F.col("value")}
+        ranked(t.table("events"), ["user_id", "event_type"], "ts"), ["user_id", "event_type"], ["ts", "event_id"], F.col(RANK), next={"next_ts": F.col("ts"), "next_value": F.col("value")}
     ).select("event_id", "user_id", "next_ts", "next_value"),
     f"""SELECT event_id, user_id, lead(ts) OVER w AS next_ts, {r('lead(value) OVER w', 'next_value')} FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)""",
 )
@@ -138,7 +134,9 @@ _FILL_SQL = f"""SELECT event_id, user_id, {r('last_value(CASE WHEN k % 3 = 0 THE
 
 
 def _filled(t):
-    out = carry_forward(t.events(), ["user_id"], ["ts"], {"filled": gappy_col()}, user_day(), source=t.events())
+    edges = rank_edges(t.events(), ["user_id"], "ts")
+    rows, again = (ranked(t.events(), ["user_id"], "ts", edges) for _ in range(2))
+    out = carry_forward(rows, ["user_id"], ["ts"], {"filled": gappy_col()}, F.col(RANK), source=again)
     return out.select("event_id", "user_id", "filled")
 
 
@@ -179,7 +177,7 @@ register(
 register(
     "w18_global_neighbours",
     lambda t: neighbours(
-        t.events().filter(F.col("k") > 50), [], ["ts", "event_id"], time_bucket(F.col("ts")), prev={"prev_reading": F.col("ts")}, next={"next_reading": F.col("ts")}
+        ranked(t.events().filter(F.col("k") > 50), [], "ts"), [], ["ts", "event_id"], F.col(RANK), prev={"prev_reading": F.col("ts")}, next={"next_reading": F.col("ts")}
     ).select("event_id", "prev_reading", "next_reading"),
     "SELECT event_id, lag(ts) OVER (ORDER BY ts, event_id) AS prev_reading, lead(ts) OVER (ORDER BY ts, event_id) AS next_reading FROM e_all WHERE k > 50",
 )

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitwall.functions import millis_between
-from pitwall.operators.ordered import neighbours, time_bucket
+from pitwall.operators.ordered import RANK, neighbours, ranked
 from pitwall.settings import DRS_STATES
 
 
@@ -111,7 +111,7 @@ def pedal_faults(df: DataFrame, at: str, keys: Sequence[str] = ()) -> DataFrame:
     high = df.filter(
         (F.col("brake") > PEDAL_LIMIT) & (F.col("throttle") > PEDAL_LIMIT) & (F.col("speed") > PEDAL_SPEED) & (F.col("rpm") > PEDAL_RPM)
     )
-    linked = neighbours(high, keys, [at], time_bucket(F.col(at)), prev={"_before": F.col(at)}, next={"_after": F.col(at)})
+    linked = neighbours(ranked(high, keys, at), keys, [at], F.col(RANK), prev={"_before": F.col(at)}, next={"_after": F.col(at)}).drop(RANK)
     near = (millis_between(F.col("_before"), F.col(at)) < PEDAL_GAP_MS) | (millis_between(F.col(at), F.col("_after")) < PEDAL_GAP_MS)
     return linked.filter(F.coalesce(near, F.lit(False))).drop("_before", "_after")
 

@@ -1,7 +1,7 @@
 """Ordered scans (neighbours, fills, ranks) that split a long group over many tasks.
 
 A plain ordered window sends a whole group to one task.  Here each group is cut into buckets that follow the
-order (a lap range, an hour), the window runs per bucket, and only bucket boundaries or one summary row per
+order (a lap range, an hour, or a number of rows: `ranked`), the window runs per bucket, and only bucket boundaries or one summary row per
 bucket are scanned per group.  Results are the same as the plain window for any bucketing.
 
 `bucket` must not decrease along the order; the grouping keys must not be NULL.
@@ -11,13 +11,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pitwall.functions.times import micros
+from pitwall.operators.rows import null_safe_join
+from pitwall.sources.scratch import staged
 
 _B = "_bucket"
 HOUR = 3600
 DAY = 24 * HOUR
+#: The bucket column that `ranked` adds.
+RANK = "_rank_bucket"
+EDGES = "_edges"
+#: Rows of a group for which a bucket is made, and buckets of a group at most.
+ROWS = 100_000
+MOST_EDGES = 1024
 
 
 def time_bucket(at: Column, seconds: int = HOUR) -> Column:
@@ -28,6 +36,50 @@ def number_bucket(value: Column, width: float) -> Column:
     return F.floor(value / F.lit(width)).cast("bigint")
 
 
+def _order_value(at: Column, kind: T.DataType) -> Column:
+    return micros(at) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else at
+
+
+def rank_edges(df: DataFrame, keys: Sequence[str], at: str, rows: int = ROWS) -> DataFrame:
+    """Where to cut each large group along a column so that buckets hold about `rows` rows each: the keys and EDGES, rising values; smaller groups are left out.
+
+    Groups are counted first, and only the rows of large ones go through a mergeable quantile sketch, so a small group costs one count and a hot one no more
+    than its share of the scan.  The edges are written to the shared folder: whatever is computed again later, of the same rows or of others in their order,
+    is cut at the same places.  A group of more than MOST_EDGES times `rows` rows gets larger buckets, all alike.
+    """
+    value = _order_value(F.col(at), df.schema[at].dataType)
+    given = df.select(*keys, value.alias("_at")).filter(F.col("_at").isNotNull())
+    counts = given.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows)
+    large = staged(counts.select(*keys, F.least(F.ceil(F.col("_n") / rows), F.lit(MOST_EDGES)).cast("int").alias("_parts")), "large-groups")
+    if large.isEmpty():
+        return large.select(*keys, F.array().cast(T.ArrayType(given.schema["_at"].dataType)).alias(EDGES))
+    held = given.join(large, list(keys)) if keys else given.withColumn("_parts", F.lit(large.first()["_parts"]))
+    quantiles = F.percentile_approx("_at", [i / MOST_EDGES for i in range(1, MOST_EDGES)], 10 * MOST_EDGES)
+    sketch = held.groupBy(*keys).agg(quantiles.alias("_q"), F.first("_parts").alias("_parts"))
+    places = F.sequence(F.lit(1), F.col("_parts") - 1)
+    picked = F.transform(places, lambda i: F.get(F.col("_q"), F.floor(i * MOST_EDGES / F.col("_parts")).cast("int") - 1))
+    return staged(sketch.select(*keys, F.array_distinct(picked).alias(EDGES)), "rank-edges")
+
+
+def ranked(df: DataFrame, keys: Sequence[str], at: str, edges: DataFrame | None = None, rows: int = ROWS) -> DataFrame:
+    """The rows with their bucket in the column RANK: how many of their group's edges lie at or below their value, 0 for a group without edges and for NULL.
+
+    Without `edges` they are taken from the rows themselves.  Pass F.col(RANK) as the bucket of the scans below; rows with equal values share a bucket.
+    """
+    edges = rank_edges(df, keys, at, rows) if edges is None else edges
+    value = _order_value(F.col(at), df.schema[at].dataType)
+    if keys:
+        # one row per large group
+        met = null_safe_join(df, edges, keys)
+    else:
+        found = edges.first()
+        met = df.withColumn(EDGES, F.array(*map(F.lit, found[EDGES])) if found and found[EDGES] else F.array().cast(edges.schema[EDGES].dataType))
+    halves = F.array(*[F.lit(1 << i) for i in range(MOST_EDGES.bit_length() - 1, -1, -1)])
+    size = F.size(EDGES)
+    below = F.aggregate(halves, F.lit(0), lambda p, s: F.when((p + s <= size) & (F.get(F.col(EDGES), p + s - 1) <= value), p + s).otherwise(p))
+    return met.withColumn(RANK, F.coalesce(F.when(value.isNotNull() & (size > 0), below), F.lit(0))).drop(EDGES)
+
+
 def neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -146,6 +198,21 @@ def split_row_number(
     return shifted.select(*[F.col(c) for c in df.columns], place.cast("bigint").alias(out))
 
 
+def split_running_total(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column, number: str, before: str, total: str) -> DataFrame:
+    """Adds the sum of a number over all earlier rows of the group, and over the whole group, in one pass: buckets are summed up in place and hand their sums on by
+    their first rows."""
+    inside = Window.partitionBy(*keys, _B)
+    ordered = inside.orderBy(*order)
+    rows = df.withColumn(_B, bucket).select(
+        "*", F.row_number().over(ordered).alias("_r"), F.sum(number).over(ordered.rowsBetween(Window.unboundedPreceding, -1)).alias("_i"), F.sum(number).over(inside).alias("_k"))
+    marked, across = _first_rows(rows, keys)
+    whole = Window.partitionBy(*keys, "_first", "_g")
+    summed = marked.select("*", F.sum("_k").over(across).alias("_o"), F.sum("_k").over(whole).alias("_t"))
+    # all but a bucket's first row take over what that one was handed
+    out = summed.select("*", F.max(F.when(F.col("_first"), F.struct(F.coalesce("_o", F.lit(0)).alias("o"), F.col("_t").alias("t")))).over(inside).alias("_h"))
+    return out.select(*[F.col(c) for c in df.columns], (F.coalesce("_i", F.lit(0)) + F.col("_h.o")).alias(before), F.col("_h.t").alias(total))
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], bucket: Column) -> DataFrame:
     """The named numbers replaced by their sums over the group up to and including the current row; NULL counts as zero."""
     inside = Window.partitionBy(*keys, _B)

@@ -1,13 +1,17 @@
-"""Aggregates that need care: exact median at scale, correlation without zero-variance errors, lists."""
+"""Aggregates that need care: exact quantiles and distinct counts at scale, correlation without zero-variance errors, lists."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from pitwall.operators.ordered import split_running_total
 from pitwall.operators.rows import null_safe_join
 
+#: Parts of a stretch of values that a round of `values_at` counts.
+CELLS = 1024
+
 
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation over rows where both are present; NULL for zero variance or a single row."""
@@ -21,29 +25,113 @@ def min_by_first(value: Column, key: Column) -> Column:
     return F.min_by(value, F.when(key.isNotNull(), F.struct(key, value)))
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Exact median per group without holding a group's values in one task.
+def _cell(v: Column, low: Column, high: Column) -> Column:
+    """Which of CELLS equal stretches of a finite range a value lies in; never falling with the value. What isn't finite lies in cells beyond, NaN last."""
+    v, low, high = v.cast("double"), low.cast("double"), high.cast("double")
+    place = F.when(high > low, F.least(F.floor((v / 2 - low / 2) / (high / 2 - low / 2) * CELLS), F.lit(CELLS - 1))).otherwise(F.lit(0))
+    return F.when(F.isnan(v), CELLS + 1).when(v == float("inf"), CELLS).when(v == float("-inf"), -1).otherwise(place).cast("int")
+
+
+def _finite(v: Column) -> Column:
+    d = v.cast("double")
+    return F.when(~F.isnan(d) & (F.abs(d) != float("inf")), v)
+
+
+def _at_rank(sorted_entries: Column, rank: Column) -> Column:
+    """The entry of (…, n) structs in order that holds the place `rank`, counted from 0, and the rows before it, as a struct (before, entry)."""
 
-    Values are counted (combined on the map side).  A mergeable quantile sketch brackets the middle, the values below the bracket are only counted, and the
-    one in a hundred inside it are put in order.
+    def step(seen: Column, entry: Column) -> Column:
+        here = seen["entry"].isNull() & (seen["before"] + entry["n"] > rank)
+        return F.struct(F.when(seen["entry"].isNotNull() | here, seen["before"]).otherwise(seen["before"] + entry["n"]).alias("before"), F.when(here, entry).otherwise(seen["entry"]).alias("entry"))
+
+    nothing = F.when(F.lit(False), F.get(sorted_entries, 0))
+    return F.aggregate(sorted_entries, F.struct(F.lit(0).cast("bigint").alias("before"), nothing.alias("entry")), step)
+
+
+def values_at(df: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Callable[[Column], Column]], rounds: int = 2) -> DataFrame:
+    """Per group the values at given places of its order, all in one go: the keys and a column per entry of `ranks`, which tells a place, counted from 0, from the
+    number of the group's values.  NULL values don't count; NaN comes last.
+
+    Values are counted first (combined on the map side).  Then a round takes, for each group and place, the stretch of values it must lie in, counts CELLS equal
+    parts of it, and goes on with the one that holds the place; `rounds` rounds narrow it to a CELLS^rounds-th, from which the value is picked out by its
+    counts.  What a task puts in order is cells, and in the end the different values of one last cell; no group is ever ordered.  All rounds read the same
+    counts, whose exchange they share.  The result is exact for any number of rounds.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    v = F.col(value)
+    bounds = counted.groupBy(*keys).agg(F.min(_finite(v)).alias("_low"), F.max(_finite(v)).alias("_high"), F.sum("_n").alias("_total"))
+    places = F.array(*[F.struct(F.lit(name).alias("q"), rank(F.col("_total")).cast("bigint").alias("r")) for name, rank in ranks.items()])
+    state = bounds.select(*keys, F.explode(places).alias("_p"), "_low", "_high").select(*keys, F.col("_p.q").alias("_q"), F.col("_p.r").alias("_r"), "_low", "_high", F.lit(True).alias("_all"))
+    for _ in range(rounds):
+        rows = null_safe_join(counted, state, keys, "inner").filter(F.col("_all") | v.between(F.col("_low"), F.col("_high")))
+        cells = rows.groupBy(*keys, "_q", _cell(v, F.col("_low"), F.col("_high")).alias("_c")).agg(
+            F.sum("_n").alias("n"), F.min(v).alias("low"), F.max(v).alias("high"), F.min("_r").alias("_r"))
+        order = F.array_sort(F.collect_list(F.struct("_c", "n", "low", "high")))
+        found = cells.groupBy(*keys, "_q").agg(F.min("_r").alias("_r"), order.alias("_cells")).withColumn("_at", _at_rank(F.col("_cells"), F.col("_r")))
+        state = found.select(*keys, "_q", (F.col("_r") - F.col("_at.before")).alias("_r"), F.col("_at.entry.low").alias("_low"), F.col("_at.entry.high").alias("_high"), F.lit(False).alias("_all"))
+    rows = null_safe_join(counted, state, keys, "inner").filter(v.between(F.col("_low"), F.col("_high")))
+    last = rows.groupBy(*keys, "_q").agg(F.min("_r").alias("_r"), F.array_sort(F.collect_list(F.struct(v.alias("v"), F.col("_n").alias("n")))).alias("_vs"))
+    picked = last.withColumn("_v", _at_rank(F.col("_vs"), F.col("_r"))["entry"]["v"])
+    return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("_q") == name, F.col("_v"))).alias(name) for name in ranks])
+
+
+def _octave_cell(v: Column) -> Column:
+    """A cell of a 4,096th of an octave, never falling with the value; negative values mirrored, zero between, NaN last."""
+    size = F.floor(F.log2(F.abs(v.cast("double"))) * 4096) + (1 << 23)
+    cell = F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0))
+    return F.when(F.isnan(v.cast("double")), 1 << 40).otherwise(cell).cast("bigint")
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, cell: Callable[[Column], Column] = _octave_cell) -> DataFrame:
+    """Exact median per group in one pass over the rows, without a group's values in one task.
+
+    Values are counted (combined on the map side) and cut into cells along their order; a cell's counts are summed up in place, and cells hand the sum of those
+    before them on by their first row (`split_running_total`), so what a task puts in order is a cell's different values.  Then each value knows the places it
+    fills, and the two in the middle are picked.  Groups whose values lie within a thousandth of each other ask for a narrower `cell`, or for `values_at`.
     """
-    given = df.filter(F.col(value).isNotNull())
-    edges = given.groupBy(*keys).agg(F.percentile_approx(value, [0.495, 0.505], 10_000).alias("_e"), F.count("*").alias("_total"))
-    counted = given.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    rows = null_safe_join(counted, edges, keys, "inner").withColumns({"_low": F.col("_e")[0], "_high": F.col("_e")[1]})
-    below = rows.groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col(value) < F.col("_low"), F.col("_n"))), F.lit(0)).alias("_start"))
-    inside = rows.filter(F.col(value).between(F.col("_low"), F.col("_high")))
-    inside = null_safe_join(inside, below, keys, "inner")
-    before = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    placed = inside.withColumn("_at", F.col("_start") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    placed = split_running_total(counted, keys, [F.col(value)], cell(F.col(value)), "_n", "_before", "_total")
 
     def at_rank(rank: Column) -> Column:
-        return F.max(F.when((F.col("_at") <= rank) & (rank < F.col("_at") + F.col("_n")), F.col(value)))
+        return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n")), F.col(value)))
 
     picks = [at_rank(r) for r in (F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2))]
     return placed.groupBy(*keys).agg(((picks[0] + picks[1]) / 2).alias(out))
 
 
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Mapping[str, float]) -> DataFrame:
+    """Exact quantiles per group, several at once, interpolated between neighbouring values as `percentile` does."""
+    ranks = {}
+    for name, share in shares.items():
+        ranks[f"_l_{name}"] = lambda n, s=share: F.floor((n - 1) * F.lit(s))
+        ranks[f"_h_{name}"] = lambda n, s=share: F.ceil((n - 1) * F.lit(s))
+    total = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_total"))
+    found = null_safe_join(values_at(df, keys, value, ranks), total, keys)
+
+    def between(name: str, share: float) -> Column:
+        low, high, at = F.col(f"_l_{name}").cast("double"), F.col(f"_h_{name}").cast("double"), (F.col("_total") - 1) * F.lit(share)
+        part = at - F.floor(at)
+        return F.when(low == high, low).otherwise(low * (1 - part) + high * part)
+
+    return found.select(*keys, *[between(n, s).alias(n) for n, s in shares.items()])
+
+
+def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """Per group the number of different values of several whole-number columns, exact and in one pass: the keys and a column per entry of `columns`.
+
+    Values set bits in bitmaps of 32,768, which are combined on the map side, merged, and counted; rows aren't copied for each counted column.  Rows are
+    grouped by the bitmaps they touch: right for any values, meant for identifiers that fill few bitmaps.  NULL doesn't count.
+    """
+    names = list(columns)
+    bits = {n: F.col(columns[n]).cast("bigint") for n in names}
+    first = df.groupBy(*keys, *[F.bitmap_bucket_number(c).alias(f"_b_{n}") for n, c in bits.items()]).agg(
+        *[F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias(f"_m_{n}") for n, c in bits.items()])
+    entries = F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"_b_{n}").alias("bucket"), F.col(f"_m_{n}").alias("bits")) for n in names])
+    each = first.select(*keys, F.explode(entries).alias("_e")).select(*keys, F.col("_e.name").alias("_name"), F.col("_e.bucket").alias("_bucket"), F.col("_e.bits").alias("_bits"))
+    merged = each.groupBy(*keys, "_name", "_bucket").agg(F.bitmap_count(F.bitmap_or_agg("_bits")).alias("_n"))
+    return merged.groupBy(*keys).agg(*[F.coalesce(F.sum(F.when((F.col("_name") == n) & F.col("_bucket").isNotNull(), F.col("_n"))), F.lit(0)).alias(n) for n in names])
+
+
 def with_median(grouped: DataFrame, df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Adds the exact median to an aggregate of the same groups; NULL keys form a group as usual."""
     return null_safe_join(grouped, exact_median(df, keys, value, out), keys)
