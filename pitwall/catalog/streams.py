@@ -17,7 +17,7 @@ from pitwall.catalog.scalars import r
 from pitwall.operators.reshape import append_all
 from pitwall.schemas import ENVELOPE_PAYLOADS
 from pitwall.sources.scratch import scratch_path
-from pitwall.streaming import feeds, sinks, state
+from pitwall.streaming import feeds, keyed, sinks, state
 
 REPLAY = "replay-1"
 def emitted():
@@ -255,6 +255,37 @@ def _(t):
     return told.select(*by, "processed", F.when(F.col("inserted") == F.coalesce("held", F.lit(0)), F.col("inserted")).alias("inserted"))
 
 
+@query(
+    "st12_latest_keyed",
+    f"""SELECT session_key, CAST(driver_number AS INTEGER) AS driver_number, date_trunc('minute', date) AS window_start, {_MS} AS event_time, position FROM b_position
+        QUALIFY row_number() OVER (PARTITION BY session_key, driver_number, date_trunc('minute', date) ORDER BY date DESC) = 1""",
+)
+def _(t):
+    """From state by key: files come in any order, so many records are late; they come out as such, and the windows and they together are the whole."""
+    path, late = scratch_path(t.spark, "windows"), scratch_path(t.spark, "late")
+    stream = feeds.parse_feed(feeds.file_rows(t.spark, _records(t, "position"), files_per_batch=2), "position").select("session_key", "driver_number", "event_time", "position")
+    windows = keyed.per_window(stream, ["session_key", "driver_number"], "event_time", 60, 3600)
+    sinks.drain(sinks.merge_windows(windows, path, late, scratch_path(t.spark, "state"), ["session_key", "driver_number"], once=True))
+    shape = windows.drop(keyed.LATE).schema
+    return keyed.reconciled(t.spark.read.schema(shape).parquet(path).select(*shape.fieldNames()), t.spark.read.schema(shape).parquet(late), ["session_key", "driver_number"], "event_time")
+
+
+@query(
+    "st14_observed",
+    f"""SELECT count(*) AS processed, count(*) FILTER (k % 3 <> 0) AS inserted, min(date_trunc('millisecond', ts)) AS first_at, max(date_trunc('millisecond', ts)) AS last_at,
+        count(*) FILTER (k % 3 <> 0) AS held FROM e_all WHERE event_type = 'signup'""",
+)
+def _(t):
+    """Counts that the write itself observed, over all batches, and what the table holds."""
+    source, path, counts = scratch_path(t.spark, "topic"), scratch_path(t.spark, "sink"), scratch_path(t.spark, "counts")
+    body = F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("event_time"), "session_key", F.col("driver_number").cast("int").alias("driver_number"), F.when(F.col("k") % 3 != 0, F.col("k")).alias("position"))
+    t.events("signup").select(F.to_json(body).alias("value")).repartition(5).write.text(source)
+    stream = feeds.parse_feed(feeds.file_rows(t.spark, source, files_per_batch=1), "position")
+    sinks.drain(sinks.append_observed(stream, path, counts, scratch_path(t.spark, "state"), ["position"], "event_time", once=True))
+    told = sinks.read_batches(t.spark, counts).agg(F.sum("processed").alias("processed"), F.sum("inserted").alias("inserted"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+    return told.withColumn("held", sinks.read_batches(t.spark, path).agg(F.count("*")).scalar())
+
+
 _TO = datetime.datetime(2024, 1, 12)
 
 

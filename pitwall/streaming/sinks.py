@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pitwall.sources.landing import split_valid
 from pitwall.sources.merge import in_partitions, one_per_key, upsert
 from pitwall.sources.scratch import path_exists
+from pitwall.streaming.keyed import LATE, started
 from pitwall.streaming.state import window_start
 
 BATCH = "batch_id"
@@ -51,7 +52,7 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH)
 
 
-def _each_batch(stream: DataFrame, checkpoint: str, put: Callable[[DataFrame, int], None], once: bool) -> StreamingQuery:
+def _each_batch(stream: DataFrame, checkpoint: str, put: Callable[[DataFrame, int], None], once: bool, mode: str = "append") -> StreamingQuery:
     def held(batch: DataFrame, batch_id: int) -> None:
         # used several times below; read from the source once
         batch = batch.persist()
@@ -60,7 +61,7 @@ def _each_batch(stream: DataFrame, checkpoint: str, put: Callable[[DataFrame, in
         finally:
             batch.unpersist()
 
-    return _start(stream.writeStream.foreachBatch(held).option("checkpointLocation", checkpoint), once)
+    return _start(stream.writeStream.foreachBatch(held).outputMode(mode).option("checkpointLocation", checkpoint), once)
 
 
 def append_new(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partition: str, order: Sequence, once: bool = False) -> StreamingQuery:
@@ -97,6 +98,37 @@ def keep_windows(
     return _each_batch(stream, checkpoint, put, once)
 
 
+def merge_windows(stream: DataFrame, path: str, late_path: str, checkpoint: str, keys: Sequence[str], once: bool = False) -> StreamingQuery:
+    """Keeps the windows of `keyed.per_window` in a table, each with its latest state, and appends the late records to another."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        windows = batch.filter(~F.col(LATE)).drop(LATE).withColumn("event_date", F.to_date("window_start"))
+        _put(batch.filter(LATE).drop(LATE), late_path, batch_id)
+        upsert(batch.sparkSession, path, windows, [*keys, "window_start", "event_date"], "event_date")
+
+    return started(stream.sparkSession, lambda: _each_batch(stream, checkpoint, put, once, mode="update"))
+
+
+def append_observed(stream: DataFrame, path: str, counts_path: str, checkpoint: str, required: Sequence[str], at: str, partition: str = "event_date", once: bool = False) -> StreamingQuery:
+    """Appends records that have all required fields; how many there were, how many were written, and their first and last time are observed by the write itself.
+
+    The batch is read once and not held: the counts come out of the same pass as the files, one row per batch.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        whole = F.lit(True)
+        for c in required:
+            whole = whole & F.col(c).isNotNull()
+        seen = Observation()
+        good, _ = split_valid(batch.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if(whole).alias("inserted"), F.min(at).alias("first_at"), F.max(at).alias("last_at")), required)
+        _put(good, path, batch_id, [partition])
+        told = seen.get
+        row = (told["processed"], told["inserted"], told["first_at"], told["last_at"])
+        _put(batch.sparkSession.createDataFrame([row], "processed bigint, inserted bigint, first_at timestamp_ntz, last_at timestamp_ntz"), counts_path, batch_id)
+
+    return _start(stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint), once)
+
+
 def append_counted(
     stream: DataFrame, path: str, counts_path: str, checkpoint: str, required: Sequence[str], by: Sequence[str], partition: str = "event_date", once: bool = False
 ) -> StreamingQuery:
