@@ -9,7 +9,7 @@ from pitwall.catalog.oracle import corr
 from pitwall.catalog.registry import query, register
 from pitwall.catalog.scalars import r
 from pitwall.operators.reshape import append_all, sectors_long
-from pitwall.operators.stats import distinct_counts, exact_quantiles, min_by_first, ordered_list_text, safe_corr, with_median
+from pitwall.operators.stats import distinct_counts, exact_quantiles, min_by_first, ordered_entries, ordered_list_text, safe_corr, with_median
 from pitwall.plans import production as p
 from pitwall.settings import Settings
 
@@ -103,6 +103,15 @@ register(
     "a11_list_distinct", lambda t: ordered_list_text(t.table("part"), ["p_brand"], "p_type", "kinds", distinct=True),
     "SELECT p_brand, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) AS kinds FROM part GROUP BY 1",
 )
+register(
+    "a10_list_long", lambda t: ordered_entries(t["pit"], p.CAR, "lap_number", "place", "n"),
+    """SELECT session_key, driver_number, lap_number, row_number() OVER (PARTITION BY session_key, driver_number ORDER BY lap_number) AS place, n
+       FROM (SELECT session_key, driver_number, lap_number, count(*) AS n FROM b_pit WHERE lap_number IS NOT NULL GROUP BY ALL)""",
+)
+register(
+    "a11_list_long", lambda t: ordered_entries(t.table("part"), ["p_brand"], "p_type", "place", "n").drop("n"),
+    "SELECT p_brand, p_type, row_number() OVER (PARTITION BY p_brand ORDER BY p_type) AS place FROM (SELECT DISTINCT p_brand, p_type FROM part)",
+)
 register(
     "a12_array_distinct", lambda t: t["drivers"].groupBy("session_key").agg(F.sort_array(F.collect_set("team_name")).alias("teams")),
     "SELECT session_key, array_to_string(list_sort(array_agg(DISTINCT team_name)), '|') AS teams FROM b_drivers GROUP BY 1",

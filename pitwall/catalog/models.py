@@ -103,3 +103,10 @@ for _name, _build, _block in MODELS:
     for _a in _arrays.split():
         _sql = _sql.replace("SELECT *", f"SELECT * REPLACE (array_to_string({_a}, '|') AS {_a})", 1)
     register(_name, _build, _sql)
+
+register(
+    "m25_session_filters_long", p.session_filter_drivers,
+    """SELECT session_key, driver_display_name, row_number() OVER (PARTITION BY session_key, m.meeting_name ORDER BY driver_display_name) AS place, s.year, s.country_name, session_name, session_type, m.meeting_name
+       FROM p_sessions s JOIN (SELECT DISTINCT session_key, driver_display_name FROM p_session_drivers WHERE driver_display_name IS NOT NULL) n USING (session_key)
+       JOIN (SELECT DISTINCT year, country_name, meeting_name FROM p_meetings) m ON m.year = s.year AND m.country_name = s.country_name""",
+)

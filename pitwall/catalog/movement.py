@@ -10,6 +10,7 @@ from pitwall.catalog.columns import COLUMNS
 from pitwall.catalog.registry import block, query, register
 from pitwall.catalog.scalars import r
 from pitwall.plans import dashboard as x
+from pitwall.plans.production import CAR
 from pitwall.schemas import SCHEMAS
 from pitwall.sources import landing, merge, tables
 from pitwall.sources.scratch import scratch_path
@@ -34,6 +35,43 @@ def _(t):
     return landing.read_json_landing(t.spark, path, "intervals", array_files=False)
 
 
+def _mixed(t) -> str:
+    """Interval records whose gap is a number where it reads as one, and a text elsewhere, as JSON lines."""
+    path, number = scratch_path(t.spark, "mixed"), F.col("gap_to_leader").try_cast("double")
+    rows = t["intervals"].withColumn("date", F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+
+    def line(gap):
+        return F.to_json(F.struct("meeting_key", "session_key", "driver_number", "date", "interval", gap.alias("gap_to_leader")))
+
+    rows.select(F.when(number.isNotNull(), line(number)).otherwise(line(F.col("gap_to_leader"))).alias("value")).write.text(path)
+    return path
+
+
+@query(
+    "s02_scan_variant",
+    f"""SELECT session_key, driver_number, date, {r('TRY_CAST(gap_to_leader AS DOUBLE)', 'gap_seconds')}, CASE WHEN gap_to_leader NOT IN ('None', 'null', 'NULL', '') AND TRY_CAST(gap_to_leader AS DOUBLE) IS NULL THEN gap_to_leader END AS gap_text,
+       CASE WHEN "interval" NOT IN ('None', 'null', 'NULL', '') THEN "interval" END AS "interval" FROM b_intervals""",
+)
+def _(t):
+    """Gaps that are numbers in some records and texts in others, read as what they are."""
+    records = landing.read_variant_landing(t.spark, _mixed(t), array_files=False)
+    seconds = landing.field(F.col("record"), "gap_to_leader", "double").alias("gap_seconds")
+    typed = landing.typed_records(records.select("record", seconds), SCHEMAS["intervals"], keep=["gap_seconds"])
+    return typed.select("session_key", "driver_number", "date", "gap_seconds", F.when(F.col("gap_seconds").isNull(), F.col("gap_to_leader")).alias("gap_text"), "interval")
+
+
+@query(
+    "s11_infer_variant",
+    """SELECT 'gap_to_leader' AS field, CASE WHEN count(DISTINCT TRY_CAST(gap_to_leader AS DOUBLE) IS NULL) = 2 THEN 'VARIANT' ELSE 'one kind' END AS kind FROM b_intervals WHERE gap_to_leader IS NOT NULL
+       UNION ALL SELECT 'interval', CASE WHEN count("interval") > 0 THEN 'STRING' END FROM b_intervals UNION ALL SELECT 'driver_number', CASE WHEN count(driver_number) > 0 THEN 'BIGINT' END FROM b_intervals
+       UNION ALL SELECT 'session_key', CASE WHEN count(session_key) > 0 THEN 'BIGINT' END FROM b_intervals""",
+)
+def _(t):
+    """Types over all records: a field that is a number here and a text there is a VARIANT."""
+    kinds = landing.variant_types(landing.read_variant_landing(t.spark, _mixed(t), array_files=False))
+    return t.spark.createDataFrame([(f, kinds[f]) for f in ("gap_to_leader", "interval", "driver_number", "session_key")], "field string, kind string")
+
+
 @query(
     "s03_conform",
     """SELECT session_key, meeting_key, driver_number, ts AS date, CAST(NULL AS INTEGER) AS rpm, CASE WHEN k % 2 = 0 THEN k END AS speed, k AS throttle, CAST(NULL AS INTEGER) AS brake,
@@ -264,6 +302,21 @@ def _(t):
     return tables.materialise(t.spark, best, "best_laps", "table", scratch_path(t.spark, "table"))
 
 
+@query(
+    "s17_bucketed_join",
+    f"""SELECT c.session_key, c.driver_number, c.date, c.speed, {r('b.best', 'best')}, b.laps FROM b_car c
+        JOIN (SELECT session_key, driver_number, min(lap_duration) AS best, count(*) AS laps FROM b_laps GROUP BY ALL) b ON b.session_key = c.session_key AND b.driver_number = c.driver_number""",
+)
+def _(t):
+    """Laps and telemetry in equal buckets by car: the aggregate and the join with it need no exchange."""
+    stem = scratch_path(t.spark, "bucketed")
+    name = f"pitwall_{stem[-12:]}"
+    cars = tables.write_bucketed(t["car_data"].select(*CAR, "date", "speed"), f"{name}_cars", f"{stem}/cars", CAR, 8)
+    laps = tables.write_bucketed(t["laps"].select(*CAR, "lap_duration"), f"{name}_laps", f"{stem}/laps", CAR, 8)
+    best = laps.groupBy(*CAR).agg(F.min("lap_duration").alias("best"), F.count("*").alias("laps"))
+    return cars.hint("merge").join(best, CAR)
+
+
 @query("s17_clustered_write", "SELECT * REPLACE (CAST(event_date AS VARCHAR) AS event_date) FROM x_car_data")
 def _(t):
     path = scratch_path(t.spark, "clustered")

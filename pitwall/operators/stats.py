@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pitwall.operators.ordered import split_running_total
 from pitwall.operators.rows import null_safe_join
@@ -149,3 +149,16 @@ def ordered_list_text(df: DataFrame, keys: Sequence[str], value: str, out: str,
     )
     return counted.groupBy(*keys).agg(F.array_join(texts, sep).alias(out))
 
+
+
+def ordered_entries(df: DataFrame, keys: Sequence[str], value: str, place: str, n: str) -> DataFrame:
+    """The long form of an ordered list: one row per group and different value, with its place among them, from 1 on, and how often it occurs.
+
+    No group is gathered: values are counted on the map side, and places are summed up over cells (`split_running_total`).
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias(n)).withColumn("_one", F.lit(1))
+    # texts fall into cells by their first two characters; both go by code points
+    text = F.ascii(F.substring(F.col(value), 1, 1)).cast("bigint") * (1 << 21) + F.ascii(F.substring(F.col(value), 2, 1))
+    cell = text if isinstance(df.schema[value].dataType, T.StringType) else _octave_cell(F.col(value))
+    placed = split_running_total(counted, keys, [F.col(value)], cell, "_one", "_before", "_of")
+    return placed.select(*keys, value, (F.col("_before") + 1).alias(place), n)

@@ -8,6 +8,7 @@ from pitwall.functions import add_seconds, numeric_gap, points_for, seconds_betw
 from pitwall.operators.intervals import explode_numbers, range_join, spacing, span_aggregates
 from pitwall.operators.ordered import carry_forward, number_bucket, split_dense_rank, split_row_number
 from pitwall.operators.rows import earliest, qualify_first
+from pitwall.operators.stats import ordered_entries
 from pitwall.plans.memo import plan
 from pitwall.settings import DEFAULTS, Settings
 
@@ -311,6 +312,17 @@ def session_filters(t) -> DataFrame:
     ).distinct()
 
 
+@plan
+def session_filter_drivers(t) -> DataFrame:
+    """The long form of the session filters: one row per session, meeting and driver name, with the name's place among the session's, so no session's names are
+    gathered into one value."""
+    names = drivers(t).select("session_key", _driver_label()).distinct()
+    placed = ordered_entries(names, ["session_key"], "driver_display_name", "place", "n").drop("n")
+    meet = meetings(t).select("year", "country_name", "meeting_name")
+    ses = sessions(t).select("session_key", "year", "country_name", "session_name", "session_type").join(meet, ["year", "country_name"]).distinct()
+    return placed.join(ses, "session_key")
+
+
 @plan
 def tyre_compounds(t) -> DataFrame:
     """Per circuit and compound: unweighted means over driver means."""

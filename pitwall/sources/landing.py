@@ -73,6 +73,52 @@ def read_json_landing(
     return conform(raw.select(*cols), schema)
 
 
+def read_variant_landing(spark: SparkSession, path: str, array_files: bool = True) -> DataFrame:
+    """JSON landing whose fields change their type from record to record: one row per record, whole, in the VARIANT column `record`.
+
+    Nothing is cast on the way in, so a gap that is a number here and a text there is both.
+    """
+    return spark.read.format("json").option("singleVariantColumn", "record").option("multiLine", array_files).load(path)
+
+
+def field(record: Column, name: str, kind: str) -> Column:
+    """A field of a VARIANT record as a type; NULL where it is absent or can't be that type."""
+    return F.try_variant_get(record, f"$['{name}']", kind)
+
+
+def variant_types(df: DataFrame, record: str = "record") -> dict[str, str]:
+    """Per field of the records its type over all of them: numbers of several widths share the widest, and a field that is of different kinds in different
+    records is a `VARIANT`.  All records count, not a sample: types are merged on the map side, and one text comes to the driver."""
+    told = df.agg(F.schema_of_variant_agg(F.col(record))).first()[0] or ""
+    inside = told[len("OBJECT<"):-1] if told.startswith("OBJECT<") else ""
+    out, depth, begin = {}, 0, 0
+    for i, c in enumerate(inside + ","):
+        depth += (c in "<(") - (c in ">)")
+        if c == "," and not depth:
+            name, _, kind = inside[begin:i].strip().partition(": ")
+            if name:
+                out[name.strip("`")] = kind
+            begin = i + 1
+    return out
+
+
+def typed_records(df: DataFrame, schema: T.StructType, tokens: Sequence[str] = NULL_TOKENS, record: str = "record", keep: Sequence[str] = ()) -> DataFrame:
+    """VARIANT records as the columns of a feed, after the columns to `keep`: text fields take numbers as their text, other fields take texts that read as such, and
+    null tokens are NULL."""
+    cols = []
+    for f in schema.fields:
+        c = F.col(record)
+        if isinstance(f.dataType, T.ArrayType):
+            cols.append(field(c, f.name, f.dataType.simpleString()).alias(f.name))
+            continue
+        text = field(c, f.name, "string")
+        for token in tokens:
+            text = F.nullif(text, F.lit(token))
+        cols.append(text.alias(f.name))
+    kept = [T.StructField(c, df.schema[c].dataType) for c in keep]
+    return conform(df.select(*keep, *cols), T.StructType([*kept, *schema.fields]))
+
+
 def replace_sessions(df: DataFrame, path: str, feed: str) -> None:
     """Idempotent load: the sessions (meetings) present in `df` replace their stored rows, others stay.
 
