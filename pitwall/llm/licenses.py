@@ -63,13 +63,18 @@ def _small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFram
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
-def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", every_word: bool = False, exact: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", every_word: bool = False, exact: tuple[tuple[str, str], ...] = (), several: bool = False, inline: bool = False) -> DataFrame:
     """Rows (path, t, license, score) for the files with a block that is like a template: the likest license, of equals the first by name.
 
     Blocks are the lines of a text and its paragraphs of several lines. A block's vector has its words' counts times their inverse frequency over all
     files, ln((1 + files) / (1 + files with the word)) + 1; unless `every_word`, words outside the templates weigh as words seen nowhere. Only texts
     with a word that some template can't do without are cut into blocks. t is a hash of the text. A template of `exact` counts only
     for blocks with all its words.
+
+    With `inline`, the sentences of a line are blocks too, so a notice is found among other words of one line, however rare those are. With `several`, rows also
+    have `licenses`, names in order: where the parts of a line (with `inline`, of a sentence) around `and` and `or` are like templates of different licenses, the
+    file has all of them, besides the likest. An SPDX line with AND, OR or WITH and a known identifier goes before all likeness: its license is the expression, with score 1, and its
+    licenses are the known ones in it. Several such lines are taken together.
     """
     whole, templates = len(templates), (*templates, *exact)
     vocabulary = sorted({w for _, body in templates for w in _words(body)})
@@ -91,8 +96,11 @@ def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATE
     chosen = files.filter(F.arrays_overlap(plain_words(body), needed)).select(F.col(f"`{path}`").alias("path"), F.xxhash64(body).alias("t"), body.alias("text")).withColumn("row", F.monotonically_increasing_id())
     lines = F.split("text", r"\r\n|\r|\n")
     paragraphs = F.filter(F.split("text", r"(?:\r\n|\r|\n)[\x09\x0B\x0C\x20]*(?:\r\n|\r|\n)"), lambda p: p.rlike(r"[\r\n]"))
-    blocks = chosen.select("path", "t", "row", F.posexplode(F.concat(lines, paragraphs)).alias("block", "body")).select("path", "t", "row", "block", plain_words(F.col("body")).alias("words"))
-    terms = blocks.filter(F.arrays_overlap("words", needed)).select("path", "t", "row", "block", F.explode("words").alias("word")).groupBy("path", "t", "row", "block", "word").agg(F.count("*").alias("n"))
+    cuts = F.transform(F.concat(lines, paragraphs), lambda b: _block(b))
+    if several or inline:
+        cuts = F.concat(cuts, _inner_blocks(lines, needed, several, inline))
+    blocks = chosen.select("path", "t", "row", F.posexplode(cuts).alias("block", "b")).select("path", "t", "row", "block", "b.sentence", plain_words(F.col("b.body")).alias("words"))
+    terms = blocks.filter(F.arrays_overlap("words", needed)).select("path", "t", "row", "block", "sentence", F.explode("words").alias("word")).groupBy("path", "t", "row", "block", "sentence", "word").agg(F.count("*").alias("n"))
     terms = staged(terms, "terms")
     # words that a thousandth of the files hold are few and may fill most blocks, so they stay out of the join by word
     counts = counts if every_word else counts.filter(F.col("word").isin(vocabulary))
@@ -108,8 +116,56 @@ def declared(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATE
     dots = known_terms.join(pairs, key).join(F.broadcast(weights), ["template", "word"]).groupBy("path", "t", *key, "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"), (F.count("*") >= F.max("least")).alias("enough"))
     # rounded, so that the order in which parts are summed doesn't decide what is like enough
     scores = dots.join(sizes, key).withColumn("score", F.round(F.least(F.col("dot") / F.col("size"), F.lit(1.0)), 6)).filter((F.col("score") >= threshold) & F.col("enough"))
-    best = scores.groupBy("path", "t").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))
-    return best.select("path", "t", F.col("best.license").alias("license"), (-F.col("best.s")).alias("score"))
+    like = F.struct((-F.col("score")).alias("s"), "license")
+    if not several:
+        best = scores.groupBy("path", "t").agg(F.min(like).alias("best"))
+        return best.select("path", "t", F.col("best.license").alias("license"), (-F.col("best.s")).alias("score"))
+    # parts count where those of one line or sentence are of different licenses
+    parts = terms.filter("sentence is not null").select(*key, "sentence").distinct()
+    of_part = scores.join(parts, key).groupBy("path", "t", *key, "sentence").agg(F.min(like).alias("best"))
+    of_sentence = of_part.groupBy("path", "t", "row", "sentence").agg(F.collect_set("best.license").alias("names"), F.min("best").alias("best")).filter(F.size("names") > 1)
+    whole_scores = scores.join(parts, key, "left_anti")
+    found = whole_scores.select("path", "t", like.alias("best"), F.array().cast("array<string>").alias("names")).union(of_sentence.select("path", "t", "best", "names"))
+    told = found.groupBy("path", "t").agg(F.min("best").alias("best"), F.flatten(F.collect_set("names")).alias("names"))
+    told = told.select("path", "t", F.col("best.license").alias("license"), (-F.col("best.s")).alias("score"), F.array_sort(F.array_distinct(F.array_append("names", F.col("best.license")))).alias("licenses"))
+    stated = expressions(files, path, text)
+    return stated.unionByName(told.alias("o").join(stated.alias("e"), F.col("o.path").eqNullSafe(F.col("e.path")) & (F.col("o.t") == F.col("e.t")), "left_anti"))
+
+
+def _block(body: Column, sentence: Column | None = None) -> Column:
+    return F.struct(body.alias("body"), (F.lit(None).cast("int") if sentence is None else sentence).alias("sentence"))
+
+
+def _inner_blocks(lines: Column, needed: Column, several: bool, inline: bool) -> Column:
+    """Sentences of lines that have several (`inline`), and parts of lines or sentences that have several (`several`), as one array; parts know what they are of. Only
+    lines with a needed word count."""
+    held = F.filter(lines, lambda l: F.arrays_overlap(plain_words(l), needed))
+    whole = F.flatten(F.transform(held, lambda l: F.split(l, r"(?<=[.;!?])[\x09\x20]+"))) if inline else held
+    parts = F.flatten(F.transform(whole, lambda s, i: F.transform(F.split(s, r"(?i),?[\x09\x20]+(?:and|or|and/or)[\x09\x20]+"), lambda p: _block(p, i))))
+    out = F.transform(whole, lambda s: _block(s)) if inline else F.array().cast("array<struct<body:string,sentence:int>>")
+    return F.concat(out, F.filter(parts, lambda p: p["body"] != F.get(whole, p["sentence"]))) if several else out
+
+
+_ID = r"\(*[A-Za-z0-9.+:-]*[A-Za-z0-9+]\)*"
+#: Identifiers joined by operators, which are in capitals.
+_EXPRESSION = rf"SPDX-License-Identifier:[\x09\x20]*({_ID}(?:[\x09\x20]+(?:AND|OR|WITH)[\x09\x20]+{_ID})+)"
+
+
+def expressions(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """Rows (path, t, license, score, licenses) of the files with an SPDX line that joins identifiers by AND, OR or WITH, one of them known at least: the expression
+    with single blanks, those of several lines joined by ` AND ` in order, and the known licenses in order. The identifier after WITH is an exception, not a license.
+    """
+    known = {i.split(": ")[1].lower(): name for name, i in SPDX}
+    body = F.col(f"`{text}`")
+    found = files.filter(body.contains("SPDX-License-Identifier") & body.rlike(_EXPRESSION)).select(F.col(f"`{path}`").alias("path"), F.xxhash64(body).alias("t"), F.regexp_extract_all(body, F.lit(_EXPRESSION), 1).alias("all"))
+    # brackets around the whole say nothing
+    plain = F.transform("all", lambda e: F.regexp_replace(F.regexp_replace(e, r"[\x09\x20]+", " "), r"^\(([^()]*)\)$", "$1"))
+    ids = F.flatten(F.transform("plain", lambda e: F.split(F.regexp_replace(F.lower(e), r"with [a-z0-9.+:-]+", ""), r"[ ()]+")))
+    names = F.map_from_arrays(F.lit(list(known)), F.lit(list(known.values())))
+    licenses = F.array_sort(F.array_distinct(F.array_compact(F.transform("ids", lambda i: F.try_element_at(names, F.regexp_replace(i, r"\+$", ""))))))
+    rows = found.withColumn("plain", F.array_distinct(plain)).withColumn("ids", ids).withColumn("licenses", licenses).filter(F.size("licenses") > 0)
+    joined = F.when(F.size("plain") == 1, F.get("plain", 0)).otherwise(F.array_join(F.transform(F.array_sort("plain"), lambda e: F.concat(F.lit("("), e, F.lit(")"))), " AND "))
+    return rows.select("path", "t", joined.alias("license"), F.lit(1.0).alias("score"), "licenses").distinct()
 
 
 def _folder(path: Column) -> Column:
@@ -128,14 +184,15 @@ def inherited(folders: DataFrame, licensed: DataFrame) -> DataFrame:
     return found.groupBy("folder").agg(F.max(F.struct("depth", "up", "license")).alias("m")).select("folder", F.col("m.license").alias("license"), F.col("m.up").alias("from_folder"))
 
 
-def scanned(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", keep: list[str] | None = None, every_word: bool = False, exact: tuple[tuple[str, str], ...] = ()) -> DataFrame:
-    """One row per row of `files`: the columns `keep`, path, license, score, origin and from_folder.
+def scanned(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8, path: str = "path", text: str = "text", keep: list[str] | None = None, every_word: bool = False, exact: tuple[tuple[str, str], ...] = (), several: bool = False, inline: bool = False) -> DataFrame:
+    """One row per row of `files`: the columns `keep`, path, license, score, origin and from_folder; with `several` also licenses, all of a text's own (see `declared`),
+    null where the text declares none.
 
     origin is `declared` where the text itself is like a template, else `inherited` from the license file of the nearest folder above (score null),
     else null. A folder with several license files takes the likest, of equals the first by name. Null and empty texts declare nothing; a null path
     inherits nothing. Rows alike in path and text get alike results. Paths have slashes; one without is in the root folder "".
     """
-    own = staged(declared(files, templates, threshold, path, text, every_word, exact), "declared")
+    own = staged(declared(files, templates, threshold, path, text, every_word, exact, several, inline), "declared")
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     speaking = own.filter(F.col("path").isNotNull() & name.rlike(LICENSE_FILE)).groupBy(_folder(F.col("path")).alias("folder")).agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("m"))
     licensed = staged(speaking.select("folder", F.col("m.license").alias("license")), "folders")
@@ -146,7 +203,7 @@ def scanned(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES
     out = rows.alias("r").join(o, F.col("r.path").eqNullSafe(F.col("o.path")) & (F.col("r.t") == F.col("o.t")), "left").join(a, F.col("r.folder") == F.col("a.folder"), "left")
     return out.select(*(F.col(f"r.`{c}`") for c in keep), F.col("r.path").alias("path"), F.coalesce("o.license", "a.license").alias("license"), F.col("o.score").alias("score"),
                       F.when(F.col("o.license").isNotNull(), F.lit("declared")).when(F.col("a.license").isNotNull(), F.lit("inherited")).alias("origin"),
-                      F.when(F.col("o.license").isNull(), F.col("a.from_folder")).alias("from_folder"))
+                      F.when(F.col("o.license").isNull(), F.col("a.from_folder")).alias("from_folder"), *([F.col("o.licenses")] if several else []))
 
 
 def as_files(docs: DataFrame) -> DataFrame:
@@ -159,5 +216,6 @@ def as_files(docs: DataFrame) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, path, license, score, origin, from_folder."""
-    return scanned(as_files(docs), keep=["doc_id"], every_word=True, exact=SPDX)
+    """doc_id, path, license, score, origin, from_folder, licenses (joined by a bar)."""
+    rows = scanned(as_files(docs), keep=["doc_id"], every_word=True, exact=SPDX, several=True)
+    return rows.withColumn("licenses", F.array_join("licenses", "|"))
