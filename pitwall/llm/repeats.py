@@ -34,7 +34,7 @@ SEED_BYTES = 24
 #: Bytes of text in a block, at least unless the partition ends; one document is never split.
 BLOCK = 4 << 20
 #: Bytes of text for which one bucket of seeds is made.
-BUCKET = 8 << 20
+BUCKET = 4 << 20
 #: Blocks that may share a seed before its windows are dealt out one by one.
 COMMON = 512
 #: Windows whose seeds are computed at a time.
