@@ -110,3 +110,16 @@ def test_clashing_names(spark):
     assert len(whitened(df).collect()) == 18
     with pytest.raises(ValueError):
         whitened(spark.createDataFrame([(1, [0.0] * 4097)], SCHEMA))
+
+
+def test_query_on_the_table(spark, data):
+    from pitwall.llm.queries import QUERIES
+
+    got = QUERIES["op13_embedding_whitening"](spark, data).collect()
+    assert list(got[0].asDict()) == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{data}/embeddings.parquet").collect()]
+    want = sorted(brute(rows, 4), key=repr)
+    plain = sorted(((r.vec_id, r.component, r.n, r.deviation, abs(r.whitened), r.explained) for r in got), key=repr)
+    assert [p[:4] for p in plain] == [w[:4] for w in want]
+    assert np.allclose([p[4:] for p in plain], [w[4:] for w in want], rtol=1e-6, atol=1e-8)
+    assert got[0].identity_error < 1e-9
