@@ -125,7 +125,7 @@ def _(table):
     return chat_tools.digest(table("conversations"))
 
 
-@_query("op11_repeated_passages")
+@_query("op11_repeated_passages", repeats.ORACLE)
 def _(table):
     return repeats.digest(table("documents"))
 

@@ -404,3 +404,21 @@ def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, and the hash of what is left."""
     return without_repeats(docs).select(
         "doc_id", "n_bytes", n_removed().cast("long").alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same result in DuckDB: all windows as hex text, and the least id of each.
+ORACLE = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunks AS (SELECT r, doc_id, k, substr(h, k * 2000 + 1, 2098) AS part FROM (SELECT r, doc_id, h, unnest(range(0, len(h) // 2000 + 1)) AS k FROM d)),
+windows AS (SELECT r, doc_id, k * 1000 + i AS p, substr(part, 2 * i + 1, 100) AS w FROM (SELECT *, unnest(range(0, least(1000, len(part) // 2 - 49))) AS i FROM chunks WHERE len(part) >= 100)),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+hits AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM windows JOIN firsts USING (w) WHERE first < doc_id),
+runs AS (SELECT r, p, sum(CASE WHEN p - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS g FROM hits),
+spans AS (SELECT r, min(p) AS s, max(p) + 50 AS e FROM runs GROUP BY r, g),
+gaps AS (SELECT r, s, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS b FROM spans),
+heads AS (SELECT r, string_agg(substr(h, 2 * b + 1, 2 * (s - b)), '' ORDER BY s) AS kept FROM gaps JOIN d USING (r) GROUP BY r),
+told AS (SELECT r, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS last FROM spans GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN told USING (r) LEFT JOIN heads USING (r)
+"""
