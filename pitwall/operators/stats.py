@@ -99,6 +99,21 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, cell:
     return placed.groupBy(*keys).agg(((picks[0] + picks[1]) / 2).alias(out))
 
 
+def with_places(df: DataFrame, keys: Sequence[str], value: str, cell: Callable[[Column], Column] = _octave_cell) -> DataFrame:
+    """The rows with their place in their group's order of a value, from 0 on, and the group's size, for `median_of_places` in an aggregate of the same groups.
+
+    For rows that are dear to compute: they are computed once, where a median joined to an aggregate computes them twice.  A task puts the rows of a cell in
+    order, so many rows of one value belong to `exact_median`, which counts them first.  The value must not be NULL.
+    """
+    return split_running_total(df.withColumn("_one", F.lit(1)), keys, [F.col(value)], cell(F.col(value)), "_one", "_place", "_size").drop("_one")
+
+
+def median_of_places(value: str) -> Column:
+    """The median of rows that know their place, as an aggregate."""
+    middle = [F.max(F.when(F.col("_place") == F.floor(at), F.col(value))) for at in ((F.col("_size") - 1) / 2, F.col("_size") / 2)]
+    return (middle[0] + middle[1]) / 2
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Mapping[str, float]) -> DataFrame:
     """Exact quantiles per group, several at once, interpolated between neighbouring values as `percentile` does."""
     ranks = {}

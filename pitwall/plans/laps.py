@@ -12,7 +12,7 @@ from pitwall.operators.intervals import BIN, asof_join, explode_numbers, last_in
 from pitwall.operators.ordered import neighbours, number_bucket
 from pitwall.operators.reshape import sectors_long
 from pitwall.operators.rows import latest, qualify_first
-from pitwall.operators.stats import safe_corr, with_median
+from pitwall.operators.stats import median_of_places, safe_corr, with_places
 from pitwall.plans.memo import Replaced, plan
 from pitwall.settings import DEFAULTS, QUALIFYING_TYPES, RACE_TYPES, Settings
 
@@ -483,16 +483,15 @@ def _clean_tyre_laps(t, s: Settings) -> DataFrame:
 def tyre_degradation(t, s: Settings = DEFAULTS) -> DataFrame:
     """Lap time by tyre age; the best age is taken before ages with few laps are dropped.
 
-    The exact median comes from histogram rounds over counted values (`stats.values_at`).  The baseline is a window over the aggregated curve, one row per tyre age.
+    The exact median comes from the laps' places in their group, which cells of lap times add up (`stats.with_places`).  The baseline is a window over the aggregated curve, one row per tyre age.
     """
     valid = _clean_tyre_laps(t, s).filter(F.col("tyre_age_lap").isNotNull())
     keys, lap = [*CURVE, "tyre_age_lap"], F.col("lap_duration_seconds")
-    curve = valid.groupBy(*keys).agg(
+    curve = with_places(valid, keys, "lap_duration_seconds").groupBy(*keys).agg(
         F.count("*").alias("sample_laps"), F.count_distinct("driver_number").alias("sample_drivers"), F.count_distinct("session_key").alias("sample_sessions"),
         F.avg(lap).alias("avg_lap_seconds"), F.min(lap).alias("best_lap_seconds"), F.avg("track_temperature").alias("avg_track_temperature"),
-        F.avg("humidity").alias("avg_humidity"), F.max(bool_int(F.col("rainfall"))).alias("has_rainfall"),
+        F.avg("humidity").alias("avg_humidity"), F.max(bool_int(F.col("rainfall"))).alias("has_rainfall"), median_of_places("lap_duration_seconds").alias("median_lap_seconds"),
     )
-    curve = with_median(curve, valid, keys, "lap_duration_seconds", "median_lap_seconds")
     best = F.min("avg_lap_seconds").over(Window.partitionBy(*CURVE))
     curve = curve.withColumn("best_avg_lap_seconds_for_compound", best).filter(F.col("sample_laps") >= s.min_tyre_laps)
     return curve.select(
@@ -536,12 +535,11 @@ def team_tyre_strategy(t, s: Settings = DEFAULTS) -> DataFrame:
 def tyre_weather_impact(t, s: Settings = DEFAULTS) -> DataFrame:
     keys = [*CURVE, "track_temp_bucket", "humidity_bucket", "weather_condition_bucket"]
     valid, lap = _clean_tyre_laps(t, s), F.col("lap_duration_seconds")
-    out = valid.groupBy(*keys).agg(
+    out = with_places(valid, keys, "lap_duration_seconds").groupBy(*keys).agg(
         F.count("*").alias("sample_laps"), F.count_distinct("driver_number").alias("sample_drivers"), F.count_distinct("team_name").alias("sample_teams"),
         F.avg(lap).alias("avg_lap_seconds"), F.min(lap).alias("best_lap_seconds"),
         *[F.avg(c).alias(f"avg_{c}") for c in ("track_temperature", "air_temperature", "humidity", "tyre_age_lap")],
         F.max(bool_int(F.col("rainfall"))).alias("has_rainfall"), safe_corr(F.col("humidity"), lap).alias("corr_humidity_lap_seconds"),
-        safe_corr(F.col("track_temperature"), lap).alias("corr_track_temp_lap_seconds"),
+        safe_corr(F.col("track_temperature"), lap).alias("corr_track_temp_lap_seconds"), median_of_places("lap_duration_seconds").alias("median_lap_seconds"),
     )
-    out = with_median(out, valid, keys, "lap_duration_seconds", "median_lap_seconds")
     return out.select(surrogate_key(*[F.col(c) for c in keys]).alias("tyre_weather_impact_id"), *out.columns)

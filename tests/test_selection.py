@@ -136,3 +136,11 @@ def test_running_totals_are_handed_on(numbers):
         for r in got.collect():
             values = groups(rows)[r.k]
             assert (r.before, r.total) == (sum(v < r.v for v in values), len(values))
+
+
+def test_median_of_places(numbers):
+    rows, df = numbers
+    placed = stats.with_places(df.filter("v is not null"), ["k"], "v")
+    got = {r.k: (r.m, r.n) for r in placed.groupBy("k").agg(stats.median_of_places("v").alias("m"), F.count("*").alias("n")).collect()}
+    want = groups(rows)
+    assert set(got) == set(want) and all(got[k] == (pytest.approx(statistics.median(v), rel=1e-12), len(v)) for k, v in want.items())
