@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Names, dates and wordings as the licenses state them.
 _GNU = (
     ("GPL-1.0", "GNU General Public License", "1", "February 1989"), ("GPL-2.0", "GNU General Public License", "2", "June 1991"), ("GPL-3.0", "GNU General Public License", "3", "29 June 2007"),
     ("LGPL-2.0", "GNU Library General Public License", "2", "June 1991"), ("LGPL-2.1", "GNU Lesser General Public License", "2.1", "February 1999"), ("LGPL-3.0", "GNU Lesser General Public License", "3", "29 June 2007"),
