@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitwall.operators.dyadic import cover, level_of, nodes_of
-from pitwall.operators.intervals import BIN, asof_join, range_join, span_aggregates, spacing
+from pitwall.operators.intervals import BIN, asof_join, range_join, range_left_join, span_aggregates, spacing
 from pitwall.plans import production as p
 from test_plans import CAR, at, feed
 
@@ -104,6 +104,31 @@ def test_span_aggregates(spark, crowd):
     assert not held
 
 
+def test_range_left_join_deals_no_pair_again(spark, crowd):
+    """Every interval keeps its own pairs, repeated ones and those with a NULL too, and the many pairs are in no exchange."""
+    ivs, pts = crowd
+    ivs = [*ivs, ivs[0], (1000, "nowhere", START, END_OF_TIME), (1001, None, START, END_OF_TIME), (1001, None, START, END_OF_TIME)]
+    left = spark.createDataFrame(ivs, "i int, k string, s timestamp_ntz, e timestamp_ntz")
+    right = spark.createDataFrame(pts, "j int, k string, t timestamp_ntz").select("k", "t", "j")
+    got = range_left_join(left, right, ["k"], "s", "e", "t")
+    want = []
+    for iv in ivs:
+        _, k, s, e = iv
+        hits = [(t, j) for j, q, t in pts if k == q and None not in (k, s, e, t) and s <= t <= e]
+        want += [(*iv, *h) for h in hits or [(None, None)]]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    # from the pairs up: joins, filters and projections, then the union; rows that met are not dealt out again
+    top = got._jdf.queryExecution().sparkPlan()
+    while top.children().size() == 1:
+        top = top.children().head()
+    assert top.nodeName() == "Union"
+    pairs = top.children().head()
+    while pairs.children().size() == 1:
+        assert "Exchange" not in pairs.nodeName() and "Aggregate" not in pairs.nodeName()
+        pairs = pairs.children().head()
+    assert "Join" in pairs.nodeName() and "_bin" in pairs.verboseStringWithOperatorId()
+
+
 def test_bad_readings_spoil_only_their_stints(spark):
     def weather(second, **v):
         return {"meeting_key": 1, "session_key": 10, "date": at(second), "air_temperature": 20.0, "track_temperature": 30.0, "humidity": 50.0, "wind_speed": 1.0, "rainfall": False, **v}
