@@ -11,6 +11,8 @@ from pitwall.operators.rows import null_safe_join
 
 #: Parts of a stretch of values that a round of `values_at` counts.
 CELLS = 1024
+#: Bits of a word of `distinct_counts`.
+WORD = 64
 
 
 def safe_corr(x: Column, y: Column) -> Column:
@@ -134,17 +136,15 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Mapp
 def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
     """Per group the number of different values of several whole-number columns, exact and in one pass: the keys and a column per entry of `columns`.
 
-    Values set bits in bitmaps of 32,768, which are combined on the map side, merged, and counted; rows aren't copied for each counted column.  Rows are
-    grouped by the bitmaps they touch: right for any values, meant for identifiers that fill few bitmaps.  NULL doesn't count.
+    Values set bits in words of 64, a long each, which are combined on the map side, merged, and counted. Each column has words of its own, so what a task holds
+    is the words its rows touch in one column after the other, never a combination of several columns' words; a scattered value costs one word. NULL doesn't count.
     """
-    names = list(columns)
-    bits = {n: F.col(columns[n]).cast("bigint") for n in names}
-    first = df.groupBy(*keys, *[F.bitmap_bucket_number(c).alias(f"_b_{n}") for n, c in bits.items()]).agg(
-        *[F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias(f"_m_{n}") for n, c in bits.items()])
-    entries = F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"_b_{n}").alias("bucket"), F.col(f"_m_{n}").alias("bits")) for n in names])
-    each = first.select(*keys, F.explode(entries).alias("_e")).select(*keys, F.col("_e.name").alias("_name"), F.col("_e.bucket").alias("_bucket"), F.col("_e.bits").alias("_bits"))
-    merged = each.groupBy(*keys, "_name", "_bucket").agg(F.bitmap_count(F.bitmap_or_agg("_bits")).alias("_n"))
-    return merged.groupBy(*keys).agg(*[F.coalesce(F.sum(F.when((F.col("_name") == n) & F.col("_bucket").isNotNull(), F.col("_n"))), F.lit(0)).alias(n) for n in names])
+    values = F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("bigint").alias("v")) for n, c in columns.items()])
+    each = df.select(*keys, F.explode(values).alias("_e")).select(*keys, F.col("_e.name").alias("_name"), F.col("_e.v").alias("_v"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_v").bitwiseAND(F.lit(WORD - 1)).cast("int"))
+    words = each.groupBy(*keys, "_name", F.shiftright("_v", WORD.bit_length() - 1).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    ones = F.bit_count("_bits")
+    return words.groupBy(*keys).agg(*[F.coalesce(F.sum(F.when(F.col("_name") == n, ones)), F.lit(0)).alias(n) for n in columns])
 
 
 def with_median(grouped: DataFrame, df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:

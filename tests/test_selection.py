@@ -85,6 +85,19 @@ def test_distinct_counts(spark):
     assert "Expand" not in plan
 
 
+def test_distinct_counts_hold_no_combinations(spark):
+    """Three columns of unrelated values: a task keeps words of each, not bitmaps of every combination that its rows touch."""
+    columns = [F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1 << 20)).alias(c) for i, c in enumerate("abc")]
+    df = spark.range(0, 4000, 1, 4).select(F.lit(1).alias("k"), *columns)
+    counted = stats.distinct_counts(df, ["k"], {"na": "a", "nb": "b", "nc": "c"})
+    rows = df.collect()
+    assert [tuple(r) for r in counted.collect()] == [(1, *(len({r[c] for r in rows}) for c in "abc"))]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    # longs in a hash map; no bitmaps of kilobytes, sorted
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert "partial_bit_or" in plan
+
+
 @pytest.fixture(scope="module")
 def crowd(spark):
     """One session has nearly all events, all of them within an hour; another has a few days of them."""
