@@ -68,8 +68,10 @@ def targets(sizes: DataFrame, schedules: tuple[Schedule, ...] = CURRICULUM, budg
 
 
 def _lined(docs: DataFrame, schedules: tuple[Schedule, ...], budget: tuple[int, int], cap: int, doc_id: str, text: str, source: str) -> DataFrame:
-    """Per row of `docs`: doc_id, source, size, source_size, class, target, t (a hash of the text), and begin, the words of the source's line before it."""
+    """Per row of `docs`: row (a number of its own), doc_id, source, size, source_size, class, target, t (a hash of the text), and begin, the words of the source's
+    line before it."""
     rows = staged(docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), blank_words(F.col(f"`{text}`")).alias("size"),
         F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long").alias("h"),
         F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("t"),
@@ -85,7 +87,7 @@ def _lined(docs: DataFrame, schedules: tuple[Schedule, ...], budget: tuple[int,
     inside = Window.partitionBy("source", "bucket").orderBy("h", "t", "size").rowsBetween(Window.unboundedPreceding, -1)
     lined = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     lined = lined.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    return lined.select("doc_id", "source", "size", "source_size", "class", "target", "t", (F.col("before") + F.col("within")).alias("begin"))
+    return lined.select("row", "doc_id", "source", "size", "source_size", "class", "target", "t", (F.col("before") + F.col("within")).alias("begin"))
 
 
 def _positions(schedules: tuple[Schedule, ...], cap: int) -> Column:
@@ -117,36 +119,49 @@ def mixed(docs: DataFrame, schedules: tuple[Schedule, ...] = CURRICULUM, budget:
     return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"), F.get("positions", F.lit(0)).alias("position"))
 
 
-def in_training_order(docs: DataFrame, schedules: tuple[Schedule, ...] = CURRICULUM, budget: tuple[int, int] = (3, 2), cap: int = 2,
-                      doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The rows of `docs` that the mix takes, each as often as it takes it, range-sorted by training position; the columns are unchanged.
-
-    Texts move twice, to meet their positions and to be sorted. Rows meet by id; where ids repeat or are null, also by text hash, source and number
-    within those.
-    """
+def _ordered(docs: DataFrame, schedules: tuple[Schedule, ...], budget: tuple[int, int], cap: int, doc_id: str, text: str, source: str) -> tuple[DataFrame, DataFrame, str, str]:
+    """The plan (row, doc_id, source, size, source_size, target, t, positions) and the mix: rows of `docs`, one per copy, range-sorted by position, and the names of
+    two more columns of it, the plan's row and the position."""
     rows = _lined(docs, schedules, budget, cap, doc_id, text, source)
-    plan = staged(rows.select("doc_id", "source", "t", _positions(schedules, cap).alias("positions")), "positions")
-    at = free_name(docs, "position")
-    plan = plan.select(*(F.col(c).alias(f"plan_{c}") for c in plan.columns))
-    taken = plan.filter(F.size("plan_positions") > 0)
-    if plan.groupBy("plan_doc_id").count().filter("count > 1 or plan_doc_id is null").isEmpty():
-        met = docs.alias("d").join(taken.alias("p"), F.col(f"d.`{doc_id}`") == F.col("p.plan_doc_id"))
+    plan = staged(rows.select("row", "doc_id", "source", "size", "source_size", "target", "t", _positions(schedules, cap).alias("positions")), "positions")
+    at, of = free_name(docs, "position"), free_name(docs, "plan_row")
+    taken = plan.select(*(F.col(c).alias(f"plan_{c}") for c in ("row", "doc_id", "source", "t", "positions")))
+    several = taken.groupBy("plan_doc_id").count().filter("count > 1 or plan_doc_id is null")
+    if several.isEmpty():
+        met = docs.alias("d").join(taken.filter(F.size("plan_positions") > 0).alias("p"), F.col(f"d.`{doc_id}`") == F.col("p.plan_doc_id"))
     else:
         number = free_name(docs, "number")
         alike = Window.partitionBy("plan_doc_id", "plan_source", "plan_t")
-        taken = plan.withColumn("plan_number", F.row_number().over(alike.orderBy("plan_positions")))
+        taken = taken.filter(F.size("plan_positions") > 0).withColumn("plan_number", F.row_number().over(alike.orderBy("plan_positions")))
         t = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
         rest = [F.col(f"`{c}`") for c, kind in docs.dtypes if c not in (doc_id, text, source) and not kind.startswith("map")]
         numbered = docs.withColumn(number, F.row_number().over(Window.partitionBy(F.col(f"`{doc_id}`"), F.col(f"`{source}`"), t).orderBy(*rest or [F.lit(0)])))
         met = numbered.alias("d").join(taken.alias("p"), F.col(f"d.`{doc_id}`").eqNullSafe(F.col("p.plan_doc_id")) & F.col(f"d.`{source}`").eqNullSafe(F.col("p.plan_source"))
                                        & (F.md5(F.coalesce(F.col(f"d.`{text}`"), F.lit("")).cast("binary")) == F.col("p.plan_t")) & (F.col(f"d.`{number}`") == F.col("p.plan_number")))
-    copies = met.select(*(F.col(f"d.`{c}`") for c in docs.columns), F.explode("p.plan_positions").alias(at))
-    return copies.repartitionByRange(at).sortWithinPartitions(at).drop(at)
+    copies = met.select(*(F.col(f"d.`{c}`") for c in docs.columns), F.col("p.plan_row").alias(of), F.explode("p.plan_positions").alias(at))
+    return plan, copies.repartitionByRange(at).sortWithinPartitions(at), of, at
+
+
+def in_training_order(docs: DataFrame, schedules: tuple[Schedule, ...] = CURRICULUM, budget: tuple[int, int] = (3, 2), cap: int = 2,
+                      doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of `docs` that the mix takes, each as often as it takes it, range-sorted by training position; the columns are unchanged.
+
+    Texts move twice, to meet their positions and to be sorted. Rows meet by id; where ids repeat or are null, also by text hash, source and number
+    within those.
+    """
+    _, mix, of, at = _ordered(docs, schedules, budget, cap, doc_id, text, source)
+    return mix.drop(of, at)
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies, and position rounded to nine digits."""
-    return mixed(docs).select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "copies", F.round("position", 9).alias("position"))
+    """doc_id, size, source_size, target, taken, copies, and position rounded to nine digits; the last three are read off the mix in training order, whose texts are
+    counted as they stand there."""
+    plan, mix, of, at = _ordered(docs, CURRICULUM, (3, 2), 2, "doc_id", "text", "source")
+    copies = staged(mix.select(F.col(of).alias("of"), blank_words(F.col("text")).alias("words"), F.col(at).alias("at")), "mix")
+    took = copies.groupBy("of").agg(F.sum("words").cast("long").alias("taken"), F.count("*").cast("int").alias("copies"), F.min("at").alias("position"))
+    met = plan.join(took, plan["row"] == took["of"], "left")
+    return met.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), F.coalesce("copies", F.lit(0)).alias("copies"),
+                      F.round("position", 9).alias("position"))
 
 
 #: The same mix in DuckDB.

@@ -92,6 +92,25 @@ def test_training_order(spark):
     assert firsts == sorted(firsts)
 
 
+def test_query_reads_the_mix_in_training_order(spark, monkeypatch):
+    """What the query tells of a row is what the sorted mix holds of it, rows with repeated or null ids too."""
+    data = rows(300)
+    for part in (data, [*data, data[5], data[5], (None, "a b c", "l", "a", 1, "x", 2), (None, "a b c", "m", "a", 1, "x", 2), (7, "other text", "m", "b", 1, "x", 2)]):
+        df = spark.createDataFrame(part, SCHEMA)
+        plan = mixing.mixed(df).select("doc_id", "size", "source_size", "target", F.col("taken").cast("long"), "copies", F.round("position", 9)).collect()
+        assert sorted(map(tuple, mixing.digest(df).collect()), key=repr) == sorted(map(tuple, plan), key=repr)
+    ordered = mixing._ordered
+
+    def without_one(*args):
+        plan, mix, of, at = ordered(*args)
+        return plan, mix.filter("doc_id <> 5"), of, at
+
+    assert [r.copies for r in plan if r.doc_id == 5] != [0]
+    monkeypatch.setattr(mixing, "_ordered", without_one)
+    got = mixing.digest(spark.createDataFrame(data, SCHEMA)).collect()
+    assert len(got) == len(data) and [(r.taken, r.copies, r.position) for r in got if r.doc_id == 5] == [(0, 0, None)]
+
+
 def test_falling_weight_comes_early(spark):
     df = spark.createDataFrame([(i, "w w w", None, "abc"[i % 3], None, None, None) for i in range(900)], SCHEMA)
     mean = {r.source: r.m for r in mixing.mixed(df).filter("copies > 0").groupBy("source").agg(F.avg("position").alias("m")).collect()}
