@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pitwall.operators import intervals
 from pitwall.operators.dyadic import cover, level_of, nodes_of
 from pitwall.operators.intervals import BIN, asof_join, range_join, range_left_join, span_aggregates, spacing
 from pitwall.plans import production as p
@@ -104,6 +105,19 @@ def test_span_aggregates(spark, crowd):
     assert not held
 
 
+def test_span_aggregates_deal_points_out_by_their_number(spark, crowd, monkeypatch):
+    """Tasks that spread points over the levels are as many as the points ask for, not as the files or keys give."""
+    ivs, pts = crowd
+    left = spark.createDataFrame(ivs, "i int, k string, s timestamp_ntz, e timestamp_ntz")
+    right = spark.createDataFrame(pts, "j int, k string, t timestamp_ntz").coalesce(1)
+    monkeypatch.setattr(intervals, "PART_POINTS", 20)
+    got = span_aggregates(left, right, ["k"], "s", "e", "t", {"n": ("count", F.col("j"))})
+    parts = 1 + sum(t is not None for _, _, t in pts) // 20
+    assert f", {parts})" in [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "REPARTITION_BY_NUM" in line][0].replace("), REP", ") REP")
+    for r in got.collect():
+        assert r.n == sum(q == r.k and None not in (r.k, r.s, r.e, t) and r.s <= t <= r.e for _, q, t in pts)
+
+
 def test_range_left_join_deals_no_pair_again(spark, crowd):
     """Every interval keeps its own pairs, repeated ones and those with a NULL too, and the many pairs are in no exchange."""
     ivs, pts = crowd
