@@ -62,6 +62,16 @@ def test_windows_late_records_and_bounded_state(spark):
     assert sorted(map(tuple, whole.collect()), key=repr) == by_hand([[r for b in batches for r in b]], dt.timedelta(seconds=60), dt.timedelta(days=9))[0]
 
 
+def test_a_key_is_one_row_of_state(spark):
+    """One read and one write per key and micro-batch, however many windows are open."""
+    batches = [[(k, START + dt.timedelta(seconds=60 * i + b), i, None) for k in (1, 2) for i in range(10)] for b in range(2)]
+    stream = keyed.per_window(files(spark, batches), ["k"], "at", 60, 3600)
+    path, late = scratch_path(spark, "windows"), scratch_path(spark, "late")
+    run = sinks.drain(sinks.merge_windows(stream, path, late, scratch_path(spark, "state"), ["k"], once=True))
+    assert spark.read.parquet(path).count() == 20
+    assert max(op["numRowsTotal"] for p in run.recentProgress for op in p["stateOperators"]) == 2
+
+
 def test_counts_are_observed_by_the_write(spark):
     batches = [[(1, START, 1, None), (1, START + dt.timedelta(1), None, "x")], [(2, None, 5, None)], [(None, START, None, None)]]
     path, counts = scratch_path(spark, "sink"), scratch_path(spark, "counts")
