@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Entries of one generation of a memo. A full one becomes the old generation, which answers until the next is full: memory stays bounded whatever the corpus.
 MEMO = 350_000
 #: Longer pieces aren't kept.
 LONGEST = 48
+#: Bytes of texts whose words are told apart together; the text that reaches them still belongs to the run.
+RUN = 1 << 22
 # U+180E counts as white space in some releases of Unicode, so no cut relies on it
 _BLANK_BEFORE_SPACE = re.compile(r" (?<=[\s\u180e] )")
 _CUT = re.compile(r"(?<=[^\s\u180e])(?= )")
@@ -20,6 +25,7 @@ _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 _SELF = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _REST = [b for b in range(256) if b not in _SELF]
 _BYTES = [chr(b) if b in _SELF else chr(256 + _REST.index(b)) for b in range(256)]
+_WRITTEN = dict(enumerate(_BYTES))
 #: Marks that are a piece of their own after a word when they end it.
 _MARKS = frozenset(".,;:!?)")
 
@@ -88,7 +94,7 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        written = "".join(map(_BYTES.__getitem__, piece.encode()))
+        written = piece.encode().decode("latin-1").translate(_WRITTEN)
         return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
 
     def _word(self, word: str) -> bytes:
@@ -110,6 +116,35 @@ class Encoder:
         head, *rest = text.split(" ")
         return self.part(head) + b"".join(map(self.words.__getitem__, rest))
 
+    def runs(self, texts: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of the texts one after the other, each text's followed by `end_id`, and the number of each text's ids; a run of texts at a time. No text is null."""
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        cuts = np.flatnonzero(np.diff(np.concatenate([[0], ends[:-1]]) // RUN)) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+            if low < high:
+                yield self._run(texts.slice(low, high - low), np.array([end_id], self.dtype).tobytes())
+
+    def _run(self, texts: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Each distinct word of the run is looked up once; ids are then gathered by the words' numbers. What stands before a text's first space is no such
+        word, and a text that can't be cut at every space is one with nothing after it."""
+        strings = texts.to_pylist()
+        odd = [self.special(t) or bool(_BLANK_BEFORE_SPACE.search(t)) for t in strings]
+        heads = [self.encode(t) if o else self.part(t.partition(" ")[0]) for t, o in zip(strings, odd)]
+        lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts) if any(odd) else texts, " ")
+        words = lists.flatten().dictionary_encode()
+        table = [*map(self.words.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)), *heads, end]
+        counts = lists.value_lengths().to_numpy().astype(np.int64)
+        after = np.cumsum(counts)
+        codes = words.indices.to_numpy().copy()
+        codes[after - counts] = len(words.dictionary) + np.arange(len(heads))
+        codes = np.insert(codes, after, len(table) - 1)
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // self.dtype.itemsize
+        first = np.cumsum(sizes) - sizes
+        taken = sizes[codes]
+        upto = np.cumsum(taken)
+        ids = np.frombuffer(b"".join(table), self.dtype)[np.arange(upto[-1]) + np.repeat(first[codes] - upto + taken, taken)]
+        return ids, np.diff(upto[np.cumsum(counts + 1) - 1], prepend=0)
+
 
 _OPEN: dict[str, Encoder] = {}
 

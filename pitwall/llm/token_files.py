@@ -70,7 +70,6 @@ def write(docs: DataFrame, root: str, vocabulary: str, end_id: int, doc_id: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, attempt = encoder(vocabulary), TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
-        end, width = np.array([end_id], enc.dtype).tobytes(), enc.dtype.itemsize
         files, folder = _filesystem(files_root)
         n, n_null, at, first, out = 0, 0, 0, None, {}
         for b in batches:
@@ -81,20 +80,17 @@ def write(docs: DataFrame, root: str, vocabulary: str, end_id: int, doc_id: str
                 files.create_dir(folder, recursive=True)
                 out = {k: files.open_output_stream(f"{folder}/{k}-{shard}-{attempt}.bin") for k in ("tokens", "offsets", "ids")}
                 first = ids[0]
-            lengths = np.empty(len(ids), np.uint64)
-            for i, t in enumerate(texts):
-                data = enc.encode(t.as_py()) + end
-                out["tokens"].write(data)
-                lengths[i] = len(data) // width
-            starts = at + np.cumsum(lengths) - lengths
-            out["offsets"].write(starts.astype("<u8").tobytes())
+            for data, lengths in enc.runs(texts, end_id):
+                out["tokens"].write(data.tobytes())
+                out["offsets"].write((at + np.cumsum(lengths) - lengths).astype("<u8").tobytes())
+                at += len(data)
             out["ids"].write(np.array([0 if x is None else x for x in ids], "<i8").tobytes())
-            n, n_null, at = n + len(ids), n_null + sum(x is None for x in ids), at + int(lengths.sum())
+            n, n_null = n + len(ids), n_null + sum(x is None for x in ids)
         if out:
             out["offsets"].write(np.array([at], "<u8").tobytes())
             for f in out.values():
                 f.close()
-            yield pa.RecordBatch.from_pylist([{"shard": shard, "attempt": attempt, "n_docs": n, "n_null": n_null, "n_tokens": at, "width": width, "first_id": first}], _schema())
+            yield pa.RecordBatch.from_pylist([{"shard": shard, "attempt": attempt, "n_docs": n, "n_null": n_null, "n_tokens": at, "width": enc.dtype.itemsize, "first_id": first}], _schema())
 
     rows.mapInArrow(run, MANIFEST).write.parquet(f"{root}/written")
     shards = spark.read.schema(MANIFEST).parquet(f"{root}/written")

@@ -2,9 +2,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from pitwall.llm import token_files
+from pitwall.llm import encoder, token_files
 from pitwall.llm.encoder import Encoder, safe_cuts
 from pitwall.sources.scratch import scratch_path
 
@@ -23,6 +24,33 @@ def test_pieces_encode_like_the_tokenizer(words):
         assert "".join(safe_cuts(t)) == t
 
 
+@pytest.mark.parametrize("run", [1, 60, 1 << 22])
+def test_runs_encode_like_the_tokenizer(words, monkeypatch, run):
+    monkeypatch.setattr(encoder, "RUN", run)
+    rng, enc = random.Random(4), Encoder(PATH)
+    texts = ODD + [" ".join(rng.choices(words + ["end.", "(a", "1,", "a.\nB", "x  y", "<|endoftext|>", ""], k=rng.randint(0, 40))) for _ in range(200)]
+    want = [[*enc.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts[3:]]
+    got = list(enc.runs(pa.array(texts)[3:], 2))
+    assert [n for _, lengths in got for n in lengths] == [len(w) for w in want]
+    assert [i for ids, _ in got for i in ids] == [i for w in want for i in w]
+    assert all(ids.dtype == enc.dtype for ids, _ in got) and (len(got) == 1) == (run == 1 << 22)
+    assert list(enc.runs(pa.array([], pa.string()), 2)) == []
+
+
+def test_a_run_looks_up_each_word_once(words):
+    enc, asked = Encoder(PATH), []
+
+    class Asked(type(enc.words)):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    enc.words = Asked(enc)
+    texts = [" ".join(random.Random(i).choices(words, k=500)) for i in range(50)]
+    (ids, lengths), = enc.runs(pa.array(texts), 2)
+    assert len(ids) == sum(lengths) and len(asked) <= len(words)
+
+
 def test_round_trip(spark, words):
     rng = random.Random(5)
     texts = [None, *ODD, *(" ".join(rng.choices(words, k=rng.randint(1, 400))) for _ in range(150))]
